@@ -70,9 +70,14 @@ NON_MODEL_COLUMNS = [
 
 # --- Fixed values: shape of records to score and of the inference log ---------------
 
+FRACTIONAL_FEATURES = [
+    "abs_amount", "credit_limit", "yearly_income", "total_debt", "per_capita_income",
+    "debt_to_income", "tx_amount_1h", "tx_amount_24h", "avg_amount_24h", "std_amount_24h",
+    "tx_amount_7d",
+]
+
 FEATURE_RECORD_SCHEMA = ", ".join(
-    f"{name} {'DOUBLE' if 'amount' in name or name in ('credit_limit', 'yearly_income', 'total_debt', 'per_capita_income', 'debt_to_income') else 'BIGINT'}"
-    for name in FEATURE_COLUMNS
+    f"{name} {'DOUBLE' if name in FRACTIONAL_FEATURES else 'BIGINT'}" for name in FEATURE_COLUMNS
 )
 
 REQUEST_LOG_SCHEMA = """

@@ -13,6 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ledgerlens.functions.measures import stable_round
 from ledgerlens.session import cut_lineage
 
 BUCKETS = 256
@@ -44,11 +45,11 @@ def value_counts(df: DataFrame, by: Sequence[str], column: str, **counts: Column
     return bucketizer.transform(counted)
 
 
-def same_group(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """Equality of the group keys, NULL groups included."""
+def _same(columns: Sequence[str], others: Sequence[str]) -> Column:
+    """Equality of key columns pair by pair, NULL keys included."""
     condition = F.lit(True)
-    for key in keys:
-        condition = condition & left[key].eqNullSafe(right[key])
+    for column, other in zip(columns, others):
+        condition = condition & F.col(column).eqNullSafe(F.col(other))
     return condition
 
 
@@ -92,9 +93,7 @@ def exact_percentiles(
     targets = ranked.withColumn("_here", here).filter(F.size("_here") > 0)
     targets = targets.select(*[F.col(k).alias(f"_t{k}") for k in keys], F.col("_bucket").alias("_tb"), "_before", "_here")
 
-    matched = F.col("_bucket") == F.col("_tb")
-    for key in keys:
-        matched = matched & F.col(key).eqNullSafe(F.col(f"_t{key}"))
+    matched = (F.col("_bucket") == F.col("_tb")) & _same(keys, [f"_t{key}" for key in keys])
     inside = Window.partitionBy(*keys, "_bucket").orderBy("_value").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
@@ -126,6 +125,33 @@ def exact_percentiles(
     )
 
 
+def with_exact_percentiles(
+    df: DataFrame,
+    by: Sequence[str],
+    column: str,
+    measures: Sequence[Column],
+    points: Mapping[str, float],
+    digits: int,
+    exact: bool = True,
+) -> DataFrame:
+    """Aggregates per group next to rounded percentiles of one column.
+
+    ``exact=False`` takes approximate percentiles in the same pass instead.
+    """
+    if not exact:
+        quick = [
+            stable_round(F.percentile_approx(column, share), digits).alias(name)
+            for name, share in points.items()
+        ]
+        return df.groupBy(*by).agg(*measures, *quick)
+    others = [f"_other_{key}" for key in by]
+    spread = exact_percentiles(df, by, column, points).select(
+        *[F.col(key).alias(other) for key, other in zip(by, others)],
+        *[stable_round(F.col(name), digits).alias(name) for name in points],
+    )
+    return df.groupBy(*by).agg(*measures).join(spread, _same(by, others), "left").drop(*others)
+
+
 def ranking_quality(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:
     """ROC-AUC and average precision per group, with the class counts.
 
@@ -156,9 +182,7 @@ def ranking_quality(df: DataFrame, score: str, label: str, by: Sequence[str] = (
             F.sum("_n").over(group).cast("double").alias("_N"),
         )
     )
-    matched = F.col("_bucket") == F.col("_tb")
-    for key in keys:
-        matched = matched & F.col(key).eqNullSafe(F.col(f"_t{key}"))
+    matched = (F.col("_bucket") == F.col("_tb")) & _same(keys, [f"_t{key}" for key in keys])
     inside = Window.partitionBy(*keys, "_bucket").orderBy(F.col("_value").desc()).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerlens.functions.measures import mean_where, rate_pct, row_count, stable_round, sum_where
-from ledgerlens.operators.distribution import exact_percentiles
+from ledgerlens.operators.distribution import with_exact_percentiles
 from ledgerlens.operators.filters import equal_to, not_blank
 
 
@@ -79,25 +79,11 @@ def amount_distribution(df: DataFrame, exact: bool = True) -> DataFrame:
         _mean_amount().alias("avg_amount"),
         stable_round(F.max("abs_amount"), 2).alias("max_amount"),
     ]
-    return _with_percentiles(df, ["is_fraud"], "abs_amount", basics, points, 2, exact).select(
+    return with_exact_percentiles(df, ["is_fraud"], "abs_amount", basics, points, 2, exact).select(
         "is_fraud", "count", "min_amount", "avg_amount", "median_amount", "p95_amount", "max_amount"
     )
 
 
-def _with_percentiles(df, keys, column, basics, points, digits, exact) -> DataFrame:
-    if not exact:
-        quick = [stable_round(F.percentile_approx(column, share), digits).alias(name) for name, share in points.items()]
-        return df.groupBy(*keys).agg(*basics, *quick)
-    spread = exact_percentiles(df, keys, column, points).select(
-        *[F.col(key).alias(f"_{key}") for key in keys],
-        *[stable_round(F.col(name), digits).alias(name) for name in points],
-    )
-    same = F.lit(True)
-    for key in keys:
-        same = same & F.col(key).eqNullSafe(F.col(f"_{key}"))
-    return df.groupBy(*keys).agg(*basics).join(spread, same, "left").drop(*[f"_{key}" for key in keys])
-
-
 def error_vs_fraud(df: DataFrame) -> DataFrame:
     kind = F.coalesce(F.col("errors"), F.lit("No Error")).alias("error_type")
     return _fraud_by(df, kind).orderBy(F.desc("fraud_rate_pct"), "error_type")

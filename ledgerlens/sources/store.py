@@ -100,7 +100,7 @@ class TableStore:
     # --- roles ---
 
     def role_views(self, role: str, columns: Mapping[str, Sequence[str]] | None = None) -> dict[str, DataFrame]:
-        """Tables a role may read, registered as temporary views ``<role>_<table>``.
+        """Tables a role may read, by ``layer.table``; also temporary views ``<role>_<table>``.
 
         ``columns`` narrows a table to the named columns. This organises access;
         it is no security boundary, as files stay readable to whoever can reach them.
@@ -112,5 +112,5 @@ class TableStore:
                 if columns and table in columns:
                     view = view.select(*columns[table])
                 view.createOrReplaceTempView(f"{role.replace('-', '_')}_{table}")
-                views[self.full_name(layer, table)] = view
+                views[f"{layer}.{table}"] = view
         return views
