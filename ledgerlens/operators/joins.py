@@ -61,9 +61,10 @@ def enrich(
     """
     sides = [
         (labels, "transaction_id", "transaction_id"),
-        (cards, "card_id", "id"),
-        (users, "client_id", "id"),
         (codes, "mcc", "mcc_code"),
+        (users, "client_id", "id"),
+        # Last, so that rows shuffled by card can go on into per-card windows.
+        (cards, "card_id", "id"),
     ]
     for dimension, fact_key, key in sides:
         if verify_keys:

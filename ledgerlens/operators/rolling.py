@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ledgerlens.functions.cleaning import epoch_seconds
 
 _SEC = "_sec"
+_WHO = "_who"
 _NO_TIME = -(1 << 60)  # stands for a missing time; no frame of a real time reaches it
 
 
@@ -75,23 +76,29 @@ def rolling_windows(df: DataFrame, key: str, ts: str, specs: Sequence[Rolling])
 
 
 def rolling_sliced(df: DataFrame, key: str, ts: str, specs: Sequence[Rolling]) -> DataFrame:
-    """The same features with bounded groups and linear cost, for keys of any size."""
-    rows = df.withColumn(_SEC, F.coalesce(epoch_seconds(F.col(ts)), F.lit(_NO_TIME)))
-    seconds = _per_second(rows, key, specs)
+    """The same features with bounded groups and linear cost, for keys of any size.
+
+    The key travels inside a struct: were it a plain column, rows that arrive
+    hash-partitioned by it (after a join on the key, say) would count as grouped
+    well enough for every step below, and a hot key would stay in one task.
+    """
+    rows = df.withColumns(
+        {_WHO: F.struct(F.col(key)), _SEC: F.coalesce(epoch_seconds(F.col(ts)), F.lit(_NO_TIME))}
+    )
+    seconds = _per_second(rows, specs)
     for length in sorted({spec.seconds for spec in specs}):
         due = [spec for spec in specs if spec.seconds == length]
-        seconds = _add_frame(seconds, rows, key, length, due)
-    features = seconds.select(
-        F.col(key).alias("_key"), F.col(_SEC).alias("_at"), *[spec.name for spec in specs]
-    )
+        seconds = _add_frame(seconds, rows, length, due)
     # AQE splits the row side if one second of one key is itself oversized.
-    matched = rows[key].eqNullSafe(features["_key"]) & (rows[_SEC] == features["_at"])
-    return rows.join(features, matched, "left").drop("_key", "_at", _SEC)
+    return rows.join(seconds.select(_WHO, _SEC, *[spec.name for spec in specs]), [_WHO, _SEC], "left").select(
+        *df.columns, *[spec.name for spec in specs]
+    )
 
 
 def hot_keys(df: DataFrame, key: str, hot_rows: int) -> DataFrame:
     """Keys holding more than ``hot_rows`` rows; a map-side combined count of one column."""
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > hot_rows).select(key)
+    counted = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    return counted.filter(F.col("_rows") > hot_rows).select(key)
 
 
 def rolling_features(
@@ -127,7 +134,7 @@ def rolling_features(
 # --- sliced plan --------------------------------------------------------------------
 
 
-def _per_second(rows: DataFrame, key: str, specs: Sequence[Rolling]) -> DataFrame:
+def _per_second(rows: DataFrame, specs: Sequence[Rolling]) -> DataFrame:
     """One row per (key, second): count, sum and squared deviation of each column."""
     measures: dict[str, Column] = {}
     for spec in specs:
@@ -139,8 +146,8 @@ def _per_second(rows: DataFrame, key: str, specs: Sequence[Rolling]) -> DataFram
         if spec.agg == "std":
             measures[f"_m_{spec.column}"] = F.var_pop(value) * F.count(value)
     if not measures:
-        return rows.select(key, _SEC).distinct()
-    return rows.groupBy(key, _SEC).agg(*[expr.alias(name) for name, expr in measures.items()])
+        return rows.select(_WHO, _SEC).distinct()
+    return rows.groupBy(_WHO, _SEC).agg(*[expr.alias(name) for name, expr in measures.items()])
 
 
 def _slot(sec: str, length: int) -> Column:
@@ -152,7 +159,7 @@ def _offset(sec: str, length: int) -> Column:
 
 
 def _add_frame(
-    seconds: DataFrame, rows: DataFrame, key: str, length: int, specs: Sequence[Rolling]
+    seconds: DataFrame, rows: DataFrame, length: int, specs: Sequence[Rolling]
 ) -> DataFrame:
     """``seconds`` with the features of one frame length.
 
@@ -172,10 +179,10 @@ def _add_frame(
     )
     distincts = [spec for spec in specs if spec.agg == "distinct"]
     for i, spec in enumerate(distincts):
-        changes = _distinct_changes(rows, key, spec.column, length).withColumnRenamed("_d", f"_d{i}")
+        changes = _distinct_changes(rows, spec.column, length).withColumnRenamed("_d", f"_d{i}")
         placed = placed.unionByName(changes, allowMissingColumns=True)
 
-    group = Window.partitionBy(key, "_slot")
+    group = Window.partitionBy(_WHO, "_slot")
     ahead = group.orderBy("_off").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     behind = group.orderBy(F.col("_off").desc()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
     whole = group.orderBy("_off").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -226,7 +233,7 @@ def _finish(spec: Rolling) -> Column:
     return F.when(n > 1, F.sqrt(F.greatest(spread, F.lit(0.0)) / (n - 1)))
 
 
-def _distinct_changes(rows: DataFrame, key: str, column: str, length: int) -> DataFrame:
+def _distinct_changes(rows: DataFrame, column: str, length: int) -> DataFrame:
     """Per (key, slice, offset), by how much the number of distinct values changes.
 
     A sighting of a value at ``s`` counts until the value is seen again or leaves
@@ -234,7 +241,7 @@ def _distinct_changes(rows: DataFrame, key: str, column: str, length: int) -> Da
     An interval alive at the start of the following slice is opened there again,
     so that a running sum within a slice is the distinct count.
     """
-    seen = rows.filter(F.col(column).isNotNull()).select(key, column, _SEC).distinct()
+    seen = rows.filter(F.col(column).isNotNull()).select(_WHO, column, _SEC).distinct()
     slot = _slot(_SEC, length)
     # A slice also sees the one after it, where a next sighting in reach must lie.
     spread = seen.select(
@@ -246,7 +253,7 @@ def _distinct_changes(rows: DataFrame, key: str, column: str, length: int) -> Da
             )
         ),
     )
-    order = Window.partitionBy(key, column, "_slot").orderBy(_SEC)
+    order = Window.partitionBy(_WHO, column, "_slot").orderBy(_SEC)
     expiry = F.col(_SEC) + (length + 1)
     intervals = spread.withColumn("_end", F.least(expiry, F.lead(_SEC).over(order))).filter("_own")
     following = (F.col("_slot") + 1) * length
@@ -267,8 +274,8 @@ def _distinct_changes(rows: DataFrame, key: str, column: str, length: int) -> Da
         )
     )
     return (
-        intervals.select(F.col(key), F.inline(changes))
-        .groupBy(key, "_slot", "_off")
+        intervals.select(_WHO, F.inline(changes))
+        .groupBy(_WHO, "_slot", "_off")
         .agg(F.sum("_d").alias("_d"))
         .withColumn("_own", F.lit(False))
     )

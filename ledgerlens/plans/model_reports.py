@@ -9,6 +9,7 @@ from ledgerlens.functions.scores import bucketize, over_threshold, score_from_re
 from ledgerlens.operators.distribution import ranking_quality, with_exact_percentiles
 from ledgerlens.operators.evaluation import classification_report
 from ledgerlens.operators.filters import equal_to, trailing
+from ledgerlens.session import cut_lineage
 
 
 def recent_requests(
@@ -77,9 +78,10 @@ def ab_evaluation(
         flagged.alias("fraud_flagged"),
         stable_round(F.avg("score"), 4).alias("avg_fraud_score"),
     )
-    known = requests.select(record_id, "model_version", "score").join(
+    labelled = requests.select(record_id, "model_version", "score").join(
         outcomes.select(record_id, "is_fraud"), record_id
     )
+    known = cut_lineage(labelled.drop(record_id))  # read by both measures below
     fraud = (
         classification_report(known, "score", threshold=threshold, inclusive=True, by=["model_version"])
         .filter(F.col("class") == "fraud")

@@ -53,6 +53,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared folder, so later passes re-read instead of recompute."""
-    shared_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """``df`` written to the shared folder and read back.
+
+    Later passes read the stored columns instead of computing them again, and
+    losing an executor costs a re-read, not the whole history.
+    """
+    path = scratch_path(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -49,6 +49,9 @@ class TableStore:
         become lineage edges.
         """
         target = self.full_name(layer, table)
+        if partition_by:
+            # Otherwise every task writes a file into every partition; AQE splits oversized ones.
+            df = df.hint("rebalance", *partition_by)
         writer = df.write.mode("overwrite").format("parquet")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
