@@ -106,7 +106,7 @@ def rolling_features(
     key: str,
     ts: str,
     specs: Sequence[Rolling] = CARD_FEATURES,
-    hot_rows: int = 20_000,
+    hot_rows: int = 10_000,
     max_hot_keys: int = 10_000,
     key_source: DataFrame | None = None,
 ) -> DataFrame:
