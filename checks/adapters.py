@@ -168,7 +168,7 @@ def request_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return load(spark, sf_dir, "events").select(
         key.alias("transaction_id"),
-        F.lit("fraud_classifier").alias("model_name"),
+        F.lit("card_model").alias("model_name"),
         F.concat(F.lit("v"), key % 2 + 1).alias("model_version"),
         F.when(key % 10 == 0, "other").otherwise(ENDPOINT).alias("endpoint_name"),
         F.col("ts").cast("timestamp").alias("timestamp"),

@@ -36,6 +36,8 @@ RAW_TX = """raw_tx AS (
 # A CSV reader with default options takes a blank field for NULL.
 SCANNED_TX = """SELECT * REPLACE (nullif(merchant_state, '') AS merchant_state, nullif(errors, '') AS errors) FROM raw_tx"""
 
+RAW_TX_SCANNED = RAW_TX.replace("THEN '' ELSE 'NATION_'", "THEN NULL ELSE 'NATION_'")
+
 CARDS = """cards AS (
     SELECT c_custkey AS id,
         ['Visa', 'Mastercard', 'Discover', 'Amex'][CAST(c_custkey % 4 AS INTEGER) + 1] AS card_brand,
@@ -108,7 +110,7 @@ ORDERS = """dated AS (
     FROM orders)"""
 
 LOGS = f"""logs AS (
-    SELECT event_id AS transaction_id, 'fraud_classifier' AS model_name,
+    SELECT event_id AS transaction_id, 'card_model' AS model_name,
         'v' || (event_id % 2 + 1) AS model_version,
         CASE WHEN event_id % 10 = 0 THEN 'other' ELSE '{ENDPOINT}' END AS endpoint_name,
         ts AS timestamp, CASE WHEN event_id % 17 <> 0 THEN value / 500 END AS score,
@@ -345,6 +347,7 @@ ORACLES: dict[str, str] = {
             positives, negatives, {rounded("roc_auc", 6)} AS roc_auc, {rounded("pr_auc", 6)} AS pr_auc
         FROM traffic LEFT JOIN cells USING (model_version) LEFT JOIN ranking ON grp = model_version""",
     # --- governance ---
+    "lakehouse_build": f"WITH {GOLD.replace(RAW_TX, RAW_TX_SCANNED)} SELECT * FROM gold",
     "table_counts": """SELECT 'bronze_transactions' AS tbl, count(*) AS rows FROM events
         UNION ALL SELECT 'bronze_cards', count(*) FROM customer
         UNION ALL SELECT 'bronze_users', count(*) FROM customer

@@ -115,18 +115,25 @@ def ingest_metadata(spark, sf_dir):
     )
 
 
-@query("json_dict_labels")
-def json_dict_labels(spark, sf_dir):
-    # Documents of at most 1,000 consecutive ids each, one per line.
-    path = scratch_path(spark, "labels")
-    entry = F.struct(F.col("transaction_id").cast("string"), F.col("label"))
+def stored_dicts(spark, entries, key, value, size, name, root=None):
+    """JSON dictionaries of at most ``size`` consecutive keys, one document per file."""
+    path = scratch_path(spark, name)
+    pair = F.struct(F.col(key).cast("string"), F.col(value))
+    document = F.col("entries") if root is None else F.struct(F.col("entries").alias(root))
     (
-        a.raw_labels(spark, sf_dir)
-        .groupBy(F.floor(F.col("transaction_id") / 1000))
-        .agg(F.map_from_entries(F.collect_list(entry)).alias("target"))
-        .select(F.to_json(F.struct("target")))
-        .write.text(path)
+        entries.groupBy(F.floor(F.col(key) / size).alias("document"))
+        .agg(F.map_from_entries(F.collect_list(pair)).alias("entries"))
+        .select(F.to_json(document).alias("value"), "document")
+        .write.partitionBy("document")
+        .text(path)
     )
+    return path
+
+
+@query("json_dict_labels")
+def json_dict_labels(spark, sf_dir):
+    labels = a.raw_labels(spark, sf_dir)
+    path = stored_dicts(spark, labels, "transaction_id", "label", 10_000, "labels", root="target")
     return readers.read_json_dict(
         spark, path, "transaction_id", "label", "bigint", root="target", splittable=True
     )
@@ -134,17 +141,8 @@ def json_dict_labels(spark, sf_dir):
 
 @query("json_dict_codes")
 def json_dict_codes(spark, sf_dir):
-    # One file per document; each holds at most 10,000 consecutive keys.
-    path = scratch_path(spark, "codes")
-    entry = F.struct(F.col("p_partkey").cast("string"), F.col("p_name"))
-    (
-        a.load(spark, sf_dir, "part")
-        .groupBy(F.floor(F.col("p_partkey") / 10_000).alias("document"))
-        .agg(F.map_from_entries(F.collect_list(entry)).alias("codes"))
-        .select(F.to_json("codes").alias("value"), "document")
-        .write.partitionBy("document")
-        .text(path)
-    )
+    parts = a.load(spark, sf_dir, "part")
+    path = stored_dicts(spark, parts, "p_partkey", "p_name", 10_000, "codes")
     return readers.read_json_dict(spark, path, "mcc_code", "mcc_name", "int")
 
 
@@ -469,6 +467,17 @@ def ab_evaluation(spark, sf_dir):
 # --- governance ----------------------------------------------------------------------
 
 
+@query("lakehouse_build")
+def lakehouse_build(spark, sf_dir):
+    """Raw CSV and JSON files through bronze and silver to the stored gold table."""
+    raw = a.bronze(spark, sf_dir)
+    paths = {name: stored_csv(spark, getattr(raw, name), name) for name in ("transactions", "cards", "users")}
+    paths["labels"] = stored_dicts(spark, raw.labels, "transaction_id", "label", 10_000, "labels", root="target")
+    paths["codes"] = stored_dicts(spark, raw.codes, "mcc_code", "mcc_name", 10_000, "codes")
+    store = layers.build_lakehouse(spark, paths, new_store(spark))
+    return presented(store.read("gold", "fraud_features"))
+
+
 @query("table_counts")
 def table_counts(spark, sf_dir):
     raw = a.bronze(spark, sf_dir)

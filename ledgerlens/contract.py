@@ -89,6 +89,11 @@ LINEAGE_SCHEMA = """
     source_table_full_name STRING, target_table_full_name STRING, created_at TIMESTAMP
 """
 
+QUALITY_SCHEMA = """
+    table_full_name STRING, rule STRING, action STRING, evaluated BIGINT, failed BIGINT,
+    created_at TIMESTAMP
+"""
+
 # --- Fixed values: score histogram ---------------------------------------------------
 
 SCORE_EDGES = [0.1, 0.3, 0.5, 0.7, 0.9]

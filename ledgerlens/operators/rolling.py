@@ -29,6 +29,7 @@ from ledgerlens.functions.cleaning import epoch_seconds
 
 _SEC = "_sec"
 _WHO = "_who"
+_STRETCH = 8
 _NO_TIME = -(1 << 60)  # stands for a missing time; no frame of a real time reaches it
 
 
@@ -78,13 +79,12 @@ def rolling_windows(df: DataFrame, key: str, ts: str, specs: Sequence[Rolling])
 def rolling_sliced(df: DataFrame, key: str, ts: str, specs: Sequence[Rolling]) -> DataFrame:
     """The same features with bounded groups and linear cost, for keys of any size.
 
-    The key travels inside a struct: were it a plain column, rows that arrive
-    hash-partitioned by it (after a join on the key, say) would count as grouped
-    well enough for every step below, and a hot key would stay in one task.
+    The key travels as text derived from it: were it the plain column, rows that
+    arrive hash-partitioned by it (after a join on the key, say) would count as
+    grouped well enough for every step below, and a hot key would stay in one task.
     """
-    rows = df.withColumns(
-        {_WHO: F.struct(F.col(key)), _SEC: F.coalesce(epoch_seconds(F.col(ts)), F.lit(_NO_TIME))}
-    )
+    who = F.coalesce(F.concat(F.col(key).cast("string"), F.lit("=")), F.lit(""))
+    rows = df.withColumns({_WHO: who, _SEC: F.coalesce(epoch_seconds(F.col(ts)), F.lit(_NO_TIME))})
     seconds = _per_second(rows, specs)
     for length in sorted({spec.seconds for spec in specs}):
         due = [spec for spec in specs if spec.seconds == length]
@@ -178,8 +178,8 @@ def _add_frame(
         ),
     )
     distincts = [spec for spec in specs if spec.agg == "distinct"]
-    for i, spec in enumerate(distincts):
-        changes = _distinct_changes(rows, spec.column, length).withColumnRenamed("_d", f"_d{i}")
+    if distincts:
+        changes = _distinct_changes(rows, [spec.column for spec in distincts], length)
         placed = placed.unionByName(changes, allowMissingColumns=True)
 
     group = Window.partitionBy(_WHO, "_slot")
@@ -233,29 +233,39 @@ def _finish(spec: Rolling) -> Column:
     return F.when(n > 1, F.sqrt(F.greatest(spread, F.lit(0.0)) / (n - 1)))
 
 
-def _distinct_changes(rows: DataFrame, column: str, length: int) -> DataFrame:
+def _distinct_changes(rows: DataFrame, columns: Sequence[str], length: int) -> DataFrame:
     """Per (key, slice, offset), by how much the number of distinct values changes.
 
-    A sighting of a value at ``s`` counts until the value is seen again or leaves
-    the frame, i.e. during ``[s, end)`` with ``end = min(next sighting, s + length + 1)``.
-    An interval alive at the start of the following slice is opened there again,
-    so that a running sum within a slice is the distinct count.
+    Column ``_d<i>`` belongs to ``columns[i]``. A sighting of a value at ``s``
+    counts until the value is seen again or leaves the frame, i.e. during
+    ``[s, end)`` with ``end = min(next sighting, s + length + 1)``. An interval
+    alive at the start of the following slice is opened there again, so that a
+    running sum within a slice is the distinct count.
     """
-    seen = rows.filter(F.col(column).isNotNull()).select(_WHO, column, _SEC).distinct()
-    slot = _slot(_SEC, length)
-    # A slice also sees the one after it, where a next sighting in reach must lie.
-    spread = seen.select(
-        "*",
-        F.inline(
-            F.array(
-                F.struct(slot.alias("_slot"), F.lit(True).alias("_own")),
-                F.struct((slot - 1).alias("_slot"), F.lit(False).alias("_own")),
-            )
-        ),
+    values = [
+        F.struct(F.lit(i).alias("_column"), F.col(name).cast("string").alias("_value"))
+        for i, name in enumerate(columns)
+    ]
+    seen = (
+        rows.select(_WHO, _SEC, F.inline(F.array(*values)))
+        .filter(F.col("_value").isNotNull())
+        .distinct()
+    )
+    # The next sighting is looked up in stretches of several frames; a stretch also
+    # sees the first frame of the one after it, where a next sighting in reach must lie.
+    stretch = length * _STRETCH
+    own = _slot(_SEC, stretch)
+    peeked = F.when(_offset(_SEC, stretch) <= length, own - 1)
+    spread = seen.select("*", own.alias("_home"), F.explode(F.array(own, peeked)).alias("_part")).filter(
+        F.col("_part").isNotNull()
     )
-    order = Window.partitionBy(_WHO, column, "_slot").orderBy(_SEC)
+    order = Window.partitionBy(_WHO, "_column", "_value", "_part").orderBy(_SEC)
     expiry = F.col(_SEC) + (length + 1)
-    intervals = spread.withColumn("_end", F.least(expiry, F.lead(_SEC).over(order))).filter("_own")
+    intervals = (
+        spread.withColumn("_end", F.least(expiry, F.lead(_SEC).over(order)))
+        .filter("_home = _part")
+        .withColumn("_slot", _slot(_SEC, length))
+    )
     following = (F.col("_slot") + 1) * length
 
     def change(condition: Column, in_slot: Column, at: Column, step: int) -> Column:
@@ -265,17 +275,16 @@ def _distinct_changes(rows: DataFrame, column: str, length: int) -> DataFrame:
         )
 
     end, here, after = F.col("_end"), F.col("_slot"), F.col("_slot") + 1
-    changes = F.array_compact(
-        F.array(
-            change(F.lit(True), here, F.col(_SEC) - here * length, 1),
-            change(end < following, here, end - here * length, -1),
-            change(end > following, after, F.lit(0).cast("bigint"), 1),
-            change((end > following) & (end < following + length), after, end - following, -1),
-        )
+    changes = F.array(
+        change(F.lit(True), here, F.col(_SEC) - here * length, 1),
+        change(end < following, here, end - here * length, -1),
+        change(end > following, after, F.lit(0).cast("bigint"), 1),
+        change((end > following) & (end < following + length), after, end - following, -1),
     )
     return (
-        intervals.select(_WHO, F.inline(changes))
+        intervals.select(_WHO, "_column", F.inline(changes))
+        .filter(F.col("_d").isNotNull())
         .groupBy(_WHO, "_slot", "_off")
-        .agg(F.sum("_d").alias("_d"))
+        .agg(*[F.sum(F.when(F.col("_column") == i, F.col("_d"))).alias(f"_d{i}") for i in range(len(columns))])
         .withColumn("_own", F.lit(False))
     )

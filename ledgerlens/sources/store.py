@@ -7,7 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.utils import AnalysisException
 
-from ledgerlens.contract import LAYERS, LINEAGE_SCHEMA, ROLE_LAYERS
+from ledgerlens.contract import LAYERS, LINEAGE_SCHEMA, QUALITY_SCHEMA, ROLE_LAYERS
+from ledgerlens.operators.quality import Rule
 
 
 def _quoted(text: str) -> str:
@@ -90,15 +91,39 @@ class TableStore:
             [(source, target) for source in sources],
             "source_table_full_name STRING, target_table_full_name STRING",
         )
-        edges.withColumn("created_at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(
-            self.lineage_path
-        )
+        self._append(edges, self.lineage_path)
 
     def lineage(self) -> DataFrame:
+        return self._log(self.lineage_path, LINEAGE_SCHEMA)
+
+    # --- rule outcomes ---
+
+    @property
+    def quality_path(self) -> str:
+        return f"{self.root}/_quality"
+
+    def record_quality(self, layer: str, table: str, rules: Sequence[Rule], counts: Mapping[str, int]) -> None:
+        """Keeps what an ``observe_rules`` observation saw while the table was written."""
+        rows = [
+            (self.full_name(layer, table), rule.name, rule.action, counts["evaluated"], counts[rule.name])
+            for rule in rules
+        ]
+        outcomes = self.spark.createDataFrame(
+            rows, "table_full_name STRING, rule STRING, action STRING, evaluated BIGINT, failed BIGINT"
+        )
+        self._append(outcomes, self.quality_path)
+
+    def quality(self) -> DataFrame:
+        return self._log(self.quality_path, QUALITY_SCHEMA)
+
+    def _append(self, rows: DataFrame, path: str) -> None:
+        rows.withColumn("created_at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(path)
+
+    def _log(self, path: str, schema: str) -> DataFrame:
         try:
-            return self.spark.read.schema(LINEAGE_SCHEMA).parquet(self.lineage_path)
+            return self.spark.read.schema(schema).parquet(path)
         except AnalysisException:  # nothing written yet
-            return self.spark.createDataFrame([], LINEAGE_SCHEMA)
+            return self.spark.createDataFrame([], schema)
 
     # --- roles ---
 

@@ -97,6 +97,16 @@ def test_rule_metrics_on_raw_rows(spark, paths):
     assert failed == {"valid_transaction_id": 1, "valid_card_id": 1, "valid_client_id": 1, "valid_amount": 1}
 
 
+def test_rule_outcomes_are_recorded_while_silver_is_written(store):
+    log = {r.rule: (r.action, r.evaluated, r.failed) for r in store.quality().collect()}
+    assert log == {
+        "valid_transaction_id": ("drop", 8, 1),
+        "valid_card_id": ("drop", 8, 1),
+        "valid_client_id": ("drop", 8, 1),
+        "valid_amount": ("warn", 8, 1),
+    }
+
+
 def test_gold_features(store):
     gold = store.read("gold", "fraud_features")
     assert len(gold.columns) == 52 and set(FEATURE_COLUMNS) <= set(gold.columns)
