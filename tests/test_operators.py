@@ -153,3 +153,27 @@ def test_enrich_checks_keys(spark):
     fact, labels, cards, users, codes = star(spark, 10)
     with pytest.raises(DuplicateKeyError):
         enrich(fact, labels, cards.unionAll(cards), users, codes)
+
+
+def test_oversized_foreign_key_is_split(spark, tmp_path):
+    """Without broadcasts, AQE splits the partition of a card holding two thirds of the rows."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32KB",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        fact, _, cards, _, _ = star(spark, 60_000)
+        # Several map outputs, so that a partition can be cut between them.
+        joined = left_lookup(fact.repartition(8), cards, "card_id", "id")
+        assert len(joined.collect()) == 60_000
+        plan = plan_of(joined).split("Initial Plan")[0]
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    assert "SortMergeJoin(skew=true)" in plan
