@@ -90,8 +90,8 @@ LINEAGE_SCHEMA = """
 """
 
 QUALITY_SCHEMA = """
-    table_full_name STRING, rule STRING, action STRING, evaluated BIGINT, failed BIGINT,
-    created_at TIMESTAMP
+    table_full_name STRING, rule STRING, action STRING,
+    evaluated BIGINT, passed BIGINT, failed BIGINT, created_at TIMESTAMP
 """
 
 # --- Fixed values: score histogram ---------------------------------------------------

@@ -59,6 +59,8 @@ def observe_rules(
     """Surviving rows plus failure counts gathered by the job that writes them.
 
     Costs no extra pass; ``observation.get`` is available once an action ran.
+    Meant for monitoring: rows of tasks repeated after a lost executor may be
+    counted again. ``rule_metrics`` is exact.
     """
     observation = Observation(name)
     watched = df.observe(

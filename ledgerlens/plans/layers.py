@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerlens.contract import (
     CARD_COLUMNS,
@@ -27,7 +27,7 @@ from ledgerlens.functions.cleaning import (
 from ledgerlens.operators.columns import minimise
 from ledgerlens.operators.filters import present
 from ledgerlens.operators.joins import enrich
-from ledgerlens.operators.quality import Rule, apply_rules, observe_rules
+from ledgerlens.operators.quality import Rule, apply_rules, rule_metrics
 from ledgerlens.operators.rolling import CARD_FEATURES, rolling_features
 from ledgerlens.sources.readers import read_csv, read_json_dict, with_ingest_columns
 from ledgerlens.sources.store import TableStore
@@ -106,17 +106,8 @@ def clean_codes(raw: DataFrame) -> DataFrame:
 
 def build_silver(bronze: Bronze, verify_keys: bool = True) -> DataFrame:
     """Cleaned transactions that pass the rules, with all lookups; unlabelled rows stay."""
-    return _looked_up(apply_rules(clean_transactions(bronze.transactions), SILVER_RULES), bronze, verify_keys)
-
-
-def observed_silver(bronze: Bronze, verify_keys: bool = True) -> tuple[DataFrame, Observation]:
-    """The same rows; the observation counts rule failures while they are written."""
-    kept, seen = observe_rules(clean_transactions(bronze.transactions), SILVER_RULES)
-    return _looked_up(kept, bronze, verify_keys), seen
-
-
-def _looked_up(fact: DataFrame, bronze: Bronze, verify_keys: bool) -> DataFrame:
-    # Rows without ids are gone by now, so no NULL key enters the label join.
+    # Dropping rows without ids first keeps NULL keys out of the label join.
+    fact = apply_rules(clean_transactions(bronze.transactions), SILVER_RULES)
     star = enrich(
         fact,
         clean_labels(bronze.labels),
@@ -190,15 +181,16 @@ def build_lakehouse(spark: SparkSession, paths: Mapping[str, str], store: TableS
     bronze = Bronze(
         *[store.write(frame, "bronze", name, names[name]) for name, frame in raw._asdict().items()]
     )
-    cleaned, seen = observed_silver(bronze)
     silver = store.write(
-        cleaned,
+        build_silver(bronze),
         "silver",
         "transactions",
         "Cleaned transactions with labels, cards, users and categories",
         sources=[store.full_name("bronze", name) for name in names],
     )
-    store.record_quality("silver", "transactions", SILVER_RULES, seen.get)
+    # Counted from the stored rows (four columns), not observed during the write:
+    # tasks repeated after a lost executor would be observed twice.
+    store.record_quality("silver", "transactions", rule_metrics(clean_transactions(bronze.transactions), SILVER_RULES))
     features = store.write(
         build_gold_features(silver),
         "gold",

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.utils import AnalysisException
 
 from ledgerlens.contract import LAYERS, LINEAGE_SCHEMA, QUALITY_SCHEMA, ROLE_LAYERS
-from ledgerlens.operators.quality import Rule
 
 
 def _quoted(text: str) -> str:
@@ -102,16 +101,12 @@ class TableStore:
     def quality_path(self) -> str:
         return f"{self.root}/_quality"
 
-    def record_quality(self, layer: str, table: str, rules: Sequence[Rule], counts: Mapping[str, int]) -> None:
-        """Keeps what an ``observe_rules`` observation saw while the table was written."""
-        rows = [
-            (self.full_name(layer, table), rule.name, rule.action, counts["evaluated"], counts[rule.name])
-            for rule in rules
-        ]
-        outcomes = self.spark.createDataFrame(
-            rows, "table_full_name STRING, rule STRING, action STRING, evaluated BIGINT, failed BIGINT"
+    def record_quality(self, layer: str, table: str, metrics: DataFrame) -> None:
+        """Keeps the ``rule_metrics`` of the rows a table was built from."""
+        named = metrics.select(
+            F.lit(self.full_name(layer, table)).alias("table_full_name"), "rule", "action", "evaluated", "passed", "failed"
         )
-        self._append(outcomes, self.quality_path)
+        self._append(named, self.quality_path)
 
     def quality(self) -> DataFrame:
         return self._log(self.quality_path, QUALITY_SCHEMA)

@@ -122,3 +122,18 @@ def test_stages_are_stored_below_the_shared_folder(spark):
     staged = cut_lineage(spark.range(5).withColumn("r", F.rand()))
     assert staged.collect() == staged.collect()
     assert all(root.replace("file:", "") in f for f in staged.inputFiles())
+
+
+def test_cluster_without_shared_folder_is_refused():
+    class Conf:
+        def get(self, name, default):
+            return default
+
+    class Context:
+        master = "yarn"
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_root(Session())
