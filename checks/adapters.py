@@ -25,100 +25,95 @@ VALIDATION_START = "2024-01-02 12:00:00"
 TEST_START = "2024-01-03 06:00:00"
 
 
+# Declared, so that no load has to open files for their schema.
+SCHEMAS = {
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+    "labels": "doc_id BIGINT, quality INT, toxic INT",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+    "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+}
+
+
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return spark.read.schema(SCHEMAS[table]).parquet(f"{sf_dir}/{table}.parquet")
 
 
-def money(value):
-    return F.concat(F.lit("$"), F.format_number(value, 2))
+def money(value: str) -> str:
+    """SQL for the currency text of a numeric expression."""
+    return f"concat('$', format_number({value}, 2))"
 
 
-def k_of(props: str = "props"):
-    return F.get_json_object(props, "$.k").cast("int")
+K = "cast(get_json_object(props, '$.k') as int)"
 
 
 def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kind, k = F.col("event_type"), F.col("k")
-    signed = F.when(kind == "signup", -F.col("value")).otherwise(F.col("value"))
-    channel = (
-        F.when(kind == "purchase", "Online Transaction")
-        .when(kind.isin("click", "signup"), "Chip Transaction")
-        .otherwise("Swipe Transaction")
-    )
-    problem = (
-        F.when((kind == "error") & (k % 2 == 0), "Bad PIN")
-        .when(kind == "error", "Insufficient Balance")
-        .when(k % 7 == 0, "")
-    )
-    return load(spark, sf_dir, "events").withColumn("k", k_of()).select(
-        F.col("event_id").alias("id"),
-        F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("date"),
-        F.col("user_id").alias("client_id"),
-        F.col("user_id").alias("card_id"),
-        money(signed).alias("amount"),
-        channel.alias("use_chip"),
-        k.cast("bigint").alias("merchant_id"),
-        F.concat(F.lit("City "), k).alias("merchant_city"),
-        F.when(kind == "purchase", "").otherwise(F.concat(F.lit("NATION_"), k % 25)).alias("merchant_state"),
-        F.lpad(k.cast("string"), 5, "0").alias("zip"),
-        k.alias("mcc"),
-        problem.alias("errors"),
+    return load(spark, sf_dir, "events").selectExpr("*", f"{K} AS k").selectExpr(
+        "event_id AS id",
+        "date_format(ts, 'yyyy-MM-dd HH:mm:ss') AS date",
+        "user_id AS client_id",
+        "user_id AS card_id",
+        money("CASE WHEN event_type = 'signup' THEN -value ELSE value END") + " AS amount",
+        """CASE event_type WHEN 'purchase' THEN 'Online Transaction' WHEN 'click' THEN 'Chip Transaction'
+            WHEN 'signup' THEN 'Chip Transaction' ELSE 'Swipe Transaction' END AS use_chip""",
+        "cast(k AS bigint) AS merchant_id",
+        "concat('City ', k) AS merchant_city",
+        "CASE WHEN event_type = 'purchase' THEN '' ELSE concat('NATION_', k % 25) END AS merchant_state",
+        "lpad(cast(k AS string), 5, '0') AS zip",
+        "k AS mcc",
+        """CASE WHEN event_type = 'error' AND k % 2 = 0 THEN 'Bad PIN'
+            WHEN event_type = 'error' THEN 'Insufficient Balance' WHEN k % 7 = 0 THEN '' END AS errors""",
     )
 
 
 def raw_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key, nation = F.col("c_custkey"), F.col("c_nationkey")
-    brands = F.array(*[F.lit(b) for b in ("Visa", "Mastercard", "Discover", "Amex")])
-    types = F.array(*[F.lit(t) for t in ("Debit", "Credit", "Debit (Prepaid)")])
-    return load(spark, sf_dir, "customer").select(
-        key.alias("id"),
-        key.alias("client_id"),
-        brands[(key % 4).cast("int")].alias("card_brand"),
-        types[nation % 3].alias("card_type"),
-        F.lpad(key.cast("string"), 16, "4").alias("card_number"),
-        F.lit("12/2030").alias("expires"),
-        F.lit("123").alias("cvv"),
-        F.when(key % 2 == 0, "YES").otherwise("NO").alias("has_chip"),
-        (nation % 3 + 1).cast("int").alias("num_cards_issued"),
-        money("c_acctbal").alias("credit_limit"),
-        F.lit("01/2010").alias("acct_open_date"),
-        (nation % 15 + 2005).cast("int").alias("year_pin_last_changed"),
-        F.when(key % 10 == 0, "Yes").otherwise("No").alias("card_on_dark_web"),
+    return load(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS id",
+        "c_custkey AS client_id",
+        "array('Visa', 'Mastercard', 'Discover', 'Amex')[cast(c_custkey % 4 AS int)] AS card_brand",
+        "array('Debit', 'Credit', 'Debit (Prepaid)')[c_nationkey % 3] AS card_type",
+        "lpad(cast(c_custkey AS string), 16, '4') AS card_number",
+        "'12/2030' AS expires",
+        "'123' AS cvv",
+        "CASE WHEN c_custkey % 2 = 0 THEN 'YES' ELSE 'NO' END AS has_chip",
+        "c_nationkey % 3 + 1 AS num_cards_issued",
+        f"{money('c_acctbal')} AS credit_limit",
+        "'01/2010' AS acct_open_date",
+        "c_nationkey % 15 + 2005 AS year_pin_last_changed",
+        "CASE WHEN c_custkey % 10 = 0 THEN 'Yes' ELSE 'No' END AS card_on_dark_web",
     )
 
 
 def raw_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key, nation = F.col("c_custkey"), F.col("c_nationkey")
-    return load(spark, sf_dir, "customer").select(
-        key.alias("id"),
-        (key % 60 + 18).cast("int").alias("current_age"),
-        F.lit(65).alias("retirement_age"),
-        (key % 60 + 1940).cast("int").alias("birth_year"),
-        (key % 12 + 1).cast("int").alias("birth_month"),
-        F.when(nation % 2 == 0, "Female").otherwise("Male").alias("gender"),
-        F.col("c_name").alias("address"),
-        (nation * 1.5).cast("double").alias("latitude"),
-        (nation * -2.5).cast("double").alias("longitude"),
-        money((nation * 1000).cast("double")).alias("per_capita_income"),
-        money(F.greatest(F.col("c_acctbal"), F.lit(0.0))).alias("yearly_income"),
-        money((key * 7 % 100000).cast("double")).alias("total_debt"),
-        (key % 371 + 480).cast("int").alias("credit_score"),
-        (nation % 5 + 1).cast("int").alias("num_credit_cards"),
+    return load(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS id",
+        "cast(c_custkey % 60 + 18 AS int) AS current_age",
+        "65 AS retirement_age",
+        "cast(c_custkey % 60 + 1940 AS int) AS birth_year",
+        "cast(c_custkey % 12 + 1 AS int) AS birth_month",
+        "CASE WHEN c_nationkey % 2 = 0 THEN 'Female' ELSE 'Male' END AS gender",
+        "c_name AS address",
+        "cast(c_nationkey * 1.5 AS double) AS latitude",
+        "cast(c_nationkey * -2.5 AS double) AS longitude",
+        money("cast(c_nationkey * 1000 AS double)") + " AS per_capita_income",
+        money("greatest(c_acctbal, 0D)") + " AS yearly_income",
+        money("cast(c_custkey * 7 % 100000 AS double)") + " AS total_debt",
+        "cast(c_custkey % 371 + 480 AS int) AS credit_score",
+        "c_nationkey % 5 + 1 AS num_credit_cards",
     )
 
 
 def raw_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load(spark, sf_dir, "labels").select(
-        F.col("doc_id").alias("transaction_id"),
-        F.when(F.col("toxic") == 1, "Yes").otherwise("No").alias("label"),
+    return load(spark, sf_dir, "labels").selectExpr(
+        "doc_id AS transaction_id", "CASE WHEN toxic = 1 THEN 'Yes' ELSE 'No' END AS label"
     )
 
 
 def raw_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load(spark, sf_dir, "nation").select(
-        F.col("n_nationkey").alias("mcc_code"), F.col("n_name").alias("mcc_name")
-    )
+    return load(spark, sf_dir, "nation").selectExpr("n_nationkey AS mcc_code", "n_name AS mcc_name")
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> Bronze:
@@ -189,10 +184,8 @@ def scored_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lineage_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("k")
-    catalog = F.when(k % 2 == 0, "lake.gold.").otherwise("archive.gold.")
-    return load(spark, sf_dir, "events").withColumn("k", k_of()).select(
-        F.concat(F.lit("lake.silver."), F.col("event_type")).alias("source_table_full_name"),
-        F.concat(catalog, F.lit("t"), k % 5).alias("target_table_full_name"),
-        F.col("ts").alias("created_at"),
+    return load(spark, sf_dir, "events").selectExpr("*", f"{K} AS k").selectExpr(
+        "concat('lake.silver.', event_type) AS source_table_full_name",
+        "concat(CASE WHEN k % 2 = 0 THEN 'lake.gold.' ELSE 'archive.gold.' END, 't', k % 5) AS target_table_full_name",
+        "ts AS created_at",
     )

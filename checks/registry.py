@@ -174,7 +174,7 @@ def table_tags(spark, sf_dir):
 
 @query("parse_currency")
 def currency_parse(spark, sf_dir):
-    text = a.load(spark, sf_dir, "customer").select("c_custkey", a.money("c_acctbal").alias("text"))
+    text = a.load(spark, sf_dir, "customer").selectExpr("c_custkey", f"{a.money('c_acctbal')} AS text")
     return text.select("c_custkey", parse_currency(F.col("text")).alias("amount"))
 
 

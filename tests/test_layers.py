@@ -3,8 +3,6 @@
 import json
 
 import pytest
-from pyspark.sql import functions as F
-
 from ledgerlens.contract import FEATURE_COLUMNS, SILVER_COLUMNS
 from ledgerlens.operators.quality import rule_metrics
 from ledgerlens.plans.governance import latest_lineage, table_counts
