@@ -21,28 +21,36 @@ _ALL = "_all"
 
 
 def value_counts(df: DataFrame, by: Sequence[str], column: str, **counts: Column) -> DataFrame:
-    """One materialised row per (group, value), bucketed by value in ``_bucket``.
+    """One stored row per (group, value); the value is in ``_value``, NULL included.
 
-    The counts are stored because they are read twice, and the bucket borders
-    become literals so that both reads see the same buckets.
+    Stored because it is read more than once: for the bucket borders, for the
+    bucket totals and for the result.
     """
     keys = list(by) or [_ALL]
     source = df if by else df.withColumn(_ALL, F.lit(0))
-    counted = cut_lineage(
-        source.filter(F.col(column).isNotNull())
-        .groupBy(*keys, F.col(column).cast("double").alias("_value"))
-        .agg(*[expr.alias(name) for name, expr in counts.items()])
+    return cut_lineage(
+        source.groupBy(*keys, F.col(column).cast("double").alias("_value")).agg(
+            *[expr.alias(name) for name, expr in counts.items()]
+        )
     )
+
+
+def _bucketed(counted: DataFrame) -> DataFrame:
+    """Rows with a value, cut by value into about equal ``_bucket``s.
+
+    The borders become literals, so that every use sees the same buckets.
+    """
+    known = counted.filter(F.col("_value").isNotNull())
     probabilities = [i / BUCKETS for i in range(1, BUCKETS)]
-    finite = counted.filter(~F.isnan("_value"))
+    finite = known.filter(~F.isnan("_value"))
     borders = sorted(set(finite.approxQuantile("_value", probabilities, 1 / (4 * BUCKETS))))
     borders = [border for border in borders if border not in (float("-inf"), float("inf"))]
     if not borders:
-        return counted.withColumn("_bucket", F.lit(0.0))
+        return known.withColumn("_bucket", F.lit(0.0))
     splits = [float("-inf"), *borders, float("inf")]
     # NaN sorts above every number, and "keep" puts it in a last bucket of its own.
     bucketizer = Bucketizer(splits=splits, inputCol="_value", outputCol="_bucket", handleInvalid="keep")
-    return bucketizer.transform(counted)
+    return bucketizer.transform(known)
 
 
 def _same(columns: Sequence[str], others: Sequence[str]) -> Column:
@@ -61,8 +69,14 @@ def exact_percentiles(
     Same values as ``percentile(column, p)``, whose per-group map of all distinct
     values must fit one task.
     """
+    known = df.filter(F.col(column).isNotNull())
+    return percentiles_of_counts(value_counts(known, by, column, _rows=F.count(F.lit(1))), by, points)
+
+
+def percentiles_of_counts(counts: DataFrame, by: Sequence[str], points: Mapping[str, float]) -> DataFrame:
+    """``exact_percentiles`` from a ``value_counts`` table with row counts ``_rows``."""
     keys = list(by) or [_ALL]
-    counted = value_counts(df, by, column, _rows=F.count(F.lit(1)))
+    counted = _bucketed(counts)
 
     buckets = counted.groupBy(*keys, "_bucket").agg(F.sum("_rows").alias("_in"))
     group = Window.partitionBy(*keys)
@@ -125,6 +139,16 @@ def exact_percentiles(
     )
 
 
+def beside(groups: DataFrame, spread: DataFrame, by: Sequence[str], digits: int) -> DataFrame:
+    """One row per group with its rounded percentiles, NULL groups matching too."""
+    others = [f"_other_{key}" for key in by]
+    right = spread.select(
+        *[F.col(key).alias(other) for key, other in zip(by, others)],
+        *[stable_round(F.col(name), digits).alias(name) for name in spread.columns if name not in by],
+    )
+    return groups.join(right, _same(by, others), "left").drop(*others)
+
+
 def with_exact_percentiles(
     df: DataFrame,
     by: Sequence[str],
@@ -144,12 +168,7 @@ def with_exact_percentiles(
             for name, share in points.items()
         ]
         return df.groupBy(*by).agg(*measures, *quick)
-    others = [f"_other_{key}" for key in by]
-    spread = exact_percentiles(df, by, column, points).select(
-        *[F.col(key).alias(other) for key, other in zip(by, others)],
-        *[stable_round(F.col(name), digits).alias(name) for name in points],
-    )
-    return df.groupBy(*by).agg(*measures).join(spread, _same(by, others), "left").drop(*others)
+    return beside(df.groupBy(*by).agg(*measures), exact_percentiles(df, by, column, points), by, digits)
 
 
 def ranking_quality(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:
@@ -161,12 +180,14 @@ def ranking_quality(df: DataFrame, score: str, label: str, by: Sequence[str] = (
     without score or label are left out.
     """
     keys = list(by) or [_ALL]
-    counted = value_counts(
-        df.filter(F.col(label).isNotNull()),
-        by,
-        score,
-        _pos=F.count_if(F.col(label) == 1),
-        _neg=F.count_if(F.col(label) == 0),
+    counted = _bucketed(
+        value_counts(
+            df.filter(F.col(score).isNotNull() & F.col(label).isNotNull()),
+            by,
+            score,
+            _pos=F.count_if(F.col(label) == 1),
+            _neg=F.count_if(F.col(label) == 0),
+        )
     )
     group = Window.partitionBy(*keys)
     higher = group.orderBy(F.col("_bucket").desc()).rowsBetween(Window.unboundedPreceding, -1)

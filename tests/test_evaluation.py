@@ -114,5 +114,11 @@ def test_report_edges(spark):
     assert reports.high_risk_customers(df, k=1).count() == 1
     spread = {r.is_fraud: r for r in reports.amount_distribution(df).collect()}
     assert (spread[0].median_amount, spread[0].p95_amount, spread[1].max_amount) == (30.0, 39.0, 30.0)
+    unknown = df.withColumn("abs_amount", F.when(F.col("client_id") < 3, F.col("abs_amount")))
+    spread = {r.is_fraud: r for r in reports.amount_distribution(unknown).collect()}
+    assert (spread[0]["count"], spread[0].avg_amount, spread[0].max_amount) == (2, 20.0, 20.0)
+    unknown = df.withColumn("abs_amount", F.when(F.col("is_fraud") == 1, F.col("abs_amount")))
+    spread = {r.is_fraud: r for r in reports.amount_distribution(unknown).collect()}
+    assert (spread[0]["count"], spread[0].avg_amount, spread[0].median_amount) == (2, None, None)
     assert reports.amount_distribution(df, exact=False).columns == reports.amount_distribution(df).columns
     assert {r.is_refund: r.total_tx for r in reports.refund_vs_fraud(df).collect()} == {0: 2, 1: 1, None: 1}
