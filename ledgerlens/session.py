@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from uuid import uuid4
 
@@ -38,7 +39,7 @@ def shared_root(spark: SparkSession) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^,\]]*(,[^,\]]*)?\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         root = tempfile.mkdtemp(prefix="ledgerlens-")
         spark.conf.set("spark.checkpoint.dir", root)
