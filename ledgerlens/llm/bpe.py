@@ -38,7 +38,7 @@ from ledgerlens.llm.words import Texts, slices, span_hashes, string_buffers
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Text bytes of a chunk; its positions and its dictionary are in memory together.
-CHUNK_BYTES = 24 << 20
+CHUNK_BYTES = 16 << 20
 
 OTHER, LETTER, NUMBER, WHITE = 0, 1, 2, 3
 
@@ -51,11 +51,14 @@ def load_ranks(path: str) -> dict[bytes, int]:
 def character_classes() -> np.ndarray:
     """Class of every code point, by the properties that the pattern names."""
     table = np.zeros(0x110000, np.uint8)
-    text = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
-    for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (WHITE, r"\s+")):
-        for found in regex.finditer(pattern, text):
-            table[ord(text[found.start()]) : ord(text[found.end() - 1]) + 1] = kind
-    table[0xD800:0xE000] = OTHER
+    kinds = [(kind, regex.compile(p)) for kind, p in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (WHITE, r"\s+"))]
+    for block in range(0, 0x110000, 0x800):
+        if 0xD800 <= block < 0xE000:  # surrogates are no characters
+            continue
+        text = "".join(map(chr, range(block, block + 0x800)))
+        for kind, pattern in kinds:
+            for found in pattern.finditer(text):
+                table[block + found.start() : block + found.end()] = kind
     return table
 
 
@@ -156,6 +159,16 @@ def expand(values: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(values)
 
 
+def squeeze_numbers(numbers: np.ndarray) -> bytes:
+    """Numbers, most of them small, as four planes of bytes."""
+    return squeeze(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
+
+
+def expand_numbers(packed: bytes) -> np.ndarray:
+    planes = np.frombuffer(expand(packed), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+
+
 def ragged(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """``values[start : start + length]`` of every pair, one after the other."""
     ends = np.cumsum(lengths)
@@ -176,25 +189,28 @@ def batch_chunks(column: pa.Array, most: int) -> Iterator[tuple[int, int]]:
 
 
 def chunk_rows(chunk: int, doc_ids: pa.Array, column: pa.Array, buckets: int, classes: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Rows of one chunk: bucket -1 has a text's local word numbers, the others the chunk's words."""
+    """Rows of one chunk. Bucket -1: a text's words, numbered from the commonest of the chunk, and at
+    place -1 the place of each of these in order of the hash. Others: the chunk's words in that order."""
     data, offsets = string_buffers(column)
     hashes, begins, stops, sizes = [], [], [], []
     for texts in slices(column):
         starts, ends, of_text = pretokens(texts, classes)
         base = offsets[texts.first]
         hashes.append(span_hashes(texts.data, starts, ends))
-        begins.append(starts + base)
-        stops.append(ends + base)
+        begins.append((starts + base).astype(np.uint32))
+        stops.append((ends + base).astype(np.uint32))
         sizes.append(np.diff(of_text))
-    distinct, where, numbers = np.unique(
-        np.concatenate(hashes) if hashes else np.zeros(0, np.uint64), return_index=True, return_inverse=True
-    )
+    hashes = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
+    distinct, where, numbers, times = np.unique(hashes, return_index=True, return_inverse=True, return_counts=True)
     del hashes
-    numbers = numbers.astype(np.uint32)
     begins, stops = (np.concatenate(x)[where].tolist() if x else [] for x in (begins, stops))
+    commonest = np.argsort(-times, kind="stable").astype(np.uint32)
+    by_count = np.empty(len(distinct), np.uint32)
+    by_count[commonest] = np.arange(len(distinct), dtype=np.uint32)
+    numbers = by_count[numbers]
     bounds = np.concatenate([[0], np.cumsum(np.concatenate(sizes))]) if sizes else np.zeros(1, np.int64)
     n_texts = len(column)
-    packed = [squeeze(numbers[bounds[i] : bounds[i + 1]].tobytes()) for i in range(n_texts)]
+    packed = [squeeze_numbers(numbers[bounds[i] : bounds[i + 1]]) for i in range(n_texts)]
     yield pa.RecordBatch.from_arrays(
         [
             pa.array(np.full(n_texts, chunk)), pa.array(np.full(n_texts, -1, np.int32)),
@@ -205,14 +221,15 @@ def chunk_rows(chunk: int, doc_ids: pa.Array, column: pa.Array, buckets: int, cl
     )
     edges = np.array([(b << 64) // buckets for b in range(1, buckets)], np.uint64)
     edges = [0, *np.searchsorted(distinct, edges).tolist(), len(distinct)]
-    rows = []
+    rows = [(chunk, -1, -1, None, len(commonest), squeeze_numbers(commonest))]
     for bucket in range(buckets):
         low, high = edges[bucket], edges[bucket + 1]
         if high > low:
             mine = [data[i:j].tobytes() for i, j in zip(begins[low:high], stops[low:high], strict=True)]
             lengths = np.array([len(w) for w in mine], np.uint32).tobytes()
             rows.append((chunk, bucket, low, None, high - low, squeeze(lengths + b"".join(mine))))
-    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), PARTS_ARROW, strict=True)] if rows else [pa.array([], f.type) for f in PARTS_ARROW], schema=PARTS_ARROW)
+    columns = [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), PARTS_ARROW, strict=True)]
+    yield pa.RecordBatch.from_arrays(columns, schema=PARTS_ARROW)
 
 
 def cut_documents(documents: DataFrame, buckets: int, chunk_bytes: int) -> DataFrame:
@@ -253,8 +270,8 @@ def encode_words(parts: DataFrame, ranks_path: str) -> DataFrame:
     return words.groupBy("bucket").applyInArrow(run, "chunk long, place int, n int, packed binary")
 
 
-def chunk_ids(positions: pa.Table, words: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
-    """(row of ``positions``, ids) of every text of a chunk, a bounded slice of it at a time."""
+def chunk_ids(texts: list[bytes], commonest: np.ndarray, words: pa.Table) -> Iterator[np.ndarray]:
+    """Ids of every text of a chunk."""
     order = np.argsort(words.column("place").to_numpy())
     packed, counts = words.column("packed").to_pylist(), words.column("n").to_pylist()
     lengths, ids = [], []
@@ -264,10 +281,11 @@ def chunk_ids(positions: pa.Table, words: pa.Table) -> Iterator[tuple[int, np.nd
         ids.append(np.frombuffer(raw[4 * counts[i] :], np.uint32))
     lengths = np.concatenate(lengths).astype(np.int64) if lengths else np.zeros(0, np.int64)
     ids = np.concatenate(ids) if ids else np.zeros(0, np.uint32)
-    starts = np.cumsum(lengths) - lengths
-    for row, text in enumerate(positions.column("packed").to_pylist()):
-        numbers = np.frombuffer(expand(text), np.uint32)
-        yield row, ragged(ids, starts[numbers], lengths[numbers])
+    starts = (np.cumsum(lengths) - lengths)[commonest]
+    lengths = lengths[commonest]
+    for text in texts:
+        numbers = expand_numbers(text)
+        yield ragged(ids, starts[numbers], lengths[numbers])
 
 
 def encode(
@@ -279,15 +297,17 @@ def encode(
     parts = bucketed(cut_documents(documents, buckets, chunk_bytes), buckets, "chunk")
 
     def run(positions: pa.Table, words: pa.Table) -> pa.Table:
-        lists = [ids.astype(np.int32) for _, ids in chunk_ids(positions, words)]
+        positions = positions.sort_by("place")
+        order, *texts = positions.column("packed").to_pylist()
+        lists = list(chunk_ids(texts, expand_numbers(order), words))
         ends = np.cumsum([0, *map(len, lists)], dtype=np.int64)
-        values = np.concatenate(lists) if lists else np.zeros(0, np.int32)
+        values = np.concatenate(lists) if lists else np.zeros(0, np.uint32)
         if ends[-1] >= 2**31:
             raise ValueError("a chunk has too many ids; use a smaller chunk_bytes")
-        column = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values))
-        return pa.table({"doc_id": positions.column("doc_id"), "n_tokens": np.diff(ends), "ids": column})
+        column = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values.view(np.int32)))
+        return pa.table({"doc_id": positions.column("doc_id")[1:], "n_tokens": np.diff(ends), "ids": column})
 
-    positions = parts.where("bucket < 0").select("chunk", "doc_id", "packed")
+    positions = parts.where("bucket < 0").select("chunk", "place", "doc_id", "packed")
     words = encode_words(parts, ranks_path)
     both = positions.groupBy("chunk").cogroup(words.groupBy("chunk"))
     return both.applyInArrow(run, "doc_id long, n_tokens long, ids array<int>")

@@ -240,7 +240,8 @@ def read_warc(spark: SparkSession, root: str, payload: bool = True) -> DataFrame
                 yield pa.RecordBatch.from_pylist(rows, arrow)
 
     manifest = spark.read.schema(MANIFEST).parquet(f"{root}/manifest")
-    return manifest.select("file").repartition("file").mapInArrow(run, schema)
+    tasks = max(1, manifest.count())  # a file each: Spark would merge such small rows into one task
+    return manifest.select("file").repartition(tasks, "file").mapInArrow(run, schema)
 
 
 def op6_warc(spark, sf_dir) -> DataFrame:
