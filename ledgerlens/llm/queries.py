@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from ledgerlens.llm import bpe, mixing, quality, sharding, warc
+from ledgerlens.llm import bpe, language, mixing, quality, sharding, vptree, warc
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
     "op4_quality": quality.op4_quality,
+    "op5_language": language.op5_language,
     "op6_warc": warc.op6_warc,
+    "op7_nearest": vptree.op7_nearest,
     "op8_bpe": bpe.op8_bpe,
     "op10_sharding": sharding.op10_sharding,
 }
 
-ORACLES = {"op1_mixing": mixing.OP1_SQL, "op6_warc": warc.OP6_SQL}
+ORACLES = {"op1_mixing": mixing.OP1_SQL, "op6_warc": warc.OP6_SQL, "op7_nearest": vptree.OP7_SQL}
