@@ -8,8 +8,8 @@ context without the bytes already refused, down to a uniform code. Statistics
 are frozen, so the code length of a text is a sum of table entries, looked up
 with numpy. The language with the shortest code wins.
 
-* Training: ``SAMPLE`` documents of each language at most, those with the
-  smallest checksum of the id, read as whole texts. Counts are summed by Spark;
+* Training: about ``SAMPLE`` documents of each language (all, where it has no
+  more), drawn by a checksum of the id and read as whole texts. Counts are summed by Spark;
   the driver gets one row per (language, context, byte) of this sample.
 * Null texts, texts without a letter and a model without languages give ``und``
   and score 0. Ties go to the language that sorts first. The score is the
@@ -25,7 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.words import Texts, slices
@@ -84,11 +84,13 @@ def gram_counts(rows: DataFrame) -> DataFrame:
 
 
 def training_sample(documents: DataFrame, per_language: int = SAMPLE) -> DataFrame:
-    labelled = documents.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold(F.col("doc_id")) != HELD_OUT))
-    first = Window.partitionBy("lang").orderBy(F.crc32(F.concat(F.lit("s"), F.col("doc_id")).cast("binary")), "doc_id")
-    chosen = labelled.select("doc_id", "lang").withColumn("_n", F.row_number().over(first))
-    chosen = cut_lineage(chosen.where(F.col("_n") <= per_language).select("doc_id", "lang").distinct())
-    return labelled.select("doc_id", "lang", "text").join(chosen, ["doc_id", "lang"], "left_semi")
+    """Labelled documents whose checksum lies below the share that gives ``per_language`` of each language."""
+    usable = F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold(F.col("doc_id")) != HELD_OUT)
+    labelled = documents.where(usable)
+    share = F.lit(float(per_language)) / F.count(F.lit(1))
+    shares = cut_lineage(labelled.groupBy("lang").agg(share.alias("share")))
+    draw = F.crc32(F.concat(F.lit("sample:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
+    return labelled.select("doc_id", "lang", "text").join(shares, "lang").where(draw < F.col("share") * 2.0**32)
 
 
 @dataclass
