@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from ledgerlens.llm import bpe, language, mixing, quality, sharding, vptree, warc
+from ledgerlens.llm import bpe, language, mixing, passages, personal, quality, sharding, vptree, warc
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
+    "op3_passages": passages.op3_passages,
     "op4_quality": quality.op4_quality,
     "op5_language": language.op5_language,
     "op6_warc": warc.op6_warc,
     "op7_nearest": vptree.op7_nearest,
     "op8_bpe": bpe.op8_bpe,
+    "op9_personal": personal.op9_personal,
     "op10_sharding": sharding.op10_sharding,
 }
 
