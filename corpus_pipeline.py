@@ -1,10 +1,14 @@
-"""Cleaning and encoding a corpus: the stages in order, each over what its predecessor kept."""
+"""Cleaning, mixing and encoding a corpus: the stages in order, each over what its predecessor kept.
+
+A stage takes (spark, docs, sf_dir) and returns the columns of ``documents``; the
+last one returns a row per document of the mix with its encoding.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import quality
+from ledgerlens.llm import bpe, jaccard, mixing, personal, quality
 from ledgerlens.session import cut_lineage
 
 
@@ -13,9 +17,36 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(docs)
 
 
-STAGES = [("quality rules", quality_stage)]
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return jaccard.one_of_each(docs)
+
+
+def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents with personal data replaced by its kind."""
+    return personal.masked(docs, personal.fit(docs))
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as the mix takes it."""
+    return mixing.mixed(docs)
+
+
+def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens and the digests of the ids and of the bytes they decode to."""
+    path = bpe.vocabulary_path()
+    return bpe.decode(bpe.encode(docs, path), path, digest=True)
+
+
+STAGES = [
+    ("quality rules", quality_stage),
+    ("n-gram Jaccard join", near_duplicate_stage),
+    ("personal data", personal_data_stage),
+    ("mixing to target weights", mixing_stage),
+    ("byte-level BPE", encoding_stage),
+]
 
-#: The rules, factors and encoder have no SQL form; tests compare with brute force.
+#: The field of personal data and the encoder have no SQL form; tests compare with brute force.
 ORACLE_SQL = None
 
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from ledgerlens.llm import bpe, language, mixing, passages, personal, quality, sharding, vptree, warc
+from ledgerlens.llm import bpe, jaccard, language, mixing, passages, personal, quality, sharding, vptree, warc
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
+    "op2_jaccard": jaccard.op2_jaccard,
     "op3_passages": passages.op3_passages,
     "op4_quality": quality.op4_quality,
     "op5_language": language.op5_language,
@@ -16,4 +17,4 @@ QUERIES = {
     "op10_sharding": sharding.op10_sharding,
 }
 
-ORACLES = {"op1_mixing": mixing.OP1_SQL, "op6_warc": warc.OP6_SQL, "op7_nearest": vptree.OP7_SQL}
+ORACLES = {"op1_mixing": mixing.OP1_SQL, "op2_jaccard": jaccard.OP2_SQL, "op6_warc": warc.OP6_SQL, "op7_nearest": vptree.OP7_SQL}
