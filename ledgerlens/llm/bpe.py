@@ -29,11 +29,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import regex
-import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm.stored import bucketed
+from ledgerlens.llm.stored import bucketed, expand, squeeze
 from ledgerlens.llm.words import Texts, slices, span_hashes, string_buffers
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -151,14 +150,6 @@ def merged_long(parts: list[bytes], ranks: dict[bytes, int]) -> list[int]:
     return [ranks[p] for p in parts if p is not None]
 
 
-def squeeze(values: bytes) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(values)
-
-
-def expand(values: bytes) -> bytes:
-    return zstandard.ZstdDecompressor().decompress(values)
-
-
 def squeeze_numbers(numbers: np.ndarray) -> bytes:
     """Numbers, most of them small, as four planes of bytes."""
     return squeeze(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())

@@ -7,8 +7,9 @@ Documents are sets of 5-word shingles; two link at a Jaccard similarity of 0.8.
 2. Sets that link share at least ceil(0.8 n) members, so their n - ceil(0.8 n) + 1
    first members in any fixed order have one in common. The order is rarest first
    by the sketch. These members are the cells in which sets meet: one shuffle.
-3. In every cell the set with fewest members is compared with the others; the
-   pairs are verified on the shingles of the texts. What is linked is contracted.
+3. In every cell the set with fewest members is compared with the others (where
+   sizes differ too much, each with the next smaller one); the pairs are verified
+   on the shingles of the texts. What is linked is contracted.
 4. Cells that still hold several components are dealt out as bounded bundles
    (large cells as pairs of blocks). Each bundle indexes its sets' count vectors
    in an R-tree; pairs of different components whose bounded overlap reaches the
@@ -30,17 +31,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.graph import components
 from ledgerlens.llm.rtree import RTree, group_counts
+from ledgerlens.llm.stored import expand, squeeze
 from ledgerlens.llm.words import constants, find_words, mix, slices, span_hashes, window_hashes, window_inside
 from ledgerlens.session import cut_lineage
 
 SHINGLE = 5
 PERCENT = 80
-SKETCH = 1 << 16
+#: Counters of the sketch (4 bytes each, the size of the broadcast) and the parts in which tasks are summed.
+SKETCH, SLICES = 1 << 22, 64
 GROUPS = 256
 #: Rows of a bundle of cells, and of a block of one large cell.
 BUNDLE = 2048
@@ -84,40 +88,51 @@ def set_id(members: np.ndarray) -> int:
 
 
 def set_facts(documents: DataFrame) -> DataFrame:
-    """(doc_id, n, set) of every row, and rows of kind 1 with the sketch of each task."""
+    """(doc_id, n, set) of every row; rows with a ``slice`` hold that part of a task's sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch = np.zeros(SKETCH, np.int64)
+        sketch = np.zeros(SKETCH, np.uint32)
         for batch in batches:
-            sizes, numbers = [], []
+            sizes, numbers, cells = [], [], []
             for sets in shingle_sets(batch.column("text")):
                 for members in sets:
                     sizes.append(len(members))
                     numbers.append(set_id(members))
-                if sets:
-                    sketch += np.bincount((np.concatenate(sets) % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH)
+                    cells.append((members % np.uint64(SKETCH)).astype(np.uint32))
+            if cells:
+                sketch += np.bincount(np.concatenate(cells), minlength=SKETCH).astype(np.uint32)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(numbers, pa.int64()),
-                 pa.nulls(len(sizes), pa.int32()), pa.nulls(len(sizes), pa.int64())],
+                 pa.nulls(len(sizes), pa.int32()), pa.nulls(len(sizes), pa.int32()), pa.nulls(len(sizes), pa.binary())],
                 names,
             )
-        cells = np.flatnonzero(sketch)
+        none, part = pa.nulls(SLICES, pa.int64()), TaskContext.get().partitionId() % SLICES
         yield pa.RecordBatch.from_arrays(
-            [pa.nulls(len(cells), pa.int64()), pa.nulls(len(cells), pa.int64()), pa.nulls(len(cells), pa.int64()),
-             pa.array(cells.astype(np.int32)), pa.array(sketch[cells])],
+            [none, none, none, pa.array(np.arange(SLICES, dtype=np.int32)), pa.array(np.full(SLICES, part, np.int32)),
+             pa.array([squeeze(x.tobytes()) for x in np.split(sketch, SLICES)], pa.binary())],
             names,
         )
 
-    names = ["doc_id", "n", "set", "cell", "times"]
-    return documents.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, set long, cell int, times long")
+    names = ["doc_id", "n", "set", "slice", "part", "counts"]
+    schema = "doc_id long, n long, set long, slice int, part int, counts binary"
+    return documents.select("doc_id", "text").mapInArrow(run, schema)
 
 
 def sketch_ranks(facts: DataFrame) -> np.ndarray:
-    """Total of every sketch cell: ``SKETCH`` numbers, whatever the corpus."""
-    totals = facts.where("cell IS NOT NULL").groupBy("cell").agg(F.sum("times").alias("times")).toPandas()
-    out = np.zeros(SKETCH, np.int64)
-    out[totals["cell"].to_numpy(np.int64)] = totals["times"].to_numpy()
-    return out
+    """Total of every sketch cell: ``SKETCH`` numbers, whatever the corpus. Tasks are summed in two steps."""
+
+    def add(rows: pa.Table) -> pa.Table:
+        total = np.zeros(SKETCH // SLICES, np.uint32)
+        for packed in rows.column("counts"):
+            more = np.frombuffer(expand(packed.as_py()), np.uint32)
+            total = np.minimum(total.astype(np.uint64) + more, 2**32 - 1).astype(np.uint32)
+        return rows.slice(0, 1).select(["slice", "part"]).append_column("counts", pa.array([squeeze(total.tobytes())], pa.binary()))
+
+    schema = "slice int, part int, counts binary"
+    parts = facts.where("slice IS NOT NULL").select("slice", "part", "counts")
+    totals = parts.groupBy("slice", "part").applyInArrow(add, schema).groupBy("slice").applyInArrow(add, schema)
+    rows = sorted(totals.select("slice", "counts").collect())
+    return np.concatenate([np.frombuffer(expand(r["counts"]), np.uint32) for r in rows])
 
 
 def prefix(members: np.ndarray, ranks: np.ndarray) -> np.ndarray:
@@ -161,18 +176,32 @@ def cell_rows(documents: DataFrame, ranks: np.ndarray, hot: int) -> DataFrame:
     return documents.select("doc_id", "text").mapInArrow(run, "key long, salt int, set long, n int")
 
 
-def meeting(rows: DataFrame) -> DataFrame:
-    """The cell rows that meet another set, with the smallest set of their cell and salt as ``lead``."""
-    here = Window.partitionBy("key", "salt")
-    ends = rows.withColumn("low", F.min(F.struct("n", "set")).over(here)).withColumn("high", F.max(F.struct("n", "set")).over(here))
-    some = ends.where((F.col("low") != F.col("high")) | (F.col("salt") > 0))
-    return some.select("key", "salt", "set", "n", F.col("low.set").alias("lead"), F.col("low.n").alias("lead_n")).distinct()
-
-
 def similar_sizes(a, b):
     return 100 * F.least(a, b) >= PERCENT * F.greatest(a, b)
 
 
+def meeting(rows: DataFrame) -> DataFrame:
+    """The cell rows that meet another set of a size that allows a link, with a ``partner`` to compare first.
+
+    In order of size a neighbour is the likeliest partner, so one shuffle by cell
+    and one pass tell who has none. The partner is the cell's smallest set or,
+    where sizes differ too much, the next smaller one. Salted cells keep all rows.
+    """
+    here = Window.partitionBy("key", "salt")
+    ordered = here.orderBy("n", "set")
+    near = lambda other: F.col(other).isNotNull() & similar_sizes(F.col("n"), F.col(f"{other}.n"))
+    seen = (
+        rows.repartition("key", "salt")
+        .distinct()
+        .withColumn("lead", F.first(F.struct("n", "set")).over(ordered))
+        .withColumn("before", F.lag(F.struct("n", "set")).over(ordered))
+        .withColumn("after", F.lead(F.struct("n", "set")).over(ordered))
+    )
+    some = seen.where(near("before") | near("after") | (F.col("salt") > 0))
+    partner = F.when(near("lead"), F.col("lead.set")).when(near("before"), F.col("before.set")).otherwise(F.col("set"))
+    return some.select("key", "salt", "set", "n", partner.alias("partner"), F.col("lead.set").alias("lead"), F.col("lead.n").alias("lead_n"))
+
+
 def texts_of(documents: DataFrame, facts: DataFrame, wanted: DataFrame) -> DataFrame:
     """(set, text): the text of one document of each wanted set, stored."""
     first = facts.where("n > 0").groupBy("set").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id")).alias("first"))
@@ -213,12 +242,22 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
+def packed_point(counts: np.ndarray) -> bytes:
+    """Counts in as many bytes each as the largest needs."""
+    width = 1 if counts.max() < 1 << 8 else 2 if counts.max() < 1 << 16 else 4
+    return counts.astype(f"<u{width}").tobytes()
+
+
+def point_of(packed: bytes) -> np.ndarray:
+    return np.frombuffer(packed, f"<u{len(packed) // GROUPS}").astype(np.uint32)
+
+
 def vectors(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     """(set, point): count vectors of the wanted sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            points = [group_counts(m, GROUPS).tobytes() for sets in shingle_sets(batch.column("text")) for m in sets]
+            points = [packed_point(group_counts(m, GROUPS)) for sets in shingle_sets(batch.column("text")) for m in sets]
             yield pa.RecordBatch.from_arrays([batch.column("set"), pa.array(points, pa.binary())], ["set", "point"])
 
     return texts.join(wanted.select("set").distinct(), "set", "left_semi").mapInArrow(run, "set long, point binary")
@@ -249,7 +288,7 @@ def tree_pairs(rows: DataFrame, points: DataFrame) -> DataFrame:
         numbers, first = np.unique(bundle.column("set").to_numpy(), return_index=True)
         bundle = bundle.take(pa.array(first))
         sizes, component = bundle.column("n").to_numpy().astype(np.int64), bundle.column("component").to_numpy()
-        points = np.frombuffer(b"".join(bundle.column("point").to_pylist()), np.uint32).reshape(-1, GROUPS)
+        points = np.stack([point_of(p) for p in bundle.column("point").to_pylist()])
         tree, out = RTree(points, sizes), [np.zeros((0, 2), np.int64)]
         for i, j in tree.pairs(PERCENT):
             i, j = tree.order[i], tree.order[j]
@@ -264,17 +303,17 @@ def tree_pairs(rows: DataFrame, points: DataFrame) -> DataFrame:
 
 def linked_sets(documents: DataFrame, facts: DataFrame) -> DataFrame | None:
     """(set, component) of the sets that link with another; None where none can."""
-    docs = facts.where("cell IS NULL").count()
+    docs = facts.where("slice IS NULL").count()
     ranks = sketch_ranks(facts)
     hot = int(ranks.mean() + max(1, docs * HOT_SHARE)) + 1
     rows = cut_lineage(meeting(cell_rows(documents, ranks, hot)))
     if rows.isEmpty():
         return None
-    facts = facts.where("cell IS NULL")
+    facts = facts.where("slice IS NULL")
     texts = texts_of(documents, facts, rows)
     leads = rows.where("salt > 0").groupBy("key").agg(F.min(F.struct("n", "set")).alias("low"), F.max(F.struct("n", "set")).alias("high"))
     leads = leads.where(F.col("low") != F.col("high")).select("key", F.col("low.set").alias("first"), F.col("low.n").alias("first_n"))
-    stars = rows.where(similar_sizes(F.col("n"), F.col("lead_n"))).select(F.col("lead").alias("a"), F.col("set").alias("b"))
+    stars = rows.select(F.col("partner").alias("a"), F.col("set").alias("b"))
     across = rows.where("salt > 0").select("key", "lead", "lead_n").distinct().join(leads, "key")
     across = across.where(similar_sizes(F.col("lead_n"), F.col("first_n"))).select(F.col("first").alias("a"), F.col("lead").alias("b"))
     pairs = stars.union(across).where("a <> b").distinct()
@@ -294,7 +333,7 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row."""
     facts = cut_lineage(set_facts(documents))
     sets = linked_sets(documents, facts)
-    docs = facts.where("cell IS NULL").select("doc_id", "n", "set")
+    docs = facts.where("slice IS NULL").select("doc_id", "n", "set")
     if sets is None:
         found = docs.withColumn("component", F.col("set"))
     else:
