@@ -9,7 +9,8 @@ Documents are sets of 5-word shingles; two link at a Jaccard similarity of 0.8.
    by the sketch. These members are the cells in which sets meet: one shuffle.
 3. In every cell the set with fewest members is compared with the others (where
    sizes differ too much, each with the next smaller one); the pairs are verified
-   on the shingles of the texts. What is linked is contracted.
+   on the shingles of the texts. What is linked is contracted, and ``ROUNDS``
+   times neighbours in order of size that are still apart are compared likewise.
 4. Cells that still hold several components are dealt out as bounded bundles
    (large cells as pairs of blocks). Each bundle indexes its sets' count vectors
    in an R-tree; pairs of different components whose bounded overlap reaches the
@@ -45,7 +46,9 @@ SHINGLE = 5
 PERCENT = 80
 #: Counters of the sketch (4 bytes each, the size of the broadcast) and the parts in which tasks are summed.
 SKETCH, SLICES = 1 << 22, 64
-GROUPS = 256
+GROUPS = 1024
+#: Rounds of comparing neighbours before the trees.
+ROUNDS = 2
 #: Rows of a bundle of cells, and of a block of one large cell.
 BUNDLE = 2048
 #: A member whose sketch cell has this share of all documents is dealt over several tasks.
@@ -319,14 +322,40 @@ def linked_sets(documents: DataFrame, facts: DataFrame) -> DataFrame | None:
     pairs = stars.union(across).where("a <> b").distinct()
     links = cut_lineage(verified(pairs, texts))
     parts = cut_lineage(components(links))
+    for _ in range(ROUNDS):
+        left = several(rows, parts)
+        more = cut_lineage(verified(neighbour_pairs(left), texts))
+        links = links.union(more)
+        parts = cut_lineage(components(links))
+    left = several(rows, parts)
+    more = cut_lineage(verified(tree_pairs(left, vectors(texts, left)), texts))
+    return cut_lineage(components(links.union(more)))
+
+
+def several(rows: DataFrame, parts: DataFrame) -> DataFrame:
+    """(key, set, n, component) of the cells that hold more than one component, stored.
 
+    Cells with the same sets (the members of a shared passage) are one.
+    """
     placed = rows.select("key", "set", "n").join(parts.withColumnRenamed("node", "set"), "set", "left")
     placed = placed.withColumn("component", F.coalesce("component", "set"))
-    split = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    split = split.where("low <> high").select("key")
-    left = cut_lineage(placed.join(split, "key", "left_semi"))
-    more = cut_lineage(verified(tree_pairs(left, vectors(texts, left)), texts))
-    return cut_lineage(components(links.union(more)))
+    content = [F.count(F.lit(1)).alias("rows"), F.bit_xor("set").alias("x"), F.bit_xor(F.xxhash64("set")).alias("y")]
+    cells = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), *content)
+    one = cells.where("low <> high").groupBy("rows", "x", "y").agg(F.min("key").alias("key"))
+    return cut_lineage(placed.join(one.select("key"), "key", "left_semi"))
+
+
+def neighbour_pairs(left: DataFrame) -> DataFrame:
+    """Pairs of neighbours in order of size within a cell that are in different components."""
+    salt = F.pmod(F.xxhash64("set"), F.lit(SALTS))
+    size = F.count(F.lit(1))
+    large = left.groupBy("key").agg(size.alias("rows")).where(F.col("rows") > BUNDLE).select("key", F.lit(True).alias("large"))
+    dealt = left.join(large, "key", "left").withColumn("salt", F.when(F.col("large"), salt).otherwise(0))
+    here = Window.partitionBy("key", "salt").orderBy("n", "set")
+    before = F.lag(F.struct("n", "set", "component")).over(here)
+    near = dealt.withColumn("before", before).where(F.col("before").isNotNull())
+    near = near.where((F.col("before.component") != F.col("component")) & similar_sizes(F.col("n"), F.col("before.n")))
+    return near.select(F.least("set", "before.set").alias("a"), F.greatest("set", "before.set").alias("b")).distinct()
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
