@@ -223,7 +223,7 @@ ORACLES: dict[str, str] = {
     "table_roundtrip": f"WITH {CARDS} SELECT * FROM cards",
     "feature_records_scan": f"WITH {GOLD} SELECT {_records('BIGINT')} FROM gold",
     "table_tags": f"""WITH {FEATURES} SELECT t.key, t.value, (SELECT count(*) FROM labelled) AS rows
-        FROM (VALUES ('domain', 'fraud-detection'), ('layer', 'gold'), ('use', 'ml-training'), ('quality', 'gold')) t(key, value)""",
+        FROM (VALUES ('domain', 'card-risk'), ('layer', 'gold'), ('use', 'ml-training'), ('quality', 'gold')) t(key, value)""",
     # --- cleaning ---
     "parse_currency": "SELECT c_custkey, c_acctbal AS amount FROM customer",
     "parse_timestamp": "SELECT event_id AS id, date_trunc('second', ts) AS ts FROM events",

@@ -105,8 +105,8 @@ UNSCORED = "unscored"
 LAYERS = ["bronze", "silver", "gold", "ml"]
 
 TABLE_TAGS = {
-    "fraud_features": {"domain": "fraud-detection", "layer": "gold", "use": "analytics"},
-    "fraud_training": {"domain": "fraud-detection", "layer": "gold", "use": "ml-training"},
+    "fraud_features": {"domain": "card-risk", "layer": "gold", "use": "analytics"},
+    "fraud_training": {"domain": "card-risk", "layer": "gold", "use": "ml-training"},
 }
 
 ROLE_LAYERS = {

@@ -136,7 +136,7 @@ def test_lineage_and_tags(spark, store):
     assert latest.first().target_table_full_name == "layers_test_gold.fraud_training"
     assert latest_lineage(store.lineage(), "other.").count() == 0
     tags = {r.key: r.value for r in store.tags("gold", "fraud_training").collect()}
-    assert tags["use"] == "ml-training" and tags["domain"] == "fraud-detection"
+    assert tags["use"] == "ml-training" and tags["domain"] == "card-risk"
 
 
 def test_counts(store):
