@@ -135,7 +135,7 @@ def sketch_ranks(facts: DataFrame) -> np.ndarray:
     parts = facts.where("slice IS NOT NULL").select("slice", "part", "counts")
     totals = parts.groupBy("slice", "part").applyInArrow(add, schema).groupBy("slice").applyInArrow(add, schema)
     rows = sorted(totals.select("slice", "counts").collect())
-    return np.concatenate([np.frombuffer(expand(r["counts"]), np.uint32) for r in rows])
+    return np.concatenate([np.frombuffer(expand(r["counts"]), np.uint32) for r in rows]) if rows else np.zeros(SKETCH, np.uint32)
 
 
 def prefix(members: np.ndarray, ranks: np.ndarray) -> np.ndarray:

@@ -10,8 +10,8 @@ the rate's fraction, drawn from a hash of its id and a seed.
 * A null text has size 0 and a source without words has target 0; its documents
   are taken 0 times in ``taken`` and, being free, once in ``copies``.
 * Rows that repeat a doc_id draw alike; a null doc_id draws as the text ``null``.
-* An empty table gives no rows. Other columns pass through; those that clash
-  with the added names must be renamed before.
+* An empty table gives no rows. ``mix_plan`` reads doc_id, source and text only;
+  ``mixed`` returns the columns it was given (names with ``_`` in front are its own).
 """
 
 from __future__ import annotations
@@ -100,13 +100,12 @@ def mixed(
 ) -> DataFrame:
     """Every document as often as the mix takes it, with the columns of ``documents``."""
     sums = documents.groupBy("source").agg(F.sum(word_count(F.col("text"))).alias("source_size"))
-    targets = cut_lineage(source_targets(sums, weights, limit)).withColumnRenamed("source", "_of")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(1.0)
+    rates = cut_lineage(source_targets(sums, weights, limit).select(F.col("source").alias("_of"), rate.alias("_rate")))
     whole = F.floor("_rate")
     copies = whole + (draw(F.col("doc_id"), seed) < F.col("_rate") - whole).cast("long")
     return (
-        documents.join(targets, F.col("source").eqNullSafe(F.col("_of")))
-        .withColumn("_rate", rate)
+        documents.join(rates, F.col("source").eqNullSafe(F.col("_of")))
         .withColumn("_copies", copies)
         .where(F.col("_copies") > 0)
         .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))

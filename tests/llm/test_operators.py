@@ -1,0 +1,227 @@
+"""Operators against brute force on small tables with nulls, empty texts, ties and repeated rows."""
+
+import collections
+import hashlib
+import re
+
+import duckdb
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerlens.llm import bpe, jaccard, language, mixing, passages, personal, quality, sharding, vptree, warc
+from ledgerlens.llm.queries import ORACLES, QUERIES
+from ledgerlens.llm.rtree import RTree
+
+SF = "/root/testdata/sf0.001"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+TEXTS = [
+    None, "", " \n\t", "a", "one two three four", "Éa é a b c d e f g h i j k l", "a b c d e f g\n" * 9,
+    " ".join(f"w{i}" for i in range(60)), " ".join(f"w{i}" for i in range(60)), " ".join(f"w{i}" for i in range(2, 61)),
+    "x" * 5000, "it's 12 'tis\n\n we'll\x1c!", "call +1 (456) 555-2186 or me@mail.example.com at 10.0.0.1", "W0 W1 W2",
+]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = [(i, t, "en", f"s{i % 4}" if i % 5 else None, 0, "extra") for i, t in enumerate(TEXTS)]
+    rows += [(None, TEXTS[7], None, None, None, None), (3, "a", "en", "s3", 1, "extra")]
+    return spark.createDataFrame(
+        rows, "doc_id long, text string, lang string, source string, n_chars long, size string"
+    ).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def empty(docs):
+    return docs.where("false")
+
+
+def rows_of(frame):
+    return collections.Counter(
+        tuple(None if x is None or str(x) in ("nan", "<NA>") else x for x in r)
+        for r in frame[sorted(frame.columns)].astype(object).itertuples(index=False)
+    )
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_equals_its_sql(spark, name):
+    base = duckdb.connect()
+    for table in ("documents", "pages", "embeddings"):
+        base.sql(f"create view {table} as select * from '{SF}/{table}.parquet'")
+    assert rows_of(QUERIES[name](spark, SF).toPandas()) == rows_of(base.sql(ORACLES[name]).df())
+
+
+def test_mixing_spends_the_total_and_respects_the_limit(docs, empty):
+    plan = mixing.mix_plan(docs.drop("size"), mixing.word_count(F.col("text"))).toPandas()
+    by = plan.drop_duplicates("source_size")
+    assert (plan.copies <= mixing.LIMIT).all() and (plan.target <= mixing.LIMIT * plan.source_size + 1e-9).all()
+    assert plan.groupby("source", dropna=False).target.first().sum() == pytest.approx(plan["size"].sum()) and len(by)
+    assert mixing.mixed(docs).columns == docs.columns and mixing.mixed(empty).count() == 0
+
+
+def test_shards_differ_by_one_row_and_slots_have_no_gap(docs, empty):
+    got = sharding.sharded(docs, shards=5).toPandas()
+    counts = got.groupby("shard").slot.agg(["count", "max"])
+    assert counts["count"].max() - counts["count"].min() <= 1 and (counts["max"] + 1 == counts["count"]).all()
+    assert sharding.sharded(empty).count() == 0
+    for n in (1, 2, 7, 1000):
+        assert sorted(sharding.feistel(np.arange(n), n)) == list(range(n))
+
+
+def jaccard_sets(text):
+    words = [w.translate({c: c + 32 for c in range(65, 91)}) for w in WORD.findall(text or "")]
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def test_near_duplicates_equal_all_pairs(docs, empty):
+    got = jaccard.near_duplicates(docs).toPandas()
+    rows = [(r.doc_id, jaccard_sets(r.text)) for r in docs.select("doc_id", "text").collect()]
+    group = list(range(len(rows)))
+    for i, (_, a) in enumerate(rows):
+        for j, (_, b) in enumerate(rows):
+            if a and b and i < j and 100 * len(a & b) >= 80 * len(a | b):
+                group = [group[i] if g == group[j] else g for g in group]
+    wanted = collections.Counter()
+    for (doc_id, members), g in zip(rows, group, strict=True):
+        ids = [d for (d, _), h in zip(rows, group, strict=True) if h == g and d is not None]
+        wanted[doc_id, len(members), min(ids) if ids else None] += 1
+    found = collections.Counter(
+        tuple(None if x != x else int(x) for x in r) for r in got.astype(float).itertuples(index=False)
+    )
+    assert found == wanted
+    assert jaccard.near_duplicates(empty).count() == 0
+
+
+def test_tree_finds_every_pair_that_the_bound_allows():
+    rng = np.random.default_rng(1)
+    base = rng.poisson(2, (6, 64))
+    points = np.maximum(0, base[rng.integers(0, 6, 300)] + rng.integers(-1, 2, (300, 64))).astype(np.uint32)
+    sizes = points.sum(1).astype(np.int64)
+    tree = RTree(points, sizes)
+    found = {tuple(sorted((int(tree.order[i]), int(tree.order[j])))) for a, b in tree.pairs(80) for i, j in zip(a, b, strict=True)}
+    wanted = {
+        (i, j) for i in range(300) for j in range(i + 1, 300)
+        if 180 * int(np.minimum(points[i], points[j]).sum()) >= 80 * (sizes[i] + sizes[j])
+    }
+    assert found == wanted
+
+
+@pytest.mark.parametrize("block", [100, 1 << 20])
+def test_passages_equal_brute_force(docs, empty, block):
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    seen, wanted = set(), collections.Counter()
+    for doc_id, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
+        words, gone = WORD.findall(text or ""), set()
+        for s in range(len(words) - 19):
+            key = tuple(words[s : s + 20])
+            gone |= set(range(s, s + 20)) if key in seen else set()
+            seen.add(key)
+        wanted[doc_id, len(words), len(gone), " ".join(w for i, w in enumerate(words) if i not in gone)] += 1
+    assert collections.Counter(tuple(r) for r in passages.cleaned(docs, block).collect()) == wanted
+    assert passages.cleaned(empty).count() == 0
+
+
+def test_quality_measures_equal_brute_force(docs, empty):
+    found = quality.measured(pa.array(TEXTS, pa.string()))
+    for i, text in enumerate(TEXTS):
+        words = WORD.findall(text or "")
+        times = collections.Counter(tuple(words[k : k + 5]) for k in range(len(words) - 4))
+        covered = {k + d for k in range(len(words) - 4) if times[tuple(words[k : k + 5])] > 1 for d in range(5)}
+        lines = [x for x in (text or "").split("\n") if WORD.search(x)]
+        assert (found["n_words"][i], found["word_chars"][i]) == (len(words), sum(map(len, words)))
+        assert found["n_repeat_words"][i] == len(covered) and found["n_dup_lines"][i] == len(lines) - len(set(lines))
+        assert found["share_5"][i] == pytest.approx(sum(len(words[k]) for k in covered) / max(1, found["word_chars"][i]))
+    assert quality.quality(empty).count() == 0 and quality.keep_good(docs).columns == docs.columns
+
+
+def test_language_on_held_out_documents(spark, docs, empty):
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = language.fit(table)
+    got = language.predict(table, model).join(table.select("doc_id", "lang"), "doc_id").where("held_out").toPandas()
+    assert (got.lang == got.lang_pred).mean() > 0.98
+    some = {r.doc_id: r for r in language.predict(docs, model).collect()}
+    assert some[0].lang_pred == some[1].lang_pred == "und" and some[0].score == 0
+    assert language.predict(empty, language.fit(empty)).count() == 0
+    for bits in model.bits:  # code lengths of every context fill one unit
+        assert np.exp2(-bits.astype(float)).sum(1) == pytest.approx(1.0, abs=1e-3)
+
+
+def test_warc_round_trip(spark, tmp_path):
+    big = "é" * 600
+    rows = [(1, "u", big), (5, None, big), (3, "a b\r\n", big), (None, "n", big), (7, "s", "small"), (8, "s", "small"), (9, "x", None), (5, None, big)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    warc.write_warc(pages, str(tmp_path / "w"), roll=200)
+    got = warc.read_warc(spark, str(tmp_path / "w")).toPandas()
+    responses = got[got.record_type == "response"]
+    assert len(got) == len(rows) and len(responses) == 4
+    assert {bytes(p) for p in responses.payload} == {big.encode(), b"small", b""}
+    assert set(got[got.record_type == "revisit"].refers_to) == {5}
+    assert not list((tmp_path / "w").glob("_temporary-*"))
+    empty = str(tmp_path / "e")
+    warc.write_warc(pages.where("false"), empty)
+    assert warc.read_warc(spark, empty).count() == 0
+
+
+def test_neighbours_equal_brute_force_and_factor_prunes(spark):
+    rng = np.random.default_rng(2)
+    vectors = rng.normal(size=(300, 8)).round(1)
+    vectors[40:80] = vectors[0]
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(vectors)]
+    rows += [(900, None), (901, [0.0] * 8), (902, [float("nan")] + [1.0] * 7), (903, [None] + [1.0] * 7), (None, [1.0] * 8), rows[20]]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    exact = vectors.astype(np.float32).astype(float)
+    got = vptree.nearest(table, F.col("vec_id") % 20 == 0, k=5, shard_rows=100, block_rows=8).toPandas()
+    for q, part in got.groupby("query_id"):
+        scores = vptree.exact_scores(np.repeat(exact[[q]], 300, 0), exact)
+        best = [i for i in np.lexsort([np.arange(300), -scores]) if i != q][:5]
+        assert part.sort_values("rank").vec_id.tolist() == best
+    assert got.query_id.nunique() == 15
+    assert vptree.nearest(table.where("false"), F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_bpe_equals_the_library_and_decodes(docs, empty):
+    import public_tokenizers
+    import tiktoken
+
+    path = bpe.vocabulary_path()
+    library = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.load_ranks(path), special_tokens={})
+    encoded = bpe.encode(docs, path, buckets=3, chunk_bytes=300)
+    got = collections.Counter((r.doc_id, tuple(r.ids), bytes(r.bytes)) for r in bpe.decode(encoded, path).collect())
+    wanted = collections.Counter(
+        (r.doc_id, tuple(library.encode_ordinary(r.text or "")), (r.text or "").encode()) for r in docs.collect()
+    )
+    assert got == wanted and bpe.encode(empty, path).count() == 0
+
+
+def test_personal_data_spans(docs, empty):
+    weights = personal.fit(docs.union(docs))
+    got = {r.doc_id: r for r in personal.find(docs, weights).collect()}
+    row = got[12]
+    assert (row.n_email, row.n_ip, row.n_card, row.n_phone) == (1, 1, 0, 1)
+    assert row.base_sha256 == hashlib.sha256(b"phone:5:22,email:26:45,ip:49:57").hexdigest()
+    assert got[0].spans == got[1].spans == "" and personal.find(empty, weights).count() == 0
+    masked = {r.doc_id: r for r in personal.masked(docs, weights).collect()}
+    assert masked[12].text == "call <PHONE> or <EMAIL> at <IP>" and masked[12].n_chars == len(masked[12].text)
+
+
+def test_field_finds_forms_the_patterns_miss(spark):
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    weights = personal.fit(table)
+    text = "and the (456) 555-2186 onthe was"
+    assert personal.base_spans(text) == []
+    assert [(a, personal.KINDS[k], b) for a, k, b in personal.added_spans(text, [], weights)] == [(8, "phone", 22)]
+    clean = "there were 12 of them in 1999, then 7"
+    assert personal.added_spans(clean, [], weights) == []
+
+
+def test_pipeline_runs_every_stage(spark):
+    import corpus_pipeline
+
+    assert [n for n, _ in corpus_pipeline.STAGES] == [
+        "quality rules", "n-gram Jaccard join", "personal data", "mixing to target weights", "byte-level BPE"
+    ]
+    table = spark.read.parquet(f"{SF}/documents.parquet")
+    out = corpus_pipeline.run(spark, SF)
+    assert set(out.columns) == {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256"}
+    assert 0 < out.count() <= 3 * table.count()
