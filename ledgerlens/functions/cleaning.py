@@ -6,10 +6,14 @@ from pyspark.sql import Column, functions as F
 
 from ledgerlens.contract import TIMESTAMP_FORMAT
 
+#: A sign, digits with at most one point, an exponent: no NaN, Infinity or type suffix.
+NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+
 
 def parse_currency(text: Column) -> Column:
     """``$-1,234.50`` -> -1234.5; text that is no number becomes NULL."""
-    return F.translate(text, "$,", "").try_cast("double")
+    plain = F.trim(F.translate(text, "$,", ""))
+    return F.when(plain.rlike(NUMBER), plain.try_cast("double"))
 
 
 def parse_timestamp(text: Column, fmt: str = TIMESTAMP_FORMAT) -> Column:

@@ -127,3 +127,11 @@ def test_traffic_arm(spark):
     again = ids.repartition(7).filter(scores.traffic_arm(col("id")) == "champion").count()
     assert again == arms["champion"]
     assert ids.filter(scores.traffic_arm(col("id"), challenger=None) != "champion").count() == 0
+
+
+def test_currency_takes_plain_numbers_only(one):
+    from ledgerlens.functions.cleaning import parse_currency
+
+    for text in ("$NaN", "$Infinity", "5d", "1f", "-", ".", "1.2.3"):
+        assert one(parse_currency, text) is None
+    assert one(parse_currency, "$-1,234.50") == -1234.5 and one(parse_currency, "1e3") == 1000.0
