@@ -358,8 +358,17 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 'gold_fraud_training', count(*) FROM events JOIN labels ON event_id = doc_id""",
     "lineage_latest": f"""WITH {EDGES} SELECT * FROM edges WHERE target_table_full_name LIKE 'lake.%'
         ORDER BY created_at DESC, target_table_full_name, source_table_full_name LIMIT 20""",
+    "lineage_captured": """SELECT 'file ' || name AS source_table_full_name, 'bronze.' || name AS target_table_full_name
+            FROM (SELECT unnest(['transactions', 'cards', 'users', 'labels', 'codes']) AS name)
+        UNION ALL SELECT 'bronze.' || name, 'silver.transactions'
+            FROM (SELECT unnest(['transactions', 'cards', 'users', 'labels', 'codes']) AS name)
+        UNION ALL SELECT 'silver.transactions', 'gold.fraud_features'
+        UNION ALL SELECT 'gold.fraud_features', 'gold.fraud_training'""",
     "role_views": """WITH training AS (SELECT count(*) AS n FROM events JOIN labels ON event_id = doc_id)
         SELECT 'data-engineers' AS role, 'bronze.cards' AS tbl, count(*) AS rows, 3 AS columns FROM customer
+        UNION ALL SELECT 'data-engineers', 'bronze.transactions', count(*), 12 FROM events
+        UNION ALL SELECT 'ml-team', 'ml.scores', n, 1 FROM training
+        UNION ALL SELECT 'model-serving', 'ml.scores', n, 1 FROM training
         UNION ALL SELECT 'data-engineers', 'silver.transactions', count(*), 30 FROM events
         UNION ALL SELECT 'ml-team', 'gold.fraud_training', n, 42 FROM training
         UNION ALL SELECT 'analysts', 'gold.fraud_training', n, 42 FROM training""",
@@ -386,7 +395,12 @@ ORACLES: dict[str, str] = {
     "traffic_split": f"WITH {TRAFFIC} SELECT event_id, model FROM arms",
     # --- streams ---
     "stream_ingest": f"WITH {RAW_TX} {SCANNED_TX}",
-    "stream_rules": f"WITH {RAW_TX} SELECT id, amount, merchant_state FROM raw_tx WHERE merchant_state <> ''",
+    "stream_rules": f"""WITH {RAW_TX}, n AS (SELECT count(*) AS total,
+            CAST(count_if(merchant_state <> '') AS BIGINT) AS known,
+            CAST(count_if(amount NOT LIKE '$-%') AS BIGINT) AS paid FROM raw_tx)
+        SELECT 'in_store' AS part, total AS evaluated, known AS passed, total - known AS failed FROM n
+        UNION ALL SELECT 'no_refund', total, paid, total - paid FROM n
+        UNION ALL SELECT 'kept', known, known, CAST(0 AS BIGINT) FROM n""",
     "stream_score": f"""WITH {TRAFFIC} SELECT model AS model_name,
         CASE model WHEN 'champion' THEN 'v1' ELSE 'v2' END AS model_version, '{ENDPOINT}' AS endpoint_name,
         count(*) AS requests, count(*) AS scored, count(*) AS timed FROM arms GROUP BY model""",

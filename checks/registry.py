@@ -10,6 +10,7 @@ from checks import adapters as a
 from ledgerlens.contract import (
     CARDS_SCHEMA,
     FEATURE_COLUMNS,
+    ROLE_LAYERS,
     TABLE_TAGS,
     TRANSACTIONS_SCHEMA,
     USERS_SCHEMA,
@@ -467,25 +468,37 @@ def ab_evaluation(spark, sf_dir):
 # --- governance ----------------------------------------------------------------------
 
 
-@query("lakehouse_build")
-def lakehouse_build(spark, sf_dir):
-    """Raw CSV and JSON files through bronze and silver to the stored gold table."""
+def built_lake(spark, sf_dir):
+    """Raw CSV and JSON files through bronze and silver to the stored gold tables."""
     raw = a.bronze(spark, sf_dir)
     paths = {name: stored_csv(spark, getattr(raw, name), name) for name in ("transactions", "cards", "users")}
     paths["labels"] = stored_dicts(spark, raw.labels, "transaction_id", "label", 10_000, "labels", root="target")
     paths["codes"] = stored_dicts(spark, raw.codes, "mcc_code", "mcc_name", 10_000, "codes")
-    store = layers.build_lakehouse(spark, paths, new_store(spark))
-    return presented(store.read("gold", "fraud_features"))
+    return layers.build_lakehouse(spark, paths, new_store(spark))
+
+
+@query("lakehouse_build")
+def lakehouse_build(spark, sf_dir):
+    return presented(built_lake(spark, sf_dir).read("gold", "fraud_features"))
+
+
+@query("lineage_captured")
+def lineage_captured(spark, sf_dir):
+    """Edges recorded while the lake was built, without the names that differ from run to run."""
+    store = built_lake(spark, sf_dir)
+
+    def plain(name):
+        known = F.regexp_replace(name, f"^{store.name}_", "")
+        return F.regexp_replace(known, r"^.*/([a-z]+)-[0-9a-f]{32}$", "file $1").alias(name)
+
+    return store.lineage().select(plain("source_table_full_name"), plain("target_table_full_name"))
 
 
 @query("table_counts")
 def table_counts(spark, sf_dir):
-    raw = a.bronze(spark, sf_dir)
-    tables = {f"bronze_{name}": frame for name, frame in raw._asdict().items()}
-    tables["silver_transactions"] = a.silver(spark, sf_dir)
-    tables["gold_fraud_features"] = a.row_features(spark, sf_dir)
-    tables["gold_fraud_training"] = a.labelled(spark, sf_dir)
-    return governance.table_counts(tables)
+    store = built_lake(spark, sf_dir)
+    stored = [(layer, table) for layer in ("bronze", "silver", "gold") for table in store.tables(layer)]
+    return governance.table_counts({f"{layer}_{table}": store.read(layer, table) for layer, table in stored})
 
 
 @query("lineage_latest")
@@ -497,11 +510,13 @@ def lineage_latest(spark, sf_dir):
 def role_views(spark, sf_dir):
     store = new_store(spark)
     store.write(a.raw_cards(spark, sf_dir), "bronze", "cards")
+    store.write(a.raw_transactions(spark, sf_dir), "bronze", "transactions")
     store.write(a.silver(spark, sf_dir), "silver", "transactions")
     store.write(a.labelled(spark, sf_dir), "gold", "fraud_training")
     narrowed = {"cards": ["id", "card_brand", "card_type"]}
-    roles = ("data-engineers", "ml-team", "analysts")
-    return governance.visible_counts({role: store.role_views(role, narrowed) for role in roles})
+    store.write(a.scored_labels(spark, sf_dir).select("score"), "ml", "scores")
+    store = TableStore(spark, store.root, store.name)
+    return governance.visible_counts({role: store.role_views(role, narrowed) for role in ROLE_LAYERS})
 
 
 @query("class_balance")
@@ -592,9 +607,11 @@ def stream_rules(spark, sf_dir):
     source = stored_csv(spark, a.raw_transactions(spark, sf_dir), "arriving")
     target = scratch_path(spark, "checked")
     rules = [Rule("in_store", "merchant_state <> ''", "drop"), Rule("no_refund", "amount NOT LIKE '$-%'", "warn")]
-    watched = jobs.watch_rules(jobs.stream_transactions(spark, source), rules)
-    jobs.drain(watched, target, scratch_path(spark, "progress"))
-    return spark.read.parquet(target).select("id", "amount", "merchant_state")
+    stream = jobs.stream_transactions(spark, source)
+    kept, outcomes = jobs.drain_checked(stream, rules, target, scratch_path(spark, "progress"))
+    counted = outcomes.select(F.col("rule").alias("part"), "evaluated", "passed", "failed")
+    stored = kept.agg(F.lit("kept").alias("part"), row_count().alias("evaluated"), F.count("merchant_state").alias("passed"))
+    return counted.unionByName(stored.withColumn("failed", F.col("evaluated") - F.col("passed")))
 
 
 @query("stream_score")

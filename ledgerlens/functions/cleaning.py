@@ -33,8 +33,9 @@ def encode_label(text: Column, strict: bool = False) -> Column:
 
 
 def to_number(value: Column) -> Column:
-    """Double, or NULL when the value is no number."""
-    return value.try_cast("double")
+    """Double, or NULL when the value (taken as text) is no number."""
+    text = F.trim(value.cast("string"))
+    return F.when(text.rlike(NUMBER), text.try_cast("double"))
 
 
 def flag(predicate: Column) -> Column:

@@ -179,7 +179,10 @@ def build_lakehouse(spark: SparkSession, paths: Mapping[str, str], store: TableS
         "codes": "Merchant category names",
     }
     bronze = Bronze(
-        *[store.write(frame, "bronze", name, names[name]) for name, frame in raw._asdict().items()]
+        *[
+            store.write(frame, "bronze", name, names[name], sources=[paths[name]])
+            for name, frame in raw._asdict().items()
+        ]
     )
     silver = store.write(
         build_silver(bronze),

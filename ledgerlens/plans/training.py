@@ -15,17 +15,19 @@ from ledgerlens.contract import FEATURE_COLUMNS, LABEL_COLUMN
 from ledgerlens.functions.scores import over_threshold
 from ledgerlens.operators.columns import feature_projection
 from ledgerlens.operators.evaluation import class_weights, classification_report, with_class_weight
-from ledgerlens.session import shared_root
+from ledgerlens.session import cut_lineage, shared_root
 
 # The two training set-ups, as far as Spark's boosted trees share
 # their parameters. ``scheme`` is the class weighting.
 RATIO_WEIGHTED = {
     "scheme": "ratio", "maxDepth": 6, "stepSize": 0.05, "maxIter": 500,
     "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8", "minInstancesPerNode": 10, "seed": 42,
+    "patience": 20,
 }
 BALANCED = {
     "scheme": "balanced", "maxDepth": 7, "stepSize": 0.05, "maxIter": 400, "maxBins": 511,
     "subsamplingRate": 0.8, "featureSubsetStrategy": "0.5", "minInstancesPerNode": 20, "seed": 42,
+    "patience": 50,
 }
 
 
@@ -40,7 +42,12 @@ def train_boosted_trees(
     features: Sequence[str] = FEATURE_COLUMNS,
     split: str = "split",
 ) -> Trained:
-    """Boosted trees on the ``train`` rows, stopped early by the ``val`` rows.
+    """Boosted trees on the ``train`` rows, as many as the ``val`` rows call for.
+
+    The number of trees is the one of least validation loss before ``patience`` trees
+    in a row brought no better one. Spark's own early stopping ends at the first
+    tree without progress, so all trees are grown, their losses taken in one pass, and
+    the shorter model is grown again from the same seed and the same stored rows.
 
     ``rows`` is a labelled table with the split column. Spark grows every tree
     over the distributed rows; nothing is collected. Features no training row
@@ -48,7 +55,7 @@ def train_boosted_trees(
     """
     shared_root(rows.sparkSession)
     settings = {"checkpointInterval": 10, **params}
-    scheme = settings.pop("scheme", "ratio")
+    scheme, patience = settings.pop("scheme", "ratio"), settings.pop("patience", 20)
     usable = rows.filter(F.col(split).isin("train", "val") & F.col(LABEL_COLUMN).isin(0, 1))
     known = feature_projection(usable, features, LABEL_COLUMN, carry=[split])
     train = known.filter(F.col(split) == "train")
@@ -80,14 +87,28 @@ def train_boosted_trees(
         labelCol=LABEL_COLUMN,
         featuresCol="features",
         weightCol="weight",
-        validationIndicatorCol="_validation",
         **settings,
     )
-    inputs = preparation.transform(weighted).select("features", LABEL_COLUMN, "weight", "_validation")
-    booster = learner.fit(inputs)
+    inputs = cut_lineage(preparation.transform(weighted).select("features", LABEL_COLUMN, "weight", "_validation"))
+    grown = inputs.filter(~F.col("_validation"))
+    booster = learner.fit(grown)
+    wanted = trees_wanted(booster.evaluateEachIteration(inputs.filter("_validation")), patience)
+    if wanted < booster.getNumTrees:
+        booster = learner.copy({learner.maxIter: wanted}).fit(grown)
     return Trained(PipelineModel(stages=[*preparation.stages, booster]), dict(params))
 
 
+def trees_wanted(losses: Sequence[float], patience: int) -> int:
+    """How many trees give the least loss before ``patience`` trees in a row bring no better one."""
+    best = 0
+    for number, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = number
+        elif number - best >= patience:
+            break
+    return best + 1
+
+
 def batch_score(
     model: PipelineModel,
     rows: DataFrame,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerlens.contract import FEATURE_RECORD_SCHEMA, REQUEST_LOG_SCHEMA
@@ -35,19 +37,22 @@ def read_json_dict(
     content but binds a file to one task: right for small lookups.
 
     ``splittable`` reads byte ranges of a file in parallel, cut at commas, and
-    picks ``"key": "value"`` (or ``null``) pairs out of the pieces. It needs
-    keys of digits and values free of commas and quotes, and documents holding
-    nothing but the one dictionary.
+    picks ``"key": "value"`` (or ``null``, ``true``, ``false``) pairs out of the
+    pieces. Keys are digits, values hold no comma, quote or backslash, and documents
+    nothing but the one dictionary below ``root``. Whatever else a piece holds
+    makes the job fail; nothing is skipped.
     """
     if splittable:
         pieces = spark.read.text(path, lineSep=",")
-        entry = r'"(-?[0-9]+)"\s*:\s*(?:"([^"]*)"|null)'
-        found = F.regexp_extract_all("value", F.lit(entry), F.lit(0))
-        entries = pieces.select(F.explode(found).alias("_entry"))
-        raw_key = F.regexp_extract("_entry", entry, 1)
-        text = F.regexp_extract("_entry", entry, 2)
-        raw_value = F.when(~F.col("_entry").endswith("null"), text)
-        return entries.select(raw_key.cast(key_type).alias(key), raw_value.alias(value))
+        entry = r'"(-?[0-9]+)"\s*:\s*(?:"([^"\\]*)"|null|(true|false))'
+        opening = r"^\s*\{|\}\s*\{" if root is None else rf'\{{\s*"{re.escape(root)}"\s*:\s*\{{'
+        rest = F.regexp_replace(F.regexp_replace("value", F.lit(entry), F.lit("")), F.lit(opening), F.lit(""))
+        strange = F.concat(F.lit("no entry of the dictionary, read it without splittable: "), F.substring(rest, 1, 80))
+        checked = pieces.filter(F.when(rest.rlike(r"^[\s{}]*$"), F.lit(True)).otherwise(F.raise_error(strange)))
+        entries = checked.select(F.explode(F.regexp_extract_all("value", F.lit(entry), F.lit(0))).alias("_entry"))
+        raw_key, text, word = (F.regexp_extract("_entry", entry, group) for group in (1, 2, 3))
+        raw_value = F.when(F.col("_entry").endswith('"'), text).when(word != "", word)
+        return entries.select(raw_key.try_cast(key_type).alias(key), raw_value.alias(value))
     document = F.col("value") if root is None else F.get_json_object("value", f"$.{root}")
     return (
         spark.read.text(path, wholetext=True)

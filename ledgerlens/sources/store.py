@@ -14,8 +14,23 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+MANIFEST_SCHEMA = (
+    "layer STRING, table STRING, columns STRING, partitions ARRAY<STRING>, comment STRING, "
+    "tags MAP<STRING,STRING>, created_at TIMESTAMP"
+)
+
+
+def _named(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
+
+
 class TableStore:
-    """Tables below ``root``, one database per layer, named ``<name>_<layer>``."""
+    """Tables below ``root``, one database per layer, named ``<name>_<layer>``.
+
+    A manifest below ``root`` keeps what a catalog in memory would lose with its
+    session: columns, partitioning, comment and tags of every table. Opening a store
+    registers the tables the catalog does not know.
+    """
 
     def __init__(self, spark: SparkSession, root: str, name: str = "lake"):
         self.spark, self.root, self.name = spark, root.rstrip("/"), name
@@ -24,6 +39,7 @@ class TableStore:
                 f"CREATE DATABASE IF NOT EXISTS {self.database(layer)} "
                 f"LOCATION {_quoted(f'{self.root}/{layer}')}"
             )
+        self._register_stored()
 
     def database(self, layer: str) -> str:
         if layer not in LAYERS:
@@ -58,7 +74,9 @@ class TableStore:
         writer.option("path", f"{self.root}/{layer}/{table}").saveAsTable(target)
         if comment:
             self.spark.sql(f"COMMENT ON TABLE {target} IS {_quoted(comment)}")
-        self.tag(layer, table, {"quality": layer, **(tags or {})})
+        known = {"quality": layer, **(tags or {})}
+        self._set_properties(target, known)
+        self._note(layer, table, partition_by, comment, known)
         if sources:
             self._append_lineage(sources, target)
         return self.read(layer, table)
@@ -72,13 +90,52 @@ class TableStore:
     # --- tags ---
 
     def tag(self, layer: str, table: str, tags: Mapping[str, str]) -> None:
+        self._set_properties(self.full_name(layer, table), tags)
+        noted = self._latest_notes().filter((F.col("layer") == layer) & (F.col("table") == table)).first()
+        if noted:
+            self._note(layer, table, noted.partitions, noted.comment, {**noted.tags, **tags})
+
+    def _set_properties(self, target: str, tags: Mapping[str, str]) -> None:
         pairs = ", ".join(f"{_quoted(k)} = {_quoted(v)}" for k, v in tags.items())
-        self.spark.sql(f"ALTER TABLE {self.full_name(layer, table)} SET TBLPROPERTIES ({pairs})")
+        self.spark.sql(f"ALTER TABLE {target} SET TBLPROPERTIES ({pairs})")
 
     def tags(self, layer: str, table: str) -> DataFrame:
         """Properties of a table as rows ``(key, value)``."""
         return self.spark.sql(f"SHOW TBLPROPERTIES {self.full_name(layer, table)}")
 
+    # --- manifest ---
+
+    @property
+    def manifest_path(self) -> str:
+        return f"{self.root}/_manifest"
+
+    def _note(self, layer: str, table: str, partitions: Sequence[str], comment: str, tags: Mapping[str, str]) -> None:
+        columns = ", ".join(f"{_named(f.name)} {f.dataType.simpleString()}" for f in self.read(layer, table).schema)
+        row = (layer, table, columns, list(partitions), comment, dict(tags), None)
+        self._append(self.spark.createDataFrame([row], MANIFEST_SCHEMA), self.manifest_path)
+
+    def _latest_notes(self) -> DataFrame:
+        newest = F.max_by(F.struct("columns", "partitions", "comment", "tags"), "created_at")
+        return self._log(self.manifest_path, MANIFEST_SCHEMA).groupBy("layer", "table").agg(newest.alias("_n")).select(
+            "layer", "table", "_n.*"
+        )
+
+    def _register_stored(self) -> None:
+        """Registers stored tables; the loop is over one row per table, not over data."""
+        for noted in self._latest_notes().collect():
+            target = self.full_name(noted.layer, noted.table)
+            if self.spark.catalog.tableExists(target):
+                continue
+            layout = f"PARTITIONED BY ({', '.join(map(_named, noted.partitions))}) " if noted.partitions else ""
+            about = f"COMMENT {_quoted(noted.comment)} " if noted.comment else ""
+            self.spark.sql(
+                f"CREATE TABLE {target} ({noted.columns}) USING parquet {layout}{about}"
+                f"LOCATION {_quoted(f'{self.root}/{noted.layer}/{noted.table}')}"
+            )
+            if noted.partitions:
+                self.spark.catalog.recoverPartitions(target)
+            self._set_properties(target, noted.tags)
+
     # --- lineage ---
 
     @property
@@ -123,7 +180,7 @@ class TableStore:
     # --- roles ---
 
     def role_views(self, role: str, columns: Mapping[str, Sequence[str]] | None = None) -> dict[str, DataFrame]:
-        """Tables a role may read, by ``layer.table``; also temporary views ``<role>_<table>``.
+        """Tables a role may read, by ``layer.table``; also temporary views ``<role>_<layer>_<table>``.
 
         ``columns`` narrows a table to the named columns. This organises access;
         it is no security boundary, as files stay readable to whoever can reach them.
@@ -134,6 +191,6 @@ class TableStore:
                 view = self.read(layer, table)
                 if columns and table in columns:
                     view = view.select(*columns[table])
-                view.createOrReplaceTempView(f"{role.replace('-', '_')}_{table}")
+                view.createOrReplaceTempView(f"{role.replace('-', '_')}_{layer}_{table}")
                 views[f"{layer}.{table}"] = view
         return views

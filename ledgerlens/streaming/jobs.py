@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ledgerlens.contract import FEATURE_RECORD_SCHEMA, TRANSACTIONS_SCHEMA
 from ledgerlens.functions.scores import traffic_arm
-from ledgerlens.operators.quality import Rule, apply_rules
+from ledgerlens.operators.quality import Rule, apply_rules, rule_metrics
 from ledgerlens.plans.training import batch_score
 from ledgerlens.sources.readers import with_ingest_columns
 
@@ -34,13 +34,14 @@ def stream_records(spark: SparkSession, path: str, extra: str = "transaction_id
     return reader.json(path).withColumn("_arrived", F.col("_metadata.file_modification_time"))
 
 
-def drain(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def drain(stream: DataFrame, path: str, checkpoint: str, partition_by: Sequence[str] = ()) -> StreamingQuery:
     """Appends everything available to a parquet folder and returns when done."""
     query = (
         stream.writeStream.format("parquet")
         .outputMode("append")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
+        .partitionBy(*partition_by)
         .trigger(availableNow=True)
         .start()
     )
@@ -52,21 +53,28 @@ def watch_rules(stream: DataFrame, rules: Sequence[Rule], name: str = "rules") -
     """Stream without the rows the rules drop.
 
     Failures of each micro-batch appear under ``name`` in the query's progress
-    (``observedMetrics``).
+    (``observedMetrics``), of which Spark keeps the latest only. Totals come from
+    ``drain_checked``.
     """
     counts = [F.count_if(~rule.passes()).alias(rule.name) for rule in rules]
     watched = stream.observe(name, F.count(F.lit(1)).alias("evaluated"), *counts)
     return apply_rules(watched, rules)
 
 
-def observed_failures(query: StreamingQuery, name: str = "rules") -> dict[str, int]:
-    """Totals of the counts ``watch_rules`` reported over all finished micro-batches."""
-    totals: dict[str, int] = {}
-    for progress in query.recentProgress:
-        row = progress.observedMetrics.get(name)
-        for key, value in (row.asDict() if row else {}).items():
-            totals[key] = totals.get(key, 0) + value
-    return totals
+def drain_checked(stream: DataFrame, rules: Sequence[Rule], path: str, checkpoint: str) -> tuple[DataFrame, DataFrame]:
+    """Drains a stream and returns the stored rows the rules keep and the rule outcomes.
+
+    Every row is stored, in a folder of its own where a rule drops it, so the outcomes
+    are exact over all micro-batches there ever were: the file sink stores a row once,
+    however often its batch is repeated.
+    """
+    dropped = F.lit(False)
+    for rule in rules:
+        if rule.action == "drop":
+            dropped = dropped | ~rule.passes()
+    drain(stream.withColumn("_dropped", dropped), path, checkpoint, partition_by=["_dropped"])
+    stored = stream.sparkSession.read.schema(f"{stream._jdf.schema().toDDL()}, _dropped BOOLEAN").parquet(path)
+    return stored.filter(~F.col("_dropped")).drop("_dropped"), rule_metrics(stored.drop("_dropped"), rules)
 
 
 def score_stream(
@@ -83,6 +91,8 @@ def score_stream(
     version. A record's id decides its model. The duration is the time from the
     landing of a record's file to the micro-batch that scored it.
     """
+    if "champion" not in models or not set(models) <= {"champion", "challenger"}:
+        raise ValueError("models are champion and, if wanted, challenger")
     challenger = "challenger" if "challenger" in models else None
     routed = records.withColumn("model_name", traffic_arm(F.col(record_id), champion_share, challenger=challenger))
     logs = None

@@ -5,7 +5,7 @@ from ledgerlens.contract import FEATURE_COLUMNS, FEATURE_RECORD_SCHEMA
 from ledgerlens.operators.evaluation import classification_report
 from ledgerlens.operators.quality import Rule
 from ledgerlens.plans.model_reports import score_distribution
-from ledgerlens.plans.training import RATIO_WEIGHTED, batch_score, model_search, train_boosted_trees
+from ledgerlens.plans.training import RATIO_WEIGHTED, batch_score, model_search, train_boosted_trees, trees_wanted
 from ledgerlens.sources.readers import read_request_logs
 from ledgerlens.streaming import jobs
 
@@ -85,10 +85,37 @@ def test_stream_rules_drop_and_report(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.csv").write_text(HEADER + "1,x,1,1,$1.00,,1,X,CA,1,1,\n,x,1,1,$1.00,,1,X,CA,1,1,\n3,x,1,1,,,1,X,CA,1,1,\n")
     rules = [Rule("has_id", "id IS NOT NULL"), Rule("has_amount", "amount IS NOT NULL", "warn")]
-    watched = jobs.watch_rules(jobs.stream_transactions(spark, str(tmp_path / "in")), rules)
-    query = jobs.drain(watched, str(tmp_path / "out"), str(tmp_path / "progress"))
-    assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [1, 3]
-    assert jobs.observed_failures(query) == {"evaluated": 3, "has_id": 1, "has_amount": 1}
+    stream = jobs.stream_transactions(spark, str(tmp_path / "in"))
+    kept, outcomes = jobs.drain_checked(stream, rules, str(tmp_path / "out"), str(tmp_path / "progress"))
+    assert sorted(r.id for r in kept.collect()) == [1, 3]
+    assert {r.rule: (r.evaluated, r.failed) for r in outcomes.collect()} == {"has_id": (3, 1), "has_amount": (3, 1)}
+
+
+def test_stream_outcomes_cover_more_batches_than_spark_remembers(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for i in range(105):
+        (tmp_path / "in" / f"{i}.csv").write_text(HEADER + f"{i},x,1,1,,,1,X,CA,1,1,\n,x,1,1,,,1,X,CA,1,1,\n")
+    stream = jobs.stream_transactions(spark, str(tmp_path / "in"), files_per_batch=1)
+    rules = [Rule("has_id", "id IS NOT NULL")]
+    kept, outcomes = jobs.drain_checked(stream, rules, str(tmp_path / "out"), str(tmp_path / "progress"))
+    total = outcomes.first()
+    assert (kept.count(), total.evaluated, total.failed) == (105, 210, 105)
+
+
+def test_stream_scoring_needs_a_champion(rows, model):
+    with pytest.raises(ValueError, match="champion"):
+        jobs.score_stream(rows, {"challenger": (model, "v2")}, "ep")
+
+
+def test_number_of_trees_follows_the_validation_loss():
+    assert trees_wanted([0.9, 0.5, 0.6, 0.4, 0.7, 0.7, 0.1], patience=2) == 4
+    assert trees_wanted([0.9, 0.5, 0.6, 0.4, 0.7, 0.7, 0.1], patience=3) == 7
+    assert trees_wanted([0.3], patience=1) == 1
+
+
+def test_training_keeps_more_than_one_tree(rows):
+    trained = train_boosted_trees(rows, {**SMALL, "maxIter": 8})
+    assert trained.model.stages[-1].getNumTrees > 1
 
 
 @pytest.mark.parametrize("arms", [1, 2])

@@ -6,6 +6,8 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from checks.compare import compare, connect
+from checks.oracles import ORACLES
+from checks.registry import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables not present")
@@ -18,17 +20,17 @@ def duck():
 
 def test_every_oracle_has_a_query():
     assert set(oracle_sql()) <= set(queries())
-    assert set(queries()) - set(oracle_sql()) == {"train_score", "model_search"}
+    assert set(QUERIES) - set(ORACLES) == {"train_score", "model_search"}
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, duck, name):
-    assert compare(spark, duck, queries()[name], oracle_sql()[name], SF_DIR) == []
+    assert compare(spark, duck, QUERIES[name], ORACLES[name], SF_DIR) == []
 
 
 @pytest.mark.parametrize("name", ["train_score", "model_search"])
 def test_model_queries_give_rows(spark, name):
-    assert queries()[name](spark, SF_DIR).count() > 0
+    assert QUERIES[name](spark, SF_DIR).count() > 0
 
 
 def test_entry(spark):

@@ -55,6 +55,30 @@ def test_json_dict_edge_values(spark, tmp_path):
     ]
 
 
+@pytest.mark.parametrize(
+    "text",
+    [
+        '{"target": {"1": "Yes, confirmed"}}',
+        '{"target": {"x5": "Yes"}}',
+        '{"target": {"1": 4}}',
+        '{"target": {"1": "say \\"Yes\\""}}',
+        '{"other": {"1": "Yes"}, "target": {"2": "No"}}',
+    ],
+)
+def test_split_json_dict_loses_nothing_silently(spark, tmp_path, text):
+    (tmp_path / "a.json").write_text(text)
+    split = read_json_dict(spark, str(tmp_path), "id", "label", "bigint", root="target", splittable=True)
+    with pytest.raises(Exception, match="no entry of the dictionary"):
+        split.collect()
+
+
+def test_split_json_dict_words_and_large_keys(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"1": true, "2": false, "99999999999999999999": "No"}')
+    got = read_json_dict(spark, str(tmp_path), "id", "label", "bigint", splittable=True)
+    whole = read_json_dict(spark, str(tmp_path), "id", "label", "bigint")
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, whole.collect()), key=str)
+
+
 def test_flat_json_dict_with_commas_and_bad_key(spark, tmp_path):
     (tmp_path / "codes.json").write_text('{"5812": "Eating Places, Restaurants", "x": "bad"}')
     got = read_json_dict(spark, str(tmp_path), "mcc_code", "mcc_name", "int")
@@ -106,13 +130,34 @@ def test_lineage_grows_with_writes(spark, store):
     assert edges[2] == (store.full_name("silver", "s"), store.full_name("gold", "g"))
 
 
+def test_store_is_found_again_without_its_catalog(spark, store):
+    months = spark.range(40).withColumn("month", F.col("id") % 4)
+    store.write(months, "gold", "parts", comment="it's a table", tags={"domain": "fraud"}, partition_by=["month"])
+    store.write(spark.range(3), "bronze", "plain")
+    store.tag("bronze", "plain", {"use": "tests"})
+    for layer, table in (("gold", "parts"), ("bronze", "plain")):
+        spark.sql(f"DROP TABLE {store.full_name(layer, table)}")  # external: the files stay
+    again = TableStore(spark, store.root, store.name)
+    assert again.read("gold", "parts").filter("month = 1").count() == 10 and again.read("bronze", "plain").count() == 3
+    assert again.tables("gold") == ["parts"]
+    tags = {r.key: r.value for r in again.tags("bronze", "plain").collect()}
+    assert (tags["quality"], tags["use"]) == ("bronze", "tests")
+
+
+def test_role_views_of_equal_names(spark, store):
+    store.write(spark.range(3), "bronze", "t")
+    store.write(spark.range(7), "silver", "t")
+    store.role_views("data-engineers")
+    assert [spark.table(f"data_engineers_{layer}_t").count() for layer in ("bronze", "silver")] == [3, 7]
+
+
 def test_role_views(spark, store):
     store.write(spark.range(2).withColumn("cvv", F.lit("1")), "bronze", "cards")
     store.write(spark.range(3), "gold", "features")
     assert set(store.role_views("analysts")) == {"gold.features"}
     engineers = store.role_views("data-engineers", {"cards": ["id"]})
     assert engineers["bronze.cards"].columns == ["id"]
-    assert spark.table("data_engineers_cards").columns == ["id"]
+    assert spark.table("data_engineers_bronze_cards").columns == ["id"]
     assert store.role_views("model-serving") == {}
 
 
