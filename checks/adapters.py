@@ -125,8 +125,8 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def card_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The card of every transaction, for the hot-key count, without the joins of silver."""
-    return load(spark, sf_dir, "events").select(F.col("user_id").alias("card_id"))
+    """Card and time of every transaction, for the count of crowded frames, without the joins of silver."""
+    return load(spark, sf_dir, "events").select(F.col("user_id").alias("card_id"), "ts")
 
 
 def row_features(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -104,6 +104,17 @@ GOLD = f"""{FEATURES}, gold AS (
         d AS (PARTITION BY card_id ORDER BY sec RANGE BETWEEN 86400 PRECEDING AND CURRENT ROW),
         w AS (PARTITION BY card_id ORDER BY sec RANGE BETWEEN 604800 PRECEDING AND CURRENT ROW))"""
 
+
+
+def rolled_sql(card: str, sec: str) -> str:
+    """Rolling features after moving transactions to another card and second."""
+    return f"""WITH {FEATURES}, moved AS (SELECT * REPLACE ({card} AS card_id), {sec} AS sec FROM features)
+        SELECT transaction_id, {ROLLING} FROM moved
+        WINDOW h AS (PARTITION BY card_id ORDER BY sec RANGE BETWEEN 3600 PRECEDING AND CURRENT ROW),
+            d AS (PARTITION BY card_id ORDER BY sec RANGE BETWEEN 86400 PRECEDING AND CURRENT ROW),
+            w AS (PARTITION BY card_id ORDER BY sec RANGE BETWEEN 604800 PRECEDING AND CURRENT ROW)"""
+
+
 ORDERS = """dated AS (
     SELECT o_orderkey, o_orderdate AS ts, o_totalprice AS abs_amount,
         CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 0 END AS is_fraud
@@ -281,6 +292,10 @@ ORACLES: dict[str, str] = {
     "roll_7d": f"WITH {GOLD} SELECT transaction_id, tx_count_7d, tx_amount_7d FROM gold",
     "roll_sliced": f"""WITH {GOLD} SELECT transaction_id, tx_count_1h, tx_amount_1h, tx_count_24h, tx_amount_24h,
         avg_amount_24h, std_amount_24h, unique_merchants_24h, unique_states_24h, tx_count_7d, tx_amount_7d FROM gold""",
+    "roll_hot_routed": rolled_sql(
+        "CASE WHEN transaction_id % 3 = 0 THEN -1 ELSE card_id END", "epoch_us(ts) // 1000000"
+    ),
+    "roll_dense_cards": rolled_sql("transaction_id % 20", "transaction_id * 7919 % 86400"),
     "gold_features": f"WITH {GOLD} SELECT * FROM gold",
     "gold_training": f"WITH {GOLD} SELECT * FROM gold WHERE is_fraud IS NOT NULL",
     # --- fraud reports ---

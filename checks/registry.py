@@ -396,6 +396,28 @@ def roll_sliced(spark, sf_dir):
     return presented(done.select("transaction_id", *[spec.name for spec in CARD_FEATURES]))
 
 
+def rolled_when(rows, frame_rows=100):
+    """All rolling features, with cards of more than ``frame_rows`` rows a frame on slices."""
+    done = rolling_features(rows, "card_id", "ts", CARD_FEATURES, frame_rows=frame_rows)
+    return presented(done.select("transaction_id", *[spec.name for spec in CARD_FEATURES]))
+
+
+@query("roll_hot_routed")
+def roll_hot_routed(spark, sf_dir):
+    """A third of all transactions on one card."""
+    rows = layers.with_amount_features(fact(spark, sf_dir))
+    hot = F.when(F.col("transaction_id") % 3 == 0, F.lit(-1)).otherwise(F.col("card_id"))
+    return rolled_when(rows.withColumn("card_id", hot))
+
+
+@query("roll_dense_cards")
+def roll_dense_cards(spark, sf_dir):
+    """All transactions within one day, on twenty cards."""
+    rows = layers.with_amount_features(fact(spark, sf_dir))
+    moment = F.timestamp_seconds(F.col("transaction_id") * 7919 % 86_400)
+    return rolled_when(rows.withColumns({"card_id": F.col("transaction_id") % 20, "ts": moment}))
+
+
 @query("gold_features")
 def gold_features(spark, sf_dir):
     return presented(a.gold(spark, sf_dir))

@@ -14,7 +14,10 @@ Two equivalent plans:
   suffix and a prefix: running sums, linear in the rows, in groups of at most two
   slices of seconds however many rows the key has.
 
-``rolling_features`` sends each key to the plan that fits it.
+``rolling_features`` sends keys with crowded frames to the second plan. Counts and
+distinct counts agree exactly, NaN and infinity count only in the frames that hold
+them, and 0.0 equals -0.0; sums of doubles may differ in their last bits, as the order
+of addition is another.
 """
 
 from __future__ import annotations
@@ -26,9 +29,11 @@ from typing import Literal
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerlens.functions.cleaning import epoch_seconds
+from ledgerlens.session import cut_lineage
 
 _SEC = "_sec"
 _WHO = "_who"
+_CROWDED = "_crowded_key"
 _STRETCH = 8
 _NO_TIME = -(1 << 60)  # stands for a missing time; no frame of a real time reaches it
 
@@ -95,10 +100,17 @@ def rolling_sliced(df: DataFrame, key: str, ts: str, specs: Sequence[Rolling]) -
     )
 
 
-def hot_keys(df: DataFrame, key: str, hot_rows: int) -> DataFrame:
-    """Keys holding more than ``hot_rows`` rows; a map-side combined count of one column."""
-    counted = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    return counted.filter(F.col("_rows") > hot_rows).select(key)
+def crowded_keys(df: DataFrame, key: str, ts: str, length: int, frame_rows: int) -> DataFrame:
+    """Keys with more than ``frame_rows`` rows in two neighbouring slices of ``length`` seconds.
+
+    No frame of that length holds more rows than two neighbouring slices do. Counts
+    are combined before the shuffle.
+    """
+    timed = df.select(key, F.coalesce(epoch_seconds(F.col(ts)), F.lit(_NO_TIME)).alias(_SEC))
+    counted = timed.groupBy(key, _slot(_SEC, length).alias("_slot")).agg(F.count(F.lit(1)).alias("_rows"))
+    pairs = counted.select(key, "_rows", F.explode(F.array("_slot", F.col("_slot") + 1)).alias("_slot"))
+    held = pairs.groupBy(key, "_slot").agg(F.sum("_rows").alias("_rows"))
+    return held.filter(F.col("_rows") > frame_rows).select(key).distinct()
 
 
 def rolling_features(
@@ -106,29 +118,26 @@ def rolling_features(
     key: str,
     ts: str,
     specs: Sequence[Rolling] = CARD_FEATURES,
-    hot_rows: int = 10_000,
-    max_hot_keys: int = 10_000,
+    frame_rows: int = 2_000,
     key_source: DataFrame | None = None,
 ) -> DataFrame:
-    """Rolling features with ordinary keys on range windows and hot ones on slices.
+    """Rolling features with ordinary keys on range windows and crowded ones on slices.
 
-    Runs one counting job over the key column first. ``key_source`` may name a
-    cheaper table with the same keys (say the stored fact behind a joined ``df``).
-    At most ``max_hot_keys`` + 1 keys reach the driver; beyond ``max_hot_keys``
-    no list is broadcast and every key takes the sliced plan.
+    One counting job over key and time finds the keys whose frames may hold more than
+    ``frame_rows`` rows; ``key_source`` may name a cheaper table with the same keys and
+    times (say the stored fact behind a joined ``df``). The keys found stay a stored
+    table, joined as its size allows, and the rows of those keys are stored once, as
+    the sliced plan reads them several times.
     """
     source = df if key_source is None else key_source
-    found = hot_keys(source, key, hot_rows).limit(max_hot_keys + 1).collect()
-    if not found:
+    longest = max(spec.seconds for spec in specs)
+    found = cut_lineage(crowded_keys(source, key, ts, longest, frame_rows).withColumnRenamed(key, _CROWDED))
+    if found.isEmpty():
         return rolling_windows(df, key, ts, specs)
-    if len(found) > max_hot_keys:
-        return rolling_sliced(df, key, ts, specs)
-    hot_type = df.select(F.col(key).alias("_hot")).schema
-    listed = df.sparkSession.createDataFrame([tuple(row) for row in found], hot_type)
-    is_hot = F.col(key).eqNullSafe(F.col("_hot"))
-    hot = df.join(F.broadcast(listed), is_hot, "left_semi")
-    rest = df.join(F.broadcast(listed), is_hot, "left_anti")
-    return rolling_windows(rest, key, ts, specs).unionByName(rolling_sliced(hot, key, ts, specs))
+    is_crowded = F.col(key).eqNullSafe(F.col(_CROWDED))
+    crowded = cut_lineage(df.join(found, is_crowded, "left_semi"))
+    rest = df.join(found, is_crowded, "left_anti")
+    return rolling_windows(rest, key, ts, specs).unionByName(rolling_sliced(crowded, key, ts, specs))
 
 
 # --- sliced plan --------------------------------------------------------------------
@@ -192,7 +201,10 @@ def _add_frame(
     for column in {spec.column for spec in specs if spec.agg == "std"}:
         n, s, m = (F.col(f"_{part}_{column}") for part in "nsm")
         centre = f"_c_{column}"
-        placed = placed.withColumn(centre, F.sum(s).over(whole) / F.nullif(F.sum(n).over(whole), F.lit(0)))
+        # A NaN or infinity outside the frame must not reach it through the centre.
+        finite = ~F.isnan(s.cast("double")) & (F.abs(s.cast("double")) < float("inf"))
+        total, known = (F.sum(F.when(finite, part)).over(whole) for part in (s, n))
+        placed = placed.withColumn(centre, F.coalesce(total / F.nullif(known, F.lit(0)), F.lit(0.0)))
         gap = s / F.nullif(n, F.lit(0)) - F.col(centre)
         placed = placed.withColumn(f"_q_{column}", m + n * gap * gap)
 
@@ -242,9 +254,14 @@ def _distinct_changes(rows: DataFrame, columns: Sequence[str], length: int) -> D
     alive at the start of the following slice is opened there again, so that a
     running sum within a slice is the distinct count.
     """
+    def as_text(name: str) -> Column:
+        value = F.col(name)
+        if rows.schema[name].dataType.typeName() in ("double", "float"):
+            value = F.when(value == 0, F.lit(0).cast(rows.schema[name].dataType)).otherwise(value)  # -0.0 is 0.0
+        return value.cast("string")
+
     values = [
-        F.struct(F.lit(i).alias("_column"), F.col(name).cast("string").alias("_value"))
-        for i, name in enumerate(columns)
+        F.struct(F.lit(i).alias("_column"), as_text(name).alias("_value")) for i, name in enumerate(columns)
     ]
     seen = (
         rows.select(_WHO, _SEC, F.inline(F.array(*values)))

@@ -132,7 +132,7 @@ def test_training_drops_labels_out_of_range(spark):
 
 def test_lineage_and_tags(spark, store):
     latest = latest_lineage(store.lineage(), "layers_test_")
-    assert latest.count() == 7
+    assert latest.count() == 12
     assert latest.first().target_table_full_name == "layers_test_gold.fraud_training"
     assert latest_lineage(store.lineage(), "other.").count() == 0
     tags = {r.key: r.value for r in store.tags("gold", "fraud_training").collect()}

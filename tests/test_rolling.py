@@ -13,7 +13,7 @@ from ledgerlens.operators.rolling import (
     DAY,
     HOUR,
     Rolling,
-    hot_keys,
+    crowded_keys,
     rolling_features,
     rolling_sliced,
     rolling_windows,
@@ -88,9 +88,9 @@ def history(n=250, seed=7):
 PLANS = {
     "windows": rolling_windows,
     "sliced": rolling_sliced,
-    "mixed": lambda *args: rolling_features(*args, hot_rows=60),
-    "beyond the key list": lambda *args: rolling_features(*args, hot_rows=1, max_hot_keys=1),
-    "no hot key": rolling_features,
+    "mixed": lambda *args: rolling_features(*args, frame_rows=60),
+    "all crowded": lambda *args: rolling_features(*args, frame_rows=0),
+    "none crowded": rolling_features,
 }
 
 
@@ -149,10 +149,31 @@ def test_windows_share_one_shuffle_and_sort(spark):
     assert "Python" not in plan
 
 
-def test_hot_key_found_by_count(spark):
-    df = spark.range(100).select(F.when(F.col("id") < 34, 0).otherwise(F.col("id")).alias("k"))
-    assert [r.k for r in hot_keys(df, "k", 33).collect()] == [0]
-    assert hot_keys(df, "k", 34).count() == 0
+def test_crowded_keys_are_those_of_full_frames(spark):
+    """Key 0 has ten rows in two slices, key 1 ten rows far apart, NULL ten rows without a time."""
+    rows = [(0, 95 + i) for i in range(10)] + [(1, 1000 * i) for i in range(10)] + [(None, None)] * 10
+    df = spark.createDataFrame(rows, "k long, sec long").withColumn("ts", F.timestamp_seconds("sec"))
+    assert {r.k for r in crowded_keys(df, "k", "ts", 100, 9).collect()} == {0, None}
+    assert crowded_keys(df, "k", "ts", 100, 10).count() == 0
+
+
+def test_plans_agree_on_nan_infinity_zero_signs_and_nulls(spark):
+    odd = [None, 0.0, -0.0, 1.5, 1.5, float("nan"), 7.25, float("inf"), 2.0, 3.0]
+    rows = [(i, i % 2, (i * 7919) % 5_000, odd[(i * i + i // 3) % 10], i % 4, None) for i in range(120)]
+    specs = [Rolling(agg, agg, "abs_amount", 600) for agg in ("count", "sum", "avg", "std", "distinct")]
+    df = make(spark, rows)
+    both = []
+    for plan in (rolling_windows, rolling_sliced):
+        got = plan(df, "card_id", "ts", specs).select("transaction_id", *[s.name for s in specs]).collect()
+        both.append({r.transaction_id: [None if x is None else x if x == x else "nan" for x in r[1:]] for r in got})
+    assert set(both[0]) == set(both[1]) == set(range(120))
+    for number, want in both[0].items():
+        for have, expected in zip(both[1][number], want):
+            if isinstance(expected, float):
+                assert have == pytest.approx(expected, rel=1e-9, abs=1e-6), number
+            else:
+                assert have == expected, number
+    assert {"nan"} & {x for row in both[0].values() for x in row} and any(row[3] not in (None, "nan") for row in both[0].values())
 
 
 def test_sliced_plan_never_groups_by_the_key_alone(spark):
@@ -180,7 +201,7 @@ def test_a_third_of_all_rows_on_one_card(spark):
         Rolling("merchants_1h", "distinct", "merchant_id", HOUR),
         Rolling("std_1h", "std", "abs_amount", HOUR),
     ]
-    a = rolling_features(rows, "card_id", "ts", specs, hot_rows=1_000)
+    a = rolling_features(rows, "card_id", "ts", specs, frame_rows=1_000)
     b = rolling_windows(rows, "card_id", "ts", specs)
     names = [s.name for s in specs]
     joined = a.select("transaction_id", *names).join(
