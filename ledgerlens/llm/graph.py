@@ -38,11 +38,8 @@ def components(edges: DataFrame) -> DataFrame:
         edges.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     )
     mark = None
-    while True:
-        now = cut_lineage(_stars(_stars(now, larger=True), larger=False))
-        facts = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if facts == mark:
-            break
+    while (facts := now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()) != mark:
         mark = facts
+        now = cut_lineage(_stars(_stars(now, larger=True), larger=False))
     roots = now.select(F.col("b").alias("node")).distinct().withColumn("component", F.col("node"))
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots)

@@ -325,11 +325,15 @@ def linked_sets(documents: DataFrame, facts: DataFrame) -> DataFrame | None:
     for _ in range(ROUNDS):
         left = several(rows, parts)
         more = cut_lineage(verified(neighbour_pairs(left), texts))
-        links = links.union(more)
-        parts = cut_lineage(components(links))
+        parts = cut_lineage(components(as_links(parts).union(more)))
     left = several(rows, parts)
     more = cut_lineage(verified(tree_pairs(left, vectors(texts, left)), texts))
-    return cut_lineage(components(links.union(more)))
+    return cut_lineage(components(as_links(parts).union(more)))
+
+
+def as_links(parts: DataFrame) -> DataFrame:
+    """One link for every set of a component but its smallest: fewer and shorter paths than the links found."""
+    return parts.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
 
 
 def several(rows: DataFrame, parts: DataFrame) -> DataFrame:
