@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.llm.graph import components
 from ledgerlens.llm.rtree import RTree, group_counts
-from ledgerlens.llm.stored import expand, squeeze
+from ledgerlens.llm.stored import bucketed, expand, squeeze
 from ledgerlens.llm.words import constants, find_words, mix, slices, span_hashes, window_hashes, window_inside
 from ledgerlens.session import cut_lineage
 
@@ -206,7 +206,10 @@ def meeting(rows: DataFrame) -> DataFrame:
 
 
 def texts_of(documents: DataFrame, facts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(set, text): the text of one document of each wanted set, stored."""
+    """(set, text): the text of one document of each wanted set, stored in buckets of ``set``.
+
+    Every later join by ``set`` then moves the other side only.
+    """
     first = facts.where("n > 0").groupBy("set").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id")).alias("first"))
     ids = cut_lineage(wanted.select("set").distinct().join(first, "set").select("set", F.col("first.doc_id").alias("of")))
     if ids.count() <= BROADCAST_ROWS:
@@ -220,7 +223,8 @@ def texts_of(documents: DataFrame, facts: DataFrame, wanted: DataFrame) -> DataF
             yield batch.filter(pa.array(np.array(numbers, np.int64) == batch.column("set").to_numpy()))
 
     found = texts.select("set", "text").mapInArrow(run, "set long, text string")
-    return cut_lineage(found)
+    buckets = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return bucketed(found.repartition(buckets, "set"), buckets, "set")
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
