@@ -9,12 +9,14 @@ Documents are sets of 5-word shingles; two link at a Jaccard similarity of 0.8.
    by the sketch. These members are the cells in which sets meet: one shuffle.
 3. In every cell the set with fewest members is compared with the others (where
    sizes differ too much, each with the next smaller one); the pairs are verified
-   on the shingles of the texts. What is linked is contracted, and ``ROUNDS``
-   times neighbours in order of size that are still apart are compared likewise.
+   on the shingles of the texts. What is linked is contracted, and neighbours in
+   order of size that are still apart are compared likewise.
 4. Cells that still hold several components are dealt out as bounded bundles
    (large cells as pairs of blocks). Each bundle indexes its sets' count vectors
-   in an R-tree; pairs of different components whose bounded overlap reaches the
-   threshold are verified in the same way.
+   in an R-tree, which lets pairs of different components through whose bounded
+   overlap reaches the threshold. First a bundle gives a spanning forest of them
+   (near copies nearly always link, so a large group falls together at once);
+   after verifying and contracting, the trees give all pairs that are left.
 
 The contraction loses no link between components, emits no pairs within a group
 of copies, and steps 3 and 4 bound every task.
@@ -47,8 +49,6 @@ PERCENT = 80
 #: Counters of the sketch (4 bytes each, the size of the broadcast) and the parts in which tasks are summed.
 SKETCH, SLICES = 1 << 22, 64
 GROUPS = 1024
-#: Rounds of comparing neighbours before the trees.
-ROUNDS = 2
 #: Rows of a bundle of cells, and of a block of one large cell.
 BUNDLE = 2048
 #: A member whose sketch cell has this share of all documents is dealt over several tasks.
@@ -288,8 +288,21 @@ def bundled(rows: DataFrame) -> DataFrame:
     return small.union(large).distinct()
 
 
-def tree_pairs(rows: DataFrame, points: DataFrame) -> DataFrame:
-    """Pairs (a, b) of sets of different components that a bundle's R-tree lets through."""
+def forest(labels: np.ndarray, i: np.ndarray, j: np.ndarray, likeness: np.ndarray) -> list[int]:
+    """Places of pairs that join what ``labels`` (changed here) keep apart, the likeliest first."""
+    chosen = []
+    while len(apart := np.flatnonzero(labels[i] != labels[j])):
+        best = int(apart[likeness[apart].argmax()])
+        chosen.append(best)
+        labels[labels == labels[i[best]]] = labels[j[best]]
+    return chosen
+
+
+def tree_pairs(rows: DataFrame, points: DataFrame, spanning: bool) -> DataFrame:
+    """Pairs (a, b) of sets of different components that a bundle's R-tree lets through.
+
+    ``spanning`` keeps of each bundle's pairs a forest that joins the same components.
+    """
 
     def run(bundle: pa.Table) -> pa.Table:
         numbers, first = np.unique(bundle.column("set").to_numpy(), return_index=True)
@@ -297,9 +310,14 @@ def tree_pairs(rows: DataFrame, points: DataFrame) -> DataFrame:
         sizes, component = bundle.column("n").to_numpy().astype(np.int64), bundle.column("component").to_numpy()
         points = np.stack([point_of(p) for p in bundle.column("point").to_pylist()])
         tree, out = RTree(points, sizes), [np.zeros((0, 2), np.int64)]
+        labels = np.unique(component, return_inverse=True)[1].reshape(-1)
         for i, j in tree.pairs(PERCENT):
             i, j = tree.order[i], tree.order[j]
-            apart = component[i] != component[j]
+            apart = np.flatnonzero(labels[i] != labels[j])
+            if spanning and len(apart):
+                both = sizes[i[apart]] + sizes[j[apart]]
+                shared = np.array([np.minimum(points[x], points[y]).sum() for x, y in zip(i[apart], j[apart], strict=True)])
+                apart = apart[forest(labels, i[apart], j[apart], shared / both)]
             out.append(np.stack([numbers[i[apart]], numbers[j[apart]]], 1))
         pairs = np.concatenate(out)
         return pa.table({"a": np.minimum(*pairs.T), "b": np.maximum(*pairs.T)})
@@ -326,13 +344,17 @@ def linked_sets(documents: DataFrame, facts: DataFrame) -> DataFrame | None:
     pairs = stars.union(across).where("a <> b").distinct()
     links = cut_lineage(verified(pairs, texts))
     parts = cut_lineage(components(links))
-    for _ in range(ROUNDS):
-        left = several(rows, parts)
-        more = cut_lineage(verified(neighbour_pairs(left), texts))
-        parts = cut_lineage(components(as_links(parts).union(more)))
+    more = verified(neighbour_pairs(several(rows, parts)), texts)
+    parts = joined_by(parts, more)
     left = several(rows, parts)
-    more = cut_lineage(verified(tree_pairs(left, vectors(texts, left)), texts))
-    return cut_lineage(components(as_links(parts).union(more)))
+    points = cut_lineage(vectors(texts, left))
+    parts = joined_by(parts, verified(tree_pairs(left, points, spanning=True), texts))
+    return joined_by(parts, verified(tree_pairs(several(rows, parts), points, spanning=False), texts))
+
+
+def joined_by(parts: DataFrame, links: DataFrame) -> DataFrame:
+    """The components of ``parts`` after ``links`` join some of them, stored."""
+    return cut_lineage(components(as_links(parts).union(cut_lineage(links))))
 
 
 def as_links(parts: DataFrame) -> DataFrame:
