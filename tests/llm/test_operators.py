@@ -225,3 +225,15 @@ def test_pipeline_runs_every_stage(spark):
     out = corpus_pipeline.run(spark, SF)
     assert set(out.columns) == {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256"}
     assert 0 < out.count() <= 3 * table.count()
+
+
+def test_forest_joins_what_its_pairs_join():
+    rng = np.random.default_rng(2)
+    i, j = rng.integers(0, 40, (2, 30))
+    start = np.arange(40) // 2
+    whole, labels = start.copy(), start.copy()
+    for a, b in zip(i, j, strict=True):
+        whole[whole == whole[a]] = whole[b]
+    chosen = jaccard.forest(labels, i, j, rng.random(30))
+    assert len(chosen) == len(set(start)) - len(set(whole))
+    assert ((whole[:, None] == whole) == (labels[:, None] == labels)).all()
