@@ -17,8 +17,11 @@ also begins earlier (smaller doc_id, or earlier in the same text).
   ones the first stays. Null doc_id comes before all numbers.
 * A passage however frequent crosses the network once per block, not per copy.
 * An empty table gives no rows. Columns other than doc_id and text are not read.
-* Windows are compared by 96 bits (smallest 5-gram and window hash) across
-  blocks and 64 bits within one.
+* Windows are compared by their full 64-bit hash, within a block and across
+  blocks. The key (smallest 5-gram) only deals them out: windows of one key
+  share it, so it tells none of them apart.
+* A key of many different windows is dealt over several tasks by a second part
+  of the window hash; a pass before counts the windows of frequent keys.
 """
 
 from __future__ import annotations
@@ -47,6 +50,8 @@ WINDOW = 20
 GRAM = 5
 #: Text bytes of a reference block.
 BLOCK_BYTES = 24 << 20
+#: New windows of one key that a task takes, and those in one block from which the key is counted.
+KEY_WINDOWS, COUNTED = 4096, 32
 
 PHRASES = "key long, doc_id long, row long, start int, n int, windows binary"
 FACTORS = "row long, start int, n int"
@@ -96,7 +101,19 @@ def text_order(doc_ids: pa.Array, rows: np.ndarray) -> np.ndarray:
     return rank
 
 
-def factor_block(doc_ids: pa.Array, rows: np.ndarray, column: pa.Array) -> pa.RecordBatch | None:
+def dealt_keys(key: np.ndarray, full: np.ndarray, frequent: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Where each window goes: its key, or one of a frequent key's parts by the window hash."""
+    keys, parts = frequent
+    if not len(keys):
+        return key
+    at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+    part = mix(full + np.uint64(1)) % np.where(keys[at] == key, parts[at], np.uint64(1))
+    return np.where(part > 0, mix(key + part), key)
+
+
+def factor_block(
+    doc_ids: pa.Array, rows: np.ndarray, column: pa.Array, frequent: tuple[np.ndarray, np.ndarray]
+) -> pa.RecordBatch | None:
     """Phrases of a block: what no earlier place of the block holds, and factors found within it (no windows)."""
     full, key, text, start = block_windows(column)
     if not len(full):
@@ -105,12 +122,13 @@ def factor_block(doc_ids: pa.Array, rows: np.ndarray, column: pa.Array) -> pa.Re
     full, key, text, start = full[order], key[order], text[order], start[order]
     new = np.zeros(len(full), bool)
     new[np.unique(full, return_index=True)[1]] = True
+    key = dealt_keys(key, full, frequent)
     breaks = np.ones(len(full), bool)
     breaks[1:] = (text[1:] != text[:-1]) | (new[1:] != new[:-1]) | (new[1:] & (key[1:] != key[:-1]))
     first, length = runs(breaks)
-    short = (full >> np.uint64(32)).astype("<u4").tobytes()
+    hashes = full.astype("<u8").tobytes()
     packed = [
-        short[4 * i : 4 * (i + n)] if fresh else None
+        hashes[8 * i : 8 * (i + n)] if fresh else None
         for i, n, fresh in zip(first.tolist(), length.tolist(), new[first].tolist(), strict=True)
     ]
     row = rows[text[first]]
@@ -125,14 +143,39 @@ def factor_block(doc_ids: pa.Array, rows: np.ndarray, column: pa.Array) -> pa.Re
     )
 
 
+def frequent_keys(rows: DataFrame, block_bytes: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys, ascending, that have over ``KEY_WINDOWS`` different windows, and into how many parts each goes.
+
+    A block reports the keys of ``COUNTED`` of its windows or more, so the list
+    is at most a ``KEY_WINDOWS``-th of all windows.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            text = batch.column("text")
+            for part in slices(text, block_bytes):
+                full, key, _, _ = block_windows(text[part.first : part.first + len(part)])
+                keys, times = np.unique(key[np.unique(full, return_index=True)[1]], return_counts=True)
+                many = times >= COUNTED
+                yield pa.RecordBatch.from_arrays([pa.array(keys[many].view(np.int64)), pa.array(times[many].astype(np.int64))], ["key", "n"])
+
+    found = rows.select("text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    got = found.where(F.col("n") > KEY_WINDOWS).toArrow()
+    keys = got.column("key").to_numpy().astype(np.int64).view(np.uint64)
+    order = np.argsort(keys)
+    return keys[order], (got.column("n").to_numpy()[order] // KEY_WINDOWS + 1).astype(np.uint64)
+
+
 def phrases(rows: DataFrame, block_bytes: int) -> DataFrame:
+    shared = rows.sparkSession.sparkContext.broadcast(frequent_keys(rows, block_bytes))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             text, numbers = batch.column("text"), batch.column("row").to_numpy()
             doc_ids = batch.column("doc_id").cast(pa.int64())
             for part in slices(text, block_bytes):
                 i, j = part.first, part.first + len(part)
-                found = factor_block(doc_ids[i:j], numbers[i:j], text[i:j])
+                found = factor_block(doc_ids[i:j], numbers[i:j], text[i:j], shared.value)
                 if found is not None:
                     yield found
 
@@ -143,15 +186,13 @@ def later_windows(rows: pa.Table) -> pa.RecordBatch:
     """Factors of whole key groups that are sorted by (key, doc_id, row, start)."""
     start, n, row = (rows.column(c).to_numpy() for c in ("start", "n", "row"))
     done = np.array(rows.column("windows").combine_chunks().is_null())
-    data, _ = string_buffers(rows.column("windows"))
+    data, offsets = string_buffers(rows.column("windows"))
     lengths = np.where(done, 0, n).astype(np.int64)
-    windows = np.frombuffer(data.tobytes(), "<u4")[: lengths.sum()]
+    windows = np.frombuffer(data[offsets[0] : offsets[-1]].tobytes(), "<u8")
     of_row = np.repeat(np.arange(len(n)), lengths)
     place = np.arange(len(windows)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    key = rows.column("key").to_numpy()
-    group = np.cumsum(np.concatenate([[0], key[1:] != key[:-1]])).astype(np.uint64) if len(key) else key
     later = np.ones(len(windows), bool)
-    later[np.unique((group[of_row] << np.uint64(32)) | windows, return_index=True)[1]] = False
+    later[np.unique(windows, return_index=True)[1]] = False  # equal windows have one key, so groups need not be told apart
     of_row, place = of_row[later], place[later]
     breaks = np.ones(len(of_row), bool)
     breaks[1:] = (of_row[1:] != of_row[:-1]) | (place[1:] != place[:-1] + 1)

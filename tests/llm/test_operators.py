@@ -122,6 +122,24 @@ def test_passages_equal_brute_force(docs, empty, block):
     assert passages.cleaned(empty).count() == 0
 
 
+def test_passages_keep_different_contexts_of_one_frequent_gram(spark):
+    rng = np.random.default_rng(3)
+    texts = pa.array([" ".join(f"c{x}" for x in rng.integers(0, 10**6, 60_000))])
+    words = passages.find_words(part := next(passages.slices(texts)))
+    grams = passages.window_hashes(passages.span_hashes(part.data, words.starts, words.ends), passages.GRAM)
+    common = " ".join(texts[0].as_py().split()[(k := int(grams.argmin())) : k + passages.GRAM])
+    around = rng.integers(0, 10**9, (40_000, 30))
+    rows = [(i, " ".join([*(f"w{x}" for x in c[:15]), common, *(f"w{x}" for x in c[15:])])) for i, c in enumerate(around.tolist())]
+    table = spark.createDataFrame([*rows, (40_000, rows[7][1]), (40_001, None)], "doc_id long, text string").repartition(3)
+    keys, parts = passages.frequent_keys(table, passages.BLOCK_BYTES)
+    assert len(keys) == 1 and parts[0] > 100
+    for block in (1 << 18, passages.BLOCK_BYTES):
+        got = passages.cleaned(table, block).where("n_removed > 0").select("doc_id", "n_removed").collect()
+        assert [tuple(r) for r in got] == [(40_000, 35)]
+    dealt = passages.phrases(table.withColumn("row", F.monotonically_increasing_id()), passages.BLOCK_BYTES)
+    assert dealt.groupBy("key").agg(F.sum(F.length("windows") / 8).alias("n")).agg(F.max("n")).first()[0] < 2 * passages.KEY_WINDOWS
+
+
 def test_quality_measures_equal_brute_force(docs, empty):
     found = quality.measured(pa.array(TEXTS, pa.string()))
     for i, text in enumerate(TEXTS):
