@@ -90,8 +90,22 @@ def set_id(members: np.ndarray) -> int:
     return int(whole.view(np.int64)[0]) or 1
 
 
+def numbered(documents: DataFrame) -> DataFrame:
+    """``documents`` with a number ``_row`` of its own for every row.
+
+    Numbers follow the order of reading, which only a plain scan of files repeats
+    whatever columns are read; anything else is stored first.
+    """
+    node = documents._jdf.queryExecution().optimizedPlan()
+    while node.nodeName() in ("Project", "Filter"):
+        node = node.children().head()
+    if node.nodeName() != "LogicalRelation":
+        documents = cut_lineage(documents)
+    return documents.withColumn("_row", F.monotonically_increasing_id())
+
+
 def set_facts(documents: DataFrame) -> DataFrame:
-    """(doc_id, n, set) of every row; rows with a ``slice`` hold that part of a task's sketch."""
+    """(row, doc_id, n, set) of every row; rows with a ``slice`` hold that part of a task's sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = np.zeros(SKETCH, np.uint32)
@@ -105,20 +119,20 @@ def set_facts(documents: DataFrame) -> DataFrame:
             if cells:
                 sketch += np.bincount(np.concatenate(cells), minlength=SKETCH).astype(np.uint32)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(numbers, pa.int64()),
+                [batch.column("_row"), batch.column("doc_id").cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(numbers, pa.int64()),
                  pa.nulls(len(sizes), pa.int32()), pa.nulls(len(sizes), pa.int32()), pa.nulls(len(sizes), pa.binary())],
                 names,
             )
         none, part = pa.nulls(SLICES, pa.int64()), TaskContext.get().partitionId() % SLICES
         yield pa.RecordBatch.from_arrays(
-            [none, none, none, pa.array(np.arange(SLICES, dtype=np.int32)), pa.array(np.full(SLICES, part, np.int32)),
+            [none, none, none, none, pa.array(np.arange(SLICES, dtype=np.int32)), pa.array(np.full(SLICES, part, np.int32)),
              pa.array([squeeze(x.tobytes()) for x in np.split(sketch, SLICES)], pa.binary())],
             names,
         )
 
-    names = ["doc_id", "n", "set", "slice", "part", "counts"]
-    schema = "doc_id long, n long, set long, slice int, part int, counts binary"
-    return documents.select("doc_id", "text").mapInArrow(run, schema)
+    names = ["row", "doc_id", "n", "set", "slice", "part", "counts"]
+    schema = "row long, doc_id long, n long, set long, slice int, part int, counts binary"
+    return documents.select("_row", "doc_id", "text").mapInArrow(run, schema)
 
 
 def sketch_ranks(facts: DataFrame) -> np.ndarray:
@@ -210,19 +224,11 @@ def texts_of(documents: DataFrame, facts: DataFrame, wanted: DataFrame) -> DataF
 
     Every later join by ``set`` then moves the other side only.
     """
-    first = facts.where("n > 0").groupBy("set").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id")).alias("first"))
-    ids = cut_lineage(wanted.select("set").distinct().join(first, "set").select("set", F.col("first.doc_id").alias("of")))
+    first = facts.where("n > 0").groupBy("set").agg(F.min("row").alias("of"))
+    ids = cut_lineage(wanted.select("set").distinct().join(first, "set").select("set", "of"))
     if ids.count() <= BROADCAST_ROWS:
         ids = F.broadcast(ids)
-    texts = documents.select("doc_id", "text").join(ids, F.col("doc_id").eqNullSafe(F.col("of")))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Keep texts whose set is the wanted one, where a doc_id stands for several texts."""
-        for batch in batches:
-            numbers = [set_id(m) for sets in shingle_sets(batch.column("text")) for m in sets]
-            yield batch.filter(pa.array(np.array(numbers, np.int64) == batch.column("set").to_numpy()))
-
-    found = texts.select("set", "text").mapInArrow(run, "set long, text string")
+    found = documents.select("_row", "text").join(ids, F.col("_row") == F.col("of")).select("set", "text")
     buckets = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return bucketed(found.repartition(buckets, "set"), buckets, "set")
 
@@ -388,16 +394,22 @@ def neighbour_pairs(left: DataFrame) -> DataFrame:
     return near.select(F.least("set", "before.set").alias("a"), F.greatest("set", "before.set").alias("b")).distinct()
 
 
-def near_duplicates(documents: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row."""
+def grouped(documents: DataFrame) -> DataFrame:
+    """(row, doc_id, n, component) of every row of ``documents``, which are ``numbered``."""
     facts = cut_lineage(set_facts(documents))
     sets = linked_sets(documents, facts)
-    docs = facts.where("slice IS NULL").select("doc_id", "n", "set")
+    docs = facts.where("slice IS NULL").select("row", "doc_id", "n", "set")
     if sets is None:
         found = docs.withColumn("component", F.col("set"))
     else:
         found = docs.join(sets.withColumnRenamed("node", "set"), "set", "left")
         found = found.withColumn("component", F.coalesce("component", "set"))
+    return found.select("row", "doc_id", "n", "component")
+
+
+def near_duplicates(documents: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every row."""
+    found = grouped(numbered(documents))
     names = found.where("n > 0").groupBy("component").agg(F.min("doc_id").alias("component_id"))
     joined = found.join(names, "component", "left")
     own = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
@@ -405,18 +417,19 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
 
 
 def one_of_each(documents: DataFrame) -> DataFrame:
-    """One document of each group, the one whose doc_id names the component; the columns stay.
+    """One row of each group, the first by (doc_id, row) with null ids last; the columns stay.
 
-    Of rows that repeat this doc_id one stays. Rows without a doc_id stay all.
+    Rows are told apart by number, so rows that repeat a doc_id or have none are
+    documents of their own. Those without a word link with nothing and stay all.
     """
-    names = cut_lineage(near_duplicates(documents).where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct())
+    rows = numbered(documents)
+    found = grouped(rows)
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
+    first = found.where("n > 0").groupBy("component").agg(F.min(order).alias("first")).select(F.col("first.row").alias("_kept"))
+    names = cut_lineage(first.union(found.where("n = 0").select("row")))
     if names.count() <= BROADCAST_ROWS:
         names = F.broadcast(names)
-    kept = documents.join(names, F.col("doc_id") == F.col("_kept"), "left_semi")
-    repeated = kept.groupBy("doc_id").count().where("count > 1")
-    if not repeated.isEmpty():
-        kept = kept.dropDuplicates(["doc_id"])
-    return kept.union(documents.where("doc_id IS NULL"))
+    return rows.join(names, F.col("_row") == F.col("_kept"), "left_semi").drop("_row")
 
 
 def op2_jaccard(spark, sf_dir) -> DataFrame:

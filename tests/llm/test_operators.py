@@ -93,6 +93,26 @@ def test_near_duplicates_equal_all_pairs(docs, empty):
     assert jaccard.near_duplicates(empty).count() == 0
 
 
+def test_one_of_each_keeps_one_row_of_every_group(spark, docs, empty, tmp_path):
+    long = [" ".join(f"{c}{i}" for i in range(60)) for c in "abcdef"]
+    near = [f"{t} end" for t in long]
+    rows = [
+        (3, long[0]), (5, long[1]), (5, near[0]),  # one text of id 5 stands alone, the other is near 3
+        (7, long[2]), (None, near[2]),  # an absent id near a number
+        (None, long[3]), (None, near[3]), (None, long[3]),  # a group of absent ids
+        (9, long[4]), (9, long[5]), (9, long[4]), (None, None), (None, ""), (1, ""), (1, None),
+    ]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    table.repartition(3).write.parquet(str(tmp_path / "rows"))
+    for given in (spark.read.parquet(str(tmp_path / "rows")), table.repartition(4)):
+        got = collections.Counter((r.doc_id, r.text) for r in jaccard.one_of_each(given).collect())
+        absent = [k for k in got if k[0] is None and k[1]]
+        assert len(absent) == 1 and absent[0][1] in (long[3], near[3])
+        wanted = [(3, long[0]), (5, long[1]), (7, long[2]), absent[0], (9, long[4]), (9, long[5]), *rows[-4:]]
+        assert got == collections.Counter(wanted)
+    assert jaccard.one_of_each(docs).columns == docs.columns and jaccard.one_of_each(empty).count() == 0
+
+
 def test_tree_finds_every_pair_that_the_bound_allows():
     rng = np.random.default_rng(1)
     base = rng.poisson(2, (6, 64))
