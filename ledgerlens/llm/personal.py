@@ -1,7 +1,8 @@
 """Personal data by patterns and a semi-Markov conditional random field (operator 9).
 
-Fixed patterns give the base spans (email, ip, card, phone). Words with digits or
-``@`` that no base span covers form zones with a word of context on each side. In
+Fixed patterns give the base spans (email, ip, card, phone). Words with digits,
+``@`` or ``at`` in brackets that no base span covers, and words around a bare
+``at`` that a ``dot`` follows, form zones with a word of context on each side. In
 a zone a semi-Markov CRF scores every segment of up to ``LONGEST`` words under
 every kind by features of the whole segment (its character shape, its digits,
 validity checks, the word before it), and dynamic programming picks the best
@@ -10,7 +11,9 @@ joint choice of boundaries and kinds; segments it labels are added to the base.
 * The CRF is trained here by maximum likelihood on zones of a bounded sample of
   documents (``SAMPLE``, those with the smallest checksum of the id) whose labels
   are the base spans, and on variants of these that the patterns do not accept
-  (a phone number without ``+``, a card number in dots, an address with ``(at)``).
+  (a phone number without ``+``, a card number in dots, an address with ``(at)``,
+  ``[at]`` or `` at ... dot ``). Zones without a span serve as outside, except
+  where they resemble an entity: those may be forms that the patterns miss.
 * Null and empty texts have no spans. Spans are in code points, end exclusive.
 * Rows are judged by themselves; repeated rows keep their own results. An empty
   table gives no rows. ``find`` reads doc_id and text only; ``masked`` returns
@@ -56,7 +59,12 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
-TRIGGER = re.compile(r"[0-9@]")
+TRIGGER = re.compile(r"[0-9@]|[(\[]at[)\]]", re.IGNORECASE)
+#: An address in words; its words open a zone like those with a trigger.
+SPELLED = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++\s++at\s+[A-Za-z0-9-]+(?:\s+dot\s+[A-Za-z0-9-]+)+", re.IGNORECASE)
+#: The forms of an ``at`` that stands for ``@``, and what no pattern accepts but an entity may look like.
+AT = re.compile(r"[(\[]at[)\]]|\sat\s.*\sdot\s", re.IGNORECASE)
+LIKENESS = re.compile(r"\S@\S|\S\s?[(\[]at[)\]]\s?\S|[0-9](?:[\s().-]*[0-9]){8}|[0-9]+(?:\.[0-9]+){3}", re.IGNORECASE)
 
 
 def luhn(digits: str) -> bool:
@@ -127,7 +135,7 @@ def features(words: list[str], i: int, j: int) -> list[str]:
         f"words={j - i}",
         f"digits={min(len(digits), 20)}",
         f"letters={min(letters, 6)}",
-        f"at={'@' in segment or '(at)' in segment}/{segment.rfind('.') > segment.find('@')}/{letters > 4}",
+        f"at={'@' in segment or bool(AT.search(segment))}/{segment.rfind('.') > segment.find('@')}/{letters > 4}",
         f"before={words[i - 1].lower().strip(':.,') if i else ''}",
     ]
     if letters == 0:
@@ -222,13 +230,17 @@ def zones_of(text: str, spans: list[tuple[int, int]], taken: list[tuple[int, int
             used[max(i, 0)] = True
             i += 1
     end = 0
-    hot = [k for k, (a, b) in enumerate(spans) if not used[k] and TRIGGER.search(text, a, b)]
+    opens = np.zeros(len(spans), bool)
+    opens[np.searchsorted(begins, [m.start() for m in TRIGGER.finditer(text)], side="right") - 1] = True
+    for m in SPELLED.finditer(text):
+        opens[int(np.searchsorted(begins, m.start(), side="right")) - 1 : int(np.searchsorted(begins, m.end()))] = True
+    hot = np.flatnonzero(opens & ~used).tolist()
     for k in hot:
         if k < end:
             continue
         low, high = k, k + 1
         low -= low > end and not used[low - 1]
-        while high < len(spans) and not used[high] and TRIGGER.search(text, *spans[high]):
+        while high < len(spans) and not used[high] and opens[high]:
             high += 1
         high += high < len(spans) and not used[high]
         end = high
@@ -246,19 +258,22 @@ def labelled_zone(text: str, span: tuple[int, int, int]) -> tuple[list[str], lis
     return left + inner + right, [(len(left), len(left) + len(inner), kind)]
 
 
-def variant(words: list[str], entity: tuple[int, int, int]) -> tuple[list[str], list[tuple[int, int, int]]] | None:
-    """The zone with its entity in a form that the patterns miss."""
+def variants(words: list[str], entity: tuple[int, int, int]) -> Iterator[tuple[list[str], list[tuple[int, int, int]]]]:
+    """The zone with its entity in forms that the patterns miss."""
     i, j, kind = entity
-    inner = words[i:j]
+    inner, forms = words[i:j], []
     if kind == 0:
-        inner = [inner[0].replace("@", "(at)")]
+        name, host = inner[0].split("@", 1)
+        forms = [[f"{name}(at){host}"], [f"{name}[at]{host}"]]
+        spelled = [name, "at", *" dot ".join(host.split(".")).split()]
+        if len(spelled) <= LONGEST:
+            forms.append(spelled)
     elif kind == 2 and len(inner) == 1 and inner[0].isdigit():
-        inner = [".".join(inner[0][k : k + 4] for k in range(0, len(inner[0]), 4))]
+        forms = [[".".join(inner[0][k : k + 4] for k in range(0, len(inner[0]), 4))]]
     elif kind == 3:
-        inner = inner[1:] if len(inner) > 2 else [inner[0].lstrip("+"), *inner[1:]]
-    else:
-        return None
-    return words[:i] + inner + words[j:], [(i, i + len(inner), kind)]
+        forms = [inner[1:] if len(inner) > 2 else [inner[0].lstrip("+"), *inner[1:]]]
+    for form in forms:
+        yield words[:i] + form + words[j:], [(i, i + len(form), kind)]
 
 
 def training_zones(text: str) -> Iterator[tuple[list[str], list[tuple[int, int, int]]]]:
@@ -268,12 +283,13 @@ def training_zones(text: str) -> Iterator[tuple[list[str], list[tuple[int, int,
         zone = labelled_zone(text, span)
         if zone:
             yield zone
-            other = variant(zone[0], zone[1][0])
-            if other:
-                yield other
+            yield from variants(zone[0], zone[1][0])
     spans = word_spans(text)
     for i, j in zones_of(text, spans, found):
-        yield [text[a:b] for a, b in spans[i : min(j, i + 4 * LONGEST)]], []
+        words = [text[a:b] for a, b in spans[i : min(j, i + 4 * LONGEST)]]
+        joined = " ".join(words)
+        if not LIKENESS.search(joined) and not SPELLED.search(joined):
+            yield words, []
 
 
 def fit(documents: DataFrame, sample: int = SAMPLE, most: int = ZONES) -> dict[str, np.ndarray]:
@@ -313,10 +329,18 @@ def added_spans(text: str, base: list[tuple[int, int, int]], weights: dict) -> l
 
 TRIGGERS = np.zeros(256, bool)
 TRIGGERS[list(b"0123456789@")] = True
+OPENS, CLOSES = np.zeros(256, bool), np.zeros(256, bool)
+OPENS[list(b"([ \t\n\v\f\r")] = CLOSES[list(b")] \t\n\v\f\r")] = True
 
 
 def with_trigger(texts: Texts) -> np.ndarray:
-    seen = np.concatenate([[0], np.cumsum(TRIGGERS[texts.data])])
+    """Texts with a digit or ``@``, or with the letters ``at`` between marks or spaces."""
+    data = texts.data
+    hot = TRIGGERS[data]
+    if len(data) > 3:
+        letters = (data[1:-2] | 0x20 == ord("a")) & (data[2:-1] | 0x20 == ord("t"))
+        hot[1:-2] |= letters & OPENS[data[:-3]] & CLOSES[data[3:]]
+    seen = np.concatenate([[0], np.cumsum(hot)])
     return seen[texts.offsets[1:]] > seen[texts.offsets[:-1]]
 
 

@@ -253,6 +253,30 @@ def test_field_finds_forms_the_patterns_miss(spark):
     assert personal.added_spans(clean, [], weights) == []
 
 
+def test_field_recalls_planted_forms_without_digits():
+    rng = np.random.default_rng(4)
+    names, hosts, filler = ["jane.doe", "sam", "max.roe", "kim_lee", "ada"], ["example.com", "mail.example.org", "site.net"], "please write soon to or the desk and ask for more of it at once".split()
+    some = lambda: " ".join(rng.choice(filler, 4))
+    address = lambda: f"{rng.choice(names)}@{rng.choice(hosts)}"
+    zones = [z for k in range(60) for z in personal.training_zones(f"{some()} {address()} {some()} {k} {some()}")]
+    weights = personal.train(zones)
+    found = total = 0
+    for at in ("(at)", "[at]", " at "):
+        for name in ("bob.ray", "lee"):
+            for host in ("corp.com", "shop.net"):
+                form = name + at + (host.replace(".", " dot ") if at == " at " else host)
+                text = f"write to {form} for more"
+                column = pa.array([text, "we sat at home"])
+                (seen, base, added), (_, _, clean) = personal.all_spans(column, weights)
+                found += (seen, base, added) == (text, [], [(9, 0, 9 + len(form))])
+                total += 1
+                assert clean == []
+    print("recall", found, total)
+    assert found >= 0.9 * total
+    missed = "call 456 555 2186 99 now"
+    assert not any(e == [] and "2186" in w for w, e in personal.training_zones(missed))
+
+
 def test_pipeline_runs_every_stage(spark):
     import corpus_pipeline
 
