@@ -27,6 +27,7 @@ and right extensions decides whether it is dropped.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +37,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.llm.bpe import expand_numbers, squeeze_numbers
 from ledgerlens.llm.fmindex import BiIndex
+from ledgerlens.llm.stored import bucketed
 from ledgerlens.llm.words import Texts, slices
 from ledgerlens.session import cut_lineage
 
@@ -43,9 +45,9 @@ LEAST = 30
 MOST = 2000
 #: An n-gram goes if one that holds it has at least 4 of 5 of its count.
 PART, WHOLE = 4, 5
-SHARD_BYTES = 8 << 20
-#: Words that wait in a task for their shards to fill.
-WAITING_BYTES = 3 * SHARD_BYTES
+SHARD_BYTES = 16 << 20
+#: Shards' worth of words that wait in a task, of all languages.
+WAITING = 3
 #: Bits of a word's place in its shard and of a shard's number in its partition.
 PLACE_BITS, SHARD_BITS, PART_BITS = 28, 14, 21
 
@@ -159,7 +161,7 @@ def shards_of(documents: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame
                     shard.add(data[byte_ends[low] : byte_ends[high]].copy(), lengths[low:high].astype(np.int32), fresh[low:high])
                     if shard.size >= shard_bytes:
                         yield from closed(lang)
-                while sum(s.size for s in open_shards.values()) > 3 * shard_bytes:
+                while sum(s.size for s in open_shards.values()) > WAITING * shard_bytes:
                     yield from closed(max(open_shards, key=lambda x: open_shards[x].size))
         for lang in list(open_shards):
             yield from closed(lang)
@@ -169,21 +171,24 @@ def shards_of(documents: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame
 
 def frequent_words(shards: DataFrame, least: int) -> DataFrame:
     """(shard, place, id, total, own, lang, word) of the words with ``least`` occurrences over all shards of a language."""
-    own = F.shiftleft("shard", PLACE_BITS) + F.col("place")
     same = Window.partitionBy("lang", "word")
-    rows = shards.where("place > 0").select("shard", "place", "lang", "word", "count", own.alias("here"))
+    here = (F.shiftleft("shard", PLACE_BITS) + F.col("place")).alias("here")
+    rows = shards.where("place > 0").select(here, "lang", "word", "count")
     rows = rows.select("*", F.sum("count").over(same).alias("total"), F.min("here").over(same).alias("id"))
     is_own = F.col("here") == F.col("id")
-    kept = rows.where(F.col("total") >= least)
-    return kept.select("shard", "place", "id", "total", is_own.alias("own"), "lang", F.when(is_own, F.col("word")).alias("word"))
+    return rows.where(F.col("total") >= least).select(
+        F.shiftright("here", PLACE_BITS).alias("shard"),
+        F.col("here").bitwiseAND((1 << PLACE_BITS) - 1).cast("int").alias("place"),
+        "id", "total", is_own.alias("own"), "lang", F.when(is_own, F.col("word")).alias("word"),
+    )
 
 
 class Sequence:
-    """A shard's sequence cut at rare words; words are renumbered from 1, with their ids and totals."""
+    """A shard's sequence cut at rare words; words are renumbered from 1, with their ids."""
 
-    def __init__(self, packed: bytes, place: np.ndarray, ids: np.ndarray, totals: np.ndarray):
+    def __init__(self, packed: bytes, place: np.ndarray, ids: np.ndarray):
         order = np.argsort(place)
-        self.ids, self.totals = ids[order], totals[order]
+        self.ids = ids[order]
         self.n_words = len(place) + 1
         sequence = expand_numbers(packed)
         number = np.zeros(max(int(sequence.max(initial=0)), int(place.max(initial=0))) + 1, np.int32)
@@ -212,40 +217,32 @@ class Sequence:
         return out
 
 
-def sequence_of(table: pa.Table) -> Sequence | None:
-    """From the rows of a shard: place 0 with the sequence, others with its frequent words; none without words."""
-    place = table.column("place").to_numpy()
-    packed = [p for p in table.column("packed").to_pylist() if p is not None]
-    if not packed or not (place > 0).any():
+def sequence_of(shard: pa.Table, words: pa.Table) -> Sequence | None:
+    """The one sequence of a shard, cut at all but its frequent ``words``; none where it has no such word."""
+    if not len(shard) or not len(words):
         return None
-    some = table.filter(pa.array(place > 0))
-    return Sequence(packed[0], *(some.column(c).to_numpy() for c in ("place", "id", "total")))
+    packed = shard.column("packed")[0].as_py()
+    return Sequence(packed, *(words.column(c).to_numpy() for c in ("place", "id")))
 
 
-def parts_of(shards: DataFrame, words: DataFrame) -> DataFrame:
-    """(shard, place, id, total, packed): each shard's sequence and frequent words."""
-    none = F.lit(None)
-    sequences = shards.where("place = 0").select(
-        "shard", "place", none.cast("long").alias("id"), none.cast("long").alias("total"), "packed"
-    )
-    return sequences.unionByName(words.select("shard", "place", "id", "total", none.cast("binary").alias("packed")))
+PAIRS = ["shard", "g1", "g2", "count"]
 
 
-def pairs_of(parts: DataFrame) -> DataFrame:
+def pairs_of(sequences: DataFrame, words: DataFrame) -> DataFrame:
     """(shard, g1, g2, count): pairs of frequent words in every shard."""
 
-    def run(table: pa.Table) -> pa.Table:
-        sequence = sequence_of(table)
-        shard = table.column("shard")[0].as_py()
+    def run(shard: pa.Table, words: pa.Table) -> pa.Table:
+        sequence = sequence_of(shard, words)
         if sequence is None:
-            return pa.table({c: np.zeros(0, np.int64) for c in ("shard", "g1", "g2", "count")})
+            return pa.table({c: np.zeros(0, np.int64) for c in PAIRS})
         index = BiIndex(sequence.words, sequence.n_words, 2)
         found = index.left(index.words())
-        ids = sequence.ids[found.words - 1]
-        columns = [np.full(len(ids), shard), ids[:, 0], ids[:, 1], found.count]
-        return pa.table(dict(zip(("shard", "g1", "g2", "count"), map(np.ascontiguousarray, columns))))
+        number = np.full(len(found.count), shard.column("shard")[0].as_py())
+        columns = [number, *(sequence.ids[w - 1] for w in found.words.T), found.count]
+        return pa.table(dict(zip(PAIRS, columns, strict=True)))
 
-    return parts.groupBy("shard").applyInArrow(run, "shard long, g1 long, g2 long, count long")
+    known = words.select("shard", "place", "id").groupBy("shard")
+    return sequences.groupBy("shard").cogroup(known).applyInArrow(run, ", ".join(f"{c} long" for c in PAIRS))
 
 
 def frequent_pairs(pairs: DataFrame, least: int) -> DataFrame:
@@ -257,51 +254,31 @@ def frequent_pairs(pairs: DataFrame, least: int) -> DataFrame:
     )
 
 
-GRAMS = ["g1", "g2", "g3", "g4", "count", "f_first", "f_two", "f_last_two", "f_last"]
+GRAMS = ["g1", "g2", "g3", "g4", "count"]
 
 
-def longer_of(parts: DataFrame, pairs: DataFrame) -> DataFrame:
-    """N-grams of three and four words (``g4`` is null for three) in every shard, made of frequent pairs only.
-
-    With each go the totals of its first word, first two, last two and last word.
-    """
-    extra = pairs.select(
-        "shard", F.lit(-1).alias("place"), F.lit(None).cast("long").alias("id"), "total",
-        F.lit(None).cast("binary").alias("packed"), "g1", "g2",
-    )
-    rows = parts.unionByName(extra, allowMissingColumns=True)
-    empty = pa.table({c: pa.array([], pa.int64()) for c in GRAMS})
+def longer_of(sequences: DataFrame, words: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(g1, g2, g3, g4, count): n-grams of three (``g4`` is null) and four words in every shard, made of frequent pairs."""
+    known = words.select("shard", "place", "id").unionByName(pairs.select("shard", "g1", "g2"), allowMissingColumns=True)
 
-    def run(table: pa.Table) -> pa.Table:
-        is_pair = pa.array(table.column("place").to_numpy() < 0)
-        found = table.filter(is_pair)
-        sequence = sequence_of(table)
+    def run(shard: pa.Table, known: pa.Table) -> pa.Table:
+        is_word = known.column("place").is_valid()
+        sequence = sequence_of(shard, known.filter(is_word))
+        found = known.filter(known.column("place").is_null())
         if sequence is None or not len(found):
-            return empty
-        first, second = (sequence.numbers_of(found.column(c).to_numpy()) for c in ("g1", "g2"))
-        keys = sequence.keys(first, second)
-        order = np.argsort(keys)
-        keys, pair_totals = keys[order], found.column("total").to_numpy()[order]
-        index = BiIndex(sequence.cut_between(keys), sequence.n_words, 4)
+            return pa.table({c: pa.array([], pa.int64()) for c in GRAMS})
+        keys = sequence.keys(*(sequence.numbers_of(found.column(c).to_numpy()) for c in ("g1", "g2")))
+        index = BiIndex(sequence.cut_between(np.sort(keys)), sequence.n_words, 4)
         three = index.right(index.left(index.words()))
-        four = index.left(three)
-
-        def total(one: np.ndarray, two: np.ndarray) -> np.ndarray:
-            return pair_totals[np.searchsorted(keys, sequence.keys(one, two))]
-
         parts = []
-        for grams in (three, four):
-            words = grams.words
-            ids = [pa.array(sequence.ids[words[:, j] - 1]) for j in range(words.shape[1])]
-            ids += [pa.nulls(len(words), pa.int64())] * (4 - len(ids))
-            ends = [
-                sequence.totals[words[:, 0] - 1], total(words[:, 0], words[:, 1]),
-                total(words[:, -2], words[:, -1]), sequence.totals[words[:, -1] - 1],
-            ]
-            parts.append(pa.table(dict(zip(GRAMS, [*ids, pa.array(grams.count), *map(pa.array, ends)]))))
+        for grams in (three, index.left(three)):
+            ids = [pa.array(sequence.ids[w - 1]) for w in grams.words.T]
+            ids += [pa.nulls(len(grams.count), pa.int64())] * (4 - len(ids))
+            parts.append(pa.table(dict(zip(GRAMS, [*ids, pa.array(grams.count)], strict=True))))
         return pa.concat_tables(parts)
 
-    return rows.groupBy("shard").applyInArrow(run, ", ".join(f"{c} long" for c in GRAMS))
+    both = sequences.groupBy("shard").cogroup(known.groupBy("shard"))
+    return both.applyInArrow(run, ", ".join(f"{c} long" for c in GRAMS))
 
 
 def score(l: Column, r: Column) -> Column:  # noqa: E741
@@ -322,57 +299,57 @@ def lowest_cut(*cuts: tuple[Column, Column]) -> Column:
 
 def not_inside(grams: DataFrame, longer: DataFrame, n: int) -> DataFrame:
     """N-grams of ``n`` words without those that a longer one holds with nearly their count."""
-    names = [f"g{i}" for i in range(1, n + 1)]
-    held = [longer.select(*[F.col(f"g{i + shift}").alias(f"g{i}") for i in range(1, n + 1)], F.col("a").alias("around")) for shift in (0, 1)]
+    names = numbered(1, n)
+    held = [
+        longer.select(*[F.col(g).alias(name) for g, name in zip(numbered(first, n), names)], F.col("a").alias("around"))
+        for first in (1, 2)
+    ]
     largest = held[0].unionByName(held[1]).groupBy(*names).agg(F.max("around").alias("around"))
     joined = grams.join(largest, names, "left")
     return joined.where(F.col("around").isNull() | (F.col("around") * WHOLE < F.col("a") * PART)).drop("around")
 
 
+def numbered(first: int, n: int) -> list[str]:
+    return [f"g{i}" for i in range(first, first + n)]
+
+
+def with_cut(grams: DataFrame, n: int, counts: dict[int, DataFrame]) -> DataFrame:
+    """N-grams of ``n`` words as (ids, a, score, k, l, r); the counts of all their parts are joined."""
+    for k in range(1, n):
+        for side, first, size in (("l", 1, k), ("r", k + 1, n - k)):
+            names = numbered(first, size)
+            renamed = [F.col(own).alias(name) for own, name in zip(numbered(1, size), names)]
+            grams = grams.join(counts[size].select(*renamed, F.col("a").alias(f"{side}{k}")), names)
+    cut = lowest_cut(*[(F.col(f"l{k}"), F.col(f"r{k}")) for k in range(1, n)])
+    return grams.select(F.array(*numbered(1, n)).alias("ids"), "a", cut).select("ids", "a", "cut.*")
+
+
 def collocations(
     documents: DataFrame, least: int = LEAST, most: int = MOST, shard_bytes: int = SHARD_BYTES
 ) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): each language's first ``most`` phrases."""
-    spark = documents.sparkSession
-    shards = cut_lineage(shards_of(documents, shard_bytes))
+    partitions = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # In buckets of the shard, the sequences stay where they are while words and pairs come to them.
+    shards = bucketed(shards_of(documents, shard_bytes), partitions, "shard")
+    sequences = shards.where("place = 0").select("shard", "packed")
     words = cut_lineage(frequent_words(shards, least))
-    parts = parts_of(shards, words)
-    pairs = cut_lineage(frequent_pairs(pairs_of(parts), least))
-    keys = ["g1", "g2", "g3", "g4"]
-    summed = longer_of(parts, pairs).groupBy(*keys).agg(
-        F.sum("count").alias("a"), *[F.max(c).alias(c) for c in GRAMS[5:]]
-    )
-    longer = cut_lineage(summed.where(F.col("a") >= least))
+    pairs = cut_lineage(frequent_pairs(pairs_of(sequences, words), least))
+    longer = longer_of(sequences, words, pairs).groupBy(GRAMS[:4]).agg(F.sum("count").alias("a"))
+    longer = cut_lineage(longer.where(F.col("a") >= least))
 
     known = words.where("own").select("id", "lang", "word", "total")
+    one = known.select(F.col("id").alias("g1"), F.col("total").alias("a"))
     two = pairs.where("own").select("g1", "g2", F.col("total").alias("a"))
     three, four = longer.where("g4 is null").drop("g4"), longer.where("g4 is not null")
-
-    ends = {n: known.select(F.col("id").alias(f"g{n}"), F.col("total").alias(f"f{n}")) for n in (1, 2)}
-    of_two = not_inside(two, three, 2).join(ends[1], "g1").join(ends[2], "g2")
-    of_two = of_two.withColumn("cut", lowest_cut((F.col("f1"), F.col("f2"))))
-    of_three = not_inside(three, four, 3).withColumn(
-        "cut", lowest_cut((F.col("f_first"), F.col("f_last_two")), (F.col("f_two"), F.col("f_last")))
-    )
-    sides = [three.select(*[F.col(f"g{i}").alias(f"g{i + s}") for i in (1, 2, 3)], F.col("a").alias(name)) for s, name in ((0, "f_three"), (1, "f_last_three"))]
-    of_four = four.join(sides[0], ["g1", "g2", "g3"]).join(sides[1], ["g2", "g3", "g4"])
-    of_four = of_four.withColumn(
-        "cut",
-        lowest_cut(
-            (F.col("f_first"), F.col("f_last_three")), (F.col("f_two"), F.col("f_last_two")), (F.col("f_three"), F.col("f_last"))
-        ),
-    )
-
-    def entry(grams: DataFrame, n: int) -> DataFrame:
-        return grams.select(F.array(*keys[:n]).alias("ids"), "a", "cut.*", "g1")
-
-    phrases = entry(of_two, 2).unionAll(entry(of_three, 3)).unionAll(entry(of_four, 4))
-    phrases = phrases.join(known.select(F.col("id").alias("g1"), "lang"), "g1").drop("g1", "k")
+    counts = {1: one, 2: two, 3: three}
+    kept = {2: not_inside(two, three, 2), 3: not_inside(three, four, 3), 4: four}
+    phrases = reduce(DataFrame.unionAll, [with_cut(grams, n, counts) for n, grams in kept.items()]).drop("k")
+    langs = known.select(F.col("id").alias("first"), "lang")
+    phrases = phrases.withColumn("first", F.col("ids")[0]).join(langs, "first").drop("first")
 
     # The first of every salt, then of all, ties included: no task ranks all phrases of a language.
-    salts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [F.desc("score"), F.desc("a")]
-    phrases = phrases.withColumn("salt", F.pmod(F.hash("ids"), F.lit(salts)))
+    phrases = phrases.withColumn("salt", F.pmod(F.hash("ids"), F.lit(partitions)))
     for group in (["lang", "salt"], ["lang"]):
         place = F.rank().over(Window.partitionBy(*group).orderBy(*order))
         phrases = phrases.withColumn("place", place).where(F.col("place") <= most).drop("place")
