@@ -169,6 +169,11 @@ def shards_of(documents: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame
     return rows.mapInArrow(run, SHARDS)
 
 
+def low_bits(name: str) -> Column:
+    """What follows the shard's number."""
+    return F.col(name).bitwiseAND((1 << PLACE_BITS) - 1)
+
+
 def frequent_words(shards: DataFrame, least: int) -> DataFrame:
     """(shard, place, id, total, own, lang, word) of the words with ``least`` occurrences over all shards of a language."""
     same = Window.partitionBy("lang", "word")
@@ -178,7 +183,7 @@ def frequent_words(shards: DataFrame, least: int) -> DataFrame:
     is_own = F.col("here") == F.col("id")
     return rows.where(F.col("total") >= least).select(
         F.shiftright("here", PLACE_BITS).alias("shard"),
-        F.col("here").bitwiseAND((1 << PLACE_BITS) - 1).cast("int").alias("place"),
+        low_bits("here").cast("int").alias("place"),
         "id", "total", is_own.alias("own"), "lang", F.when(is_own, F.col("word")).alias("word"),
     )
 
@@ -225,11 +230,14 @@ def sequence_of(shard: pa.Table, words: pa.Table) -> Sequence | None:
     return Sequence(packed, *(words.column(c).to_numpy() for c in ("place", "id")))
 
 
-PAIRS = ["shard", "g1", "g2", "count"]
+PAIRS = ["g1", "g2", "held"]
 
 
 def pairs_of(sequences: DataFrame, words: DataFrame) -> DataFrame:
-    """(shard, g1, g2, count): pairs of frequent words in every shard."""
+    """(g1, g2, held): pairs of frequent words in every shard.
+
+    ``held`` is the shard's number followed by the count, in ``PLACE_BITS`` bits: these rows are most of what moves.
+    """
 
     def run(shard: pa.Table, words: pa.Table) -> pa.Table:
         sequence = sequence_of(shard, words)
@@ -237,8 +245,8 @@ def pairs_of(sequences: DataFrame, words: DataFrame) -> DataFrame:
             return pa.table({c: np.zeros(0, np.int64) for c in PAIRS})
         index = BiIndex(sequence.words, sequence.n_words, 2)
         found = index.left(index.words())
-        number = np.full(len(found.count), shard.column("shard")[0].as_py())
-        columns = [number, *(sequence.ids[w - 1] for w in found.words.T), found.count]
+        held = (shard.column("shard")[0].as_py() << PLACE_BITS) + found.count
+        columns = [*(sequence.ids[w - 1] for w in found.words.T), held]
         return pa.table(dict(zip(PAIRS, columns, strict=True)))
 
     known = words.select("shard", "place", "id").groupBy("shard")
@@ -248,9 +256,12 @@ def pairs_of(sequences: DataFrame, words: DataFrame) -> DataFrame:
 def frequent_pairs(pairs: DataFrame, least: int) -> DataFrame:
     """(shard, g1, g2, total, own) of the pairs with ``least`` occurrences over all shards."""
     same = Window.partitionBy("g1", "g2")
-    rows = pairs.select("*", F.sum("count").over(same).alias("total"), F.min("shard").over(same).alias("first"))
+    # Dealt first, as the count would be taken out of ``held`` and sent along otherwise.
+    rows = pairs.repartition("g1", "g2").select(
+        "*", F.sum(low_bits("held")).over(same).alias("total"), F.min("held").over(same).alias("first")
+    )
     return rows.where(F.col("total") >= least).select(
-        "shard", "g1", "g2", "total", (F.col("shard") == F.col("first")).alias("own")
+        F.shiftright("held", PLACE_BITS).alias("shard"), "g1", "g2", "total", (F.col("held") == F.col("first")).alias("own")
     )
 
 
