@@ -279,31 +279,66 @@ def chunk_ids(texts: list[bytes], commonest: np.ndarray, words: pa.Table) -> Ite
         yield ragged(ids, starts[numbers], lengths[numbers])
 
 
+def dealt(documents: DataFrame, ranks_path: str, buckets: int | None, chunk_bytes: int):
+    """Positions and encoded words of all chunks, grouped by chunk to be put together."""
+    if buckets is None:
+        buckets = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = bucketed(cut_documents(documents, buckets, chunk_bytes), buckets, "chunk")
+    positions = parts.where("bucket < 0").select("chunk", "place", "doc_id", "packed")
+    return positions.groupBy("chunk").cogroup(encode_words(parts, ranks_path).groupBy("chunk"))
+
+
+def put_together(positions: pa.Table, words: pa.Table) -> tuple[pa.ChunkedArray, Iterator[np.ndarray]]:
+    """The doc_ids of a chunk and each text's ids."""
+    positions = positions.sort_by("place")
+    order, *texts = positions.column("packed").to_pylist()
+    return positions.column("doc_id")[1:], chunk_ids(texts, expand_numbers(order), words)
+
+
 def encode(
     documents: DataFrame, ranks_path: str, buckets: int | None = None, chunk_bytes: int = CHUNK_BYTES
 ) -> DataFrame:
     """(doc_id, n_tokens, ids array<int>) of every row."""
-    if buckets is None:
-        buckets = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts = bucketed(cut_documents(documents, buckets, chunk_bytes), buckets, "chunk")
 
     def run(positions: pa.Table, words: pa.Table) -> pa.Table:
-        positions = positions.sort_by("place")
-        order, *texts = positions.column("packed").to_pylist()
-        lists = list(chunk_ids(texts, expand_numbers(order), words))
+        doc_ids, texts = put_together(positions, words)
+        lists = list(texts)
         ends = np.cumsum([0, *map(len, lists)], dtype=np.int64)
         values = np.concatenate(lists) if lists else np.zeros(0, np.uint32)
         if ends[-1] >= 2**31:
             raise ValueError("a chunk has too many ids; use a smaller chunk_bytes")
         column = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values.view(np.int32)))
-        return pa.table({"doc_id": positions.column("doc_id")[1:], "n_tokens": np.diff(ends), "ids": column})
+        return pa.table({"doc_id": doc_ids, "n_tokens": np.diff(ends), "ids": column})
 
-    positions = parts.where("bucket < 0").select("chunk", "place", "doc_id", "packed")
-    words = encode_words(parts, ranks_path)
-    both = positions.groupBy("chunk").cogroup(words.groupBy("chunk"))
+    both = dealt(documents, ranks_path, buckets, chunk_bytes)
     return both.applyInArrow(run, "doc_id long, n_tokens long, ids array<int>")
 
 
+def digests(
+    documents: DataFrame, ranks_path: str, buckets: int | None = None, chunk_bytes: int = CHUNK_BYTES
+) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256): encoded, decoded and digested where a chunk is put together.
+
+    The ids never leave the task, which needs one Python worker instead of two.
+    """
+
+    def run(positions: pa.Table, words: pa.Table) -> pa.Table:
+        tokens = Tokens(load_ranks(ranks_path))
+        doc_ids, texts = put_together(positions, words)
+        sizes, id_hashes, hashes = [], [], []
+        for ids in texts:
+            sizes.append(len(ids))
+            id_hashes.append(tokens.digest_of_ids(ids))
+            hashes.append(hashlib.sha256(tokens.text_of(ids)).hexdigest())
+        return pa.table(
+            {"doc_id": doc_ids, "n_tokens": pa.array(sizes, pa.int64()),
+             "ids_sha256": pa.array(id_hashes, pa.string()), "decoded_sha256": pa.array(hashes, pa.string())}
+        )
+
+    both = dealt(documents, ranks_path, buckets, chunk_bytes)
+    return both.applyInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+
+
 def token_table(ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Bytes of all tokens end to end, with start and length by id."""
     size = max(ranks.values()) + 1
@@ -314,37 +349,38 @@ def token_table(ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.nda
     return np.frombuffer(b"".join(tokens), np.uint8), np.cumsum(lengths) - lengths, lengths
 
 
-def decode(encoded: DataFrame, ranks_path: str, digest: bool = False) -> DataFrame:
-    """``encoded`` with the column ``bytes``; with ``digest``, ids and bytes give way to their SHA-256."""
-    kept = [c for c in encoded.columns if not digest or c != "ids"]
+class Tokens:
+    """The token-byte table, joined to ids."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.values, self.starts, self.lengths = token_table(ranks)
+        self.names = np.array([str(i) for i in range(len(self.lengths))], object)
+
+    def text_of(self, ids: np.ndarray) -> bytes:
+        return ragged(self.values, self.starts[ids], self.lengths[ids]).tobytes()
+
+    def digest_of_ids(self, ids: np.ndarray) -> str:
+        return hashlib.sha256(",".join(self.names[ids]).encode()).hexdigest()
+
+    def check(self, ids: np.ndarray) -> None:
+        if len(ids) and (ids.min() < 0 or ids.max() >= len(self.lengths) or not self.lengths[ids].all()):
+            raise KeyError("an id is not in the vocabulary")
+
+
+def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
+    """``encoded`` with the column ``bytes``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        values, starts, lengths = token_table(load_ranks(ranks_path))
-        names = np.array([str(i) for i in range(len(lengths))], object)
+        tokens = Tokens(load_ranks(ranks_path))
         for batch in batches:
             column = batch.column("ids")
             flat, bounds = column.flatten().to_numpy(), np.concatenate([[0], np.cumsum(_list_sizes(column))])
-            if len(flat) and (flat.min() < 0 or flat.max() >= len(lengths) or not lengths[flat].all()):
-                raise KeyError("an id is not in the vocabulary")
-            bytes_of, id_hashes = [], []
-            for i in range(len(column)):
-                ids = flat[bounds[i] : bounds[i + 1]]
-                text = ragged(values, starts[ids], lengths[ids]).tobytes()
-                bytes_of.append(hashlib.sha256(text).hexdigest() if digest else text)
-                if digest:
-                    id_hashes.append(hashlib.sha256(",".join(names[ids]).encode()).hexdigest())
-            columns = [batch.column(c) for c in kept]
-            if digest:
-                yield pa.RecordBatch.from_arrays(
-                    [*columns, pa.array(id_hashes, pa.string()), pa.array(bytes_of, pa.string())],
-                    [*kept, "ids_sha256", "decoded_sha256"],
-                )
-            else:
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(bytes_of, pa.binary())], [*kept, "bytes"])
+            tokens.check(flat)
+            texts = [tokens.text_of(flat[bounds[i] : bounds[i + 1]]) for i in range(len(column))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.binary())], [*batch.schema.names, "bytes"])
 
     types = {f.name: f.dataType.simpleString() for f in encoded.schema.fields}
-    added = "ids_sha256 string, decoded_sha256 string" if digest else "`bytes` binary"
-    schema = ", ".join([*(f"`{c}` {types[c]}" for c in kept), added])
+    schema = ", ".join([*(f"`{c}` {types[c]}" for c in encoded.columns), "`bytes` binary"])
     return encoded.mapInArrow(run, schema)
 
 
@@ -361,6 +397,4 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
 
 
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = vocabulary_path()
-    encoded = encode(spark.read.parquet(f"{sf_dir}/documents.parquet"), path)
-    return decode(encoded, path, digest=True)
+    return digests(spark.read.parquet(f"{sf_dir}/documents.parquet"), vocabulary_path())

@@ -41,7 +41,17 @@ from pyspark.sql import functions as F
 from ledgerlens.llm.graph import components
 from ledgerlens.llm.rtree import RTree, group_counts
 from ledgerlens.llm.stored import bucketed, expand, squeeze
-from ledgerlens.llm.words import constants, find_words, mix, slices, span_hashes, window_hashes, window_inside
+from ledgerlens.llm.words import (
+    constants,
+    find_words,
+    mix,
+    quoted,
+    slices,
+    span_hashes,
+    unused,
+    window_hashes,
+    window_inside,
+)
 from ledgerlens.session import cut_lineage
 
 SHINGLE = 5
@@ -90,8 +100,8 @@ def set_id(members: np.ndarray) -> int:
     return int(whole.view(np.int64)[0]) or 1
 
 
-def numbered(documents: DataFrame) -> DataFrame:
-    """``documents`` with a number ``_row`` of its own for every row.
+def numbered(documents: DataFrame, row: str) -> DataFrame:
+    """``documents`` with a number of its own for every row, as column ``row``.
 
     Numbers follow the order of reading, which only a plain scan of files repeats
     whatever columns are read; anything else is stored first.
@@ -101,25 +111,24 @@ def numbered(documents: DataFrame) -> DataFrame:
         node = node.children().head()
     if node.nodeName() != "LogicalRelation":
         documents = cut_lineage(documents)
-    return documents.withColumn("_row", F.monotonically_increasing_id())
+    return documents.withColumn(row, F.monotonically_increasing_id())
 
 
-def set_facts(documents: DataFrame) -> DataFrame:
+def set_facts(documents: DataFrame, row: str) -> DataFrame:
     """(row, doc_id, n, set) of every row; rows with a ``slice`` hold that part of a task's sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = np.zeros(SKETCH, np.uint32)
         for batch in batches:
-            sizes, numbers, cells = [], [], []
+            sizes, numbers = [], []
             for sets in shingle_sets(batch.column("text")):
                 for members in sets:
                     sizes.append(len(members))
                     numbers.append(set_id(members))
-                    cells.append((members % np.uint64(SKETCH)).astype(np.uint32))
-            if cells:
-                sketch += np.bincount(np.concatenate(cells), minlength=SKETCH).astype(np.uint32)
+                cells, times = np.unique(np.concatenate(sets) % np.uint64(SKETCH), return_counts=True)
+                sketch[cells.astype(np.int64)] += times.astype(np.uint32)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("_row"), batch.column("doc_id").cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(numbers, pa.int64()),
+                [batch.column(row), batch.column("doc_id").cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(numbers, pa.int64()),
                  pa.nulls(len(sizes), pa.int32()), pa.nulls(len(sizes), pa.int32()), pa.nulls(len(sizes), pa.binary())],
                 names,
             )
@@ -132,7 +141,7 @@ def set_facts(documents: DataFrame) -> DataFrame:
 
     names = ["row", "doc_id", "n", "set", "slice", "part", "counts"]
     schema = "row long, doc_id long, n long, set long, slice int, part int, counts binary"
-    return documents.select("_row", "doc_id", "text").mapInArrow(run, schema)
+    return documents.select(row, "doc_id", "text").mapInArrow(run, schema)
 
 
 def sketch_ranks(facts: DataFrame) -> np.ndarray:
@@ -219,7 +228,7 @@ def meeting(rows: DataFrame) -> DataFrame:
     return some.select("key", "salt", "set", "n", partner.alias("partner"), F.col("lead.set").alias("lead"), F.col("lead.n").alias("lead_n"))
 
 
-def texts_of(documents: DataFrame, facts: DataFrame, wanted: DataFrame) -> DataFrame:
+def texts_of(documents: DataFrame, row: str, facts: DataFrame, wanted: DataFrame) -> DataFrame:
     """(set, text): the text of one document of each wanted set, stored in buckets of ``set``.
 
     Every later join by ``set`` then moves the other side only.
@@ -228,7 +237,8 @@ def texts_of(documents: DataFrame, facts: DataFrame, wanted: DataFrame) -> DataF
     ids = cut_lineage(wanted.select("set").distinct().join(first, "set").select("set", "of"))
     if ids.count() <= BROADCAST_ROWS:
         ids = F.broadcast(ids)
-    found = documents.select("_row", "text").join(ids, F.col("_row") == F.col("of")).select("set", "text")
+    texts = documents.select(F.col(row).alias("of"), "text")
+    found = texts.join(ids, "of").select("set", "text")
     buckets = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return bucketed(found.repartition(buckets, "set"), buckets, "set")
 
@@ -332,7 +342,7 @@ def tree_pairs(rows: DataFrame, points: DataFrame, spanning: bool) -> DataFrame:
     return dealt.groupBy("cell", "one", "two").applyInArrow(run, "a long, b long").distinct()
 
 
-def linked_sets(documents: DataFrame, facts: DataFrame) -> DataFrame | None:
+def linked_sets(documents: DataFrame, row: str, facts: DataFrame) -> DataFrame | None:
     """(set, component) of the sets that link with another; None where none can."""
     docs = facts.where("slice IS NULL").count()
     ranks = sketch_ranks(facts)
@@ -341,7 +351,7 @@ def linked_sets(documents: DataFrame, facts: DataFrame) -> DataFrame | None:
     if rows.isEmpty():
         return None
     facts = facts.where("slice IS NULL")
-    texts = texts_of(documents, facts, rows)
+    texts = texts_of(documents, row, facts, rows)
     leads = rows.where("salt > 0").groupBy("key").agg(F.min(F.struct("n", "set")).alias("low"), F.max(F.struct("n", "set")).alias("high"))
     leads = leads.where(F.col("low") != F.col("high")).select("key", F.col("low.set").alias("first"), F.col("low.n").alias("first_n"))
     stars = rows.select(F.col("partner").alias("a"), F.col("set").alias("b"))
@@ -394,10 +404,10 @@ def neighbour_pairs(left: DataFrame) -> DataFrame:
     return near.select(F.least("set", "before.set").alias("a"), F.greatest("set", "before.set").alias("b")).distinct()
 
 
-def grouped(documents: DataFrame) -> DataFrame:
-    """(row, doc_id, n, component) of every row of ``documents``, which are ``numbered``."""
-    facts = cut_lineage(set_facts(documents))
-    sets = linked_sets(documents, facts)
+def grouped(documents: DataFrame, row: str) -> DataFrame:
+    """(row, doc_id, n, component) of every row of ``documents``, which are ``numbered`` in column ``row``."""
+    facts = cut_lineage(set_facts(documents, row))
+    sets = linked_sets(documents, row, facts)
     docs = facts.where("slice IS NULL").select("row", "doc_id", "n", "set")
     if sets is None:
         found = docs.withColumn("component", F.col("set"))
@@ -409,7 +419,8 @@ def grouped(documents: DataFrame) -> DataFrame:
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row."""
-    found = grouped(numbered(documents))
+    row = unused("_row", documents.columns)
+    found = grouped(numbered(documents, row), row)
     names = found.where("n > 0").groupBy("component").agg(F.min("doc_id").alias("component_id"))
     joined = found.join(names, "component", "left")
     own = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
@@ -422,14 +433,15 @@ def one_of_each(documents: DataFrame) -> DataFrame:
     Rows are told apart by number, so rows that repeat a doc_id or have none are
     documents of their own. Those without a word link with nothing and stay all.
     """
-    rows = numbered(documents)
-    found = grouped(rows)
+    row = unused("_row", documents.columns)
+    rows = numbered(documents, row)
+    found = grouped(rows, row)
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
-    first = found.where("n > 0").groupBy("component").agg(F.min(order).alias("first")).select(F.col("first.row").alias("_kept"))
+    first = found.where("n > 0").groupBy("component").agg(F.min(order).alias("first")).select(F.col("first.row").alias(row))
     names = cut_lineage(first.union(found.where("n = 0").select("row")))
     if names.count() <= BROADCAST_ROWS:
         names = F.broadcast(names)
-    return rows.join(names, F.col("_row") == F.col("_kept"), "left_semi").drop("_row")
+    return rows.join(names, row, "left_semi").select(*[F.col(quoted(c)) for c in documents.columns])
 
 
 def op2_jaccard(spark, sf_dir) -> DataFrame:

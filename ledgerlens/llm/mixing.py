@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.words import WORD
+from ledgerlens.llm.words import WORD, quoted, unused
 from ledgerlens.session import cut_lineage
 
 WEIGHTS = (5, 2, 1)
@@ -101,15 +101,16 @@ def mixed(
     """Every document as often as the mix takes it, with the columns of ``documents``."""
     sums = documents.groupBy("source").agg(F.sum(word_count(F.col("text"))).alias("source_size"))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(1.0)
-    rates = cut_lineage(source_targets(sums, weights, limit).select(F.col("source").alias("_of"), rate.alias("_rate")))
-    whole = F.floor("_rate")
-    copies = whole + (draw(F.col("doc_id"), seed) < F.col("_rate") - whole).cast("long")
+    of, at, copies, copy = (unused(name, documents.columns) for name in ("_of", "_rate", "_copies", "_copy"))
+    rates = cut_lineage(source_targets(sums, weights, limit).select(F.col("source").alias(of), rate.alias(at)))
+    whole = F.floor(at)
+    taken = whole + (draw(F.col("doc_id"), seed) < F.col(at) - whole).cast("long")
     return (
-        documents.join(rates, F.col("source").eqNullSafe(F.col("_of")))
-        .withColumn("_copies", copies)
-        .where(F.col("_copies") > 0)
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
-        .select(*documents.columns)
+        documents.join(rates, F.col("source").eqNullSafe(F.col(of)))
+        .withColumn(copies, taken)
+        .where(F.col(copies) > 0)
+        .withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies))))
+        .select(*[F.col(quoted(c)) for c in documents.columns])
     )
 
 

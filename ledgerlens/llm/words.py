@@ -8,7 +8,7 @@ bounded size (one text at least), so memory follows the longest text.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,6 +19,18 @@ WORD = r"[^\x20\x09-\x0D]+"
 SLICE_BYTES = 1 << 20
 
 
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def unused(name: str, columns: Iterable[str]) -> str:
+    """``name``, or a longer one where a column has it, in whatever case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def constants(seed: int, n: int) -> np.ndarray:
     return np.random.Generator(np.random.PCG64(seed)).integers(1, 2**64 - 1, n, dtype=np.uint64)
 
