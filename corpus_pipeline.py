@@ -34,8 +34,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens and the digests of the ids and of the bytes they decode to."""
-    path = bpe.vocabulary_path()
-    return bpe.decode(bpe.encode(docs, path), path, digest=True)
+    return bpe.digests(docs, bpe.vocabulary_path())
 
 
 STAGES = [
@@ -46,7 +45,7 @@ STAGES = [
     ("byte-level BPE", encoding_stage),
 ]
 
-#: The field of personal data and the encoder have no SQL form; tests compare with brute force.
+#: The field of personal data and the encoder have no SQL form; a test compares every row with brute force.
 ORACLE_SQL = None
 
 
