@@ -37,7 +37,7 @@ from ledgerlens.llm.words import Texts, slices, span_hashes, string_buffers
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Text bytes of a chunk; its positions and its dictionary are in memory together.
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20
 
 OTHER, LETTER, NUMBER, WHITE = 0, 1, 2, 3
 
