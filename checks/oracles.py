@@ -1,7 +1,8 @@
 """The same queries as SQL for DuckDB over the test tables.
 
 Conventions: times are zoneless, seconds are floored, sums are cast to the type
-Spark gives them, and rounded values get the nudge of ``stable_round``.
+Spark gives them. Money is summed as whole numbers of 1/10000, and its rounded sums, means
+and percentiles come from the exact numerator and denominator; other doubles are rounded plainly.
 """
 
 from __future__ import annotations
@@ -10,12 +11,36 @@ from checks.adapters import AS_OF, ENDPOINT, VALIDATION_START
 
 
 def rounded(value: str, digits: int) -> str:
-    return f"round(({value}) + sign({value}) * 1e-9, {digits})"
+    return f"round({value}, {digits})"
+
+
+def half_up(numerator: str, denominator: str, digits: int) -> str:
+    """Quotient of whole numbers, ties away from zero."""
+    top, over = f"CAST({numerator} AS HUGEINT) * {10**digits}", f"nullif(CAST({denominator} AS HUGEINT), 0)"
+    return f"CAST(sign({numerator}) * ((2 * abs({top}) + {over}) // (2 * {over})) AS DOUBLE) / {10**digits}"
 
 
 def rate(part: str, whole: str, digits: int = 4) -> str:
-    share = f"CAST({part} AS DOUBLE) / nullif(CAST({whole} AS DOUBLE), 0) * 100.0"
-    return rounded(share, digits)
+    return half_up(f"({part}) * 100", whole, digits)
+
+
+def whole(value: str, kept: int = 4) -> str:
+    return f"CAST(round(({value}) * {10**kept}) AS HUGEINT)"
+
+
+def total(value: str, digits: int = 2) -> str:
+    return half_up(f"sum({whole(value)})", "10000", digits)
+
+
+def mean(value: str, digits: int = 2, kept: int = 4) -> str:
+    return half_up(f"sum({whole(value, kept)})", f"count({value}) * {10**kept}", digits)
+
+
+def percentile(value: str, percent: int, digits: int) -> str:
+    """Interpolated percentile of money from the sorted list of its whole units."""
+    values, place = f"list_sort(list({whole(value)}) FILTER ({value} IS NOT NULL))", f"{percent} * (count({value}) - 1)"
+    low, high = f"{values}[{place} // 100 + 1]", f"{values}[({place} + 99) // 100 + 1]"
+    return half_up(f"({low} * 100 + ({high} - {low}) * ({place} % 100))", "1000000", digits)
 
 
 RAW_TX = """raw_tx AS (
@@ -85,17 +110,28 @@ FEATURES = f"""{SILVER}, features AS (
         {rounded("CASE WHEN yearly_income > 0 THEN total_debt / yearly_income END", 6)} AS debt_to_income
     FROM silver), labelled AS (SELECT * FROM features WHERE is_fraud IS NOT NULL)"""
 
+def rolled_sum(frame: str) -> str:
+    return f"CAST(sum({whole('abs_amount')}) OVER {frame} AS DOUBLE) / 10000"
+
+
+def rolled_deviation(frame: str) -> str:
+    n, s = f"count(abs_amount) OVER {frame}", f"sum({whole('abs_amount')}) OVER {frame}"
+    q = f"sum({whole('abs_amount')} * {whole('abs_amount')}) OVER {frame}"
+    square = f"CAST(({n}) * ({q}) - ({s}) * ({s}) AS DOUBLE) / CAST(({n}) * ({n} - 1) AS DOUBLE)"
+    return f"CASE WHEN ({n}) > 1 THEN round(sqrt({square}) / 10000, 4) END"
+
+
 ROLLING = f"""
         count(transaction_id) OVER h AS tx_count_1h,
-        {rounded("sum(abs_amount) OVER h", 2)} AS tx_amount_1h,
+        {rolled_sum("h")} AS tx_amount_1h,
         count(transaction_id) OVER d AS tx_count_24h,
-        {rounded("sum(abs_amount) OVER d", 2)} AS tx_amount_24h,
-        {rounded("avg(abs_amount) OVER d", 4)} AS avg_amount_24h,
-        {rounded("stddev_samp(abs_amount) OVER d", 4)} AS std_amount_24h,
+        {rolled_sum("d")} AS tx_amount_24h,
+        CAST(sum({whole('abs_amount')}) OVER d AS DOUBLE) / CAST((count(abs_amount) OVER d) * 10000 AS DOUBLE) AS avg_amount_24h,
+        {rolled_deviation("d")} AS std_amount_24h,
         count(DISTINCT merchant_id) OVER d AS unique_merchants_24h,
         count(DISTINCT merchant_state) OVER d AS unique_states_24h,
         count(transaction_id) OVER w AS tx_count_7d,
-        {rounded("sum(abs_amount) OVER w", 2)} AS tx_amount_7d"""
+        {rolled_sum("w")} AS tx_amount_7d"""
 
 GOLD = f"""{FEATURES}, gold AS (
     SELECT * EXCLUDE (sec), {ROLLING}
@@ -154,8 +190,8 @@ def fraud_by(
         FROM {source} GROUP BY {positions} {having}"""
 
 
-MEAN_AMOUNT = f", {rounded('avg(abs_amount)', 2)} AS avg_amount"
-MEAN_FRAUD = f", {rounded('avg(CASE WHEN is_fraud = 1 THEN abs_amount END)', 2)} AS avg_fraud_amount"
+MEAN_AMOUNT = f", {mean('abs_amount')} AS avg_amount"
+MEAN_FRAUD = f", {mean('CASE WHEN is_fraud = 1 THEN abs_amount END')} AS avg_fraud_amount"
 
 
 def _class_rows(threshold: float) -> str:
@@ -302,7 +338,7 @@ ORACLES: dict[str, str] = {
     "fraud_by_month": f"WITH {ORDERS} "
     + fraud_by(
         "strftime(ts, '%Y-%m') AS year_month",
-        extra=f", {rounded('sum(abs_amount)', 2)} AS total_amount {MEAN_AMOUNT}",
+        extra=f", {total('abs_amount')} AS total_amount {MEAN_AMOUNT}",
         source="dated WHERE is_fraud IS NOT NULL",
     ),
     "fraud_by_type": f"WITH {FEATURES} " + fraud_by("use_chip", extra=MEAN_AMOUNT),
@@ -317,16 +353,15 @@ ORACLES: dict[str, str] = {
     + fraud_by("merchant_state", source="labelled WHERE merchant_state IS NOT NULL AND merchant_state <> ''")
     + " ORDER BY fraud_count DESC, merchant_state LIMIT 15",
     "amount_distribution": f"""WITH {FEATURES} SELECT is_fraud, count(*) AS count,
-        {rounded("min(abs_amount)", 2)} AS min_amount, {rounded("avg(abs_amount)", 2)} AS avg_amount,
-        {rounded("quantile_cont(abs_amount, 0.5)", 2)} AS median_amount,
-        {rounded("quantile_cont(abs_amount, 0.95)", 2)} AS p95_amount,
+        {rounded("min(abs_amount)", 2)} AS min_amount, {mean("abs_amount")} AS avg_amount,
+        {percentile("abs_amount", 50, 2)} AS median_amount, {percentile("abs_amount", 95, 2)} AS p95_amount,
         {rounded("max(abs_amount)", 2)} AS max_amount FROM labelled GROUP BY is_fraud""",
     "error_vs_fraud": f"WITH {FEATURES}, named AS (SELECT *, coalesce(errors, 'No Error') AS error_type FROM labelled) "
     + fraud_by("error_type", source="named"),
     "high_risk_customers": f"WITH {FEATURES} "
     + fraud_by(
         "client_id",
-        extra=f", {rounded('sum(CASE WHEN is_fraud = 1 THEN abs_amount ELSE 0 END)', 2)} AS total_fraud_amount",
+        extra=f", {total('CASE WHEN is_fraud = 1 THEN abs_amount ELSE 0 END')} AS total_fraud_amount",
         digits=2,
         having="HAVING sum(is_fraud) > 0",
     )
@@ -335,10 +370,10 @@ ORACLES: dict[str, str] = {
     "refund_vs_fraud": f"WITH {FEATURES} " + fraud_by("is_refund"),
     # --- model reports ---
     "model_comparison": f"""WITH {LOGS} SELECT model_name, model_version, count(*) AS total_requests,
-        {rounded("avg(score)", 4)} AS avg_fraud_score, CAST(count_if(score > 0.5) AS BIGINT) AS fraud_flagged,
+        {mean("score", 4, 9)} AS avg_fraud_score, CAST(count_if(score > 0.5) AS BIGINT) AS fraud_flagged,
         {rate("count_if(score > 0.5)", "count(*)")} AS fraud_flag_rate_pct,
-        {rounded("avg(execution_duration_ms)", 1)} AS avg_latency_ms,
-        {rounded("quantile_cont(execution_duration_ms, 0.95)", 1)} AS p95_latency_ms
+        {mean("execution_duration_ms", 1)} AS avg_latency_ms,
+        {percentile("execution_duration_ms", 95, 1)} AS p95_latency_ms
         FROM recent GROUP BY model_name, model_version""",
     "score_distribution": f"""WITH {LOGS} SELECT model_version,
         CASE WHEN score IS NULL THEN 'unscored' WHEN score < 0.1 THEN '0.0–0.1' WHEN score < 0.3 THEN '0.1–0.3'
@@ -350,7 +385,7 @@ ORACLES: dict[str, str] = {
     "ab_evaluation": f"""WITH {LOGS}, month_logs AS (SELECT * FROM logs WHERE endpoint_name = '{ENDPOINT}'
             AND timestamp >= TIMESTAMP '{AS_OF}' - INTERVAL 31 DAY),
         traffic AS (SELECT model_version, count(*) AS total_requests,
-            CAST(count_if(score > 0.1) AS BIGINT) AS fraud_flagged, {rounded("avg(score)", 4)} AS avg_fraud_score
+            CAST(count_if(score > 0.1) AS BIGINT) AS fraud_flagged, {mean("score", 4, 9)} AS avg_fraud_score
             FROM month_logs GROUP BY model_version),
         known AS (SELECT m.*, toxic AS is_fraud FROM month_logs m JOIN labels ON transaction_id = doc_id),
         cells AS (SELECT model_version, CAST(count_if(is_fraud = 1 AND score >= 0.1) AS DOUBLE) AS tp,

@@ -21,7 +21,7 @@ from ledgerlens.functions.cleaning import (
     parse_currency,
     parse_timestamp,
 )
-from ledgerlens.functions.measures import row_count, stable_round
+from ledgerlens.functions.measures import row_count
 from ledgerlens.functions.scores import traffic_arm
 from ledgerlens.operators import columns, filters
 from ledgerlens.operators.distribution import ranking_quality
@@ -53,20 +53,13 @@ def query(name: str):
     return register
 
 
-# Digits to which derived doubles are compared.
-ROUNDED = {
-    "debt_to_income": 6,
-    "tx_amount_1h": 2,
-    "tx_amount_24h": 2,
-    "avg_amount_24h": 4,
-    "std_amount_24h": 4,
-    "tx_amount_7d": 2,
-}
+# Digits to which quotients and roots of doubles are compared; sums and means of money are exact.
+ROUNDED = {"debt_to_income": 6, "std_amount_24h": 4}
 
 
 def presented(df: DataFrame) -> DataFrame:
-    """Zoneless times and rounded sums, as the comparison needs them."""
-    changes = {n: stable_round(F.col(n), digits) for n, digits in ROUNDED.items() if n in df.columns}
+    """Zoneless times and rounded quotients, as the comparison needs them."""
+    changes = {n: F.round(F.col(n), digits) for n, digits in ROUNDED.items() if n in df.columns}
     for field in df.schema.fields:
         if field.dataType.typeName() == "timestamp":
             changes[field.name] = F.col(field.name).cast("timestamp_ntz")
@@ -215,7 +208,7 @@ def feature_projection(spark, sf_dir):
 @query("exclude_columns")
 def exclude_columns(spark, sf_dir):
     return columns.exclude(a.row_features(spark, sf_dir)).withColumn(
-        "debt_to_income", stable_round(F.col("debt_to_income"), 6)
+        "debt_to_income", F.round(F.col("debt_to_income"), 6)
     )
 
 
@@ -483,7 +476,7 @@ def ab_evaluation(spark, sf_dir):
     table = model_reports.ab_evaluation(
         a.request_logs(spark, sf_dir), outcomes, a.ENDPOINT, "transaction_id", days=31, as_of=a.AS_OF, threshold=0.1
     )
-    rounded = {n: stable_round(F.col(n), 6) for n in ("precision", "recall", "f1", "roc_auc", "pr_auc")}
+    rounded = {n: F.round(F.col(n), 6) for n in ("precision", "recall", "f1", "roc_auc", "pr_auc")}
     return table.withColumns(rounded)
 
 
@@ -545,7 +538,7 @@ def role_views(spark, sf_dir):
 def label_balance(spark, sf_dir):
     shares = ("fraud_pct", "normal_pct", "neg_per_pos")
     balance = class_balance(a.labelled(spark, sf_dir))
-    return balance.withColumns({name: stable_round(F.col(name), 6) for name in shares})
+    return balance.withColumns({name: F.round(F.col(name), 6) for name in shares})
 
 
 # --- models --------------------------------------------------------------------------
@@ -564,25 +557,25 @@ def class_weight(spark, sf_dir):
         columns.tagged(class_weights(train, scheme=scheme), scheme, "scheme") for scheme in ("ratio", "balanced")
     ]
     both = parts[0].unionAll(parts[1])
-    return both.withColumn("weight", stable_round(F.col("weight"), 6))
+    return both.withColumn("weight", F.round(F.col("weight"), 6))
 
 
 @query("classification_report")
 def quality_report(spark, sf_dir):
     report = classification_report(a.scored_labels(spark, sf_dir), "score", threshold=0.1)
-    return report.withColumns({n: stable_round(F.col(n), 6) for n in ("precision", "recall", "f1")})
+    return report.withColumns({n: F.round(F.col(n), 6) for n in ("precision", "recall", "f1")})
 
 
 @query("roc_auc")
 def roc_auc(spark, sf_dir):
     ranked = ranking_quality(a.scored_labels(spark, sf_dir), "score", "is_fraud")
-    return ranked.select("positives", "negatives", stable_round(F.col("roc_auc"), 8).alias("roc_auc"))
+    return ranked.select("positives", "negatives", F.round(F.col("roc_auc"), 8).alias("roc_auc"))
 
 
 @query("pr_auc")
 def pr_auc(spark, sf_dir):
     ranked = ranking_quality(a.scored_labels(spark, sf_dir), "score", "is_fraud")
-    return ranked.select("positives", stable_round(F.col("pr_auc"), 8).alias("pr_auc"))
+    return ranked.select("positives", F.round(F.col("pr_auc"), 8).alias("pr_auc"))
 
 
 @query("traffic_split")

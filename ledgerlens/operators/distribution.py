@@ -1,56 +1,43 @@
 """Exact order statistics without sorting a group in one task.
 
-Values are first counted per group (combined before the shuffle), the counts are
-cut into value buckets of about equal size, and ranks follow from the bucket
-totals plus a running count inside each bucket. The largest window group is one
-bucket, or the list of buckets, never a whole group of rows.
+Values are counted per group (combined before the shuffle) and the counts are dealt
+out by range of (group, value). A value's rank is the total of the ranges before its
+own, plus a running count inside its range. No step holds more than one range, or
+the totals of a group's ranges, and ranges follow the partitions of the shuffle: more
+data, more ranges. Values keep their own type; nothing is cast to double on the way.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from fractions import Fraction
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
-from ledgerlens.functions.measures import stable_round
+from ledgerlens.functions.measures import WIDE, half_up
 from ledgerlens.session import cut_lineage
 
-BUCKETS = 256
 _ALL = "_all"
+#: Percentile shares have at most so many decimals, so ranks are exact.
+SHARE_DIGITS = 6
 
 
-def value_counts(df: DataFrame, by: Sequence[str], column: str, **counts: Column) -> DataFrame:
-    """One stored row per (group, value); the value is in ``_value``, NULL included.
+def value_counts(
+    df: DataFrame, by: Sequence[str], column: str | Column, partitions: int | None = None, **counts: Column
+) -> DataFrame:
+    """One stored row per (group, value) with its range ``_part``; the value is in ``_value``, NULL included.
 
-    Stored because it is read more than once: for the bucket borders, for the
-    bucket totals and for the result.
+    Without ``partitions`` there are as many ranges as shuffle partitions, of which
+    adaptive execution joins small ones.
     """
     keys = list(by) or [_ALL]
     source = df if by else df.withColumn(_ALL, F.lit(0))
-    return cut_lineage(
-        source.groupBy(*keys, F.col(column).cast("double").alias("_value")).agg(
-            *[expr.alias(name) for name, expr in counts.items()]
-        )
-    )
-
-
-def _bucketed(counted: DataFrame) -> DataFrame:
-    """Rows with a value, cut by value into about equal ``_bucket``s.
-
-    The borders become literals, so that every use sees the same buckets.
-    """
-    known = counted.filter(F.col("_value").isNotNull())
-    probabilities = [i / BUCKETS for i in range(1, BUCKETS)]
-    finite = known.filter(~F.isnan("_value"))
-    borders = sorted(set(finite.approxQuantile("_value", probabilities, 1 / (4 * BUCKETS))))
-    borders = [border for border in borders if border not in (float("-inf"), float("inf"))]
-    if not borders:
-        return known.withColumn("_bucket", F.lit(0.0))
-    splits = [float("-inf"), *borders, float("inf")]
-    # NaN sorts above every number, and "keep" puts it in a last bucket of its own.
-    bucketizer = Bucketizer(splits=splits, inputCol="_value", outputCol="_bucket", handleInvalid="keep")
-    return bucketizer.transform(known)
+    value = F.col(column) if isinstance(column, str) else column
+    counted = source.groupBy(*keys, value.alias("_value")).agg(*[expr.alias(name) for name, expr in counts.items()])
+    order = [*keys, "_value"]
+    ranged = counted.repartitionByRange(partitions, *order) if partitions else counted.repartitionByRange(*order)
+    return cut_lineage(ranged.withColumn("_part", F.spark_partition_id()))
 
 
 def _same(columns: Sequence[str], others: Sequence[str]) -> Column:
@@ -61,90 +48,87 @@ def _same(columns: Sequence[str], others: Sequence[str]) -> Column:
     return condition
 
 
-def exact_percentiles(
-    df: DataFrame, by: Sequence[str], column: str, points: Mapping[str, float]
-) -> DataFrame:
-    """Interpolated percentiles per group: columns ``by`` plus one per entry of ``points``.
-
-    Same values as ``percentile(column, p)``, whose per-group map of all distinct
-    values must fit one task.
-    """
-    known = df.filter(F.col(column).isNotNull())
-    return percentiles_of_counts(value_counts(known, by, column, _rows=F.count(F.lit(1))), by, points)
-
-
-def percentiles_of_counts(counts: DataFrame, by: Sequence[str], points: Mapping[str, float]) -> DataFrame:
-    """``exact_percentiles`` from a ``value_counts`` table with row counts ``_rows``."""
-    keys = list(by) or [_ALL]
-    counted = _bucketed(counts)
-
-    buckets = counted.groupBy(*keys, "_bucket").agg(F.sum("_rows").alias("_in"))
+def with_running_totals(counted: DataFrame, keys: Sequence[str], columns: Sequence[str], descending: bool = False) -> DataFrame:
+    """``counted`` with ``<column>_upto``, the total of the group's values up to this one, and ``<column>_all``."""
+    turn = F.desc if descending else F.asc
+    totals = counted.groupBy(*keys, "_part").agg(*[F.sum(c).alias(f"_in{c}") for c in columns])
     group = Window.partitionBy(*keys)
-    before = group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = buckets.select(
-        "*",
-        F.coalesce(F.sum("_in").over(before), F.lit(0)).alias("_before"),
-        F.sum("_in").over(group).alias("_total"),
-    )
-
-    def wanted(name: str, share: float) -> list[Column]:
-        position = F.lit(float(share)) * (F.col("_total") - 1)
-        return [
-            F.struct(
-                F.lit(name).alias("point"),
-                F.lit(upper).alias("upper"),
-                (F.ceil(position) if upper else F.floor(position)).alias("rank"),
-                (position - F.floor(position)).alias("part"),
-            )
-            for upper in (False, True)
-        ]
-
-    ranks = F.array(*[entry for name, share in points.items() for entry in wanted(name, share)])
-    here = F.filter(
-        ranks,
-        lambda r: (r["rank"] >= F.col("_before")) & (r["rank"] < F.col("_before") + F.col("_in")),
+    earlier = group.orderBy(turn("_part")).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(
+        *[F.col(k).alias(f"_t{k}") for k in keys],
+        F.col("_part").alias("_tpart"),
+        *[F.coalesce(F.sum(f"_in{c}").over(earlier), F.lit(0)).alias(f"_before{c}") for c in columns],
+        *[F.sum(f"_in{c}").over(group).alias(f"{c}_all") for c in columns],
     )
-    targets = ranked.withColumn("_here", here).filter(F.size("_here") > 0)
-    targets = targets.select(*[F.col(k).alias(f"_t{k}") for k in keys], F.col("_bucket").alias("_tb"), "_before", "_here")
-
-    matched = (F.col("_bucket") == F.col("_tb")) & _same(keys, [f"_t{key}" for key in keys])
-    inside = Window.partitionBy(*keys, "_bucket").orderBy("_value").rowsBetween(
+    inside = Window.partitionBy(*keys, "_part").orderBy(turn("_value")).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    located = (
-        counted.join(targets, matched)
-        .withColumn("_upto", F.col("_before") + F.sum("_rows").over(inside))
-        .withColumn(
-            "_hit",
-            F.filter(
-                F.col("_here"),
-                lambda r: (r["rank"] < F.col("_upto")) & (r["rank"] >= F.col("_upto") - F.col("_rows")),
-            ),
-        )
-        .select(*keys, "_value", F.inline("_hit"))
-    )
+    matched = (F.col("_part") == F.col("_tpart")) & _same(keys, [f"_t{key}" for key in keys])
+    upto = [(F.col(f"_before{c}") + F.sum(c).over(inside)).alias(f"{c}_upto") for c in columns]
+    return counted.join(offsets, matched).select(*counted.columns, *[f"{c}_all" for c in columns], *upto)
 
-    def at(name: str, upper: bool) -> Column:
-        return F.max(F.when((F.col("point") == name) & (F.col("upper") == upper), F.col("_value")))
 
-    def between(name: str) -> Column:
-        low, high = at(name, False), at(name, True)
-        part = F.max(F.when(F.col("point") == name, F.col("part")))
-        return F.when(low == high, low).otherwise(low * (1 - part) + high * part)
+def percentile_ends(counts: DataFrame, by: Sequence[str], points: Mapping[str, float]) -> DataFrame:
+    """Per group and point the values around its rank: ``<point>_low``, ``<point>_high`` and ``<point>_rest``.
 
-    return (
-        located.groupBy(*keys)
-        .agg(*[between(name).alias(name) for name in points])
-        .drop(_ALL)
-    )
+    The percentile lies ``rest / 10^6`` of the way from low to high. ``counts`` is a
+    ``value_counts`` table with row counts ``_rows``.
+    """
+    keys = list(by) or [_ALL]
+    ranked = with_running_totals(counts.filter(F.col("_value").isNotNull()), keys, ["_rows"])
+    whole = 10**SHARE_DIGITS
+    first, after = F.col("_rows_upto") - F.col("_rows"), F.col("_rows_upto")
+    found = []
+    for name, share in points.items():
+        part = Fraction(str(share)) * whole
+        if part.denominator != 1 or not 0 <= share <= 1:
+            raise ValueError(f"{share} is no share with {SHARE_DIGITS} decimals")
+        position = (F.col("_rows_all") - 1) * F.lit(int(part))
+        rest = position % whole
+        low = F.call_function("div", position, F.lit(whole))
+        for end, rank in (("low", low), ("high", low + F.when(rest > 0, 1).otherwise(0))):
+            found.append(F.max(F.when((rank >= first) & (rank < after), F.col("_value"))).alias(f"{name}_{end}"))
+        found.append(F.max(rest).alias(f"{name}_rest"))
+    return ranked.groupBy(*keys).agg(*found).drop(_ALL)
+
+
+def between_ends(name: str, floating: bool) -> Column:
+    """The interpolated percentile: a double, or six exact decimals for whole numbers and decimals."""
+    low, high, rest = (F.col(f"{name}_{end}") for end in ("low", "high", "rest"))
+    if floating:
+        part = rest / F.lit(float(10**SHARE_DIGITS))
+        return F.when(low == high, low).otherwise(low * (1 - part) + high * part).cast("double")
+    low, high = (end.cast("decimal(30,6)") for end in (low, high))
+    return (low + ((high - low) * rest / 10**SHARE_DIGITS).cast("decimal(30,6)")).cast("decimal(30,6)")
+
+
+def rounded_between_ends(name: str, digits: int, kept: int) -> Column:
+    """The percentile of a column of units of 10^-kept, rounded once, from exact numbers."""
+    low, high, rest = (F.col(f"{name}_{end}").cast(WIDE) for end in ("low", "high", "rest"))
+    whole = F.lit(10**SHARE_DIGITS).cast("decimal(7,0)")
+    return half_up(low * whole + (high - low) * rest, 10 ** (SHARE_DIGITS + kept), digits)
+
+
+def exact_percentiles(
+    df: DataFrame, by: Sequence[str], column: str, points: Mapping[str, float], partitions: int | None = None
+) -> DataFrame:
+    """Interpolated percentiles per group: columns ``by`` plus one per entry of ``points``.
 
+    Same values as ``percentile(column, p)``, whose per-group map of all distinct
+    values must fit one task, and which casts whole numbers to double.
+    """
+    known = df.filter(F.col(column).isNotNull())
+    counts = value_counts(known, by, column, partitions, _rows=F.count(F.lit(1)))
+    floating = isinstance(df.schema[column].dataType, (DoubleType, FloatType))
+    ends = percentile_ends(counts, by, points)
+    return ends.select(*by, *[between_ends(name, floating).alias(name) for name in points])
 
-def beside(groups: DataFrame, spread: DataFrame, by: Sequence[str], digits: int) -> DataFrame:
-    """One row per group with its rounded percentiles, NULL groups matching too."""
+
+def beside(groups: DataFrame, spread: DataFrame, by: Sequence[str]) -> DataFrame:
+    """One row per group with the other table's columns, NULL groups matching too."""
     others = [f"_other_{key}" for key in by]
     right = spread.select(
-        *[F.col(key).alias(other) for key, other in zip(by, others)],
-        *[stable_round(F.col(name), digits).alias(name) for name in spread.columns if name not in by],
+        *[F.col(key).alias(other) for key, other in zip(by, others)], *[c for c in spread.columns if c not in by]
     )
     return groups.join(right, _same(by, others), "left").drop(*others)
 
@@ -163,61 +147,46 @@ def with_exact_percentiles(
     ``exact=False`` takes approximate percentiles in the same pass instead.
     """
     if not exact:
-        quick = [
-            stable_round(F.percentile_approx(column, share), digits).alias(name)
-            for name, share in points.items()
-        ]
+        quick = [F.round(F.percentile_approx(column, share), digits).alias(name) for name, share in points.items()]
         return df.groupBy(*by).agg(*measures, *quick)
-    return beside(df.groupBy(*by).agg(*measures), exact_percentiles(df, by, column, points), by, digits)
+    spread = exact_percentiles(df, by, column, points)
+    rounded = spread.select(*by, *[F.round(name, digits).alias(name) for name in points])
+    return beside(df.groupBy(*by).agg(*measures), rounded, by)
 
 
-def ranking_quality(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:
+def ranking_quality(
+    df: DataFrame, score: str, label: str, by: Sequence[str] = (), partitions: int | None = None
+) -> DataFrame:
     """ROC-AUC and average precision per group, with the class counts.
 
     ROC-AUC is the share of (positive, negative) pairs ranked right, ties one
-    half; average precision is the sum of precision times recall gain over the
-    distinct scores. Both are NULL where a class they need is absent. Rows
-    without score or label are left out.
+    half, from whole numbers; average precision is the sum of precision times recall
+    gain over the distinct scores. Both are NULL where a class they need is absent.
+    Rows without score or label are left out.
     """
     keys = list(by) or [_ALL]
-    counted = _bucketed(
-        value_counts(
-            df.filter(F.col(score).isNotNull() & F.col(label).isNotNull()),
-            by,
-            score,
-            _pos=F.count_if(F.col(label) == 1),
-            _neg=F.count_if(F.col(label) == 0),
-        )
-    )
-    group = Window.partitionBy(*keys)
-    higher = group.orderBy(F.col("_bucket").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    buckets = (
-        counted.groupBy(*keys, "_bucket")
-        .agg(F.sum("_pos").alias("_p"), F.sum("_neg").alias("_n"))
-        .select(
-            *[F.col(k).alias(f"_t{k}") for k in keys],
-            F.col("_bucket").alias("_tb"),
-            F.coalesce(F.sum("_p").over(higher), F.lit(0)).alias("_p_above"),
-            F.coalesce(F.sum("_n").over(higher), F.lit(0)).alias("_n_above"),
-            F.sum("_p").over(group).cast("double").alias("_P"),
-            F.sum("_n").over(group).cast("double").alias("_N"),
-        )
-    )
-    matched = (F.col("_bucket") == F.col("_tb")) & _same(keys, [f"_t{key}" for key in keys])
-    inside = Window.partitionBy(*keys, "_bucket").orderBy(F.col("_value").desc()).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
+    counted = value_counts(
+        df.filter(F.col(score).isNotNull() & F.col(label).isNotNull()),
+        by,
+        score,
+        partitions,
+        _pos=F.count_if(F.col(label) == 1),
+        _neg=F.count_if(F.col(label) == 0),
     )
-    tp, fp, pos, neg = (F.col(name).cast("double") for name in ("_tp", "_fp", "_pos", "_neg"))
+    ranked = with_running_totals(counted, keys, ["_pos", "_neg"], descending=True)
+    pos, neg = F.col("_pos"), F.col("_neg")
+    tp, seen = F.col("_pos_upto"), (F.col("_pos_upto") + F.col("_neg_upto")).cast("double")
+    # Twice the pairs ranked right: a tied pair counts once.
+    pairs = F.sum(neg.cast("decimal(19,0)") * (2 * tp - pos).cast("decimal(19,0)")).cast("double")
+    all_pos, all_neg = F.max("_pos_all").cast("double"), F.max("_neg_all").cast("double")
+    gain = F.sum(F.when(seen > 0, pos.cast("double") * tp / seen))
     return (
-        counted.join(buckets, matched)
-        .withColumn("_tp", F.col("_p_above") + F.sum("_pos").over(inside))
-        .withColumn("_fp", F.col("_n_above") + F.sum("_neg").over(inside))
-        .groupBy(*keys)
+        ranked.groupBy(*keys)
         .agg(
-            F.sum("_pos").alias("positives"),
-            F.sum("_neg").alias("negatives"),
-            (F.sum(neg * (tp - pos + pos / 2)) / F.nullif(F.max(F.col("_P") * F.col("_N")), F.lit(0.0))).alias("roc_auc"),
-            (F.sum(F.when(tp + fp > 0, pos * tp / (tp + fp))) / F.nullif(F.max("_P"), F.lit(0.0))).alias("pr_auc"),
+            F.sum(pos).alias("positives"),
+            F.sum(neg).alias("negatives"),
+            (pairs / F.nullif(2 * all_pos * all_neg, F.lit(0.0))).alias("roc_auc"),
+            (gain / F.nullif(all_pos, F.lit(0.0))).alias("pr_auc"),
         )
         .drop(_ALL)
     )

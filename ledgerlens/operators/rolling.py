@@ -15,9 +15,9 @@ Two equivalent plans:
   slices of seconds however many rows the key has.
 
 ``rolling_features`` sends keys with crowded frames to the second plan. Counts and
-distinct counts agree exactly, NaN and infinity count only in the frames that hold
-them, and 0.0 equals -0.0; sums of doubles may differ in their last bits, as the order
-of addition is another.
+distinct counts agree exactly, and so do sums, means and deviations of money (``digits``),
+which add whole units. Of other doubles, NaN and infinity count only in the frames that
+hold them, 0.0 equals -0.0, and sums may differ in their last bits between the plans.
 """
 
 from __future__ import annotations
@@ -29,6 +29,7 @@ from typing import Literal
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerlens.functions.cleaning import epoch_seconds
+from ledgerlens.functions.measures import MONEY_DIGITS, units
 from ledgerlens.session import cut_lineage
 
 _SEC = "_sec"
@@ -44,6 +45,8 @@ class Rolling:
     agg: Literal["count", "sum", "avg", "std", "distinct"]
     column: str
     seconds: int
+    #: For money: sums count whole units of 10^-digits, so they are exact in every plan and order.
+    digits: int | None = None
 
 
 HOUR, DAY, WEEK = 3_600, 86_400, 604_800
@@ -51,15 +54,15 @@ HOUR, DAY, WEEK = 3_600, 86_400, 604_800
 # The rolling features of the gold table.
 CARD_FEATURES = [
     Rolling("tx_count_1h", "count", "transaction_id", HOUR),
-    Rolling("tx_amount_1h", "sum", "abs_amount", HOUR),
+    Rolling("tx_amount_1h", "sum", "abs_amount", HOUR, MONEY_DIGITS),
     Rolling("tx_count_24h", "count", "transaction_id", DAY),
-    Rolling("tx_amount_24h", "sum", "abs_amount", DAY),
-    Rolling("avg_amount_24h", "avg", "abs_amount", DAY),
-    Rolling("std_amount_24h", "std", "abs_amount", DAY),
+    Rolling("tx_amount_24h", "sum", "abs_amount", DAY, MONEY_DIGITS),
+    Rolling("avg_amount_24h", "avg", "abs_amount", DAY, MONEY_DIGITS),
+    Rolling("std_amount_24h", "std", "abs_amount", DAY, MONEY_DIGITS),
     Rolling("unique_merchants_24h", "distinct", "merchant_id", DAY),
     Rolling("unique_states_24h", "distinct", "merchant_state", DAY),
     Rolling("tx_count_7d", "count", "transaction_id", WEEK),
-    Rolling("tx_amount_7d", "sum", "abs_amount", WEEK),
+    Rolling("tx_amount_7d", "sum", "abs_amount", WEEK, MONEY_DIGITS),
 ]
 
 
@@ -68,9 +71,23 @@ def rolling_windows(df: DataFrame, key: str, ts: str, specs: Sequence[Rolling])
 
     Casting the time inside each window would give every feature its own sort.
     """
-    timed = df.withColumn(_SEC, epoch_seconds(F.col(ts)))
+    whole = _whole_units(specs)
+    timed = df.withColumns({_SEC: epoch_seconds(F.col(ts)), **whole})
+    parts: dict[str, Column] = {}
+
+    def part(spec: Rolling, name: str, value: Column) -> Column:
+        """An aggregate over the spec's frame, computed once for all features that need it."""
+        frame = Window.partitionBy(key).orderBy(_SEC).rangeBetween(-spec.seconds, 0)
+        parts[f"{name}{spec.seconds}"] = value.over(frame)
+        return F.col(f"{name}{spec.seconds}")
 
     def feature(spec: Rolling) -> Column:
+        if spec.agg != "count" and spec.digits is not None:
+            column = _unit_name(spec)
+            u = F.col(column)
+            n, total = part(spec, f"_n{column}", F.count(u)), part(spec, f"_s{column}", F.sum(u))
+            squares = part(spec, f"_q{column}", F.sum(_square(u))) if spec.agg == "std" else None
+            return _of_units(spec, n, total, squares).alias(spec.name)
         frame = Window.partitionBy(key).orderBy(_SEC).rangeBetween(-spec.seconds, 0)
         value = F.col(spec.column)
         if spec.agg == "distinct":
@@ -78,7 +95,38 @@ def rolling_windows(df: DataFrame, key: str, ts: str, specs: Sequence[Rolling])
         fold = {"count": F.count, "sum": F.sum, "avg": F.avg, "std": F.stddev_samp}[spec.agg]
         return fold(value).over(frame).alias(spec.name)
 
-    return timed.select("*", *[feature(spec) for spec in specs]).drop(_SEC)
+    features = [feature(spec) for spec in specs]
+    return timed.select("*", *[expr.alias(name) for name, expr in parts.items()]).select("*", *features).drop(
+        _SEC, *whole, *parts
+    )
+
+
+def _unit_name(spec: Rolling) -> str:
+    return f"_u{spec.digits}_{spec.column}"
+
+
+def _whole_units(specs: Sequence[Rolling]) -> dict[str, Column]:
+    return {
+        _unit_name(spec): units(F.col(spec.column), spec.digits)
+        for spec in specs
+        if spec.digits is not None and spec.agg in ("sum", "avg", "std")
+    }
+
+
+def _square(whole: Column) -> Column:
+    wide = whole.cast("decimal(19,0)")
+    return wide * wide
+
+
+def _of_units(spec: Rolling, n: Column, total: Column, squares: Column | None) -> Column:
+    """The feature from a frame's count, sum and sum of squares of whole units; one rounding at the end."""
+    one = 10**spec.digits
+    if spec.agg == "sum":
+        return F.when(n > 0, total.cast("double") / float(one))
+    if spec.agg == "avg":
+        return F.when(n > 0, total.cast("double") / (n * one).cast("double"))
+    spread = n.cast("decimal(19,0)") * squares - _square(total)
+    return F.when(n > 1, F.sqrt(spread.cast("double") / (n * (n - 1)).cast("double")) / float(one))
 
 
 def rolling_sliced(df: DataFrame, key: str, ts: str, specs: Sequence[Rolling]) -> DataFrame:
@@ -89,7 +137,8 @@ def rolling_sliced(df: DataFrame, key: str, ts: str, specs: Sequence[Rolling]) -
     grouped well enough for every step below, and a hot key would stay in one task.
     """
     who = F.coalesce(F.concat(F.col(key).cast("string"), F.lit("=")), F.lit(""))
-    rows = df.withColumns({_WHO: who, _SEC: F.coalesce(epoch_seconds(F.col(ts)), F.lit(_NO_TIME))})
+    time = F.coalesce(epoch_seconds(F.col(ts)), F.lit(_NO_TIME))
+    rows = df.withColumns({_WHO: who, _SEC: time, **_whole_units(specs)})
     seconds = _per_second(rows, specs)
     for length in sorted({spec.seconds for spec in specs}):
         due = [spec for spec in specs if spec.seconds == length]
@@ -148,6 +197,13 @@ def _per_second(rows: DataFrame, specs: Sequence[Rolling]) -> DataFrame:
     measures: dict[str, Column] = {}
     for spec in specs:
         value = F.col(spec.column)
+        if spec.agg in ("sum", "avg", "std") and spec.digits is not None:
+            u = F.col(_unit_name(spec))
+            measures[f"_n{_unit_name(spec)}"] = F.count(u)
+            measures[f"_s{_unit_name(spec)}"] = F.sum(u)
+            if spec.agg == "std":
+                measures[f"_q{_unit_name(spec)}"] = F.sum(_square(u))
+            continue
         if spec.agg != "distinct":
             measures[f"_n_{spec.column}"] = F.count(value)
         if spec.agg in ("sum", "avg", "std"):
@@ -198,7 +254,8 @@ def _add_frame(
 
     # Squares are taken around the slice pair's mean, which keeps them small
     # enough that subtracting the frame's own mean loses no precision.
-    for column in {spec.column for spec in specs if spec.agg == "std"}:
+    inexact = [spec for spec in specs if spec.digits is None or spec.agg in ("count", "distinct")]
+    for column in {spec.column for spec in inexact if spec.agg == "std"}:
         n, s, m = (F.col(f"_{part}_{column}") for part in "nsm")
         centre = f"_c_{column}"
         # A NaN or infinity outside the frame must not reach it through the centre.
@@ -208,9 +265,12 @@ def _add_frame(
         gap = s / F.nullif(n, F.lit(0)) - F.col(centre)
         placed = placed.withColumn(f"_q_{column}", m + n * gap * gap)
 
-    needed = {f"_n_{spec.column}" for spec in specs if spec.agg != "distinct"}
-    needed |= {f"_s_{spec.column}" for spec in specs if spec.agg in ("sum", "avg", "std")}
-    needed |= {f"_q_{spec.column}" for spec in specs if spec.agg == "std"}
+    needed = {f"_n_{spec.column}" for spec in inexact if spec.agg != "distinct"}
+    needed |= {f"_s_{spec.column}" for spec in inexact if spec.agg in ("sum", "avg", "std")}
+    needed |= {f"_q_{spec.column}" for spec in inexact if spec.agg == "std"}
+    for spec in specs:
+        if spec not in inexact:
+            needed |= {f"_{part}{_unit_name(spec)}" for part in ("nsq" if spec.agg == "std" else "ns")}
     totals = {f"_f{name}": _suffix_plus_prefix(name, behind, ahead) for name in sorted(needed)}
     totals |= {f"_fd{i}": F.sum(f"_d{i}").over(ahead) for i in range(len(distincts))}
 
@@ -232,6 +292,9 @@ def _suffix_plus_prefix(name: str, behind, ahead) -> Column:
 
 
 def _finish(spec: Rolling) -> Column:
+    if spec.digits is not None and spec.agg != "count":
+        n, total, squares = (F.col(f"_f_{part}{_unit_name(spec)}") for part in "nsq")
+        return _of_units(spec, n, total, squares)
     n = F.col(f"_f_n_{spec.column}")
     if spec.agg == "count":
         return n

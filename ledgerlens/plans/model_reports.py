@@ -4,9 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerlens.functions.measures import rate_pct, row_count, stable_round
+from ledgerlens.functions.measures import (
+    MONEY_DIGITS,
+    SCORE_DIGITS,
+    WIDE,
+    exact_total,
+    half_up,
+    rate_pct,
+    rounded_mean,
+    row_count,
+    units,
+)
 from ledgerlens.functions.scores import bucketize, over_threshold, score_from_response
-from ledgerlens.operators.distribution import ranking_quality, with_exact_percentiles
+from ledgerlens.operators.distribution import (
+    beside,
+    percentile_ends,
+    ranking_quality,
+    rounded_between_ends,
+    value_counts,
+)
 from ledgerlens.operators.evaluation import classification_report
 from ledgerlens.operators.filters import equal_to, trailing
 from ledgerlens.session import cut_lineage
@@ -28,21 +44,45 @@ def model_comparison(
     threshold: float = 0.5,
     exact: bool = True,
 ) -> DataFrame:
-    """Volume, scores, flags and latency per model version."""
+    """Volume, scores, flags and latency per model version.
+
+    The log is read once: everything follows from one row per version and latency.
+    """
     requests = recent_requests(logs, endpoint, days, as_of)
     flagged = F.count_if(over_threshold(F.col("score"), threshold))
-    measures = [
-        row_count().alias("total_requests"),
-        stable_round(F.avg("score"), 4).alias("avg_fraud_score"),
-        flagged.alias("fraud_flagged"),
-        rate_pct(flagged, row_count()).alias("fraud_flag_rate_pct"),
-        stable_round(F.avg("execution_duration_ms"), 1).alias("avg_latency_ms"),
-    ]
-    keys = ["model_name", "model_version"]
-    latency = {"p95_latency_ms": 0.95}
-    return with_exact_percentiles(
-        requests, keys, "execution_duration_ms", measures, latency, digits=1, exact=exact
-    ).orderBy("model_version", "model_name")
+    keys, points = ["model_name", "model_version"], {"p95_latency_ms": 0.95}
+    order = ["model_version", "model_name"]
+    if not exact:
+        return requests.groupBy(*keys).agg(
+            row_count().alias("total_requests"),
+            rounded_mean(F.col("score"), 4, SCORE_DIGITS).alias("avg_fraud_score"),
+            flagged.alias("fraud_flagged"),
+            rate_pct(flagged, row_count()).alias("fraud_flag_rate_pct"),
+            rounded_mean(F.col("execution_duration_ms"), 1).alias("avg_latency_ms"),
+            *[F.round(F.percentile_approx("execution_duration_ms", p), 1).alias(name) for name, p in points.items()],
+        ).orderBy(*order)
+    counted = value_counts(
+        requests,
+        keys,
+        units(F.col("execution_duration_ms")),
+        _rows=row_count(),
+        _scored=F.count("score"),
+        _score=exact_total(units(F.col("score"), SCORE_DIGITS)),
+        _flagged=flagged,
+    )
+    known = F.sum(F.when(F.col("_value").isNotNull(), F.col("_rows"))).cast(WIDE)
+    latency = F.sum(F.col("_value").cast("decimal(19,0)") * F.col("_rows").cast("decimal(19,0)"))
+    scored = F.sum("_scored").cast(WIDE) * F.lit(10**SCORE_DIGITS).cast("decimal(10,0)")
+    basics = counted.groupBy(*keys).agg(
+        F.sum("_rows").alias("total_requests"),
+        half_up(F.sum("_score"), scored, 4).alias("avg_fraud_score"),
+        F.sum("_flagged").alias("fraud_flagged"),
+        rate_pct(F.sum("_flagged"), F.sum("_rows")).alias("fraud_flag_rate_pct"),
+        half_up(latency, known * F.lit(10**MONEY_DIGITS).cast("decimal(5,0)"), 1).alias("avg_latency_ms"),
+    )
+    ends = percentile_ends(counted, keys, points)
+    spread = ends.select(*keys, *[rounded_between_ends(p, 1, MONEY_DIGITS).alias(p) for p in points])
+    return beside(basics, spread, keys).orderBy(*order)
 
 
 def score_distribution(
@@ -76,7 +116,7 @@ def ab_evaluation(
     traffic = requests.groupBy("model_version").agg(
         row_count().alias("total_requests"),
         flagged.alias("fraud_flagged"),
-        stable_round(F.avg("score"), 4).alias("avg_fraud_score"),
+        rounded_mean(F.col("score"), 4, SCORE_DIGITS).alias("avg_fraud_score"),
     )
     labelled = requests.select(record_id, "model_version", "score").join(
         outcomes.select(record_id, "is_fraud"), record_id

@@ -8,13 +8,18 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerlens.functions.measures import mean_where, rate_pct, row_count, stable_round, sum_where
-from ledgerlens.operators.distribution import (
-    beside,
-    percentiles_of_counts,
-    value_counts,
-    with_exact_percentiles,
+from ledgerlens.functions.measures import (
+    MONEY_DIGITS,
+    WIDE,
+    half_up,
+    rate_pct,
+    rounded_mean,
+    rounded_total,
+    row_count,
+    units,
+    where,
 )
+from ledgerlens.operators.distribution import beside, percentile_ends, rounded_between_ends, value_counts
 from ledgerlens.operators.filters import equal_to, not_blank
 
 
@@ -30,12 +35,12 @@ def _fraud_by(df: DataFrame, *keys: str | Column, digits: int = 4, **more: Colum
 
 
 def _mean_amount() -> Column:
-    return stable_round(F.avg("abs_amount"), 2)
+    return rounded_mean(F.col("abs_amount"))
 
 
 def fraud_by_month(df: DataFrame) -> DataFrame:
     month = F.date_format("ts", "yyyy-MM").alias("year_month")
-    total = stable_round(F.sum("abs_amount"), 2)
+    total = rounded_total(F.col("abs_amount"))
     return _fraud_by(df, month, total_amount=total, avg_amount=_mean_amount()).orderBy("year_month")
 
 
@@ -47,7 +52,7 @@ def fraud_by_type(df: DataFrame) -> DataFrame:
 
 def top_mcc_fraud(df: DataFrame, k: int = 20) -> DataFrame:
     """Categories with most frauds. Only frauds are counted, so every rate is 100."""
-    mean_fraud = stable_round(mean_where(F.col("is_fraud") == 1, F.col("abs_amount")), 2)
+    mean_fraud = rounded_mean(where(F.col("is_fraud") == 1, F.col("abs_amount")))
     frauds = equal_to(df, "is_fraud", 1)
     return (
         _fraud_by(frauds, "mcc", "mcc_name", avg_fraud_amount=mean_fraud)
@@ -58,7 +63,7 @@ def top_mcc_fraud(df: DataFrame, k: int = 20) -> DataFrame:
 
 def mcc_fraud_rate(df: DataFrame, k: int = 20) -> DataFrame:
     """The same categories with their rate among all their transactions."""
-    mean_fraud = stable_round(mean_where(F.col("is_fraud") == 1, F.col("abs_amount")), 2)
+    mean_fraud = rounded_mean(where(F.col("is_fraud") == 1, F.col("abs_amount")))
     return (
         _fraud_by(df, "mcc", "mcc_name", avg_fraud_amount=mean_fraud)
         .orderBy(F.desc("fraud_count"), "mcc", "mcc_name")
@@ -83,23 +88,28 @@ def amount_distribution(df: DataFrame, exact: bool = True) -> DataFrame:
     """
     points = {"median_amount": 0.5, "p95_amount": 0.95}
     if exact:
-        counted = value_counts(df, ["is_fraud"], "abs_amount", _rows=row_count())
+        amount = units(F.col("abs_amount"))
+        counted = value_counts(df, ["is_fraud"], amount, _rows=row_count())
+        money = F.lit(10**MONEY_DIGITS).cast("decimal(5,0)")
         known = F.sum(F.when(F.col("_value").isNotNull(), F.col("_rows")))
+        total = F.sum(F.col("_value").cast("decimal(19,0)") * F.col("_rows").cast("decimal(19,0)"))
         basics = counted.groupBy("is_fraud").agg(
             F.sum("_rows").alias("count"),
-            stable_round(F.min("_value"), 2).alias("min_amount"),
-            stable_round(F.sum(F.col("_value") * F.col("_rows")) / known, 2).alias("avg_amount"),
-            stable_round(F.max("_value"), 2).alias("max_amount"),
+            half_up(F.min("_value"), money, 2).alias("min_amount"),
+            half_up(total, known.cast(WIDE) * money, 2).alias("avg_amount"),
+            half_up(F.max("_value"), money, 2).alias("max_amount"),
         )
-        report = beside(basics, percentiles_of_counts(counted, ["is_fraud"], points), ["is_fraud"], 2)
+        ends = percentile_ends(counted, ["is_fraud"], points)
+        spread = ends.select("is_fraud", *[rounded_between_ends(p, 2, MONEY_DIGITS).alias(p) for p in points])
+        report = beside(basics, spread, ["is_fraud"])
     else:
-        measures = [
+        report = df.groupBy("is_fraud").agg(
             row_count().alias("count"),
-            stable_round(F.min("abs_amount"), 2).alias("min_amount"),
+            F.round(F.min("abs_amount"), 2).alias("min_amount"),
             _mean_amount().alias("avg_amount"),
-            stable_round(F.max("abs_amount"), 2).alias("max_amount"),
-        ]
-        report = with_exact_percentiles(df, ["is_fraud"], "abs_amount", measures, points, 2, exact=False)
+            F.round(F.max("abs_amount"), 2).alias("max_amount"),
+            *[F.round(F.percentile_approx("abs_amount", share), 2).alias(name) for name, share in points.items()],
+        )
     return report.select(
         "is_fraud", "count", "min_amount", "avg_amount", "median_amount", "p95_amount", "max_amount"
     )
@@ -111,7 +121,7 @@ def error_vs_fraud(df: DataFrame) -> DataFrame:
 
 
 def high_risk_customers(df: DataFrame, k: int = 20) -> DataFrame:
-    lost = stable_round(sum_where(F.col("is_fraud") == 1, F.col("abs_amount")), 2)
+    lost = F.coalesce(rounded_total(where(F.col("is_fraud") == 1, F.col("abs_amount"))), F.lit(0.0))
     return (
         _fraud_by(df, "client_id", digits=2, total_fraud_amount=lost)
         .filter(F.col("fraud_count") > 0)

@@ -93,3 +93,42 @@ def test_tied_scores_count_half(spark):
     df = spark.createDataFrame([(0.4, 1), (0.4, 0)], "s double, y int")
     got = ranking_quality(df, "s", "y").first()
     assert got.roc_auc == 0.5 and got.pr_auc == 0.5
+
+
+def largest_group(df, partitions):
+    """Rows of the largest range that a running total sees."""
+    from ledgerlens.operators.distribution import value_counts
+
+    counts = value_counts(df, [], "s", partitions, n=F.count(F.lit(1)))
+    return counts.groupBy("_part").count().agg(F.max("count")).first()[0]
+
+
+def test_ranges_shrink_as_partitions_grow(spark):
+    """A million distinct scores: no step holds more than a range of them."""
+    df = spark.range(1_000_000).select((F.col("id") * 7919 % 1_000_003).alias("s"), (F.col("id") % 10 == 0).cast("int").alias("y"))
+    assert largest_group(df, 4) > 3 * largest_group(df, 40) and largest_group(df, 40) < 50_000
+    got = [ranking_quality(df, "s", "y", partitions=n).first() for n in (4, 40)]
+    assert got[0].roc_auc == got[1].roc_auc and got[0].pr_auc == pytest.approx(got[1].pr_auc, rel=1e-12)
+    ranks = df.toPandas().sort_values("s").reset_index(drop=True)
+    positives = ranks.index[ranks.y == 1]
+    p, n = len(positives), len(ranks) - len(positives)
+    assert got[0].roc_auc == pytest.approx((positives.to_series().add(1).sum() - p * (p + 1) / 2) / (p * n), rel=1e-12)
+
+
+def test_whole_numbers_beyond_doubles_stay_exact(spark):
+    from decimal import Decimal
+
+    base = 2**53
+    df = spark.createDataFrame([(base + i,) for i in (1, 3, 5, 7)], "x long")
+    got = exact_percentiles(df, [], "x", {"a": 0.0, "m": 0.5, "p": 0.95, "z": 1.0}, partitions=3).first()
+    assert (got.a, got.m, got.z) == (base + 1, base + 4, base + 7) and got.p == Decimal(base) + Decimal("6.7")
+    money = spark.createDataFrame([("0.01",), ("0.02",), (None,)], "t string").selectExpr("cast(t as decimal(20,2)) x")
+    assert exact_percentiles(money, [], "x", {"m": 0.5}).first().m == Decimal("0.015")
+    with pytest.raises(ValueError):
+        exact_percentiles(df, [], "x", {"m": 1 / 3})
+
+
+def test_percentiles_are_the_same_for_any_number_of_ranges(spark):
+    df = spark.range(3000).select((F.col("id") % 3).alias("g"), (F.hash("id") % 997 / 8.0).alias("x"))
+    seen = {tuple(sorted(map(tuple, exact_percentiles(df, ["g"], "x", POINTS, n).collect()))) for n in (1, 5, 17)}
+    assert len(seen) == 1

@@ -74,9 +74,34 @@ def test_epoch_seconds_rounds_down(spark):
     assert tuple(rows.select(cleaning.epoch_seconds(col("a")), cleaning.epoch_seconds(col("b"))).first()) == (-2, 1704067200)
 
 
-@pytest.mark.parametrize("value, digits, rounded", [(10.115, 2, 10.12), (-10.115, 2, -10.12), (2.5, 0, 3.0), (0.0, 2, 0.0), (None, 2, None), (10.114999999999998, 2, 10.12)])
-def test_stable_round(one, value, digits, rounded):
-    assert one(lambda c: measures.stable_round(col(c), digits), value, "double") == rounded
+@pytest.mark.parametrize(
+    "top, over, digits, rounded",
+    [(10115, 1000, 2, 10.12), (-10115, 1000, 2, -10.12), (10114, 1000, 2, 10.11), (5, 2, 0, 3.0), (-5, 2, 0, -3.0),
+     (0, 7, 2, 0.0), (1, 0, 2, None), (None, 3, 2, None), (2, 3, 4, 0.6667), (2**62, 3, 0, 1537228672809129301.0)],
+)
+def test_quotients_are_rounded_half_up(spark, top, over, digits, rounded):
+    row = spark.createDataFrame([(top, over)], "a long, b long")
+    assert row.select(measures.half_up(col("a"), col("b"), digits)).first()[0] == rounded
+
+
+def test_sums_and_means_do_not_depend_on_order(spark):
+    """Ties at the last digit, and doubles that add up differently in another order."""
+    values = [0.1, 0.2, 0.3, 1e15 / 1024, 10.115, -10.115, 0.005, 0.045] * 50 + [None] * 5
+    seen = set()
+    for parts in (1, 3, 8):
+        df = spark.createDataFrame([(i % 2, v) for i, v in enumerate(values)], "g int, x double").repartition(parts)
+        rows = df.groupBy("g").agg(measures.rounded_total(col("x")), measures.rounded_mean(col("x"))).collect()
+        seen.add(tuple(sorted(map(tuple, rows))))
+    assert len(seen) == 1
+    half = spark.createDataFrame([(10.11,), (10.12,)], "x double").agg(measures.rounded_mean(col("x"))).first()[0]
+    assert half == 10.12
+
+
+def test_totals_pass_64_bits(spark):
+    wide = spark.range(6).select(F.lit(2**62).alias("u")).agg(measures.exact_total(col("u")).alias("t")).first().t
+    assert int(wide) == 6 * 2**62
+    low = spark.range(6).select(F.lit(-(2**62) - 1).alias("u")).agg(measures.exact_total(col("u")).alias("t")).first().t
+    assert int(low) == -6 * (2**62 + 1)
 
 
 def test_rate_of_nothing_is_null(spark):
