@@ -444,6 +444,14 @@ ORACLES: dict[str, str] = {
         FROM ranking""",
     "traffic_split": f"WITH {TRAFFIC} SELECT event_id, model FROM arms",
     # --- streams ---
+    "incremental_features": f"WITH {GOLD.replace(RAW_TX, RAW_TX_SCANNED)} SELECT * FROM gold",
+    "late_months_only": f"WITH {ORDERS}, changed AS (SELECT * REPLACE ("
+    "CASE WHEN year(ts) = 1997 THEN abs_amount / 2 ELSE abs_amount END AS abs_amount) FROM dated) "
+    + fraud_by(
+        "strftime(ts, '%Y-%m') AS year_month",
+        extra=f", {total('abs_amount')} AS total_amount {MEAN_AMOUNT}",
+        source="changed WHERE is_fraud IS NOT NULL AND year(ts) BETWEEN 1996 AND 1998",
+    ),
     "stream_ingest": f"WITH {RAW_TX} {SCANNED_TX}",
     "stream_rules": f"""WITH {RAW_TX}, n AS (SELECT count(*) AS total,
             CAST(count_if(merchant_state <> '') AS BIGINT) AS known,

@@ -38,7 +38,7 @@ from ledgerlens.plans import governance, layers, model_reports, reports, trainin
 from ledgerlens.session import scratch_path
 from ledgerlens.sources import readers
 from ledgerlens.sources.store import TableStore
-from ledgerlens.streaming import jobs
+from ledgerlens.streaming import features, jobs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -494,7 +494,7 @@ def built_lake(spark, sf_dir):
 
 @query("lakehouse_build")
 def lakehouse_build(spark, sf_dir):
-    return presented(built_lake(spark, sf_dir).read("gold", "fraud_features"))
+    return presented(built_lake(spark, sf_dir).read("gold", "fraud_features").drop("ts_month"))
 
 
 @query("lineage_captured")
@@ -585,8 +585,8 @@ def traffic_split(spark, sf_dir):
 
 def split_training(spark, sf_dir):
     store = new_store(spark)
-    features = store.write(a.gold(spark, sf_dir), "gold", "fraud_features")
-    return features, time_split(layers.build_gold_training(features), "ts", a.VALIDATION_START, a.TEST_START)
+    table = store.write(filters.with_month(a.gold(spark, sf_dir)), "gold", "fraud_features", partition_by=layers.LAYOUT)
+    return table, time_split(layers.build_gold_training(table), "ts", a.VALIDATION_START, a.TEST_START)
 
 
 QUICK = {**training.RATIO_WEIGHTED, "maxIter": 5, "maxDepth": 4}
@@ -594,9 +594,9 @@ QUICK = {**training.RATIO_WEIGHTED, "maxIter": 5, "maxDepth": 4}
 
 @query("train_score")
 def train_score(spark, sf_dir):
-    features, rows = split_training(spark, sf_dir)
+    table, rows = split_training(spark, sf_dir)
     trained = training.train_boosted_trees(rows, QUICK)
-    return training.batch_score(trained.model, features, carry=["transaction_id", "is_fraud"])
+    return training.batch_score(trained.model, table, carry=["transaction_id", "is_fraud"])
 
 
 @query("model_search")
@@ -617,6 +617,29 @@ def stream_ingest(spark, sf_dir):
     return spark.read.parquet(target).drop("_ingestion_timestamp", "_source_file")
 
 
+@query("incremental_features")
+def incremental_features(spark, sf_dir):
+    """Three drops of files, every third transaction each, so that later drops change earlier features."""
+    raw, store = a.bronze(spark, sf_dir), new_store(spark)
+    arriving, progress = scratch_path(spark, "arriving"), scratch_path(spark, "progress")
+    for drop in range(3):
+        raw.transactions.filter(F.col("id") % 3 == drop).write.mode("append").csv(arriving, header=True)
+        stream = jobs.stream_transactions(spark, arriving)
+        features.drain_features(stream, store, raw.cards, raw.users, raw.labels, raw.codes, progress)
+    return presented(features.current_features(store).drop("ts_month"))
+
+
+@query("late_months_only")
+def late_months_only(spark, sf_dir):
+    """Orders laid out by month, then the rows of one year written again with half their amount: other months stay."""
+    store, orders = new_store(spark), filters.with_month(a.dated_orders(spark, sf_dir))
+    store.write(orders, "silver", "orders", partition_by=["ts_month"])
+    late = filters.between_times(orders, "ts", "1997-01-01", "1998-01-01")
+    halved = late.withColumn("abs_amount", F.col("abs_amount") / 2)
+    table = store.write(halved, "silver", "orders", partition_by=["ts_month"], replace="partitions")
+    return reports.fraud_by_month(filters.present(table, "is_fraud"), "1996-01-01", "1999-01-01")
+
+
 @query("stream_rules")
 def stream_rules(spark, sf_dir):
     source = stored_csv(spark, a.raw_transactions(spark, sf_dir), "arriving")
@@ -631,11 +654,11 @@ def stream_rules(spark, sf_dir):
 
 @query("stream_score")
 def stream_score(spark, sf_dir):
-    features, rows = split_training(spark, sf_dir)
+    table, rows = split_training(spark, sf_dir)
     model = training.train_boosted_trees(rows, QUICK).model
     other = training.train_boosted_trees(rows, {**QUICK, "scheme": "balanced"}).model
     source, target = scratch_path(spark, "to_score"), scratch_path(spark, "logs")
-    features.select("transaction_id", *FEATURE_COLUMNS).write.json(source)
+    table.select("transaction_id", *FEATURE_COLUMNS).write.json(source)
     models = {"champion": (model, "v1"), "challenger": (other, "v2")}
     logs = jobs.score_stream(jobs.stream_records(spark, source), models, a.ENDPOINT)
     jobs.drain(logs, target, scratch_path(spark, "progress"))

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerlens.contract import LABEL_COLUMN, TEST_START, VALIDATION_START
 from ledgerlens.functions.scores import over_threshold
+from ledgerlens.operators.filters import between_times
 
 
 def time_split(
@@ -32,6 +33,18 @@ def time_split(
     return df.withColumn(column, chosen)
 
 
+def in_split(
+    df: DataFrame,
+    name: Literal["train", "val", "test"],
+    ts: str = "ts",
+    validation_start: str = VALIDATION_START,
+    test_start: str = TEST_START,
+) -> DataFrame:
+    """The rows of one split as a time range, which a table laid out by month answers from the range's months."""
+    bounds = {"train": (None, validation_start), "val": (validation_start, test_start), "test": (test_start, None)}
+    return between_times(df, ts, *bounds[name])
+
+
 def class_balance(df: DataFrame, label: str = LABEL_COLUMN) -> DataFrame:
     """One row: all rows, both classes, their shares in percent, and negatives per positive."""
     target = F.col(label)

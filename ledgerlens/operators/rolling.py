@@ -9,10 +9,13 @@ Two equivalent plans:
   A key is one window group, and the cost of a frame grows with its rows, so it
   suits keys of ordinary size.
 * ``rolling_sliced`` - for keys of any size. Rows are first reduced to one per
-  (key, second), then cut into time slices as long as the frame. A frame reaches
-  from the end of one slice into the start of the next, so it is the sum of a
-  suffix and a prefix: running sums, linear in the rows, in groups of at most two
-  slices of seconds however many rows the key has.
+  (key, second). Whole numbers (counts, money, distinct values as comings and goings)
+  then get running totals since the key's first second, from totals of days and running
+  sums within a day; a frame is the total at its end less the total before its start.
+  One pass serves all frame lengths. Other doubles would lose digits in a difference:
+  for them a frame is the sum of a suffix of one slice and a prefix of the next, a pass
+  per length. Either way cost is linear in the rows, and no group holds more than the
+  seconds of two slices, or a key's days, however many rows the key has.
 
 ``rolling_features`` sends keys with crowded frames to the second plan. Counts and
 distinct counts agree exactly, and so do sums, means and deviations of money (``digits``),
@@ -139,10 +142,14 @@ def rolling_sliced(df: DataFrame, key: str, ts: str, specs: Sequence[Rolling]) -
     who = F.coalesce(F.concat(F.col(key).cast("string"), F.lit("=")), F.lit(""))
     time = F.coalesce(epoch_seconds(F.col(ts)), F.lit(_NO_TIME))
     rows = df.withColumns({_WHO: who, _SEC: time, **_whole_units(specs)})
+    whole = [spec for spec in specs if spec.agg in ("count", "distinct") or spec.digits is not None]
+    rest = [spec for spec in specs if spec not in whole]
     seconds = _per_second(rows, specs)
-    for length in sorted({spec.seconds for spec in specs}):
-        due = [spec for spec in specs if spec.seconds == length]
-        seconds = _add_frame(seconds, rows, length, due)
+    if whole:
+        seconds = _add_whole_frames(seconds, rows, whole)
+    for length in sorted({spec.seconds for spec in rest}):
+        due = [spec for spec in rest if spec.seconds == length]
+        seconds = _add_frame(seconds, length, due)
     # AQE splits the row side if one second of one key is itself oversized.
     return rows.join(seconds.select(_WHO, _SEC, *[spec.name for spec in specs]), [_WHO, _SEC], "left").select(
         *df.columns, *[spec.name for spec in specs]
@@ -223,10 +230,121 @@ def _offset(sec: str, length: int) -> Column:
     return F.expr(f"pmod({sec}, {length}L)")
 
 
-def _add_frame(
-    seconds: DataFrame, rows: DataFrame, length: int, specs: Sequence[Rolling]
-) -> DataFrame:
-    """``seconds`` with the features of one frame length.
+def _measures(spec: Rolling) -> list[str]:
+    """Columns of ``_per_second`` that a feature of whole numbers is made of."""
+    if spec.agg == "count":
+        return [f"_n_{spec.column}"]
+    return [f"_{part}{_unit_name(spec)}" for part in ("nsq" if spec.agg == "std" else "ns")]
+
+
+def _add_whole_frames(seconds: DataFrame, rows: DataFrame, specs: Sequence[Rolling]) -> DataFrame:
+    """``seconds`` with the features that are made of whole numbers, of all frame lengths in one pass.
+
+    Every second asks for the running totals at itself and just before each of its
+    frames. Asking rows (``_ask``: 0 for the second itself) travel with the totals.
+    """
+    summed = [spec for spec in specs if spec.agg != "distinct"]
+    distincts = [spec for spec in specs if spec.agg == "distinct"]
+    names = sorted({name for spec in summed for name in _measures(spec)})
+    lengths = sorted({spec.seconds for spec in summed})
+    places = [F.struct(F.lit(0).alias("_ask"), F.col(_SEC).alias("_at"))]
+    places += [
+        F.struct(F.lit(i).alias("_ask"), (F.col(_SEC) - length - 1).alias("_at")) for i, length in enumerate(lengths, 1)
+    ]
+    events = seconds.select(_WHO, F.col(_SEC).alias("_of"), *names, F.inline(F.array(*places)))
+    events = events.withColumns({name: F.when(F.col("_ask") == 0, F.col(name)) for name in names})
+    gone = [f"_d{i}" for i in range(len(distincts))]
+    if distincts:
+        events = events.unionByName(_comings_and_goings(rows, distincts), allowMissingColumns=True)
+    totals = [*names, *gone]
+
+    # Dealt once; the totals of days and the running sums both read this exchange.
+    dealt = events.withColumn("_slot", _slot("_at", DAY)).repartition(_WHO, "_slot")
+    days = dealt.groupBy(_WHO, "_slot").agg(*[F.sum(name).alias(name) for name in totals])
+    earlier = Window.partitionBy(_WHO).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    before = days.select(
+        _WHO, "_slot", *[F.coalesce(F.sum(name).over(earlier), F.lit(0)).alias(f"_b{name}") for name in totals]
+    )
+    today = Window.partitionBy(_WHO, "_slot").orderBy("_at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    running = dealt.join(before, [_WHO, "_slot"]).select(
+        _WHO,
+        "_of",
+        "_ask",
+        *[(F.col(f"_b{name}") + F.coalesce(F.sum(name).over(today), F.lit(0))).alias(name) for name in totals],
+    )
+
+    def at(ask: int, name: str) -> Column:
+        return F.max(F.when(F.col("_ask") == ask, F.col(name)))
+
+    answers = [at(0, name).alias(name) for name in gone]
+    answers += [
+        (at(0, name) - at(lengths.index(length) + 1, name)).alias(f"_f{length}{name}")
+        for length, name in sorted({(spec.seconds, name) for spec in summed for name in _measures(spec)})
+    ]
+    answered = running.filter("_ask >= 0").groupBy(_WHO, F.col("_of").alias(_SEC)).agg(*answers)
+
+    def feature(spec: Rolling) -> Column:
+        if spec.agg == "distinct":
+            return F.col(gone[distincts.index(spec)]).cast("bigint")
+        parts = [F.col(f"_f{spec.seconds}{name}") for name in _measures(spec)]
+        if spec.agg == "count":
+            return parts[0]
+        return _of_units(spec, *parts, *[None] * (3 - len(parts)))
+
+    done = answered.select(_WHO, _SEC, *[feature(spec).alias(spec.name) for spec in specs])
+    return seconds.join(done, [_WHO, _SEC])
+
+
+def _comings_and_goings(rows: DataFrame, specs: Sequence[Rolling]) -> DataFrame:
+    """Per (key, second), by how much each feature's number of distinct values changes (``_d<i>`` for ``specs[i]``).
+
+    A sighting of a value at ``s`` counts until the value is seen again or leaves the
+    frame, i.e. during ``[s, min(next sighting, s + length + 1))``.
+    """
+    columns = list(dict.fromkeys(spec.column for spec in specs))
+    values = [
+        F.struct(F.lit(i).alias("_column"), _as_text(rows, name).alias("_value")) for i, name in enumerate(columns)
+    ]
+    seen = rows.select(_WHO, _SEC, F.inline(F.array(*values))).filter(F.col("_value").isNotNull()).distinct()
+    # The next sighting is looked up in stretches of several frames; a stretch also
+    # sees the first frame of the one after it, where a next sighting in reach must lie.
+    longest = max(spec.seconds for spec in specs)
+    stretch = longest * _STRETCH
+    own = _slot(_SEC, stretch)
+    peeked = F.when(_offset(_SEC, stretch) <= longest, own - 1)
+    spread = seen.select("*", own.alias("_home"), F.explode(F.array(own, peeked)).alias("_part")).filter(
+        F.col("_part").isNotNull()
+    )
+    order = Window.partitionBy(_WHO, "_column", "_value", "_part").orderBy(_SEC)
+    sightings = spread.withColumn("_again", F.lead(_SEC).over(order)).filter("_home = _part")
+
+    def changes(i: int, spec: Rolling) -> list[Column]:
+        here = F.col("_column") == columns.index(spec.column)
+        ends = F.least(F.col(_SEC) + (spec.seconds + 1), F.col("_again"))
+        return [
+            F.when(here, F.struct(F.lit(i).alias("_feature"), at.alias("_at"), F.lit(step).cast("bigint").alias("_step")))
+            for at, step in ((F.col(_SEC), 1), (ends, -1))
+        ]
+
+    listed = F.array(*[change for i, spec in enumerate(specs) for change in changes(i, spec)])
+    return (
+        sightings.select(_WHO, F.inline(listed))
+        .filter(F.col("_feature").isNotNull())
+        .groupBy(_WHO, "_at")
+        .agg(*[F.sum(F.when(F.col("_feature") == i, F.col("_step"))).alias(f"_d{i}") for i in range(len(specs))])
+        .withColumn("_ask", F.lit(-1))
+    )
+
+
+def _as_text(rows: DataFrame, name: str) -> Column:
+    value = F.col(name)
+    if rows.schema[name].dataType.typeName() in ("double", "float"):
+        value = F.when(value == 0, F.lit(0).cast(rows.schema[name].dataType)).otherwise(value)  # -0.0 is 0.0
+    return value.cast("string")
+
+
+def _add_frame(seconds: DataFrame, length: int, specs: Sequence[Rolling]) -> DataFrame:
+    """``seconds`` with sums of doubles over one frame length.
 
     Each row is placed in its own slice and, as a predecessor, in the next one.
     Within a slice ordered by offset, the frame of a row at offset ``o`` holds
@@ -242,11 +360,6 @@ def _add_frame(
             )
         ),
     )
-    distincts = [spec for spec in specs if spec.agg == "distinct"]
-    if distincts:
-        changes = _distinct_changes(rows, [spec.column for spec in distincts], length)
-        placed = placed.unionByName(changes, allowMissingColumns=True)
-
     group = Window.partitionBy(_WHO, "_slot")
     ahead = group.orderBy("_off").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     behind = group.orderBy(F.col("_off").desc()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
@@ -254,8 +367,7 @@ def _add_frame(
 
     # Squares are taken around the slice pair's mean, which keeps them small
     # enough that subtracting the frame's own mean loses no precision.
-    inexact = [spec for spec in specs if spec.digits is None or spec.agg in ("count", "distinct")]
-    for column in {spec.column for spec in inexact if spec.agg == "std"}:
+    for column in {spec.column for spec in specs if spec.agg == "std"}:
         n, s, m = (F.col(f"_{part}_{column}") for part in "nsm")
         centre = f"_c_{column}"
         # A NaN or infinity outside the frame must not reach it through the centre.
@@ -265,24 +377,11 @@ def _add_frame(
         gap = s / F.nullif(n, F.lit(0)) - F.col(centre)
         placed = placed.withColumn(f"_q_{column}", m + n * gap * gap)
 
-    needed = {f"_n_{spec.column}" for spec in inexact if spec.agg != "distinct"}
-    needed |= {f"_s_{spec.column}" for spec in inexact if spec.agg in ("sum", "avg", "std")}
-    needed |= {f"_q_{spec.column}" for spec in inexact if spec.agg == "std"}
-    for spec in specs:
-        if spec not in inexact:
-            needed |= {f"_{part}{_unit_name(spec)}" for part in ("nsq" if spec.agg == "std" else "ns")}
+    needed = {f"_{part}_{spec.column}" for spec in specs for part in "ns"}
+    needed |= {f"_q_{spec.column}" for spec in specs if spec.agg == "std"}
     totals = {f"_f{name}": _suffix_plus_prefix(name, behind, ahead) for name in sorted(needed)}
-    totals |= {f"_fd{i}": F.sum(f"_d{i}").over(ahead) for i in range(len(distincts))}
-
     summed = placed.select("*", *[expr.alias(name) for name, expr in totals.items()]).filter("_own")
-    features = []
-    for spec in specs:
-        if spec.agg == "distinct":
-            value = F.coalesce(F.col(f"_fd{distincts.index(spec)}"), F.lit(0)).cast("bigint")
-        else:
-            value = _finish(spec)
-        features.append(value.alias(spec.name))
-    return summed.select(*seconds.columns, *features)
+    return summed.select(*seconds.columns, *[_finish(spec).alias(spec.name) for spec in specs])
 
 
 def _suffix_plus_prefix(name: str, behind, ahead) -> Column:
@@ -292,13 +391,7 @@ def _suffix_plus_prefix(name: str, behind, ahead) -> Column:
 
 
 def _finish(spec: Rolling) -> Column:
-    if spec.digits is not None and spec.agg != "count":
-        n, total, squares = (F.col(f"_f_{part}{_unit_name(spec)}") for part in "nsq")
-        return _of_units(spec, n, total, squares)
-    n = F.col(f"_f_n_{spec.column}")
-    if spec.agg == "count":
-        return n
-    s = F.col(f"_f_s_{spec.column}")
+    n, s = F.col(f"_f_n_{spec.column}"), F.col(f"_f_s_{spec.column}")
     if spec.agg == "sum":
         return F.when(n > 0, s)
     if spec.agg == "avg":
@@ -306,65 +399,3 @@ def _finish(spec: Rolling) -> Column:
     shift = F.when(n > 1, s / n - F.col(f"_c_{spec.column}"))
     spread = F.col(f"_f_q_{spec.column}") - n * shift * shift
     return F.when(n > 1, F.sqrt(F.greatest(spread, F.lit(0.0)) / (n - 1)))
-
-
-def _distinct_changes(rows: DataFrame, columns: Sequence[str], length: int) -> DataFrame:
-    """Per (key, slice, offset), by how much the number of distinct values changes.
-
-    Column ``_d<i>`` belongs to ``columns[i]``. A sighting of a value at ``s``
-    counts until the value is seen again or leaves the frame, i.e. during
-    ``[s, end)`` with ``end = min(next sighting, s + length + 1)``. An interval
-    alive at the start of the following slice is opened there again, so that a
-    running sum within a slice is the distinct count.
-    """
-    def as_text(name: str) -> Column:
-        value = F.col(name)
-        if rows.schema[name].dataType.typeName() in ("double", "float"):
-            value = F.when(value == 0, F.lit(0).cast(rows.schema[name].dataType)).otherwise(value)  # -0.0 is 0.0
-        return value.cast("string")
-
-    values = [
-        F.struct(F.lit(i).alias("_column"), as_text(name).alias("_value")) for i, name in enumerate(columns)
-    ]
-    seen = (
-        rows.select(_WHO, _SEC, F.inline(F.array(*values)))
-        .filter(F.col("_value").isNotNull())
-        .distinct()
-    )
-    # The next sighting is looked up in stretches of several frames; a stretch also
-    # sees the first frame of the one after it, where a next sighting in reach must lie.
-    stretch = length * _STRETCH
-    own = _slot(_SEC, stretch)
-    peeked = F.when(_offset(_SEC, stretch) <= length, own - 1)
-    spread = seen.select("*", own.alias("_home"), F.explode(F.array(own, peeked)).alias("_part")).filter(
-        F.col("_part").isNotNull()
-    )
-    order = Window.partitionBy(_WHO, "_column", "_value", "_part").orderBy(_SEC)
-    expiry = F.col(_SEC) + (length + 1)
-    intervals = (
-        spread.withColumn("_end", F.least(expiry, F.lead(_SEC).over(order)))
-        .filter("_home = _part")
-        .withColumn("_slot", _slot(_SEC, length))
-    )
-    following = (F.col("_slot") + 1) * length
-
-    def change(condition: Column, in_slot: Column, at: Column, step: int) -> Column:
-        return F.when(
-            condition,
-            F.struct(in_slot.alias("_slot"), at.alias("_off"), F.lit(step).cast("bigint").alias("_d")),
-        )
-
-    end, here, after = F.col("_end"), F.col("_slot"), F.col("_slot") + 1
-    changes = F.array(
-        change(F.lit(True), here, F.col(_SEC) - here * length, 1),
-        change(end < following, here, end - here * length, -1),
-        change(end > following, after, F.lit(0).cast("bigint"), 1),
-        change((end > following) & (end < following + length), after, end - following, -1),
-    )
-    return (
-        intervals.select(_WHO, "_column", F.inline(changes))
-        .filter(F.col("_d").isNotNull())
-        .groupBy(_WHO, "_slot", "_off")
-        .agg(*[F.sum(F.when(F.col("_column") == i, F.col("_d"))).alias(f"_d{i}") for i in range(len(columns))])
-        .withColumn("_own", F.lit(False))
-    )

@@ -25,7 +25,7 @@ from ledgerlens.functions.cleaning import (
     parse_timestamp,
 )
 from ledgerlens.operators.columns import minimise
-from ledgerlens.operators.filters import present
+from ledgerlens.operators.filters import month_of, present, with_month
 from ledgerlens.operators.joins import enrich
 from ledgerlens.operators.quality import Rule, apply_rules, rule_metrics
 from ledgerlens.operators.rolling import CARD_FEATURES, rolling_features
@@ -33,6 +33,10 @@ from ledgerlens.sources.readers import read_csv, read_json_dict, with_ingest_col
 from ledgerlens.sources.store import TableStore
 
 
+#: How silver and gold tables are partitioned.
+LAYOUT = [month_of("ts")]
+
+
 class Bronze(NamedTuple):
     transactions: DataFrame
     cards: DataFrame
@@ -169,7 +173,11 @@ def build_gold_training(features: DataFrame) -> DataFrame:
 
 
 def build_lakehouse(spark: SparkSession, paths: Mapping[str, str], store: TableStore) -> TableStore:
-    """Raw files to stored bronze, silver and gold tables, each read back from storage."""
+    """Raw files to stored bronze, silver and gold tables, each read back from storage.
+
+    Silver and gold are laid out by month (``ts_month``), which ``between_times``,
+    ``trailing`` and ``in_split`` turn into a choice of folders.
+    """
     raw = build_bronze(spark, paths)
     names = {
         "transactions": "Raw card transactions",
@@ -185,11 +193,12 @@ def build_lakehouse(spark: SparkSession, paths: Mapping[str, str], store: TableS
         ]
     )
     silver = store.write(
-        build_silver(bronze),
+        with_month(build_silver(bronze)),
         "silver",
         "transactions",
         "Cleaned transactions with labels, cards, users and categories",
         sources=[store.full_name("bronze", name) for name in names],
+        partition_by=LAYOUT,
     )
     # Counted from the stored rows (four columns), not observed during the write:
     # tasks repeated after a lost executor would be observed twice.
@@ -201,6 +210,7 @@ def build_lakehouse(spark: SparkSession, paths: Mapping[str, str], store: TableS
         "Model-ready features with 1h, 24h and 7d card history",
         tags=TABLE_TAGS["fraud_features"],
         sources=[store.full_name("silver", "transactions")],
+        partition_by=LAYOUT,
     )
     store.write(
         build_gold_training(features),
@@ -209,5 +219,6 @@ def build_lakehouse(spark: SparkSession, paths: Mapping[str, str], store: TableS
         "Labelled rows of the features",
         tags=TABLE_TAGS["fraud_training"],
         sources=[store.full_name("gold", "fraud_features")],
+        partition_by=LAYOUT,
     )
     return store

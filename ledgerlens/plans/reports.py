@@ -20,7 +20,7 @@ from ledgerlens.functions.measures import (
     where,
 )
 from ledgerlens.operators.distribution import beside, percentile_ends, rounded_between_ends, value_counts
-from ledgerlens.operators.filters import equal_to, not_blank
+from ledgerlens.operators.filters import between_times, equal_to, not_blank
 
 
 def _fraud_by(df: DataFrame, *keys: str | Column, digits: int = 4, **more: Column) -> DataFrame:
@@ -38,7 +38,9 @@ def _mean_amount() -> Column:
     return rounded_mean(F.col("abs_amount"))
 
 
-def fraud_by_month(df: DataFrame) -> DataFrame:
+def fraud_by_month(df: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
+    """By month, of all times or of ``start <= ts < end``."""
+    df = between_times(df, "ts", start, end)
     month = F.date_format("ts", "yyyy-MM").alias("year_month")
     total = rounded_total(F.col("abs_amount"))
     return _fraud_by(df, month, total_amount=total, avg_amount=_mean_amount()).orderBy("year_month")

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from threading import Lock
+from typing import Literal
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.utils import AnalysisException
@@ -24,6 +26,24 @@ def _named(column: str) -> str:
     return "`" + column.replace("`", "``") + "`"
 
 
+_SETTING = Lock()
+
+
+def _replace_partitions(df: DataFrame, target: str) -> None:
+    """Overwrites the partitions of ``target`` that ``df`` has rows for.
+
+    Inserting into a table takes the mode from the session alone, so it is set for as long as the write lasts.
+    """
+    mode, session = "spark.sql.sources.partitionOverwriteMode", df.sparkSession
+    with _SETTING:
+        before = session.conf.get(mode)
+        session.conf.set(mode, "dynamic")
+        try:
+            df.write.insertInto(target, overwrite=True)
+        finally:
+            session.conf.set(mode, before)
+
+
 class TableStore:
     """Tables below ``root``, one database per layer, named ``<name>_<layer>``.
 
@@ -58,16 +78,25 @@ class TableStore:
         tags: Mapping[str, str] | None = None,
         sources: Sequence[str] = (),
         partition_by: Sequence[str] = (),
+        replace: Literal["all", "partitions"] = "all",
     ) -> DataFrame:
         """Replaces a table by ``df`` and returns the stored table.
 
         The layer is recorded as property ``quality``; ``sources`` (full names)
-        become lineage edges.
+        become lineage edges. ``replace="partitions"`` keeps a table that is there
+        and replaces only the partitions that ``df`` has rows for, so repeating a
+        write changes nothing.
         """
         target = self.full_name(layer, table)
         if partition_by:
             # Otherwise every task writes a file into every partition; AQE splits oversized ones.
             df = df.hint("rebalance", *partition_by)
+        if replace == "partitions" and self.spark.catalog.tableExists(target):
+            if not partition_by:
+                raise ValueError("only a partitioned table is replaced in parts")
+            _replace_partitions(df.select(*self.read(layer, table).columns), target)
+            self.spark.catalog.refreshTable(target)
+            return self.read(layer, table)
         writer = df.write.mode("overwrite").format("parquet")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
@@ -168,6 +197,21 @@ class TableStore:
     def quality(self) -> DataFrame:
         return self._log(self.quality_path, QUALITY_SCHEMA)
 
+    # --- stream batches ---
+
+    @property
+    def batches_path(self) -> str:
+        return f"{self.root}/_batches"
+
+    def finish_batch(self, number: int) -> None:
+        """Notes that all tables hold a micro-batch; noting it again changes nothing."""
+        self._append(self.spark.createDataFrame([(number,)], "batch INT"), self.batches_path)
+
+    def finished_batch(self) -> int:
+        """The last finished micro-batch, -1 before the first."""
+        last = self._log(self.batches_path, "batch INT, created_at TIMESTAMP").agg(F.max("batch")).first()[0]
+        return -1 if last is None else last
+
     def _append(self, rows: DataFrame, path: str) -> None:
         rows.withColumn("created_at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(path)
 

@@ -7,6 +7,7 @@ from ledgerlens.contract import FEATURE_COLUMNS, SILVER_COLUMNS
 from ledgerlens.operators.quality import rule_metrics
 from ledgerlens.plans.governance import latest_lineage, table_counts
 from ledgerlens.plans.layers import (
+    LAYOUT,
     SILVER_RULES,
     build_bronze,
     build_gold_training,
@@ -27,12 +28,12 @@ TX = """id,date,client_id,card_id,amount,use_chip,merchant_id,merchant_city,merc
 8,2018-05-06 11:00:00,,10,$1.00,Chip Transaction,9,Reno,CA,1,5812,
 """
 CARDS = """id,client_id,card_brand,card_type,card_number,expires,cvv,has_chip,num_cards_issued,credit_limit,acct_open_date,year_pin_last_changed,card_on_dark_web
-10,100,Visa,Debit,4000,12/2022,123,YES,2,"$24,295",09/2002,2008,No
-11,101,Amex,Credit,4001,12/2022,124,NO,1,$0,09/2002,2009,Yes
+10,100,Visa,Debit,4000,02/2031,901,YES,3,"$12,340",05/2011,2013,No
+11,101,Amex,Credit,4001,02/2031,902,NO,1,$0,06/2012,2014,Yes
 """
 USERS = """id,current_age,retirement_age,birth_year,birth_month,gender,address,latitude,longitude,per_capita_income,yearly_income,total_debt,credit_score,num_credit_cards
-100,53,66,1966,11,Female,462 Rose Lane,34.15,-117.76,"$29,278","$59,696","$127,613",787,5
-101,40,66,1979,11,Male,1 Rose Lane,34.15,-117.76,$0,$0,$191,701,5
+100,37,68,1987,3,Female,8 Quarry Street,12.5,-45.25,"$21,050","$43,210","$97,531",655,2
+101,29,68,1995,4,Male,9 Quarry Street,12.5,-45.25,$0,$0,$246,620,1
 """
 
 
@@ -71,14 +72,14 @@ def test_bronze_counts(store):
 
 def test_silver_rows_and_columns(store):
     silver = store.read("silver", "transactions")
-    assert silver.columns == SILVER_COLUMNS and len(SILVER_COLUMNS) == 30
+    assert silver.columns == [*SILVER_COLUMNS, *LAYOUT] and len(SILVER_COLUMNS) == 30
     rows = by_id(silver)
     assert sorted(rows) == [1, 2, 3, 4, 5]
     assert rows[2].amount == -77.0 and rows[3].amount == 1200.5 and rows[4].amount is None
     assert rows[4].ts is None and rows[3].errors is None and rows[2].errors == "Bad PIN"
     assert rows[1].mcc_name == "Eating Places, Restaurants" and rows[3].mcc_name is None
     assert rows[5].card_brand is None and rows[5].gender is None
-    assert rows[1].credit_limit == 24295.0 and rows[1].total_debt == 127613.0
+    assert rows[1].credit_limit == 12340.0 and rows[1].total_debt == 97531.0
     assert [rows[i].is_fraud for i in (1, 2, 3, 4, 5)] == [0, 1, None, 0, None]
 
 
@@ -108,13 +109,13 @@ def test_rule_outcomes_are_recorded(store):
 
 def test_gold_features(store):
     gold = store.read("gold", "fraud_features")
-    assert len(gold.columns) == 52 and set(FEATURE_COLUMNS) <= set(gold.columns)
+    assert len(gold.columns) == 52 + len(LAYOUT) and set(FEATURE_COLUMNS) <= set(gold.columns)
     rows = by_id(gold)
     assert (rows[2].is_refund, rows[2].abs_amount, rows[1].is_refund, rows[4].is_refund) == (1, 77.0, 0, None)
     assert (rows[4].is_online, rows[4].is_chip, rows[4].is_swipe, rows[4].has_error) == (None, None, None, 0)
     assert (rows[1].hour_of_day, rows[1].day_of_week, rows[1].month) == (10, 7, 5)  # a Saturday
     assert (rows[3].is_online, rows[2].has_error, rows[4].is_dark_web, rows[1].has_chip_flag) == (1, 1, 1, 1)
-    assert rows[1].debt_to_income == pytest.approx(127613 / 59696) and rows[4].debt_to_income is None
+    assert rows[1].debt_to_income == pytest.approx(97531 / 43210) and rows[4].debt_to_income is None
     assert [rows[i].tx_count_1h for i in (1, 2, 3, 4, 5)] == [1, 3, 3, 1, 1]
     assert rows[2].tx_amount_1h == 50.0 + 77.0 + 1200.5  # refunds and unlabelled rows are part of the history
     assert rows[2].unique_merchants_24h == 2 and rows[1].std_amount_24h is None
