@@ -7,7 +7,7 @@ and percentiles come from the exact numerator and denominator; other doubles are
 
 from __future__ import annotations
 
-from checks.adapters import AS_OF, ENDPOINT, VALIDATION_START
+from checks.adapters import AS_OF, ENDPOINT, TEST_START, VALIDATION_START
 
 
 def rounded(value: str, digits: int) -> str:
@@ -443,6 +443,13 @@ ORACLES: dict[str, str] = {
     "pr_auc": f"""WITH {SCORED}, {_ranking("scored", "0")} SELECT positives, {rounded("pr_auc", 8)} AS pr_auc
         FROM ranking""",
     "traffic_split": f"WITH {TRAFFIC} SELECT event_id, model FROM arms",
+    "train_decisive": f"WITH {FEATURES} SELECT transaction_id, is_refund AS flagged FROM features",
+    "evaluate_splits": f"""WITH {FEATURES}, held AS (SELECT is_refund = 1 AS fraud,
+            CASE WHEN ts < TIMESTAMP '{VALIDATION_START}' THEN 'train' WHEN ts < TIMESTAMP '{TEST_START}' THEN 'val'
+                ELSE 'test' END AS split FROM features)
+        SELECT split, CAST(1.0 AS DOUBLE) AS precision, CAST(1.0 AS DOUBLE) AS recall, CAST(1.0 AS DOUBLE) AS f1,
+            CAST(count_if(fraud) AS BIGINT) AS support, CAST(1.0 AS DOUBLE) AS roc_auc, CAST(1.0 AS DOUBLE) AS pr_auc
+        FROM held WHERE split <> 'train' GROUP BY split""",
     # --- streams ---
     "incremental_features": f"WITH {GOLD.replace(RAW_TX, RAW_TX_SCANNED)} SELECT * FROM gold",
     "late_months_only": f"WITH {ORDERS}, changed AS (SELECT * REPLACE ("

@@ -589,21 +589,44 @@ def split_training(spark, sf_dir):
     return table, time_split(layers.build_gold_training(table), "ts", a.VALIDATION_START, a.TEST_START)
 
 
-QUICK = {**training.RATIO_WEIGHTED, "maxIter": 5, "maxDepth": 4}
-
-
 @query("train_score")
 def train_score(spark, sf_dir):
     table, rows = split_training(spark, sf_dir)
-    trained = training.train_boosted_trees(rows, QUICK)
+    trained = training.train_boosted_trees(rows, training.RATIO_WEIGHTED, train_rows=TRAIN_ROWS)
     return training.batch_score(trained.model, table, carry=["transaction_id", "is_fraud"])
 
 
+#: Labelled training rows of the checks at most; a third of the labels of the largest test tables.
+TRAIN_ROWS = 20_000
+
+
+def decisive_model(spark, sf_dir, params):
+    """Rows whose label is whether they are refunds, which one split of one tree tells, and a model of them."""
+    table = a.row_features(spark, sf_dir)
+    blank = [name for name in FEATURE_COLUMNS if name not in table.columns]
+    table = table.withColumns({name: F.lit(None).cast("double") for name in blank} | {"is_fraud": F.col("is_refund")})
+    rows = time_split(table, "ts", a.VALIDATION_START, a.TEST_START)
+    return rows, training.train_boosted_trees(rows, params, train_rows=TRAIN_ROWS).model
+
+
+@query("train_decisive")
+def train_decisive(spark, sf_dir):
+    """Its loss falls with every tree, so the rule on patience never stops; the trees are bounded instead."""
+    rows, model = decisive_model(spark, sf_dir, {**training.RATIO_WEIGHTED, "maxIter": 40})
+    return training.batch_score(model, rows, carry=["transaction_id"]).select("transaction_id", "flagged")
+
+
+@query("evaluate_splits")
+def evaluate_splits(spark, sf_dir):
+    """The measures are checked here, not the learner, so the trees are few."""
+    rows, model = decisive_model(spark, sf_dir, {**training.RATIO_WEIGHTED, "maxIter": 5})
+    return training.evaluate_splits(model, rows)[0]
+
+
 @query("model_search")
 def model_search(spark, sf_dir):
     _, rows = split_training(spark, sf_dir)
-    grid = [QUICK, {**training.BALANCED, "maxIter": 5, "maxDepth": 3}]
-    return training.model_search(rows, grid)[1]
+    return training.model_search(rows, [training.RATIO_WEIGHTED, training.BALANCED], train_rows=TRAIN_ROWS)[1]
 
 
 # --- streams -------------------------------------------------------------------------
@@ -655,13 +678,14 @@ def stream_rules(spark, sf_dir):
 @query("stream_score")
 def stream_score(spark, sf_dir):
     table, rows = split_training(spark, sf_dir)
-    model = training.train_boosted_trees(rows, QUICK).model
-    other = training.train_boosted_trees(rows, {**QUICK, "scheme": "balanced"}).model
+    prepared = training.prepare(rows, train_rows=TRAIN_ROWS)
+    model = training.fit(prepared, training.RATIO_WEIGHTED).model
+    other = training.fit(prepared, {**training.RATIO_WEIGHTED, "scheme": "balanced"}).model
     source, target = scratch_path(spark, "to_score"), scratch_path(spark, "logs")
     table.select("transaction_id", *FEATURE_COLUMNS).write.json(source)
     models = {"champion": (model, "v1"), "challenger": (other, "v2")}
-    logs = jobs.score_stream(jobs.stream_records(spark, source), models, a.ENDPOINT)
-    jobs.drain(logs, target, scratch_path(spark, "progress"))
+    records = jobs.stream_records(spark, source)
+    jobs.drain_scores(records, models, a.ENDPOINT, target, scratch_path(spark, "progress"))
     return (
         readers.read_request_logs(spark, target)
         .withColumn("score", model_reports.score_from_response(F.col("response")))

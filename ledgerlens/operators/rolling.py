@@ -187,9 +187,10 @@ def rolling_features(
     """
     source = df if key_source is None else key_source
     longest = max(spec.seconds for spec in specs)
-    found = cut_lineage(crowded_keys(source, key, ts, longest, frame_rows).withColumnRenamed(key, _CROWDED))
-    if found.isEmpty():
+    found = crowded_keys(source, key, ts, longest, frame_rows).withColumnRenamed(key, _CROWDED)
+    if found.isEmpty():  # as a rule; nothing is stored then
         return rolling_windows(df, key, ts, specs)
+    found = cut_lineage(found)
     is_crowded = F.col(key).eqNullSafe(F.col(_CROWDED))
     crowded = cut_lineage(df.join(found, is_crowded, "left_semi"))
     rest = df.join(found, is_crowded, "left_anti")

@@ -3,18 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerlens.contract import FEATURE_COLUMNS, LABEL_COLUMN
 from ledgerlens.functions.scores import over_threshold
 from ledgerlens.operators.columns import feature_projection
-from ledgerlens.operators.evaluation import class_weights, classification_report, with_class_weight
+from ledgerlens.operators.distribution import ranking_quality
+from ledgerlens.operators.evaluation import classification_report
 from ledgerlens.session import cut_lineage, shared_root
 
 # The two training set-ups, as far as Spark's boosted trees share
@@ -36,66 +39,100 @@ class Trained(NamedTuple):
     params: dict
 
 
-def train_boosted_trees(
-    rows: DataFrame,
-    params: Mapping = RATIO_WEIGHTED,
-    features: Sequence[str] = FEATURE_COLUMNS,
-    split: str = "split",
-) -> Trained:
-    """Boosted trees on the ``train`` rows, as many as the ``val`` rows call for.
+class Prepared(NamedTuple):
+    """Training inputs, stored once for any number of fits: features, label and whether a row validates."""
 
-    The number of trees is the one of least validation loss before ``patience`` trees
-    in a row brought no better one. Spark's own early stopping ends at the first
-    tree without progress, so all trees are grown, their losses taken in one pass, and
-    the shorter model is grown again from the same seed and the same stored rows.
+    stages: list
+    inputs: DataFrame
+    negatives: int
+    positives: int
+
+
+def prepare(
+    rows: DataFrame, features: Sequence[str] = FEATURE_COLUMNS, split: str = "split", train_rows: int | None = None
+) -> Prepared:
+    """Counts, fills and assembles the labelled ``train`` and ``val`` rows.
 
-    ``rows`` is a labelled table with the split column. Spark grows every tree
-    over the distributed rows; nothing is collected. Features no training row
-    has are left out; other gaps take the training median.
+    Features no training row has are left out; other gaps take the training median,
+    so that validation rows inform nothing. ``train_rows`` bounds the labelled training
+    rows: they are thinned by the hash of their features, equal rows together, to about that number.
     """
     shared_root(rows.sparkSession)
-    settings = {"checkpointInterval": 10, **params}
-    scheme, patience = settings.pop("scheme", "ratio"), settings.pop("patience", 20)
     usable = rows.filter(F.col(split).isin("train", "val") & F.col(LABEL_COLUMN).isin(0, 1))
     known = feature_projection(usable, features, LABEL_COLUMN, carry=[split])
-    train = known.filter(F.col(split) == "train")
-
     in_train = F.col(split) == "train"
-    counts = known.agg(
-        F.count_if(in_train & (F.col(LABEL_COLUMN) == 0)).alias("_negatives"),
-        F.count_if(in_train & (F.col(LABEL_COLUMN) == 1)).alias("_positives"),
-        F.count_if(~in_train).alias("_validation"),
-        *[F.count(F.when(in_train, F.col(name))).alias(name) for name in features],
-    ).first()
-    for needed in ("_negatives", "_positives", "_validation"):
-        if counts[needed] == 0:
-            raise ValueError(f"cannot train: no {needed.strip('_')} rows in split column {split!r}")
+    counts = known.agg(*[F.count(F.when(in_train, F.col(name))).alias(name) for name in features]).first()
     present = [name for name in features if counts[name] > 0]
-
-    weighted = with_class_weight(known, class_weights(train, scheme=scheme)).withColumn(
-        "_validation", F.col(split) == "val"
-    )
-    # Gaps are filled by training medians, so that validation rows inform nothing.
+    sizes = _class_sizes(known.withColumn("_validation", ~in_train))
+    for needed, n in (("negatives", sizes[False, 0]), ("positives", sizes[False, 1]), ("validation", sizes[True, 0] + sizes[True, 1])):
+        if n == 0:
+            raise ValueError(f"cannot train: no {needed} rows in split column {split!r}")
     imputer = Imputer(strategy="median", inputCols=present, outputCols=[f"{n}_filled" for n in present])
-    preparation = Pipeline(
-        stages=[
-            imputer,
-            VectorAssembler(inputCols=imputer.getOutputCols(), outputCol="features"),
-        ]
-    ).fit(train)
-    learner = GBTClassifier(
-        labelCol=LABEL_COLUMN,
-        featuresCol="features",
-        weightCol="weight",
-        **settings,
-    )
-    inputs = cut_lineage(preparation.transform(weighted).select("features", LABEL_COLUMN, "weight", "_validation"))
-    grown = inputs.filter(~F.col("_validation"))
-    booster = learner.fit(grown)
-    wanted = trees_wanted(booster.evaluateEachIteration(inputs.filter("_validation")), patience)
+    assembler = VectorAssembler(inputCols=imputer.getOutputCols(), outputCol="features")
+    preparation = Pipeline(stages=[imputer, assembler]).fit(known.filter(in_train))
+    inputs = preparation.transform(known.withColumn("_validation", ~in_train))
+    stored = cut_lineage(inputs.select("features", LABEL_COLUMN, "_validation"))
+    total = sizes[False, 0] + sizes[False, 1]
+    if train_rows is not None and total > train_rows:
+        draw = F.pmod(F.xxhash64("features"), F.lit(1 << 32)) / float(1 << 32)
+        stored = stored.filter(F.col("_validation") | (draw < train_rows / total))
+        sizes = _class_sizes(stored)
+    return Prepared(preparation.stages, stored, sizes[False, 0], sizes[False, 1])
+
+
+def _class_sizes(rows: DataFrame) -> dict[tuple[bool, int], int]:
+    """Rows by (validates, label)."""
+    counted = rows.groupBy("_validation", LABEL_COLUMN).agg(F.count(F.lit(1)).alias("rows")).collect()  # four rows at most
+    return {(v, y): 0 for v in (False, True) for y in (0, 1)} | {(r["_validation"], r[LABEL_COLUMN]): r["rows"] for r in counted}
+
+
+def weight_of(prepared: Prepared, scheme: str) -> Column:
+    """The weight of a row's class from the counts of the training rows."""
+    neg, pos = prepared.negatives, prepared.positives
+    weights = {"ratio": (1.0, neg / pos), "balanced": ((neg + pos) / (2 * neg), (neg + pos) / (2 * pos))}[scheme]
+    return F.when(F.col(LABEL_COLUMN) == 1, F.lit(weights[1])).otherwise(F.lit(weights[0]))
+
+
+def fit(prepared: Prepared, params: Mapping = RATIO_WEIGHTED) -> Trained:
+    """Boosted trees, as many as the validation rows call for.
+
+    The number of trees is the one of least validation loss before ``patience`` trees
+    in a row brought no better one. Spark's own early stopping ends at the first tree
+    without progress, so trees are grown in rounds of twice as many, from the same seed
+    and the same stored rows, until the rule has stopped or ``maxIter`` is reached: at
+    most about three times the work of the trees that the rule looks at.
+    """
+    settings = {"checkpointInterval": 10, **params}
+    scheme, patience = settings.pop("scheme", "ratio"), settings.pop("patience", 20)
+    most = settings.pop("maxIter", 20)
+    learner = GBTClassifier(labelCol=LABEL_COLUMN, featuresCol="features", weightCol="weight", **settings)
+    weighted = prepared.inputs.withColumn("weight", weight_of(prepared, scheme))
+    train, validation = weighted.filter(~F.col("_validation")), weighted.filter("_validation")
+    grown = min(most, 2 * patience)
+    while True:
+        booster = learner.copy({learner.maxIter: grown}).fit(train)
+        losses = booster.evaluateEachIteration(validation)
+        wanted = trees_wanted(losses, patience)
+        if grown >= most or len(losses) - wanted >= patience:
+            break
+        grown = min(most, 2 * grown)
     if wanted < booster.getNumTrees:
-        booster = learner.copy({learner.maxIter: wanted}).fit(grown)
-    return Trained(PipelineModel(stages=[*preparation.stages, booster]), dict(params))
+        booster = learner.copy({learner.maxIter: wanted}).fit(train)
+    return Trained(PipelineModel(stages=[*prepared.stages, booster]), dict(params))
+
+
+def train_boosted_trees(
+    rows: DataFrame,
+    params: Mapping = RATIO_WEIGHTED,
+    features: Sequence[str] = FEATURE_COLUMNS,
+    split: str = "split",
+    train_rows: int | None = None,
+) -> Trained:
+    """``fit`` on what ``prepare`` makes of a labelled table with the split column.
+
+    Spark grows every tree over the distributed rows; nothing is collected.
+    """
+    return fit(prepare(rows, features, split, train_rows), params)
 
 
 def trees_wanted(losses: Sequence[float], patience: int) -> int:
@@ -133,22 +170,52 @@ def model_search(
     grid: Sequence[Mapping],
     features: Sequence[str] = FEATURE_COLUMNS,
     split: str = "split",
+    train_rows: int | None = None,
+    at_once: int = 4,
 ) -> tuple[Trained, DataFrame]:
     """Trains every candidate and picks the best F1 on the ``val`` rows.
 
-    The split is by time, so no random validation split is involved. Returns the
-    winner and one row of measures per candidate.
+    The split is by time, so no random validation split is involved. Inputs are
+    prepared once; candidates are fitted as concurrent jobs, ``at_once`` at a time,
+    each in a scheduler pool of its own, so with ``spark.scheduler.mode=FAIR`` they
+    share the executors evenly. Returns the winner and one row of measures per candidate.
     """
-    validation = rows.filter(F.col(split) == "val")
-    trained, measured = [], []
-    for number, params in enumerate(grid):
-        candidate = train_boosted_trees(rows, params, features, split)
-        scored = batch_score(candidate.model, validation, features=features, carry=[LABEL_COLUMN])
+    prepared = prepare(rows, features, split, train_rows)
+    spark = rows.sparkSession
+
+    def measured(number: int) -> tuple[Trained, tuple]:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"candidate-{number}")
+        candidate = fit(prepared, grid[number])
+        scored = candidate.model.stages[-1].transform(prepared.inputs.filter("_validation"))
+        scored = scored.withColumn("fraud_score", vector_to_array("probability")[1])
         fraud = classification_report(scored, "fraud_score").filter(F.col("class") == "fraud").first()
-        trained.append(candidate)
-        measured.append((number, str(dict(params)), fraud["precision"], fraud["recall"], fraud["f1"], fraud["support"]))
-    results = rows.sparkSession.createDataFrame(
-        measured, "candidate INT, params STRING, precision DOUBLE, recall DOUBLE, f1 DOUBLE, support BIGINT"
+        return candidate, (number, str(dict(grid[number])), fraud["precision"], fraud["recall"], fraud["f1"], fraud["support"])
+
+    with ThreadPoolExecutor(max_workers=max(1, min(at_once, len(grid)))) as pool:
+        done = list(pool.map(inheritable_thread_target(spark)(measured), range(len(grid))))
+    results = spark.createDataFrame(
+        [row for _, row in done], "candidate INT, params STRING, precision DOUBLE, recall DOUBLE, f1 DOUBLE, support BIGINT"
     )
-    best = max(measured, key=lambda row: (row[4], -row[0]))[0]
-    return trained[best], results
+    best = max((row for _, row in done), key=lambda row: (row[4], -row[0]))[0]
+    return done[best][0], results
+
+
+def evaluate_splits(
+    model: PipelineModel,
+    rows: DataFrame,
+    splits: Sequence[str] = ("val", "test"),
+    features: Sequence[str] = FEATURE_COLUMNS,
+    split: str = "split",
+    threshold: float = 0.5,
+) -> tuple[DataFrame, DataFrame]:
+    """Hold-out measures of a fitted model in one call, from rows that are scored and stored once.
+
+    First a row per split: precision, recall, F1, ROC-AUC and average precision of the
+    fraud class. Then the class report per split.
+    """
+    held = rows.filter(F.col(split).isin(list(splits)) & F.col(LABEL_COLUMN).isin(0, 1))
+    scored = cut_lineage(batch_score(model, held, threshold, features, carry=[split, LABEL_COLUMN]).drop("flagged"))
+    report = classification_report(scored, "fraud_score", threshold=threshold, by=[split])
+    fraud = report.filter(F.col("class") == "fraud").select(split, "precision", "recall", "f1", "support")
+    ranking = ranking_quality(scored, "fraud_score", LABEL_COLUMN, by=[split]).select(split, "roc_auc", "pr_auc")
+    return fraud.join(ranking, split, "left"), report

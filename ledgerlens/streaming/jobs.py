@@ -13,10 +13,11 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerlens.contract import FEATURE_RECORD_SCHEMA, TRANSACTIONS_SCHEMA
+from ledgerlens.contract import FEATURE_COLUMNS, FEATURE_RECORD_SCHEMA, TRANSACTIONS_SCHEMA
 from ledgerlens.functions.scores import traffic_arm
 from ledgerlens.operators.quality import Rule, apply_rules, rule_metrics
 from ledgerlens.plans.training import batch_score
+from ledgerlens.session import cut_lineage
 from ledgerlens.sources.readers import with_ingest_columns
 
 
@@ -77,7 +78,7 @@ def drain_checked(stream: DataFrame, rules: Sequence[Rule], path: str, checkpoin
     return stored.filter(~F.col("_dropped")).drop("_dropped"), rule_metrics(stored.drop("_dropped"), rules)
 
 
-def score_stream(
+def scored_log(
     records: DataFrame,
     models: Mapping[str, tuple[PipelineModel, str]],
     endpoint: str,
@@ -85,12 +86,7 @@ def score_stream(
     threshold: float = 0.5,
     record_id: str = "transaction_id",
 ) -> DataFrame:
-    """Scores arriving records and shapes the result as the inference log.
-
-    ``models`` maps ``champion`` and optionally ``challenger`` to a model and its
-    version. A record's id decides its model. The duration is the time from the
-    landing of a record's file to the micro-batch that scored it.
-    """
+    """Inference log of arrived records; each is scored by the model that its id decides."""
     if "champion" not in models or not set(models) <= {"champion", "challenger"}:
         raise ValueError("models are champion and, if wanted, challenger")
     challenger = "challenger" if "challenger" in models else None
@@ -111,3 +107,55 @@ def score_stream(
         )
         logs = log if logs is None else logs.unionByName(log)
     return logs
+
+
+def drain_scores(
+    records: DataFrame,
+    models: Mapping[str, tuple[PipelineModel, str]],
+    endpoint: str,
+    path: str,
+    checkpoint: str,
+    champion_share: int = 90,
+    threshold: float = 0.5,
+    record_id: str = "transaction_id",
+) -> StreamingQuery:
+    """Scores everything that has arrived into the inference log below ``path`` and returns when done.
+
+    The files of a micro-batch are read once, into the shared folder, whatever the
+    number of models. A batch has a folder of its own in the log and replaces it, so
+    repeating a batch after a failure changes nothing.
+    """
+    kept = [record_id, *FEATURE_COLUMNS, "_arrived"]
+    scored_log(records.select(*kept), models, endpoint, champion_share, threshold, record_id)  # refuses wrong models early
+
+    def take(arrived: DataFrame, number: int) -> None:
+        once = cut_lineage(arrived.select(*kept))
+        log = scored_log(once, models, endpoint, champion_share, threshold, record_id)
+        log.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    query = (
+        records.writeStream.foreachBatch(take)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return query
+
+
+def score_stream(
+    records: DataFrame,
+    models: Mapping[str, tuple[PipelineModel, str]],
+    endpoint: str,
+    champion_share: int = 90,
+    threshold: float = 0.5,
+    record_id: str = "transaction_id",
+) -> DataFrame:
+    """Scores arriving records as a stream in the shape of the inference log, for any sink.
+
+    ``models`` maps ``champion`` and optionally ``challenger`` to a model and its
+    version. A record's id decides its model. The duration is the time from the
+    landing of a record's file to the micro-batch that scored it. With two models
+    the files are read once per model; ``drain_scores`` reads them once.
+    """
+    return scored_log(records, models, endpoint, champion_share, threshold, record_id)

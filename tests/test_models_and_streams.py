@@ -5,7 +5,16 @@ from ledgerlens.contract import FEATURE_COLUMNS, FEATURE_RECORD_SCHEMA
 from ledgerlens.operators.evaluation import classification_report
 from ledgerlens.operators.quality import Rule
 from ledgerlens.plans.model_reports import score_distribution
-from ledgerlens.plans.training import RATIO_WEIGHTED, batch_score, model_search, train_boosted_trees, trees_wanted
+from ledgerlens.plans.training import (
+    RATIO_WEIGHTED,
+    batch_score,
+    evaluate_splits,
+    fit,
+    model_search,
+    prepare,
+    train_boosted_trees,
+    trees_wanted,
+)
 from ledgerlens.sources.readers import read_request_logs
 from ledgerlens.streaming import jobs
 
@@ -137,5 +146,65 @@ def test_stream_scoring_writes_the_inference_log(spark, rows, model, tmp_path, a
     assert both.count() == 600 and wrong.count() == 0
 
 
+def test_search_equals_separate_fits_and_prepares_once(rows, monkeypatch):
+    from ledgerlens.plans import training
+
+    grid = [SMALL, {**SMALL, "maxDepth": 2, "scheme": "balanced"}, {**SMALL, "maxIter": 2}]
+    calls = []
+    monkeypatch.setattr(training, "prepare", lambda *args: calls.append(1) or prepare(*args))
+    _, results = model_search(rows, grid)
+    assert len(calls) == 1
+    monkeypatch.undo()
+    for number, row in enumerate(results.orderBy("candidate").collect()):
+        scored = batch_score(train_boosted_trees(rows, grid[number]).model, rows.filter("split = 'val'"), carry=["is_fraud"])
+        fraud = classification_report(scored, "fraud_score").filter("class = 'fraud'").first()
+        assert (row.precision, row.recall, row.f1, row.support) == (fraud.precision, fraud.recall, fraud.f1, fraud.support)
+
+
+def test_trees_grown_in_rounds_are_those_of_one_fit(rows):
+    # One telling feature: between two that split alike, the order of sums may choose.
+    prepared = prepare(rows.withColumn("std_amount_24h", F.lit(None).cast("double")))
+    rounds = fit(prepared, {**SMALL, "maxIter": 9, "patience": 2}).model.stages[-1]
+    whole = fit(prepared, {**SMALL, "maxIter": 9, "patience": 9}).model.stages[-1]
+    n = rounds.getNumTrees
+    assert n <= whole.getNumTrees
+    inputs = prepared.inputs.withColumn("weight", F.lit(1.0))
+    losses = [m.evaluateEachIteration(inputs)[:n] for m in (rounds, whole)]
+    assert losses[0] == pytest.approx(losses[1], rel=1e-9)
+
+
+def test_bounded_training_rows(rows):
+    few = prepare(rows, train_rows=100)
+    assert 50 < few.negatives + few.positives < 180 and few.inputs.filter("_validation").count() == 100
+    assert prepare(rows, train_rows=400).negatives == prepare(rows).negatives
+
+
+def test_splits_are_evaluated_in_one_call(rows, model):
+    measures, report = evaluate_splits(model, rows)
+    assert {r.split for r in measures.collect()} == {"val", "test"}
+    for r in measures.collect():
+        scored = batch_score(model, rows.filter(F.col("split") == r.split), carry=["is_fraud"])
+        alone = classification_report(scored, "fraud_score").filter("class = 'fraud'").first()
+        assert (r.precision, r.recall, r.f1, r.support) == (alone.precision, alone.recall, alone.f1, alone.support)
+        assert 0 < r.roc_auc <= 1 and 0 < r.pr_auc <= 1
+    assert report.groupBy("split").count().collect() and report.count() == 10
+
+
+def test_two_arms_read_once_equal_batch_scoring(spark, rows, model, tmp_path):
+    source, target, progress = (str(tmp_path / n) for n in ("in", "logs", "progress"))
+    rows.select("transaction_id", *FEATURE_COLUMNS).write.json(source)
+    models = {"champion": (model, "v1"), "challenger": (model, "v2")}
+    for _ in range(2):  # nothing new the second time
+        jobs.drain_scores(jobs.stream_records(spark, source), models, "ep", target, progress)
+    log = spark.read.parquet(target)
+    direct = batch_score(model, rows, carry=["transaction_id"])
+    both = log.join(direct, "transaction_id")
+    wrong = both.filter(F.get_json_object("response", "$.predictions[0]").cast("double") != F.col("fraud_score"))
+    assert log.count() == both.count() == 600 and wrong.count() == 0
+    assert {r.model_version for r in log.collect()} == {"v1", "v2"} and {r.batch for r in log.collect()} == {0}
+    with pytest.raises(ValueError, match="champion"):
+        jobs.drain_scores(jobs.stream_records(spark, source), {"challenger": models["challenger"]}, "ep", target, progress)
+
+
 def test_record_schema_matches_the_contract(spark):
     assert spark.createDataFrame([], FEATURE_RECORD_SCHEMA).columns == FEATURE_COLUMNS
