@@ -266,6 +266,7 @@ ORACLES: dict[str, str] = {
     "ingest_metadata": f"""WITH {RAW_TX} SELECT use_chip, count(*) AS total, count(*) AS stamped, count(*) AS traced
         FROM raw_tx GROUP BY use_chip""",
     "json_dict_labels": "SELECT doc_id AS transaction_id, CASE WHEN toxic = 1 THEN 'Yes' ELSE 'No' END AS label FROM labels",
+    "json_dict_quoted": """SELECT p_partkey AS part, p_name || ', "' || p_brand || '" ' || chr(92) || p_type AS name FROM part""",
     "json_dict_codes": "SELECT CAST(p_partkey AS INTEGER) AS mcc_code, p_name AS mcc_name FROM part",
     "table_roundtrip": f"WITH {CARDS} SELECT * FROM cards",
     "feature_records_scan": f"WITH {GOLD} SELECT {_records('BIGINT')} FROM gold",

@@ -133,6 +133,14 @@ def json_dict_labels(spark, sf_dir):
     )
 
 
+@query("json_dict_quoted")
+def json_dict_quoted(spark, sf_dir):
+    """Names with commas, quotes and backslashes, read in parallel pieces."""
+    parts = a.load(spark, sf_dir, "part").selectExpr("p_partkey", """concat(p_name, ', "', p_brand, '" \\\\', p_type) AS p_name""")
+    path = stored_dicts(spark, parts, "p_partkey", "p_name", 10_000, "names", root="target")
+    return readers.read_json_dict(spark, path, "part", "name", "bigint", root="target", splittable="quotes")
+
+
 @query("json_dict_codes")
 def json_dict_codes(spark, sf_dir):
     parts = a.load(spark, sf_dir, "part")

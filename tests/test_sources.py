@@ -79,6 +79,35 @@ def test_split_json_dict_words_and_large_keys(spark, tmp_path):
     assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, whole.collect()), key=str)
 
 
+ANY_TEXT = ["Yes, confirmed", 'say "Yes"', "back\\slash\\", "\\", '"', "", "{}", ": null, ", "é \U0001f600", "tab\tnew\nline", "a\\\"b", None, True, 4, -2.5]
+
+
+@pytest.mark.parametrize("split_bytes", ["64", "1000", "134217728"])
+@pytest.mark.parametrize("root,indent", [("target", None), ("target", 2), (None, None)])
+def test_json_dict_with_any_text(spark, tmp_path, monkeypatch, split_bytes, root, indent):
+    from ledgerlens.sources import readers
+
+    monkeypatch.setattr(readers, "_CHUNK", 16)
+    entries = {str(i): ANY_TEXT[i % len(ANY_TEXT)] for i in range(150)}
+    for name in ("a.json", "b.json"):
+        (tmp_path / name).write_text(json.dumps({root: entries} if root else entries, indent=indent, ensure_ascii=False))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split_bytes)
+    try:
+        split = read_json_dict(spark, str(tmp_path), "id", "text", "bigint", root=root, splittable="quotes")
+        got = sorted(map(tuple, split.collect()), key=str)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    whole = read_json_dict(spark, str(tmp_path), "id", "text", "bigint", root=root)
+    assert got == sorted(map(tuple, whole.collect()), key=str) and len(got) == 300
+
+
+@pytest.mark.parametrize("text", ['{"target": {"1": ["Yes"]}}', '{"target": {"1": {"a": "b"}}}', '{"target": {"1": }}'])
+def test_what_is_no_entry_fails(spark, tmp_path, text):
+    (tmp_path / "a.json").write_text(text)
+    with pytest.raises(Exception, match="no entry of the dictionary"):
+        read_json_dict(spark, str(tmp_path), "id", "text", "bigint", root="target", splittable="quotes").collect()
+
+
 def test_flat_json_dict_with_commas_and_bad_key(spark, tmp_path):
     (tmp_path / "codes.json").write_text('{"5812": "Eating Places, Restaurants", "x": "bad"}')
     got = read_json_dict(spark, str(tmp_path), "mcc_code", "mcc_name", "int")
