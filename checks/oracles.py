@@ -423,6 +423,14 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 'data-engineers', 'silver.transactions', count(*), 30 FROM events
         UNION ALL SELECT 'ml-team', 'gold.fraud_training', n, 42 FROM training
         UNION ALL SELECT 'analysts', 'gold.fraud_training', n, 42 FROM training""",
+    "role_rights": """WITH r AS (SELECT unnest([
+            {'role': 'data-engineers', 'read': ['bronze', 'silver'], 'write': ['bronze', 'silver']},
+            {'role': 'ml-team', 'read': ['gold', 'ml'], 'write': ['ml']},
+            {'role': 'analysts', 'read': ['gold'], 'write': []::VARCHAR[]},
+            {'role': 'model-serving', 'read': ['ml'], 'write': []::VARCHAR[]}]) AS x),
+        l AS (SELECT unnest(['bronze', 'silver', 'gold', 'ml']) AS layer)
+        SELECT x.role AS role, layer, list_contains(x.read, layer) AS reads, list_contains(x.write, layer) AS writes,
+            (SELECT count(*) FROM nation) AS rows FROM r CROSS JOIN l""",
     "class_balance": f"""WITH {FEATURES}, c AS (SELECT count(*) AS total, CAST(count_if(is_fraud = 1) AS BIGINT) AS fraud,
         CAST(count_if(is_fraud = 0) AS BIGINT) AS normal FROM labelled)
         SELECT total, fraud, normal, {rounded("fraud / total * 100", 6)} AS fraud_pct,

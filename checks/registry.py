@@ -10,6 +10,7 @@ from checks import adapters as a
 from ledgerlens.contract import (
     CARDS_SCHEMA,
     FEATURE_COLUMNS,
+    LAYERS,
     ROLE_LAYERS,
     TABLE_TAGS,
     TRANSACTIONS_SCHEMA,
@@ -542,6 +543,30 @@ def role_views(spark, sf_dir):
     return governance.visible_counts({role: store.role_views(role, narrowed) for role in ROLE_LAYERS})
 
 
+@query("role_rights")
+def role_rights(spark, sf_dir):
+    """What each role may do to each layer, found by trying it on a table of category names."""
+    store, codes = new_store(spark), a.raw_codes(spark, sf_dir)
+    for layer in LAYERS:
+        store.write(codes, layer, "names")
+
+    def allowed(attempt):
+        try:
+            attempt()
+        except PermissionError:
+            return False
+        return True
+
+    rights = []
+    for role in ROLE_LAYERS:
+        own = store.for_role(role)
+        for layer in LAYERS:
+            can_write = allowed(lambda: own.write(codes, layer, f"by_{role}".replace("-", "_")))
+            rights.append((role, layer, allowed(lambda: own.read(layer, "names")), can_write))
+    tried = spark.createDataFrame(rights, "role STRING, layer STRING, reads BOOLEAN, writes BOOLEAN")
+    return tried.withColumn("rows", F.lit(store.read("gold", "names").count()))
+
+
 @query("class_balance")
 def label_balance(spark, sf_dir):
     shares = ("fraud_pct", "normal_pct", "neg_per_pos")

@@ -116,6 +116,13 @@ ROLE_LAYERS = {
     "model-serving": ["ml"],
 }
 
+ROLE_WRITES = {
+    "data-engineers": ["bronze", "silver"],
+    "ml-team": ["ml"],
+    "analysts": [],
+    "model-serving": [],
+}
+
 # --- Fixed values: time-based split ---------------------------------------------------
 
 VALIDATION_START = "2018-01-01"

@@ -37,6 +37,10 @@ from ledgerlens.sources.store import TableStore
 LAYOUT = [month_of("ts")]
 
 
+#: The keys that lookups need to be unique.
+LOOKUP_KEYS = {"labels": "transaction_id", "cards": "id", "users": "id", "codes": "mcc_code"}
+
+
 class Bronze(NamedTuple):
     transactions: DataFrame
     cards: DataFrame
@@ -188,12 +192,12 @@ def build_lakehouse(spark: SparkSession, paths: Mapping[str, str], store: TableS
     }
     bronze = Bronze(
         *[
-            store.write(frame, "bronze", name, names[name], sources=[paths[name]])
+            store.write(frame, "bronze", name, names[name], sources=[paths[name]], unique_key=LOOKUP_KEYS.get(name))
             for name, frame in raw._asdict().items()
         ]
     )
     silver = store.write(
-        with_month(build_silver(bronze)),
+        with_month(build_silver(bronze, verify_keys=False)),  # checked when they were written
         "silver",
         "transactions",
         "Cleaned transactions with labels, cards, users and categories",

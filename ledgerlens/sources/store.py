@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from copy import copy
 from threading import Lock
 from typing import Literal
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.utils import AnalysisException
 
-from ledgerlens.contract import LAYERS, LINEAGE_SCHEMA, QUALITY_SCHEMA, ROLE_LAYERS
+from ledgerlens.contract import LAYERS, LINEAGE_SCHEMA, QUALITY_SCHEMA, ROLE_LAYERS, ROLE_WRITES
+from ledgerlens.operators.joins import assert_unique_key
 
 
 def _quoted(text: str) -> str:
@@ -52,8 +54,8 @@ class TableStore:
     registers the tables the catalog does not know.
     """
 
-    def __init__(self, spark: SparkSession, root: str, name: str = "lake"):
-        self.spark, self.root, self.name = spark, root.rstrip("/"), name
+    def __init__(self, spark: SparkSession, root: str, name: str = "lake", role: str | None = None):
+        self.spark, self.root, self.name, self.role = spark, root.rstrip("/"), name, role
         for layer in LAYERS:
             spark.sql(
                 f"CREATE DATABASE IF NOT EXISTS {self.database(layer)} "
@@ -61,6 +63,21 @@ class TableStore:
             )
         self._register_stored()
 
+    def for_role(self, role: str) -> TableStore:
+        """The same tables with the rights of a role: other reads and writes raise PermissionError.
+
+        This keeps jobs to their layers; files stay readable to whoever can reach them.
+        """
+        if role not in ROLE_LAYERS:
+            raise ValueError(f"unknown role {role!r}")
+        limited = copy(self)
+        limited.role = role
+        return limited
+
+    def _require(self, rights: Mapping[str, Sequence[str]], verb: str, layer: str) -> None:
+        if self.role is not None and layer not in rights[self.role]:
+            raise PermissionError(f"{self.role} may not {verb} layer {layer!r}")
+
     def database(self, layer: str) -> str:
         if layer not in LAYERS:
             raise ValueError(f"unknown layer {layer!r}")
@@ -79,14 +96,17 @@ class TableStore:
         sources: Sequence[str] = (),
         partition_by: Sequence[str] = (),
         replace: Literal["all", "partitions"] = "all",
+        unique_key: str | None = None,
     ) -> DataFrame:
         """Replaces a table by ``df`` and returns the stored table.
 
         The layer is recorded as property ``quality``; ``sources`` (full names)
         become lineage edges. ``replace="partitions"`` keeps a table that is there
         and replaces only the partitions that ``df`` has rows for, so repeating a
-        write changes nothing.
+        write changes nothing. ``unique_key`` is checked on the stored table, once per
+        write instead of once per lookup in it.
         """
+        self._require(ROLE_WRITES, "write", layer)
         target = self.full_name(layer, table)
         if partition_by:
             # Otherwise every task writes a file into every partition; AQE splits oversized ones.
@@ -108,9 +128,11 @@ class TableStore:
         self._note(layer, table, partition_by, comment, known)
         if sources:
             self._append_lineage(sources, target)
-        return self.read(layer, table)
+        stored = self.spark.table(target)
+        return stored if unique_key is None else assert_unique_key(stored, unique_key)
 
     def read(self, layer: str, table: str) -> DataFrame:
+        self._require(ROLE_LAYERS, "read", layer)
         return self.spark.table(self.full_name(layer, table))
 
     def tables(self, layer: str) -> list[str]:

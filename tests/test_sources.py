@@ -211,3 +211,24 @@ def test_cluster_without_shared_folder_is_refused():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_root(Session())
+
+
+def test_roles_read_and_write_their_layers_only(spark, store):
+    df = spark.createDataFrame([(1,)], "id int")
+    store.write(df, "gold", "rights")
+    team = store.for_role("ml-team")
+    assert team.read("gold", "rights").count() == 1 and team.write(df, "ml", "scores_of_team").count() == 1
+    for refused in (lambda: team.write(df, "gold", "rights"), lambda: team.read("silver", "x"), lambda: store.for_role("analysts").write(df, "gold", "x")):
+        with pytest.raises(PermissionError):
+            refused()
+    with pytest.raises(ValueError):
+        store.for_role("nobody")
+
+
+def test_unique_key_is_checked_when_written(spark, store):
+    from ledgerlens.operators.joins import DuplicateKeyError
+
+    good = spark.createDataFrame([(1,), (2,), (None,), (None,)], "id int")
+    assert store.write(good, "bronze", "unique", unique_key="id").count() == 4
+    with pytest.raises(DuplicateKeyError):
+        store.write(good.unionAll(good), "bronze", "unique", unique_key="id")
