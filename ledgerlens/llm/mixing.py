@@ -2,16 +2,17 @@
 
 Sizes are summed per source, a source's rate is its target over its size, and a
 document is taken floor(rate) times plus once more with a probability equal to
-the rate's fraction, drawn from a hash of its id and a seed.
+the rate's fraction, drawn from a hash of its id, its text and a seed.
 
 * Sources stand in code point order, an absent source last, and weigh
   ``WEIGHTS`` in turn. They share the size of the whole corpus; a target ends at
   ``LIMIT`` times its source's size, and the rest goes to the others by weight.
 * A null text has size 0 and a source without words has target 0; its documents
   are taken 0 times in ``taken`` and, being free, once in ``copies``.
-* Rows that repeat a doc_id draw alike; a null doc_id draws as the text ``null``.
+* Rows that share doc_id and text draw alike. A null doc_id stands as the text
+  ``null``, so different texts without id draw apart.
 * An empty table gives no rows. ``mix_plan`` reads doc_id, source and text only;
-  ``mixed`` returns the columns it was given (names with ``_`` in front are its own).
+  ``mixed`` returns the columns it was given, whatever their names.
 """
 
 from __future__ import annotations
@@ -33,9 +34,10 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def draw(doc_id: Column, seed: str = SEED) -> Column:
-    """Number in [0, 1) that depends on the id and the seed alone."""
-    key = F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("null")))
+def draw(seed: str = SEED) -> Column:
+    """Number in [0, 1) that depends on doc_id, text and the seed alone."""
+    doc_id, text = F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.coalesce("text", F.lit(""))
+    key = F.concat(F.lit(f"{seed}:"), doc_id, F.lit(":"), text)
     return F.conv(F.substring(F.md5(key), 1, DIGITS), 16, 10).cast("long") / F.lit(float(16**DIGITS))
 
 
@@ -79,7 +81,7 @@ def mix_plan(
     limit: int = LIMIT,
 ) -> DataFrame:
     """(doc_id, source, size, source_size, target, rate, copies) for every row of ``documents``."""
-    sized = cut_lineage(documents.select("doc_id", "source", size.alias("size")))
+    sized = cut_lineage(documents.select("doc_id", "source", size.alias("size"), draw(seed).alias("drawn")))
     sums = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = cut_lineage(source_targets(sums, weights, limit)).withColumnRenamed("source", "of_source")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(1.0)
@@ -87,8 +89,8 @@ def mix_plan(
     return (
         sized.join(targets, F.col("source").eqNullSafe(F.col("of_source")))
         .withColumn("rate", rate)
-        .withColumn("copies", whole + (draw(F.col("doc_id"), seed) < F.col("rate") - whole).cast("long"))
-        .drop("of_source")
+        .withColumn("copies", whole + (F.col("drawn") < F.col("rate") - whole).cast("long"))
+        .drop("of_source", "drawn")
     )
 
 
@@ -104,7 +106,7 @@ def mixed(
     of, at, copies, copy = (unused(name, documents.columns) for name in ("_of", "_rate", "_copies", "_copy"))
     rates = cut_lineage(source_targets(sums, weights, limit).select(F.col("source").alias(of), rate.alias(at)))
     whole = F.floor(at)
-    taken = whole + (draw(F.col("doc_id"), seed) < F.col(at) - whole).cast("long")
+    taken = whole + (draw(seed) < F.col(at) - whole).cast("long")
     return (
         documents.join(rates, F.col("source").eqNullSafe(F.col(of)))
         .withColumn(copies, taken)
@@ -125,6 +127,8 @@ def op1_mixing(spark, sf_dir) -> DataFrame:
 OP1_SQL = r"""
 WITH sized AS (
   SELECT doc_id, source,
+         ('0x' || substr(md5('mix-1:' || coalesce(doc_id::VARCHAR, 'null') || ':' || coalesce(text, '')), 1, 12))::BIGINT
+           / 281474976710656.0::DOUBLE AS u,
          coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size
   FROM documents),
 sums AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
@@ -145,8 +149,7 @@ targets AS (
   FROM steps),
 rated AS (
   SELECT d.doc_id, d.size, t.source_size, t.target,
-    CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 1.0 END::DOUBLE AS rate,
-    ('0x' || substr(md5('mix-1:' || coalesce(d.doc_id::VARCHAR, 'null')), 1, 12))::BIGINT / 281474976710656.0::DOUBLE AS u
+    CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 1.0 END::DOUBLE AS rate, d.u
   FROM sized d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, size, source_size, target,
   ((floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END)::BIGINT * size)::BIGINT AS taken,

@@ -28,8 +28,10 @@ BASE_WINDOW = 5
 #: Percent of words in repeated five-word windows that the base rule allows.
 BASE_PERCENT = 20
 #: Largest share of word characters inside repeated n-grams, by length, and inside repeated lines.
-COVERAGE = {5: 0.25, 7: 0.22, 10: 0.20}
-LINE_COVERAGE = 0.30
+#: Long repeats count as worse, so limits fall with the length and lie below the base rule's 20%.
+#: Of the texts of the test tables that pass the base rule, 99.5% have shares of at most 0.14.
+COVERAGE = {5: 0.18, 7: 0.16, 10: 0.14}
+LINE_COVERAGE = 0.18
 
 SCHEMA = (
     "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "

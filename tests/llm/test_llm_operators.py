@@ -60,6 +60,16 @@ def test_mixing_spends_the_total_and_respects_the_limit(docs, empty):
     assert mixing.mixed(docs).columns == docs.columns and mixing.mixed(empty).count() == 0
 
 
+def test_mix_without_ids_comes_near_its_targets(spark):
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    bare = table.withColumn("doc_id", F.lit(None).cast("long"))
+    for rows in (table, bare):
+        plan = mixing.mix_plan(rows, mixing.word_count(F.col("text"))).where("target > 5000")
+        got = plan.groupBy("source").agg(F.first("target").alias("target"), F.sum(F.col("copies") * F.col("size")).alias("taken"))
+        share = got.select(F.col("taken") / F.col("target")).toPandas().iloc[:, 0]
+        assert len(share) > 5 and share.between(0.5, 1.5).all() and 0.9 < share.median() < 1.1
+
+
 def test_shards_differ_by_one_row_and_slots_have_no_gap(docs, empty):
     got = sharding.sharded(docs, shards=5).toPandas()
     counts = got.groupby("shard").slot.agg(["count", "max"])
@@ -169,10 +179,46 @@ def test_quality_measures_equal_brute_force(docs, empty):
         lines = [x for x in (text or "").split("\n") if WORD.search(x)]
         assert (found["n_words"][i], found["word_chars"][i]) == (len(words), sum(map(len, words)))
         assert found["n_repeat_words"][i] == len(covered) and found["n_dup_lines"][i] == len(lines) - len(set(lines))
-        assert found["share_5"][i] == pytest.approx(sum(len(words[k]) for k in covered) / max(1, found["word_chars"][i]))
+        size = max(1, found["word_chars"][i])
+        assert found["n_symbols"][i] == sum(c in "#*$%&|<>" for c in text or "")
+        for n in quality.COVERAGE:
+            seen = collections.Counter(tuple(words[k : k + n]) for k in range(len(words) - n + 1))
+            inside = {k + d for k in range(len(words) - n + 1) if seen[tuple(words[k : k + n])] > 1 for d in range(n)}
+            assert found[f"share_{n}"][i] == pytest.approx(sum(len(words[k]) for k in inside) / size)
+        again = collections.Counter(lines)
+        in_lines = sum(len(w) for x in lines if again[x] > 1 for w in WORD.findall(x))
+        assert found["share_lines"][i] == pytest.approx(in_lines / size)
     assert quality.quality(empty).count() == 0 and quality.keep_good(docs).columns == docs.columns
 
 
+def test_quality_limits_fall_with_the_length_of_the_repeat():
+    word = lambda i: f"w{i:04d}"
+    fill = [word(i) for i in range(1000, 1110)]
+
+    def twice(length, extra=()):
+        phrase = [word(i) for i in range(length)]
+        return " ".join([*fill[:50], *phrase, *fill[50:], *phrase, *extra])
+
+    long_line = " ".join("x" * 20 + str(i) for i in range(4))
+    texts = [
+        " ".join(fill),  # clean
+        twice(10),  # 20 of 130 words: under the limits of 5 and 7 words, above that of 10
+        twice(9, [word(2000), word(2001)]),  # 18 of 130 words in repeats of 9: no limit is met
+        "\n".join([long_line, *[" ".join(fill[i : i + 10]) for i in range(0, 110, 10)], long_line]),  # a line of 4 words
+        " ".join([word(1)] * 40),  # the base rule
+    ]
+    got = quality.measured(pa.array(texts))
+    assert got["base_failed"].tolist() == [False, False, False, False, True]
+    assert got["kept"].tolist() == [True, False, True, False, False]
+    assert got["share_7"][1] <= quality.COVERAGE[7] and got["share_10"][1] > quality.COVERAGE[10]
+
+
+def test_quality_rejects_more_than_the_base_and_keeps_clean_documents(spark):
+    table = quality.quality(spark.read.parquet("/root/testdata/sf0.1/documents.parquet"))
+    only, good = table.agg(F.count_if(~F.col("base_failed") & ~F.col("kept")), F.count_if(~F.col("base_failed"))).first()
+    assert 0 < only < 0.01 * good
+
+
 def test_language_on_held_out_documents(spark, docs, empty):
     table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     model = language.fit(table)

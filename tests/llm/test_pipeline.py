@@ -72,7 +72,7 @@ def mixed(rows):
     for r in rows:
         rate = target[r["source"]] / sizes[r["source"]]
         key = "null" if r["doc_id"] is None else str(r["doc_id"])
-        drawn = int(hashlib.md5(f"mix-1:{key}".encode()).hexdigest()[:12], 16) / 16**12
+        drawn = int(hashlib.md5(f"mix-1:{key}:{r['text'] or ''}".encode()).hexdigest()[:12], 16) / 16**12
         out += [r] * (int(rate) + (drawn < rate - int(rate)))
     return out
 
