@@ -479,3 +479,6 @@ ORACLES: dict[str, str] = {
         CASE model WHEN 'champion' THEN 'v1' ELSE 'v2' END AS model_version, '{ENDPOINT}' AS endpoint_name,
         count(*) AS requests, count(*) AS scored, count(*) AS timed FROM arms GROUP BY model""",
 }
+
+# Rules judged once and stored with the rows give what rules give at once.
+ORACLES |= {f"rules_stored_{name}": ORACLES[f"rules_{name}"] for name in ("metrics", "drop")}

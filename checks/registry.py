@@ -33,7 +33,7 @@ from ledgerlens.operators.evaluation import (
     time_split,
 )
 from ledgerlens.operators.joins import left_lookup
-from ledgerlens.operators.quality import Rule, apply_rules, rule_metrics
+from ledgerlens.operators.quality import Rule, apply_rules, passing, rule_metrics, stored_metrics, with_outcomes
 from ledgerlens.operators.rolling import CARD_FEATURES, rolling_features, rolling_sliced
 from ledgerlens.plans import governance, layers, model_reports, reports, training
 from ledgerlens.session import scratch_path
@@ -289,6 +289,21 @@ def rules_metrics(spark, sf_dir):
     return rule_metrics(a.silver(spark, sf_dir), CHECKED)
 
 
+def judged(spark, sf_dir):
+    """Silver rows, dropped ones too, stored with the outcomes of the rules."""
+    return new_store(spark).write(with_outcomes(a.silver(spark, sf_dir), CHECKED), "silver", "judged", "Judged rows")
+
+
+@query("rules_stored_metrics")
+def rules_stored_metrics(spark, sf_dir):
+    return stored_metrics(judged(spark, sf_dir), CHECKED)
+
+
+@query("rules_stored_drop")
+def rules_stored_drop(spark, sf_dir):
+    return passing(judged(spark, sf_dir), CHECKED).select("transaction_id", "mcc_name", "merchant_state")
+
+
 # --- joins ---------------------------------------------------------------------------
 
 

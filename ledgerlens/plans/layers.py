@@ -27,7 +27,7 @@ from ledgerlens.functions.cleaning import (
 from ledgerlens.operators.columns import minimise
 from ledgerlens.operators.filters import month_of, present, with_month
 from ledgerlens.operators.joins import enrich
-from ledgerlens.operators.quality import Rule, apply_rules, rule_metrics
+from ledgerlens.operators.quality import Rule, apply_rules, stored_metrics, with_outcomes
 from ledgerlens.operators.rolling import CARD_FEATURES, rolling_features
 from ledgerlens.sources.readers import read_csv, read_json_dict, with_ingest_columns
 from ledgerlens.sources.store import TableStore
@@ -180,9 +180,11 @@ def build_lakehouse(spark: SparkSession, paths: Mapping[str, str], store: TableS
     """Raw files to stored bronze, silver and gold tables, each read back from storage.
 
     Silver and gold are laid out by month (``ts_month``), which ``between_times``,
-    ``trailing`` and ``in_split`` turn into a choice of folders.
+    ``trailing`` and ``in_split`` turn into a choice of folders. Bronze transactions
+    keep the outcomes of the silver rules (``_rules``).
     """
     raw = build_bronze(spark, paths)
+    raw = raw._replace(transactions=with_outcomes(raw.transactions, SILVER_RULES, prepare=clean_transactions))
     names = {
         "transactions": "Raw card transactions",
         "cards": "Raw card profiles",
@@ -204,9 +206,9 @@ def build_lakehouse(spark: SparkSession, paths: Mapping[str, str], store: TableS
         sources=[store.full_name("bronze", name) for name in names],
         partition_by=LAYOUT,
     )
-    # Counted from the stored rows (four columns), not observed during the write:
+    # Counted from the bits stored with the rows, not observed during the write:
     # tasks repeated after a lost executor would be observed twice.
-    store.record_quality("silver", "transactions", rule_metrics(clean_transactions(bronze.transactions), SILVER_RULES))
+    store.record_quality("silver", "transactions", stored_metrics(bronze.transactions, SILVER_RULES))
     features = store.write(
         build_gold_features(silver),
         "gold",

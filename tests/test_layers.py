@@ -3,8 +3,10 @@
 import json
 
 import pytest
+
+from conftest import plan_of
 from ledgerlens.contract import FEATURE_COLUMNS, SILVER_COLUMNS
-from ledgerlens.operators.quality import rule_metrics
+from ledgerlens.operators.quality import OUTCOMES, passing, rule_metrics, stored_metrics
 from ledgerlens.plans.governance import latest_lineage, table_counts
 from ledgerlens.plans.layers import (
     LAYOUT,
@@ -96,6 +98,19 @@ def test_rule_metrics_on_raw_rows(spark, paths):
     assert failed == {"valid_transaction_id": 1, "valid_card_id": 1, "valid_client_id": 1, "valid_amount": 1}
 
 
+def test_rule_outcomes_are_counted_from_one_stored_column(spark, paths, store):
+    stored = store.read("bronze", "transactions")
+    raw = build_bronze(spark, paths).transactions
+    assert stored.columns == [*raw.columns, OUTCOMES]
+    assert sorted(map(str, stored.drop(OUTCOMES, "_ingestion_timestamp").collect())) == sorted(
+        map(str, raw.drop("_ingestion_timestamp").collect())
+    )
+    metrics = stored_metrics(stored, SILVER_RULES)
+    assert metrics.collect() == rule_metrics(clean_transactions(raw), SILVER_RULES).collect()
+    assert f"ReadSchema: struct<{OUTCOMES}:bigint>" in plan_of(metrics)
+    assert passing(stored, SILVER_RULES).count() == 5
+
+
 def test_rule_outcomes_are_recorded(store):
     log = {r.rule: (r.action, r.evaluated, r.failed) for r in store.quality().collect()}
     assert {r.table_full_name for r in store.quality().collect()} == {"layers_test_silver.transactions"}

@@ -5,7 +5,7 @@ from conftest import plan_of
 from ledgerlens.contract import FEATURE_COLUMNS, NON_MODEL_COLUMNS
 from ledgerlens.operators import columns, filters
 from ledgerlens.operators.joins import DuplicateKeyError, assert_unique_key, duplicate_keys, enrich, left_lookup
-from ledgerlens.operators.quality import Rule, apply_rules, check_rules, observe_rules
+from ledgerlens.operators.quality import Rule, apply_rules, check_rules, observe_rules, passing, rule_metrics, stored_metrics, with_outcomes
 
 
 def values(df, name):
@@ -87,6 +87,21 @@ def test_observed_rules_cost_no_extra_pass(checked, tmp_path):
     assert seen.get == {"evaluated": 5, "has_id": 1, "positive": 2, "small": 2}
 
 
+def test_outcomes_stored_with_the_rows(checked, tmp_path):
+    with_outcomes(checked, RULES).write.parquet(str(tmp_path / "judged"))
+    judged = checked.sparkSession.read.parquet(str(tmp_path / "judged"))
+    assert stored_metrics(judged, RULES).collect() == rule_metrics(checked, RULES).collect()
+    assert values(passing(judged, RULES), "id") == [1, 2] and passing(judged, RULES).columns == checked.columns
+    doubled = with_outcomes(checked, RULES, prepare=lambda rows: rows.withColumn("v", F.col("v") * 2))
+    assert doubled.columns == [*checked.columns, "_rules"] and {r.v for r in doubled.collect()} == {5, 50, -1, None}
+    assert [r.passed for r in stored_metrics(doubled, RULES).collect()] == [4, 3, 1]
+    assert with_outcomes(checked, []).select("_rules").distinct().collect() == [(0,)]
+    many = [Rule(f"r{i}", "v > 0") for i in range(63)]
+    assert [r.passed for r in stored_metrics(with_outcomes(checked, many), many).collect()] == [3] * 63
+    with pytest.raises(ValueError):
+        with_outcomes(checked, [*many, RULES[0]])
+
+
 def test_no_rules(checked):
     assert apply_rules(checked, []).count() == 5
 
