@@ -49,9 +49,17 @@ RECORDS = (
 )
 
 
+def qualified(spark: SparkSession, root: str) -> str:
+    """``root`` with the scheme that Spark reads it by, so that archives and manifest share a file system."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
 def file_system(uri: str) -> tuple[fs.FileSystem, str]:
-    """Arrow's file system for a folder, whatever its scheme."""
-    return fs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (fs.LocalFileSystem(), uri)
+    """Arrow's file system for a qualified folder."""
+    if uri.startswith("file:"):
+        return fs.LocalFileSystem(), uri.removeprefix("file:").removeprefix("//")
+    return fs.FileSystem.from_uri(uri)
 
 
 def record_id(page_id: int | None, digest: str, copy: int) -> str:
@@ -142,6 +150,7 @@ def decided(pages: DataFrame, smallest: int = SMALLEST) -> DataFrame:
 def write_warc(pages: DataFrame, root: str, smallest: int = SMALLEST, roll: int = ROLL_BYTES) -> DataFrame:
     """Write the archives below ``root``; returns the stored manifest."""
     spark = pages.sparkSession
+    root = qualified(spark, root)
     files, path = file_system(root)
     files.create_dir(path, recursive=True)
 
@@ -220,6 +229,7 @@ def parsed(record: bytes) -> dict:
 
 def read_warc(spark: SparkSession, root: str, payload: bool = True) -> DataFrame:
     """Records of the files that the manifest below ``root`` lists, a file per task step."""
+    root = qualified(spark, root)
     names = [part.split()[0] for part in RECORDS.split(", ") if payload or "binary" not in part]
     schema = ", ".join(part for part in RECORDS.split(", ") if part.split()[0] in names)
     kinds = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
