@@ -29,7 +29,7 @@ BASE_WINDOW = 5
 BASE_PERCENT = 20
 #: Largest share of word characters inside repeated n-grams, by length, and inside repeated lines.
 #: Long repeats count as worse, so limits fall with the length and lie below the base rule's 20%.
-#: Of the texts of the test tables that pass the base rule, 99.5% have shares of at most 0.14.
+#: Of the texts of ``check_s`` that pass the base rule, 99.5% have n-gram shares of at most 0.14.
 COVERAGE = {5: 0.18, 7: 0.16, 10: 0.14}
 LINE_COVERAGE = 0.18
 
