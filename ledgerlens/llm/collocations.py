@@ -11,7 +11,9 @@ still be frequent, so rare n-grams never leave their shard:
 3. what is left is extended to n-grams of three and of four words.
 
 Words and n-grams are compared as such, never by hash. A word's number over all
-shards is its place in the first shard that has it.
+shards is its place in the first shard that has it. N-grams travel sorted and packed, a row
+per shard and bucket of their hash; a bucket's counts are summed in one group, and there are
+as many buckets as shuffle partitions.
 
 An n-gram lies in a longer one of nearly its count only if an n-gram of one word
 more does, as counts never grow with length; so the largest count among its left
@@ -20,7 +22,7 @@ and right extensions decides whether it is dropped.
 * A null text is empty; a null language is ``und``. Texts without words give nothing.
 * Every occurrence counts, in repeated rows too. Ties end with the phrase's bytes.
 * Shards hold ``shard_bytes`` of words; a text is never split, so memory follows
-  the longest text. No group is larger than a shard, or one row per shard.
+  the longest text. No group is larger than a shard, a bucket's n-grams, or one row per shard.
 * An empty table gives no rows. Columns other than text and lang are not read.
 """
 
@@ -37,8 +39,8 @@ from pyspark.sql import functions as F
 
 from ledgerlens.llm.bpe import expand_numbers, squeeze_numbers
 from ledgerlens.llm.fmindex import BiIndex
-from ledgerlens.llm.stored import bucketed
-from ledgerlens.llm.words import Texts, slices
+from ledgerlens.llm.stored import bucketed, expand, squeeze
+from ledgerlens.llm.words import Texts, constants, mix, slices
 from ledgerlens.session import cut_lineage
 
 LEAST = 30
@@ -230,66 +232,156 @@ def sequence_of(shard: pa.Table, words: pa.Table) -> Sequence | None:
     return Sequence(packed, *(words.column(c).to_numpy() for c in ("place", "id")))
 
 
-PAIRS = ["g1", "g2", "held"]
+PACKED = "bucket int, shard long, n int, packed binary"
+PACKED_ARROW = pa.schema([("bucket", pa.int32()), ("shard", pa.int64()), ("n", pa.int32()), ("packed", pa.binary())])
+MIXERS = [int(x) | 1 for x in constants(13_013, 4)]
+
+
+def squeeze_rows(keys: list[np.ndarray], counts: np.ndarray) -> bytes:
+    """Sorted keys of several columns and a number each: a column holds steps where those before it stay the same."""
+    same, columns = np.ones(len(counts), bool), []
+    same[:1] = False
+    for key in keys:
+        step = np.diff(key, prepend=0)
+        columns.append(np.where(same, step, key))
+        same &= step == 0
+    planes = np.stack([*columns, counts]).astype("<i8").view(np.uint8).reshape(len(keys) + 1, -1, 8)
+    return squeeze(planes.transpose(0, 2, 1).tobytes())
+
+
+def expand_rows(packed: bytes, n: int) -> list[np.ndarray]:
+    """The key columns and the numbers of ``squeeze_rows``."""
+    planes = np.frombuffer(expand(packed), np.uint8).reshape(-1, 8, n)
+    *columns, counts = np.ascontiguousarray(planes.transpose(0, 2, 1)).view("<i8").reshape(-1, n)
+    same, keys = np.ones(n, bool), []
+    same[:1] = False
+    for column in columns:
+        sums, begins = np.cumsum(column), np.flatnonzero(~same)
+        lengths = np.diff(begins, append=n)
+        key = sums - np.repeat(sums[begins] - column[begins], lengths)
+        keys.append(key)
+        same &= np.diff(key, prepend=0) == 0
+    return [*keys, counts]
+
+
+def dealt(keys: list[np.ndarray], counts: np.ndarray, shard: int, buckets: int) -> pa.Table:
+    """Distinct n-grams of a shard, a row per bucket of their hash; see ``PACKED``."""
+    if not len(counts):
+        return PACKED_ARROW.empty_table()
+    hashes = np.zeros(len(counts), np.uint64)
+    for key, mixer in zip(keys, MIXERS, strict=False):
+        hashes = mix(hashes + key.astype(np.uint64) * np.uint64(mixer))
+    bucket = (hashes % np.uint64(buckets)).astype(np.int32)
+    order = np.lexsort((*keys[::-1], bucket))
+    keys, counts, bucket = [k[order] for k in keys], counts[order], bucket[order]
+    begins = np.flatnonzero(np.diff(bucket, prepend=-1))
+    rows = [
+        (int(bucket[i]), shard, int(j - i), squeeze_rows([k[i:j] for k in keys], counts[i:j]))
+        for i, j in zip(begins, np.append(begins, len(bucket))[1:], strict=True)
+    ]
+    return pa.Table.from_batches([batch_of(list(zip(*rows, strict=True)), PACKED_ARROW)])
 
 
-def pairs_of(sequences: DataFrame, words: DataFrame) -> DataFrame:
-    """(g1, g2, held): pairs of frequent words in every shard.
+def summed(rows: pa.Table, least: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
+    """N-grams of a bucket with ``least`` occurrences over all shards: key columns, shards, totals, and which is the first of equals.
 
-    ``held`` is the shard's number followed by the count, in ``PLACE_BITS`` bits: these rows are most of what moves.
+    There is an entry per n-gram and shard.
     """
+    sizes = rows.column("n").to_pylist()
+    parts = [expand_rows(p, n) for p, n in zip(rows.column("packed").to_pylist(), sizes, strict=True)]
+    *keys, counts = (np.concatenate(x) for x in zip(*parts, strict=True))
+    shards = np.repeat(rows.column("shard").to_numpy(), sizes)
+    del parts
+    order = np.lexsort((shards, *keys[::-1]))
+    keys = [k[order] for k in keys]
+    fresh = np.ones(len(order), bool)
+    fresh[1:] = reduce(np.logical_or, [k[1:] != k[:-1] for k in keys])
+    begins = np.flatnonzero(fresh)
+    totals = np.repeat(np.add.reduceat(counts[order], begins), np.diff(begins, append=len(order)))
+    kept = totals >= least
+    return [k[kept] for k in keys], shards[order][kept], totals[kept], fresh[kept]
+
+
+def pairs_of(sequences: DataFrame, words: DataFrame, buckets: int) -> DataFrame:
+    """Pairs of frequent words in every shard, packed by bucket: single rows would be most of what moves."""
 
     def run(shard: pa.Table, words: pa.Table) -> pa.Table:
         sequence = sequence_of(shard, words)
         if sequence is None:
-            return pa.table({c: np.zeros(0, np.int64) for c in PAIRS})
+            return PACKED_ARROW.empty_table()
         index = BiIndex(sequence.words, sequence.n_words, 2)
         found = index.left(index.words())
-        held = (shard.column("shard")[0].as_py() << PLACE_BITS) + found.count
-        columns = [*(sequence.ids[w - 1] for w in found.words.T), held]
-        return pa.table(dict(zip(PAIRS, columns, strict=True)))
+        return dealt([sequence.ids[w - 1] for w in found.words.T], found.count, shard.column("shard")[0].as_py(), buckets)
 
     known = words.select("shard", "place", "id").groupBy("shard")
-    return sequences.groupBy("shard").cogroup(known).applyInArrow(run, ", ".join(f"{c} long" for c in PAIRS))
+    return sequences.groupBy("shard").cogroup(known).applyInArrow(run, PACKED)
+
+
+PAIRS = "shard long, n int, packed binary, g1 long, g2 long, total long"
+PAIRS_ARROW = pa.schema(
+    [("shard", pa.int64()), ("n", pa.int32()), ("packed", pa.binary()),
+     ("g1", pa.int64()), ("g2", pa.int64()), ("total", pa.int64())]
+)
 
 
 def frequent_pairs(pairs: DataFrame, least: int) -> DataFrame:
-    """(shard, g1, g2, total, own) of the pairs with ``least`` occurrences over all shards."""
-    same = Window.partitionBy("g1", "g2")
-    # Dealt first, as the count would be taken out of ``held`` and sent along otherwise.
-    rows = pairs.repartition("g1", "g2").select(
-        "*", F.sum(low_bits("held")).over(same).alias("total"), F.min("held").over(same).alias("first")
-    )
-    return rows.where(F.col("total") >= least).select(
-        F.shiftright("held", PLACE_BITS).alias("shard"), "g1", "g2", "total", (F.col("held") == F.col("first")).alias("own")
-    )
+    """Pairs with ``least`` occurrences over all shards: (g1, g2, total) of each, and (shard, n, packed) for the shards that hold them."""
 
+    def run(rows: pa.Table) -> pa.Table:
+        keys, shards, totals, first = summed(rows, least)
+        own = [*(k[first] for k in keys), totals[first]]
+        parts = [pa.table(dict(zip(["g1", "g2", "total"], own, strict=True)))]
+        order = np.argsort(shards, kind="stable")
+        shards, totals, keys = shards[order], totals[order], [k[order] for k in keys]
+        begins = np.flatnonzero(np.diff(shards, prepend=-1))
+        held = [
+            {"shard": int(shards[i]), "n": int(j - i), "packed": squeeze_rows([k[i:j] for k in keys], totals[i:j])}
+            for i, j in zip(begins, np.append(begins, len(shards))[1:], strict=True)
+        ]
+        parts.append(pa.Table.from_pylist(held, PAIRS_ARROW))
+        return pa.concat_tables(parts, promote_options="default").select(PAIRS_ARROW.names)
 
-GRAMS = ["g1", "g2", "g3", "g4", "count"]
+    return pairs.groupBy("bucket").applyInArrow(run, PAIRS)
 
 
-def longer_of(sequences: DataFrame, words: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(g1, g2, g3, g4, count): n-grams of three (``g4`` is null) and four words in every shard, made of frequent pairs."""
-    known = words.select("shard", "place", "id").unionByName(pairs.select("shard", "g1", "g2"), allowMissingColumns=True)
+GRAMS = ["g1", "g2", "g3", "g4"]
+
+
+def longer_of(sequences: DataFrame, words: DataFrame, pairs: DataFrame, buckets: int) -> DataFrame:
+    """N-grams of three (the fourth word is 0) and four words in every shard, made of frequent pairs, packed by bucket."""
+    held = pairs.where("shard is not null").select("shard", "n", "packed")
+    known = words.select("shard", "place", "id").unionByName(held, allowMissingColumns=True)
 
     def run(shard: pa.Table, known: pa.Table) -> pa.Table:
         is_word = known.column("place").is_valid()
         sequence = sequence_of(shard, known.filter(is_word))
         found = known.filter(known.column("place").is_null())
         if sequence is None or not len(found):
-            return pa.table({c: pa.array([], pa.int64()) for c in GRAMS})
-        keys = sequence.keys(*(sequence.numbers_of(found.column(c).to_numpy()) for c in ("g1", "g2")))
+            return PACKED_ARROW.empty_table()
+        found = [expand_rows(p, n) for p, n in zip(found.column("packed").to_pylist(), found.column("n").to_pylist(), strict=True)]
+        first, second, _ = (np.concatenate(x) for x in zip(*found, strict=True))
+        keys = sequence.keys(sequence.numbers_of(first), sequence.numbers_of(second))
         index = BiIndex(sequence.cut_between(np.sort(keys)), sequence.n_words, 4)
         three = index.right(index.left(index.words()))
-        parts = []
-        for grams in (three, index.left(three)):
-            ids = [pa.array(sequence.ids[w - 1]) for w in grams.words.T]
-            ids += [pa.nulls(len(grams.count), pa.int64())] * (4 - len(ids))
-            parts.append(pa.table(dict(zip(GRAMS, [*ids, pa.array(grams.count)], strict=True))))
-        return pa.concat_tables(parts)
+        four = index.left(three)
+        none = np.zeros(len(three.count), np.int64)
+        ids = [[*(sequence.ids[w - 1] for w in three.words.T), none], [sequence.ids[w - 1] for w in four.words.T]]
+        columns = [np.concatenate(x) for x in zip(*ids, strict=True)]
+        return dealt(columns, np.concatenate([three.count, four.count]), shard.column("shard")[0].as_py(), buckets)
+
+    return sequences.groupBy("shard").cogroup(known.groupBy("shard")).applyInArrow(run, PACKED)
+
+
+def frequent_longer(longer: DataFrame, least: int) -> DataFrame:
+    """(g1, g2, g3, g4, a) of the n-grams with ``least`` occurrences over all shards; g4 is null in those of three words."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        keys, _, totals, first = summed(rows, least)
+        *keys, last = (k[first] for k in keys)
+        columns = [*keys, pa.array(last, mask=last == 0), totals[first]]
+        return pa.table(dict(zip([*GRAMS, "a"], columns, strict=True)))
 
-    both = sequences.groupBy("shard").cogroup(known.groupBy("shard"))
-    return both.applyInArrow(run, ", ".join(f"{c} long" for c in GRAMS))
+    return longer.groupBy("bucket").applyInArrow(run, ", ".join(f"{c} long" for c in [*GRAMS, "a"]))
 
 
 def score(l: Column, r: Column) -> Column:  # noqa: E741
@@ -344,13 +436,12 @@ def collocations(
     shards = bucketed(shards_of(documents, shard_bytes), partitions, "shard")
     sequences = shards.where("place = 0").select("shard", "packed")
     words = cut_lineage(frequent_words(shards, least))
-    pairs = cut_lineage(frequent_pairs(pairs_of(sequences, words), least))
-    longer = longer_of(sequences, words, pairs).groupBy(GRAMS[:4]).agg(F.sum("count").alias("a"))
-    longer = cut_lineage(longer.where(F.col("a") >= least))
+    pairs = cut_lineage(frequent_pairs(pairs_of(sequences, words, partitions), least))
+    longer = cut_lineage(frequent_longer(longer_of(sequences, words, pairs, partitions), least))
 
     known = words.where("own").select("id", "lang", "word", "total")
     one = known.select(F.col("id").alias("g1"), F.col("total").alias("a"))
-    two = pairs.where("own").select("g1", "g2", F.col("total").alias("a"))
+    two = pairs.where("total is not null").select("g1", "g2", F.col("total").alias("a"))
     three, four = longer.where("g4 is null").drop("g4"), longer.where("g4 is not null")
     counts = {1: one, 2: two, 3: three}
     kept = {2: not_inside(two, three, 2), 3: not_inside(three, four, 3), 4: four}

@@ -97,3 +97,24 @@ def test_scores_are_exact_beyond_64_bits(spark):
     row = spark.range(1).select(F.lit(a).alias("a"), F.lit(l).alias("l"), F.lit(r).alias("r"))
     got = row.select(collocations.score(F.col("l"), F.col("r"))).first()[0]
     assert got == 2_000_000 * a // (l + r)
+
+
+def test_ngrams_travel_packed_by_bucket(spark):
+    draw = np.random.default_rng(5)
+    grams = np.unique(draw.integers(1, 40, (900, 3)) << 30, axis=0)
+    counts = draw.integers(1, 9, len(grams))
+    rows = collocations.dealt(list(grams.T), counts, 7, 4)
+    assert len(rows) == 4 and set(rows.column("shard").to_pylist()) == {7}
+    back = [collocations.expand_rows(p, n) for p, n in zip(rows.column("packed").to_pylist(), rows.column("n").to_pylist())]
+    assert sorted(np.concatenate([np.stack(x).T for x in back]).tolist()) == np.column_stack([grams, counts]).tolist()
+    # Pairs of all shards cross the network in a row per shard and bucket, whatever their number.
+    words = [f"w{draw.integers(0, 60)}" for _ in range(9000)]
+    docs = spark.createDataFrame([("en", " ".join(words[i : i + 300])) for i in range(0, 9000, 300)], "lang string, text string")
+    shards = collocations.shards_of(docs.repartition(3)).localCheckpoint()
+    known = collocations.frequent_words(shards, 2)
+    pairs = collocations.pairs_of(shards.where("place = 0").select("shard", "packed"), known, 4).localCheckpoint()
+    assert pairs.count() <= 3 * 4 and pairs.agg(F.sum("n")).first()[0] > 1000
+    frequent = collocations.frequent_pairs(pairs, 2).where("total is not null")
+    expected = collections.Counter(p for i in range(0, 9000, 300) for p in zip(words[i : i + 299], words[i + 1 : i + 300]))
+    assert frequent.count() == sum(a >= 2 for a in expected.values())
+    assert frequent.agg(F.sum("total")).first()[0] == sum(a for a in expected.values() if a >= 2)
