@@ -97,6 +97,7 @@ class TableStore:
         partition_by: Sequence[str] = (),
         replace: Literal["all", "partitions"] = "all",
         unique_key: str | None = None,
+        rebalance: bool = True,
     ) -> DataFrame:
         """Replaces a table by ``df`` and returns the stored table.
 
@@ -104,11 +105,12 @@ class TableStore:
         become lineage edges. ``replace="partitions"`` keeps a table that is there
         and replaces only the partitions that ``df`` has rows for, so repeating a
         write changes nothing. ``unique_key`` is checked on the stored table, once per
-        write instead of once per lookup in it.
+        write instead of once per lookup in it. ``rebalance=False`` spares the shuffle by
+        partition where ``df`` lies in tasks of good size with few partitions in each.
         """
         self._require(ROLE_WRITES, "write", layer)
         target = self.full_name(layer, table)
-        if partition_by:
+        if partition_by and rebalance:
             # Otherwise every task writes a file into every partition; AQE splits oversized ones.
             df = df.hint("rebalance", *partition_by)
         if replace == "partitions" and self.spark.catalog.tableExists(target):

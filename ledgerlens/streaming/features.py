@@ -27,6 +27,8 @@ from ledgerlens.sources.store import TableStore
 
 LONGEST = max(spec.seconds for spec in CARD_FEATURES)
 VERSIONS = [*LAYOUT, "batch"]
+#: Months of a micro-batch, with the week after it, that are written without a shuffle by month.
+FEW_MONTHS = 3
 #: What tells rows apart in ``retired``.
 ROW = ["transaction_id", "card_id"]
 
@@ -86,17 +88,21 @@ def recompute(store: TableStore, silver: DataFrame, touched: DataFrame, span, nu
         parts.append(seen.filter(F.col("ts").isNull() & F.col(LAYOUT[0]).isNull()))
     context = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     context = context.join(touched, "card_id").filter(near).withColumnRenamed("batch", "_came")
-    changed = cut_lineage(build_gold_features(context).filter(timed).drop("_from", "_to", "_untimed"))
-    older = changed.filter(F.col("_came") < number).select(*ROW).distinct().withColumn("batch", F.lit(number))
-    store.write(older, "gold", "retired", "Rows with a newer version", partition_by=["batch"], replace="partitions")
+    # From the ids alone, so the features need not be stored before they are written.
+    older = context.filter(timed & (F.col("_came") < number)).select(*ROW).distinct().withColumn("batch", F.lit(number))
+    store.write(older, "gold", "retired", "Rows with a newer version", partition_by=["batch"], replace="partitions", rebalance=False)
+    # Dealt by card already; in a few months that makes a few files per task.
+    months = 0 if span.first is None else (span.last.year - span.first.year) * 12 + span.last.month - span.first.month + 1
+    changed = build_gold_features(context).filter(timed).drop("_from", "_to", "_untimed", "_came")
     store.write(
-        changed.drop("_came").withColumn("batch", F.lit(number)),
+        changed.withColumn("batch", F.lit(number)),
         "gold",
         "fraud_features",
         "Features by the batch that computed them",
         sources=[store.full_name("silver", "transactions")],
         partition_by=VERSIONS,
         replace="partitions",
+        rebalance=months > FEW_MONTHS,
     )
 
 
@@ -109,7 +115,12 @@ def current_features(store: TableStore, columns: Sequence[str] | None = None) ->
     done = store.finished_batch()
     features = store.read("gold", "fraud_features").filter(F.col("batch") <= done)
     retired = store.read("gold", "retired").filter(F.col("batch") <= done)
-    newest = retired.groupBy(*[F.col(c).alias(f"_{c}") for c in ROW]).agg(F.max("batch").alias("_newest"))
-    same = [F.col(c) == F.col(f"_{c}") for c in ROW]
-    kept = features.join(newest, [*same, F.col("batch") < F.col("_newest")], "left_anti").drop("batch")
+    last = retired.agg(F.max("batch")).first()[0]
+    if last is not None:
+        # Nothing replaces rows of the last batch that replaced any, so only earlier ones need the join.
+        newest = retired.groupBy(*[F.col(c).alias(f"_{c}") for c in ROW]).agg(F.max("batch").alias("_newest"))
+        same = [F.col(c) == F.col(f"_{c}") for c in ROW]
+        earlier = features.filter(F.col("batch") < last).join(newest, [*same, F.col("batch") < F.col("_newest")], "left_anti")
+        features = earlier.unionByName(features.filter(F.col("batch") >= last))
+    kept = features.drop("batch")
     return kept.select(*columns) if columns else kept

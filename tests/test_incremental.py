@@ -145,3 +145,26 @@ def test_stream_of_files(spark, store, sides, tmp_path):
     drain_features(jobs.stream_transactions(spark, source), store, *sides, progress)  # nothing new
     whole = build_gold_features(with_month(build_silver(Bronze(rows, *sides), verify_keys=False)))
     assert features_of(current_features(store)) == features_of(whole)
+
+
+def test_features_are_stored_once(spark, store, sides, monkeypatch):
+    from ledgerlens.streaming import features
+
+    stored, rebalanced, write = [], {}, TableStore.write
+
+    def noted(self, df, layer, table, *args, **options):
+        rebalanced[table] = options.get("rebalance", True)
+        return write(self, df, layer, table, *args, **options)
+
+    monkeypatch.setattr(features, "cut_lineage", lambda df: stored.append(df.columns) or cut_lineage(df))
+    monkeypatch.setattr(TableStore, "write", noted)
+    rows = transactions(60, 3)
+    for number in range(2):
+        apply_batch(store, Bronze(spark.createDataFrame(rows[number::2], TX), *sides), number)
+    assert not any("tx_count_7d" in columns for columns in stored)
+    assert rebalanced == {"transactions": True, "retired": False, "fraud_features": False}
+    # Only versions before the last batch that replaced rows go through the join.
+    plan = plan_of(current_features(store))
+    assert "Union" in plan and plan.count("Scan parquet") == 3
+    whole = build_gold_features(with_month(build_silver(Bronze(spark.createDataFrame(rows, TX), *sides), verify_keys=False)))
+    assert features_of(current_features(store)) == features_of(whole)
