@@ -60,23 +60,26 @@ def prepare(
     shared_root(rows.sparkSession)
     usable = rows.filter(F.col(split).isin("train", "val") & F.col(LABEL_COLUMN).isin(0, 1))
     known = feature_projection(usable, features, LABEL_COLUMN, carry=[split])
-    in_train = F.col(split) == "train"
-    counts = known.agg(*[F.count(F.when(in_train, F.col(name))).alias(name) for name in features]).first()
+    # Stored before anything is counted: every later step would compute the rows and their joins again.
+    known = cut_lineage(known.select(*features, LABEL_COLUMN, (F.col(split) != "train").alias("_validation")))
+    trained_on = known.filter(~F.col("_validation"))
+    counts = trained_on.agg(*[F.count(name).alias(name) for name in features]).first()
     present = [name for name in features if counts[name] > 0]
-    sizes = _class_sizes(known.withColumn("_validation", ~in_train))
+    sizes = _class_sizes(known)
     for needed, n in (("negatives", sizes[False, 0]), ("positives", sizes[False, 1]), ("validation", sizes[True, 0] + sizes[True, 1])):
         if n == 0:
             raise ValueError(f"cannot train: no {needed} rows in split column {split!r}")
     imputer = Imputer(strategy="median", inputCols=present, outputCols=[f"{n}_filled" for n in present])
     assembler = VectorAssembler(inputCols=imputer.getOutputCols(), outputCol="features")
-    preparation = Pipeline(stages=[imputer, assembler]).fit(known.filter(in_train))
-    inputs = preparation.transform(known.withColumn("_validation", ~in_train))
-    stored = cut_lineage(inputs.select("features", LABEL_COLUMN, "_validation"))
+    preparation = Pipeline(stages=[imputer, assembler]).fit(trained_on)
+    stored = preparation.transform(known).select("features", LABEL_COLUMN, "_validation")
     total = sizes[False, 0] + sizes[False, 1]
     if train_rows is not None and total > train_rows:
         draw = F.pmod(F.xxhash64("features"), F.lit(1 << 32)) / float(1 << 32)
-        stored = stored.filter(F.col("_validation") | (draw < train_rows / total))
+        stored = cut_lineage(stored.filter(F.col("_validation") | (draw < train_rows / total)))
         sizes = _class_sizes(stored)
+    else:
+        stored = cut_lineage(stored)
     return Prepared(preparation.stages, stored, sizes[False, 0], sizes[False, 1])
 
 

@@ -208,3 +208,17 @@ def test_two_arms_read_once_equal_batch_scoring(spark, rows, model, tmp_path):
 
 def test_record_schema_matches_the_contract(spark):
     assert spark.createDataFrame([], FEATURE_RECORD_SCHEMA).columns == FEATURE_COLUMNS
+
+
+def test_training_rows_are_computed_once(spark, rows):
+    """The joins behind a table would otherwise run again for each step of the preparation."""
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    usable = rows.filter("split IN ('train', 'val') AND is_fraud IN (0, 1)")
+    prepare(usable.mapInArrow(counted, usable.schema))
+    assert read.value == usable.count()
