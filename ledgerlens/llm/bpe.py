@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +33,7 @@ import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm.stored import bucketed, expand, squeeze
+from ledgerlens.llm.stored import bucketed, expand, give_back, giving_back, squeeze
 from ledgerlens.llm.words import Texts, slices, span_hashes, string_buffers
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -226,11 +227,12 @@ def chunk_rows(chunk: int, doc_ids: pa.Array, column: pa.Array, buckets: int, cl
 def cut_documents(documents: DataFrame, buckets: int, chunk_bytes: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes, part, step = character_classes(), TaskContext.get().partitionId(), 0
-        for batch in batches:
+        for batch in giving_back(batches):
             text, doc_ids = batch.column("text"), batch.column("doc_id").cast(pa.int64())
             for first, end in batch_chunks(text, chunk_bytes):
                 chunk = (part << 32) + step
                 yield from chunk_rows(chunk, doc_ids[first:end], text[first:end], buckets, classes)
+                give_back()
                 step += 1
 
     return documents.select("doc_id", "text").mapInArrow(run, PARTS)
@@ -245,16 +247,18 @@ def encode_words(parts: DataFrame, ranks_path: str) -> DataFrame:
         for packed, n in zip(rows.column("packed").to_pylist(), rows.column("n").to_pylist(), strict=True):
             raw = expand(packed)
             ends = (4 * n + np.cumsum(np.frombuffer(raw[: 4 * n], np.uint32), dtype=np.int64)).tolist()
-            ids, lengths, begin = [], [], 4 * n
+            ids, lengths, begin = array("I"), array("I"), 4 * n
             for end in ends:
                 word = raw[begin:end]
                 begin = end
                 found = known.get(word)
                 if found is None:
-                    found = known[word] = merged(word, ranks)
+                    found = known[word] = array("I", merged(word, ranks))
                 ids += found
                 lengths.append(len(found))
-            out.append(squeeze(np.array(lengths, np.uint32).tobytes() + np.array(ids, np.uint32).tobytes()))
+            out.append(squeeze(lengths.tobytes() + ids.tobytes()))
+        del known
+        give_back()
         return rows.select(["chunk", "place", "n"]).append_column("packed", pa.array(out, pa.binary()))
 
     words = parts.where("bucket >= 0").select("bucket", "chunk", "place", "n", "packed")
@@ -330,6 +334,7 @@ def digests(
             sizes.append(len(ids))
             id_hashes.append(tokens.digest_of_ids(ids))
             hashes.append(hashlib.sha256(tokens.text_of(ids)).hexdigest())
+        give_back()
         return pa.table(
             {"doc_id": doc_ids, "n_tokens": pa.array(sizes, pa.int64()),
              "ids_sha256": pa.array(id_hashes, pa.string()), "decoded_sha256": pa.array(hashes, pa.string())}

@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.llm.graph import components
 from ledgerlens.llm.rtree import RTree, group_counts
-from ledgerlens.llm.stored import bucketed, expand, squeeze
+from ledgerlens.llm.stored import bucketed, expand, giving_back, squeeze
 from ledgerlens.llm.words import (
     constants,
     find_words,
@@ -119,7 +119,7 @@ def set_facts(documents: DataFrame, row: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = np.zeros(SKETCH, np.uint32)
-        for batch in batches:
+        for batch in giving_back(batches):
             sizes, numbers = [], []
             for sets in shingle_sets(batch.column("text")):
                 for members in sets:
@@ -175,7 +175,7 @@ def cell_rows(documents: DataFrame, ranks: np.ndarray, hot: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = shared.value
-        for batch in batches:
+        for batch in giving_back(batches):
             seen: set[int] = set()
             for sets in shingle_sets(batch.column("text")):
                 keys, numbers, sizes = [], [], []
@@ -248,7 +248,7 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: tuple[int | None, np.ndarray] = (None, np.zeros(0, np.uint64))
-        for batch in batches:
+        for batch in giving_back(batches):
             good = []
             seconds = (m for sets in shingle_sets(batch.column("text_b")) for m in sets)
             firsts = batch.column("text_a")
@@ -279,7 +279,7 @@ def vectors(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     """(set, point): count vectors of the wanted sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in giving_back(batches):
             points = [packed_point(group_counts(m, GROUPS)) for sets in shingle_sets(batch.column("text")) for m in sets]
             yield pa.RecordBatch.from_arrays([batch.column("set"), pa.array(points, pa.binary())], ["set", "point"])
 

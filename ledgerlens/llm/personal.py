@@ -33,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlens.llm.stored import giving_back
 from ledgerlens.llm.words import Texts, slices
 
 KINDS = ("email", "ip", "card", "phone")
@@ -42,6 +43,8 @@ LONGEST = 5
 SAMPLE = 400
 #: Zones used for training, and passes over them.
 ZONES = 240
+#: Rows masked at a time, so the texts in memory twice do not follow the batch.
+ROWS = 1000
 PASSES = 6
 RATE = 0.3
 SHRINK = 1e-3
@@ -390,11 +393,13 @@ def masked(documents: DataFrame, weights: dict) -> DataFrame:
     """``documents`` with personal data replaced in ``text``; ``n_chars`` follows where it is there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            old, new = batch.column("text"), []
-            for i, (text, base, added) in enumerate(all_spans(old, weights)):
-                new.append(mask(text, base + added) if base or added else old[i].as_py())
-            yield batch.set_column(batch.schema.get_field_index("text"), "text", pa.array(new, pa.string()))
+        for whole in giving_back(batches):
+            for first in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(first, ROWS)
+                old, new = batch.column("text"), []
+                for i, (text, base, added) in enumerate(all_spans(old, weights)):
+                    new.append(mask(text, base + added) if base or added else old[i].as_py())
+                yield batch.set_column(batch.schema.get_field_index("text"), "text", pa.array(new, pa.string()))
 
     out = documents.mapInArrow(run, documents.schema)
     if "n_chars" in documents.columns:

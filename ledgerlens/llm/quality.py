@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from ledgerlens.llm.stored import giving_back
 from ledgerlens.llm.words import Texts, covered_by, find_words, slices, span_hashes, window_hashes, window_inside
 
 MIN_WORDS = 10
@@ -141,7 +142,7 @@ def quality(documents: DataFrame) -> DataFrame:
     """Measures and verdict of every row; see ``SCHEMA``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in giving_back(batches):
             found = measured(batch.column("text"))
             if found:
                 yield pa.RecordBatch.from_arrays(
@@ -156,7 +157,7 @@ def keep_good(documents: DataFrame) -> DataFrame:
     """The documents that the rules keep, with all their columns."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in giving_back(batches):
             found = measured(batch.column("text"))
             if found:
                 yield batch.filter(pa.array(found["kept"]))

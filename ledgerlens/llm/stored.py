@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+from collections.abc import Iterator
 from uuid import uuid4
 
+import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 
@@ -31,3 +35,24 @@ def squeeze(values: bytes) -> bytes:
 
 def expand(values: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(values)
+
+
+def give_back() -> None:
+    """Returns freed memory to the system: Python workers wait for their next task, and keep what they once needed."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def giving_back(batches: Iterator) -> Iterator:
+    """``batches``, with ``give_back`` after each and when they end."""
+    try:
+        for batch in batches:
+            yield batch
+            del batch
+            give_back()
+    finally:
+        give_back()
