@@ -644,7 +644,7 @@ def train_score(spark, sf_dir):
     return training.batch_score(trained.model, table, carry=["transaction_id", "is_fraud"])
 
 
-#: Labelled training rows of the checks at most; a third of the labels of the largest test tables.
+#: Labelled training rows at most, but not for ``train_decisive`` and ``evaluate_splits``.
 TRAIN_ROWS = 20_000
 EVERY_FEATURE = {"featureSubsetStrategy": "all", "subsamplingRate": 1.0}
 
@@ -655,7 +655,7 @@ def decisive_model(spark, sf_dir, params):
     blank = [name for name in FEATURE_COLUMNS if name not in table.columns]
     table = table.withColumns({name: F.lit(None).cast("double") for name in blank} | {"is_fraud": F.col("is_refund")})
     rows = time_split(table, "ts", a.VALIDATION_START, a.TEST_START)
-    return rows, training.train_boosted_trees(rows, params, train_rows=TRAIN_ROWS).model
+    return rows, training.train_boosted_trees(rows, params).model
 
 
 @query("train_decisive")

@@ -54,8 +54,9 @@ def prepare(
     """Counts, fills and assembles the labelled ``train`` and ``val`` rows.
 
     Features no training row has are left out; other gaps take the training median,
-    so that validation rows inform nothing. ``train_rows`` bounds the labelled training
-    rows: they are thinned by the hash of their features, equal rows together, to about that number.
+    so that validation rows inform nothing. All labelled training rows are kept unless a caller
+    sets ``train_rows``: then they are thinned by the hash of their features, equal rows together,
+    to about that number.
     """
     shared_root(rows.sparkSession)
     usable = rows.filter(F.col(split).isin("train", "val") & F.col(LABEL_COLUMN).isin(0, 1))

@@ -222,3 +222,51 @@ def test_training_rows_are_computed_once(spark, rows):
     usable = rows.filter("split IN ('train', 'val') AND is_fraud IN (0, 1)")
     prepare(usable.mapInArrow(counted, usable.schema))
     assert read.value == usable.count()
+
+
+class TrainingBegins(Exception):
+    """Ends a query where its training would begin."""
+
+
+@pytest.fixture(scope="module")
+def many_labels(spark, tmp_path_factory):
+    """Raw tables with 24,000 labelled training events and 1,000 validation events."""
+    to = tmp_path_factory.mktemp("many")
+    first = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+    events = spark.range(25_000).select(
+        F.col("id").alias("event_id"),
+        F.when(F.col("id") < 24_000, first + F.make_dt_interval(secs=F.col("id") * 5))
+        .otherwise(first + F.make_dt_interval(days=F.lit(2), secs=F.col("id") - 24_000)).alias("ts"),
+        (F.col("id") % 50).alias("user_id"),
+        F.when(F.col("id") % 7 == 0, "signup").otherwise("click").alias("event_type"),
+        (F.col("id") / 8).alias("value"),
+        F.concat(F.lit('{"k":'), F.col("id") % 100, F.lit("}")).alias("props"),
+    )
+    customers = spark.range(50).selectExpr(
+        "id AS c_custkey", "'x' AS c_name", "int(id % 25) AS c_nationkey", "double(id) AS c_acctbal", "'y' AS c_mktsegment"
+    )
+    tables = {
+        "events": events,
+        "customer": customers,
+        "labels": spark.range(25_000).selectExpr("id AS doc_id", "1 AS quality", "int(id % 5 = 0) AS toxic"),
+        "nation": spark.range(25).selectExpr("int(id) AS n_nationkey", "concat('N', id) AS n_name", "1 AS n_regionkey"),
+    }
+    for name, table in tables.items():
+        table.write.parquet(str(to / f"{name}.parquet"))
+    return str(to)
+
+
+@pytest.mark.parametrize("name", ["train_decisive"])
+def test_query_trains_on_every_labelled_row(spark, many_labels, monkeypatch, name):
+    from checks.registry import QUERIES
+    from ledgerlens.plans import training
+
+    def ended(prepared, *args):
+        raise TrainingBegins(prepared)
+
+    monkeypatch.setattr(training, "fit", ended)
+    with pytest.raises(TrainingBegins) as caught:
+        QUERIES[name](spark, many_labels)
+    prepared = caught.value.args[0]
+    assert prepared.negatives + prepared.positives == 24_000
+    assert prepared.inputs.filter("NOT _validation").count() == 24_000
