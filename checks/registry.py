@@ -640,11 +640,11 @@ def split_training(spark, sf_dir):
 @query("train_score")
 def train_score(spark, sf_dir):
     table, rows = split_training(spark, sf_dir)
-    trained = training.train_boosted_trees(rows, training.RATIO_WEIGHTED, train_rows=TRAIN_ROWS)
+    trained = training.train_boosted_trees(rows, training.RATIO_WEIGHTED)
     return training.batch_score(trained.model, table, carry=["transaction_id", "is_fraud"])
 
 
-#: Labelled training rows at most, but not for ``train_decisive`` and ``evaluate_splits``.
+#: Labelled training rows of ``model_search`` and ``stream_score`` at most.
 TRAIN_ROWS = 20_000
 EVERY_FEATURE = {"featureSubsetStrategy": "all", "subsamplingRate": 1.0}
 

@@ -256,7 +256,7 @@ def many_labels(spark, tmp_path_factory):
     return str(to)
 
 
-@pytest.mark.parametrize("name", ["train_decisive"])
+@pytest.mark.parametrize("name", ["train_decisive", "train_score"])
 def test_query_trains_on_every_labelled_row(spark, many_labels, monkeypatch, name):
     from checks.registry import QUERIES
     from ledgerlens.plans import training
