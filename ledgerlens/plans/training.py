@@ -2,21 +2,23 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from math import inf, isqrt
 from typing import NamedTuple
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import Imputer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import Bucketizer, Imputer, VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerlens.contract import FEATURE_COLUMNS, LABEL_COLUMN
 from ledgerlens.functions.scores import over_threshold
 from ledgerlens.operators.columns import feature_projection
-from ledgerlens.operators.distribution import ranking_quality
+from ledgerlens.operators.distribution import ranking_quality, value_counts, with_running_totals
 from ledgerlens.operators.evaluation import classification_report
 from ledgerlens.session import cut_lineage, shared_root
 
@@ -34,9 +36,18 @@ BALANCED = {
 }
 
 
+#: Up to so many training rows, or the square of ``maxBins``, Spark's trees look for thresholds in all rows; beyond, in a sample.
+SPLIT_ROWS = 10_000
+#: Spark squares ``maxBins`` in 32 bits.
+MOST_BINS = 46_340
+
+
 class Trained(NamedTuple):
+    """A fitted model, its parameters, and the prepared rows as the trees take them."""
+
     model: PipelineModel
     params: dict
+    inputs: DataFrame
 
 
 class Prepared(NamedTuple):
@@ -46,6 +57,7 @@ class Prepared(NamedTuple):
     inputs: DataFrame
     negatives: int
     positives: int
+    binned: bool = False
 
 
 def prepare(
@@ -97,6 +109,50 @@ def weight_of(prepared: Prepared, scheme: str) -> Column:
     return F.when(F.col(LABEL_COLUMN) == 1, F.lit(weights[1])).otherwise(F.lit(weights[0]))
 
 
+def thresholds(rows: DataFrame, bins: int) -> list[list[float]]:
+    """Per feature where to cut it into at most ``bins`` bins, from the counts of all values of all rows.
+
+    A feature of at most ``bins`` values gets a bin for each; another is cut at equal shares
+    of the rows. Bins meet half-way between neighbouring values.
+    """
+    width = len(rows.select("features").first()[0])
+    each = rows.select(F.posexplode(vector_to_array("features")).alias("_feature", "_v"))
+    counts = value_counts(each, ["_feature"], "_v", _rows=F.count(F.lit(1)), _values=F.max(F.lit(1)))
+    ranked = with_running_totals(counts, ["_feature"], ["_rows", "_values"])
+    share = F.call_function("div", (F.col("_rows_upto") - F.col("_rows")) * bins, F.col("_rows_all"))
+    number = F.when(F.col("_values_all") <= bins, F.col("_values_upto") - 1).otherwise(share)
+    ends = ranked.groupBy("_feature", number.alias("_bin")).agg(F.min("_value").alias("low"), F.max("_value").alias("high"))
+    cuts: list[list[float]] = [[] for _ in range(width)]
+    last: dict[int, float] = {}
+    for end in sorted(ends.collect(), key=lambda r: (r["_feature"], r["_bin"])):  # a row per bin and feature at most
+        feature = end["_feature"]
+        if feature in last:
+            half = last[feature] / 2 + end["low"] / 2
+            cuts[feature].append(min(half if last[feature] < half <= end["low"] else end["low"], sys.float_info.max))
+        last[feature] = end["high"]
+    return cuts
+
+
+def in_bins(prepared: Prepared, bins: int) -> Prepared:
+    """Features as numbers of bins where Spark would look for its thresholds in a sample; others as they are."""
+    if prepared.binned or prepared.negatives + prepared.positives <= max(SPLIT_ROWS, bins * bins):
+        return prepared
+    filled = prepared.stages[-1].getInputCols()
+    cuts = thresholds(prepared.inputs.filter(~F.col("_validation")), bins)
+    bucketizer = Bucketizer(
+        inputCols=filled, outputCols=[f"{n}_bin" for n in filled],
+        splitsArray=[[-inf, *(at or [0.0]), inf] for at in cuts],  # a feature of one value keeps one
+    )
+    assembler = VectorAssembler(inputCols=bucketizer.getOutputCols(), outputCol="features")
+    values = vector_to_array("features")
+    single = prepared.inputs.select(*[values[i].alias(n) for i, n in enumerate(filled)], LABEL_COLUMN, "_validation")
+    # Without the metadata of the bins, which would make them categories without an order.
+    numbers = array_to_vector(F.array(*bucketizer.getOutputCols())).alias("features")
+    stored = bucketizer.transform(single).select(numbers, LABEL_COLUMN, "_validation")
+    stages = [*prepared.stages[:-1], bucketizer, assembler]
+    return prepared._replace(stages=stages, inputs=cut_lineage(stored), binned=True)
+
+
 def fit(prepared: Prepared, params: Mapping = RATIO_WEIGHTED) -> Trained:
     """Boosted trees, as many as the validation rows call for.
 
@@ -105,11 +161,18 @@ def fit(prepared: Prepared, params: Mapping = RATIO_WEIGHTED) -> Trained:
     without progress, so trees are grown in rounds of twice as many, from the same seed
     and the same stored rows, until the rule has stopped or ``maxIter`` is reached: at
     most about three times the work of the trees that the rule looks at.
+
+    Candidate thresholds come from all training rows: where Spark would draw a sample for them,
+    features are cut into ``maxBins`` bins first, and the learner's own ``maxBins`` is only raised
+    so far that it looks at every row.
     """
     settings = {"checkpointInterval": 10, **params}
     scheme, patience = settings.pop("scheme", "ratio"), settings.pop("patience", 20)
     most = settings.pop("maxIter", 20)
     learner = GBTClassifier(labelCol=LABEL_COLUMN, featuresCol="features", weightCol="weight", **settings)
+    prepared = in_bins(prepared, learner.getMaxBins())
+    if prepared.binned:
+        learner.setMaxBins(min(MOST_BINS, isqrt(prepared.negatives + prepared.positives - 1) + 1))
     weighted = prepared.inputs.withColumn("weight", weight_of(prepared, scheme))
     train, validation = weighted.filter(~F.col("_validation")), weighted.filter("_validation")
     grown = min(most, 2 * patience)
@@ -122,7 +185,7 @@ def fit(prepared: Prepared, params: Mapping = RATIO_WEIGHTED) -> Trained:
         grown = min(most, 2 * grown)
     if wanted < booster.getNumTrees:
         booster = learner.copy({learner.maxIter: wanted}).fit(train)
-    return Trained(PipelineModel(stages=[*prepared.stages, booster]), dict(params))
+    return Trained(PipelineModel(stages=[*prepared.stages, booster]), dict(params), prepared.inputs)
 
 
 def train_boosted_trees(
@@ -190,7 +253,7 @@ def model_search(
     def measured(number: int) -> tuple[Trained, tuple]:
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"candidate-{number}")
         candidate = fit(prepared, grid[number])
-        scored = candidate.model.stages[-1].transform(prepared.inputs.filter("_validation"))
+        scored = candidate.model.stages[-1].transform(candidate.inputs.filter("_validation"))
         scored = scored.withColumn("fraud_score", vector_to_array("probability")[1])
         fraud = classification_report(scored, "fraud_score").filter(F.col("class") == "fraud").first()
         return candidate, (number, str(dict(grid[number])), fraud["precision"], fraud["recall"], fraud["f1"], fraud["support"])

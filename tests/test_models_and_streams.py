@@ -1,4 +1,5 @@
 import pytest
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from ledgerlens.contract import FEATURE_COLUMNS, FEATURE_RECORD_SCHEMA
@@ -10,8 +11,10 @@ from ledgerlens.plans.training import (
     batch_score,
     evaluate_splits,
     fit,
+    in_bins,
     model_search,
     prepare,
+    thresholds,
     train_boosted_trees,
     trees_wanted,
 )
@@ -270,3 +273,47 @@ def test_query_trains_on_every_labelled_row(spark, many_labels, monkeypatch, nam
     prepared = caught.value.args[0]
     assert prepared.negatives + prepared.positives == 24_000
     assert prepared.inputs.filter("NOT _validation").count() == 24_000
+
+
+def test_thresholds_come_from_every_row(spark):
+    """A value that 4 of 400,000 rows have decides the label; a sample of 10,000 rows seldom has one of them."""
+    many = spark.range(400_000).select(
+        F.col("id").alias("transaction_id"),
+        *[F.lit(1).alias(name) for name in FEATURE_COLUMNS if name != "is_refund"],
+        *[(F.col("id") % 100_000 == 7).cast("int").alias(name) for name in ("is_refund", "is_fraud")],
+        F.when(F.col("id") % 10 == 0, "val").otherwise("train").alias("split"),
+    )
+    whole = {**SMALL, "featureSubsetStrategy": "all", "subsamplingRate": 1.0, "minInstancesPerNode": 1}
+    scored = batch_score(train_boosted_trees(many, whole).model, many, carry=["is_fraud"])
+    assert scored.filter("flagged <> is_fraud").count() == 0
+
+
+def test_thresholds_by_value_or_equal_shares(spark):
+    few = F.col("id") % 3
+    skewed = F.when(F.col("id") < 600, 0).otherwise(F.col("id"))
+    columns = [F.lit(5), few, F.col("id"), skewed, F.when(F.col("id") == 0, float("inf")).otherwise(F.col("id") % 2)]
+    vectors = spark.range(1000).select(array_to_vector(F.array(*[c.cast("double") for c in columns])).alias("features"))
+    one, three, all_rows, heavy, endless = thresholds(vectors, 4)
+    assert one == [] and three == [0.5, 1.5] and all_rows == [249.5, 499.5, 749.5]
+    assert heavy == [300.0, 749.5] and endless[0] == 0.5 and len(endless) == 2
+
+
+def test_binned_features_give_the_model_of_all_values(rows, monkeypatch):
+    """Where every value has its own bin, trees on bin numbers are those on values; few rows are left as they are."""
+    from ledgerlens.plans import training
+
+    few = rows.withColumns({"abs_amount": F.floor(F.col("abs_amount") / 8), "std_amount_24h": F.lit(None).cast("double")})
+    params = {**SMALL, "maxBins": 16, "subsamplingRate": 1.0, "featureSubsetStrategy": "all"}
+    prepared = prepare(few)
+    assert in_bins(prepared, 16) is prepared
+    before = batch_score(fit(prepared, params).model, few, carry=["transaction_id"]).collect()
+    assert len({r.fraud_score for r in before}) > 2
+    monkeypatch.setattr(training, "SPLIT_ROWS", 100)
+    assert in_bins(prepared, 20) is prepared
+    trained = fit(prepared, params)
+    assert len(trained.model.stages) == 4 and "ml_attr" not in trained.inputs.schema["features"].metadata
+    after = {r.transaction_id: r.fraud_score for r in batch_score(trained.model, few, carry=["transaction_id"]).collect()}
+    assert all(after[r.transaction_id] == pytest.approx(r.fraud_score, rel=1e-9) for r in before)
+    _, results = model_search(few, [params])
+    scored = batch_score(trained.model, few.filter("split = 'val'"), carry=["is_fraud"])
+    assert results.first().f1 == classification_report(scored, "fraud_score").filter("class = 'fraud'").first().f1
